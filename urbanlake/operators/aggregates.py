@@ -42,6 +42,8 @@ def endpoint_counts(
     return ex.groupBy(*period_cols, key).agg(
         F.count(F.when(F.col("_is_pickup"), tid)).alias("n_pickup"),
         F.count(F.when(~F.col("_is_pickup"), tid)).alias("n_dropoff"),
+        F.max(F.col("_is_pickup")).alias("has_pickup"),
+        F.max(~F.col("_is_pickup")).alias("has_dropoff"),
     )
 
 
@@ -57,6 +59,22 @@ def union_distinct_total(n_pickup="n_pickup", n_dropoff="n_dropoff") -> Column:
     return F.when(p == d, p).otherwise(p + d)
 
 
+def union_distinct_rows(counts: DataFrame, period_cols: Sequence[str], key: str = "zip") -> DataFrame:
+    """The rows of ``pickup counts UNION dropoff counts`` (I1), from
+    ``endpoint_counts``: one row per role that has a group, equal counts
+    of one cell collapsed to one row."""
+    both = F.array_distinct(
+        F.filter(
+            F.array(
+                F.when(F.col("has_pickup"), F.col("n_pickup")),
+                F.when(F.col("has_dropoff"), F.col("n_dropoff")),
+            ),
+            lambda v: v.isNotNull(),
+        )
+    )
+    return counts.where(F.col(key).isNotNull()).select(*period_cols, key, F.explode(both).alias("trip_count"))
+
+
 def endpoint_totals(trips: DataFrame, period_cols: Sequence[str], **kw) -> DataFrame:
     """Per (period…, zip) total trip count of both endpoints, ZIP not NULL."""
     key = kw.get("key", "zip")

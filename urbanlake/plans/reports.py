@@ -68,14 +68,12 @@ def _periods_and_totals(trips: DataFrame, periods: Sequence[str]) -> tuple[DataF
 
 
 # --------------------------------------------------------------------------- 1
-def report1_severity(trips: DataFrame, covid: DataFrame, zip_polygons: DataFrame) -> DataFrame:
-    """RPTTBL01: weekly trips and cases per ZIP with actual and forecast severity.
+def report1_base(trips: DataFrame, covid: DataFrame, zip_polygons: DataFrame) -> DataFrame:
+    """Dense (COVID week label × ZIP) totals and cases (steps 1-3 of report 1).
 
     Weeks come from the COVID table (S22) and are matched by label (S3,
     S25); ``week_start`` is the COVID row's, NULL where a ZIP has none that
-    week (S17).  Severity ranks each value against the table's quartiles;
-    the forecast uses the average of this and the next two older rows
-    (inclusive frame, S7).
+    week (S17).  ``week_number`` is the bare label here.
     """
     spine = dense_spine(covid.select("week_number"), _zips(zip_polygons))
     totals = endpoint_counts(trips, ["week_number"])
@@ -86,7 +84,7 @@ def report1_severity(trips: DataFrame, covid: DataFrame, zip_polygons: DataFrame
         spine, totals, [("week_number", "week_number"), ("zip", "zip")], {"total_trip_count": "total"}
     )
     cov = _covid_cases(covid)
-    base = base.join(cov, (base["zip"] == cov["_c_zip"]) & (base["week_number"] == cov["_c_week"]), "left").select(
+    return base.join(cov, (base["zip"] == cov["_c_zip"]) & (base["week_number"] == cov["_c_week"]), "left").select(
         F.col("_c_week_start").alias("week_start"),
         "week_number",
         "zip",
@@ -94,7 +92,11 @@ def report1_severity(trips: DataFrame, covid: DataFrame, zip_polygons: DataFrame
         F.coalesce(F.col("_c_cases"), F.lit(0)).cast("long").alias("weekly_positive_cases"),
     )
 
-    q = quartiles(base, ["total_trip_count", "weekly_positive_cases"])
+
+def report1_averages(base: DataFrame) -> DataFrame:
+    """Base rows plus the average of this and the next two older rows per ZIP
+    (inclusive frame, S7), newest first with NULL weeks first (S6) and
+    tie-breaks on the label's year and week, then the values (S17)."""
     order = [
         F.col("week_start").desc_nulls_first(),
         cal.label_part("week_number", 2).desc_nulls_first(),
@@ -102,25 +104,36 @@ def report1_severity(trips: DataFrame, covid: DataFrame, zip_polygons: DataFrame
         F.col("weekly_positive_cases").desc(),
         F.col("total_trip_count").desc(),
     ]
-    avg_trips = trailing_avg("total_trip_count", ["zip"], order, 0, 2)
-    avg_cases = trailing_avg("weekly_positive_cases", ["zip"], order, 0, 2)
+    return base.withColumn("avg_trip_count", trailing_avg("total_trip_count", ["zip"], order, 0, 2)).withColumn(
+        "avg_cases", trailing_avg("weekly_positive_cases", ["zip"], order, 0, 2)
+    )
+
+
+def report1_quartiles(base: DataFrame):
+    """Scalar struct ``q1_/q3_`` of total trips and cases over the whole table."""
+    return quartiles(base, ["total_trip_count", "weekly_positive_cases"])
+
+
+def report1_severity(trips: DataFrame, covid: DataFrame, zip_polygons: DataFrame) -> DataFrame:
+    """RPTTBL01: weekly trips and cases per ZIP with actual and forecast severity.
+
+    Severity ranks each value against the table's quartiles; the forecast
+    ranks the trailing averages against the same quartiles.
+    """
+    base = report1_base(trips, covid, zip_polygons)
     qs = F.col("_q")
-    out = base.withColumn("_q", q).select(
+    bounds = (
+        qs["q1_total_trip_count"], qs["q3_total_trip_count"],
+        qs["q1_weekly_positive_cases"], qs["q3_weekly_positive_cases"],
+    )
+    out = report1_averages(base).withColumn("_q", report1_quartiles(base)).select(
         "week_start",
         cal.prefix_label("week_number").alias("week_number"),
         "zip",
         "total_trip_count",
         "weekly_positive_cases",
-        severity(
-            F.col("total_trip_count"), F.col("weekly_positive_cases"),
-            qs["q1_total_trip_count"], qs["q3_total_trip_count"],
-            qs["q1_weekly_positive_cases"], qs["q3_weekly_positive_cases"],
-        ).alias("severity"),
-        severity(
-            avg_trips, avg_cases,
-            qs["q1_total_trip_count"], qs["q3_total_trip_count"],
-            qs["q1_weekly_positive_cases"], qs["q3_weekly_positive_cases"],
-        ).alias("forecasted_severity"),
+        severity(F.col("total_trip_count"), F.col("weekly_positive_cases"), *bounds).alias("severity"),
+        severity(F.col("avg_trip_count"), F.col("avg_cases"), *bounds).alias("forecasted_severity"),
     )
     return out.orderBy(F.col("week_start").desc_nulls_first(), F.col("zip").asc_nulls_last())
 

@@ -173,3 +173,21 @@ REPORT_HEADERS = {
     "rpttbl05": {"community_area": "Community Area", "total_fees_waived": "Total fees to be Waived"},
     "rpttbl06": {"zip": "ZIP", "permit_id": "Permit ID - ELIGIBLE FOR LOAN"},
 }
+
+# Report column types, in report column order (FIXTURES §2).
+REPORT_TYPES = {
+    "rpttbl01": [D, S, I, L, L, S, S],
+    "rpttbl02": [D, S, S, I, L, L],
+    "rpttbl03": [S, D, I, L, L, S],
+    "rpttbl04a": [S, D, I, L, I],
+    "rpttbl04b": [S, I, L, I],
+    "rpttbl04c": [D, I, L, I],
+    "rpttbl05": [I, MONEY_SUM],
+    "rpttbl06": [I, S],
+}
+
+
+def report_schema(report: str) -> StructType:
+    """Typed schema of a report with snake_case names (for re-loading its CSV)."""
+    names = list(REPORT_HEADERS[report])
+    return _schema(*zip(names, REPORT_TYPES[report]))

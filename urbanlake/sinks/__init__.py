@@ -1 +1,120 @@
+"""Sinks and the matching report re-load.
 
+``mode`` follows ``DataFrameWriter``: ``ignore`` is the reference's
+``CREATE TABLE IF NOT EXISTS … AS`` (skip when present), ``append`` its
+``INSERT INTO`` re-runs, ``overwrite`` the default for idempotent jobs
+(S21).  Paths should live on shared storage; nothing here collects rows to
+the driver.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, DecimalType
+
+from .. import schemas
+from ..sources.landing import csv_options
+
+
+def write_table(
+    df: DataFrame,
+    path: str,
+    mode: str = "overwrite",
+    fmt: str = "parquet",
+    partition_by: list[str] | None = None,
+) -> str:
+    """Write ``df`` as a table directory (B1 create-if-absent, B2 append)."""
+    w = df.write.mode(mode).format(fmt)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.save(path)
+    return path
+
+
+def scan_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """Full scan of a written table."""
+    return spark.read.format(fmt).load(path)
+
+
+def _rename(df: DataFrame, headers: Mapping[str, str] | None) -> DataFrame:
+    if not headers:
+        return df
+    return df.select(*[F.col(c).alias(headers.get(c, c)) for c in df.columns])
+
+
+def write_csv(
+    df: DataFrame,
+    path: str,
+    mode: str = "overwrite",
+    headers: Mapping[str, str] | None = None,
+    date_format: str | None = None,
+) -> str:
+    """CSV with a header line (B3): one directory, one part file per task.
+
+    Quotes inside fields are doubled, so the file re-loads with the
+    ``COPY``-compatible reader.  ``date_format`` renders date columns as
+    text first (e.g. the trip file's ``MM/dd/yyyy hh:mm:ss a``).
+    """
+    if date_format:
+        df = df.select(
+            *[
+                F.date_format(F.col(f.name), date_format).alias(f.name) if isinstance(f.dataType, DateType) else F.col(f.name)
+                for f in df.schema.fields
+            ]
+        )
+    opts = {k: v for k, v in csv_options().items() if k in ("header", "sep", "quote", "escape")}
+    # The writer trims spaces by default; padded values (' CA ') must survive.
+    opts.update(ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false")
+    _rename(df, headers).write.mode(mode).options(**opts).csv(path)
+    return path
+
+
+def read_report_csv(spark: SparkSession, path: str, report: str) -> DataFrame:
+    """Re-load a report CSV into its declared schema, by position (A10)."""
+    return spark.read.schema(schemas.report_schema(report)).options(**csv_options()).csv(path)
+
+
+def json_documents(df: DataFrame, headers: Mapping[str, str] | None = None) -> DataFrame:
+    """One JSON object per row, shaped like the reference's service output.
+
+    Keys are the (renamed) column names in sorted order; NULL is kept as
+    ``null``; dates become ``yyyy-MM-ddT00:00:00Z``; decimals become strings
+    (the database driver hands ``numeric`` over as text); integers and
+    doubles stay numbers.
+    """
+    named = []
+    for f in df.schema.fields:
+        c = F.col(f.name)
+        if isinstance(f.dataType, DateType):
+            c = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+        elif isinstance(f.dataType, DecimalType):
+            c = c.cast("string")
+        named.append(((headers or {}).get(f.name, f.name), c))
+    cols = [c.alias(name) for name, c in sorted(named, key=lambda nc: nc[0])]
+    return df.select(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("value"))
+
+
+def write_json(df: DataFrame, path: str, mode: str = "overwrite", headers: Mapping[str, str] | None = None) -> str:
+    """JSON lines of ``json_documents``."""
+    json_documents(df, headers).write.mode(mode).text(path)
+    return path
+
+
+def write_jdbc(
+    df: DataFrame,
+    url: str,
+    table: str,
+    mode: str = "append",
+    properties: Mapping[str, str] | None = None,
+    num_partitions: int = 8,
+    headers: Mapping[str, str] | None = None,
+) -> None:
+    """Publish to a relational database (B4): ``num_partitions`` parallel
+    connections, batched inserts.  Needs the JDBC driver on the classpath."""
+    props = dict(properties or {})
+    props.setdefault("batchsize", "10000")
+    props.setdefault("numPartitions", str(num_partitions))
+    _rename(df, headers).coalesce(num_partitions).write.jdbc(url, table, mode=mode, properties=props)
