@@ -21,9 +21,7 @@ POINT_TYPE = "struct<x:double,y:double>"
 RINGS_TYPE = "array<array<struct<x:double,y:double>>>"
 EDGES_TYPE = "array<struct<x1:double,y1:double,x2:double,y2:double>>"
 
-# WKT: the coordinates of a POINT, and every innermost parenthesised group
-# (one ring) of a POLYGON / MULTIPOLYGON.
-_POINT_RE = r"^\s*POINT\s*\(\s*([^\s()]+)\s+([^\s()]+)\s*\)\s*$"
+# WKT: every innermost parenthesised group (one ring) of a POLYGON / MULTIPOLYGON.
 _RING_RE = r"\(([^()]+)\)"
 
 
@@ -34,12 +32,15 @@ def _col(c) -> Column:
 def parse_point(wkt) -> Column:
     """``'POINT (x y)'`` → ``struct(x, y)``; NULL stays NULL.
 
-    Malformed text fails the job under ANSI casting, as a bad geometry
-    literal fails ``COPY``.
+    Plain string slicing (no regex): the text between the parentheses,
+    split at its first and last space.  Anything malformed reaches the ANSI
+    cast as a non-number and fails the job, as a bad geometry literal fails
+    ``COPY``.
     """
     w = _col(wkt)
-    x = F.regexp_extract(w, _POINT_RE, 1).cast("double")
-    y = F.regexp_extract(w, _POINT_RE, 2).cast("double")
+    inner = F.trim(F.substring_index(F.substring_index(w, "(", -1), ")", 1))
+    x = F.substring_index(inner, " ", 1).cast("double")
+    y = F.trim(F.substring_index(inner, " ", -1)).cast("double")
     return F.when(w.isNotNull(), F.struct(x.alias("x"), y.alias("y")))
 
 

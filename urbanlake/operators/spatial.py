@@ -15,11 +15,11 @@ cell and each (polygon, cell) pair one row, so a match is emitted once per
 containing polygon.  The join is LEFT and not de-duplicated: a point in two
 overlapping polygons yields two rows, a point in none keeps NULLs (S12).
 
-Scale: the cell index is a dimension (city polygons) and is broadcast after
-its row count is proven below a bound, so the point side (billions of trips)
-is never shuffled for the join.  Beyond the bound the join is left to the
-planner: it shuffles both sides by cell, and AQE's skew-join handling splits
-a hot cell on the (preserved) point side.
+Scale: the cell index is a dimension (city polygons) and is broadcast when
+its size is proven below a row and byte bound (``PolygonIndex``), so the
+point side (billions of trips) is never shuffled for the join.  Beyond the
+bound the join is left to the planner: it shuffles both sides by cell, and
+AQE's skew-join handling splits a hot cell on the (preserved) point side.
 """
 
 from __future__ import annotations
@@ -31,11 +31,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from ..session import DEFAULT_BROADCAST_ROWS, checked_broadcast
+from ..session import DEFAULT_BROADCAST_ROWS
 
 # Upper bound on polygon × cell rows when the cell size is chosen
 # automatically; the cell grows until the index fits.
 DEFAULT_MAX_CELLS = 100_000
+# Byte bound of a broadcast cell index (rows × edge-array size).
+DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
+# Row bound of a broadcast distinct-point lookup (x, y, key: ~40 bytes a row).
+DEFAULT_LOOKUP_ROWS = 2_000_000
 
 
 def prepare_polygons(polygons: DataFrame, geom: str = "geom") -> DataFrame:
@@ -51,32 +55,90 @@ def prepare_polygons(polygons: DataFrame, geom: str = "geom") -> DataFrame:
     )
 
 
-def choose_cell_size(prepared: DataFrame, max_cells: int = DEFAULT_MAX_CELLS) -> float:
-    """Median polygon extent, enlarged until the index stays under ``max_cells``.
+class PolygonIndex:
+    """Grid-cell index of one polygon layer, built once and reused.
 
-    One aggregate row over the polygon dimension reaches the driver.
+    One aggregate over the (small) polygon layer yields the median extent,
+    the extent sums and the largest edge count.  They give the cell size and
+    an exact upper bound on the index size — a polygon whose box spans
+    ``w × h`` touches at most ``(w/g + 2)(h/g + 2)`` cells — so the
+    broadcast decision is proven without counting the index.
     """
-    w = F.col("_xmax") - F.col("_xmin")
-    h = F.col("_ymax") - F.col("_ymin")
-    row = prepared.where(F.col("_xmin").isNotNull()).agg(
-        F.percentile_approx(F.greatest(w, h), 0.5).alias("med"),
-        F.sum(w).alias("sw"),
-        F.sum(h).alias("sh"),
-        F.sum(w * h).alias("swh"),
-        F.count(F.lit(1)).alias("n"),
-    ).first()
-    if row is None or not row["n"]:
-        return 1.0
-    g = float(row["med"] or 0.0) or 1.0
-
-    def cells(size: float) -> float:
-        return row["swh"] / size**2 + 2 * (row["sw"] + row["sh"]) / size + 4 * row["n"]
-
-    if cells(g) > max_cells:
-        g *= math.sqrt(cells(g) / max_cells)
-        while cells(g) > max_cells:
-            g *= 1.5
-    return g
+
+    def __init__(
+        self,
+        polygons: DataFrame,
+        take: list[str],
+        geom: str = "geom",
+        cell_size: float | None = None,
+        max_cells: int = DEFAULT_MAX_CELLS,
+        max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+        max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+    ):
+        prepared = prepare_polygons(polygons.select(*take, geom), geom)
+        w = F.col("_xmax") - F.col("_xmin")
+        h = F.col("_ymax") - F.col("_ymin")
+        row = (
+            prepared.where(F.col("_xmin").isNotNull())
+            .agg(
+                F.percentile_approx(F.greatest(w, h), 0.5).alias("med"),
+                F.sum(w).alias("sw"),
+                F.sum(h).alias("sh"),
+                F.sum(w * h).alias("swh"),
+                F.count(F.lit(1)).alias("n"),
+                F.max(F.size("_edges")).alias("max_edges"),
+            )
+            .first()
+        )
+        n = row["n"] if row is not None else 0
+        stats = {k: float(row[k] or 0.0) for k in ("med", "sw", "sh", "swh")} if n else {}
+
+        def cells(size: float) -> float:
+            return stats["swh"] / size**2 + 2 * (stats["sw"] + stats["sh"]) / size + 4 * n
+
+        if cell_size:
+            g = float(cell_size)
+        elif not n:
+            g = 1.0
+        else:
+            g = stats["med"] or 1.0
+            if cells(g) > max_cells:
+                g *= math.sqrt(cells(g) / max_cells)
+                while cells(g) > max_cells:
+                    g *= 1.5
+        self.cell = g
+        self.n_polygons = n
+        self.max_rows = int(cells(g)) if n else 0
+        # cell row: two longs, four doubles, the edge array, the carried columns
+        row_bytes = 64 + 32 * int(row["max_edges"] or 0) if n else 0
+        self.broadcast = self.max_rows <= max_broadcast_rows and self.max_rows * row_bytes <= max_broadcast_bytes
+        self.take = list(take)
+        self.cells = polygon_cells(prepared, g)
+
+    def join(self, points: DataFrame, point_col: str, take: dict[str, str], how: str = "left") -> DataFrame:
+        """``points LEFT JOIN layer ON ST_Within(point, polygon)``; ``take`` maps
+        output names to carried polygon columns (``how='inner'`` keeps matches only)."""
+        tag = uuid.uuid4().hex[:8]
+        n = lambda s: f"_{s}_{tag}"  # noqa: E731 - unique temp names per join
+        index = self.cells.select(
+            *[F.col(src).alias(dst) for dst, src in take.items()],
+            *[F.col(f"_{c}").alias(n(c)) for c in ("edges", "xmin", "xmax", "ymin", "ymax", "cx", "cy")],
+        )
+        if self.broadcast:
+            index = F.broadcast(index)
+        g = F.lit(self.cell)
+        left = points.withColumn(n("px"), F.col(point_col)["x"]).withColumn(n("py"), F.col(point_col)["y"])
+        px, py = F.col(n("px")), F.col(n("py"))
+        left = left.withColumn(n("pcx"), F.floor(px / g)).withColumn(n("pcy"), F.floor(py / g))
+        cond = (
+            (F.col(n("pcx")) == F.col(n("cx")))
+            & (F.col(n("pcy")) == F.col(n("cy")))
+            & px.between(F.col(n("xmin")), F.col(n("xmax")))
+            & py.between(F.col(n("ymin")), F.col(n("ymax")))
+            & geo.within(px, py, F.col(n("edges")))
+        )
+        joined = left.join(index, cond, how)
+        return joined.drop(*[n(s) for s in ("px", "py", "pcx", "pcy", "edges", "xmin", "xmax", "ymin", "ymax", "cx", "cy")])
 
 
 def polygon_cells(prepared: DataFrame, cell: float) -> DataFrame:
@@ -92,49 +154,79 @@ def polygon_cells(prepared: DataFrame, cell: float) -> DataFrame:
 def within_left_join(
     points: DataFrame,
     point_col: str,
-    polygons: DataFrame,
+    polygons: DataFrame | PolygonIndex,
     take: dict[str, str],
     geom: str = "geom",
     cell_size: float | None = None,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """``points LEFT JOIN polygons ON ST_Within(points.point_col, polygons.geom)``.
 
     ``take`` maps output column names to polygon columns to carry over
     (e.g. ``{"pickup_zip": "zip"}``); they are NULL when nothing contains
-    the point.  ``point_col`` is a ``struct<x,y>`` column.
+    the point.  ``point_col`` is a ``struct<x,y>`` column.  Pass a
+    ``PolygonIndex`` to reuse one layer's index across several joins.
     """
-    tag = uuid.uuid4().hex[:8]
-    n = lambda s: f"_{s}_{tag}"  # noqa: E731 - unique temp names per join
-
-    prepared = prepare_polygons(polygons, geom)
-    g = float(cell_size) if cell_size else choose_cell_size(prepared)
-    index = polygon_cells(prepared, g).select(
-        *[F.col(src).alias(dst) for dst, src in take.items()],
-        F.col("_edges").alias(n("edges")),
-        F.col("_xmin").alias(n("xmin")),
-        F.col("_xmax").alias(n("xmax")),
-        F.col("_ymin").alias(n("ymin")),
-        F.col("_ymax").alias(n("ymax")),
-        F.col("_cx").alias(n("cx")),
-        F.col("_cy").alias(n("cy")),
+    index = polygons if isinstance(polygons, PolygonIndex) else PolygonIndex(
+        polygons, sorted(set(take.values())), geom, cell_size
     )
-    index = checked_broadcast(index, max_broadcast_rows)
+    return index.join(points, point_col, take)
 
-    x: Column = F.col(point_col)["x"]
-    y: Column = F.col(point_col)["y"]
-    left = points.withColumn(n("px"), x).withColumn(n("py"), y)
-    left = left.withColumn(n("pcx"), F.floor(F.col(n("px")) / F.lit(g))).withColumn(
-        n("pcy"), F.floor(F.col(n("py")) / F.lit(g))
-    )
-    px, py = F.col(n("px")), F.col(n("py"))
-    cond = (
-        (F.col(n("pcx")) == F.col(n("cx")))
-        & (F.col(n("pcy")) == F.col(n("cy")))
-        & px.between(F.col(n("xmin")), F.col(n("xmax")))
-        & py.between(F.col(n("ymin")), F.col(n("ymax")))
-        & geo.within(px, py, F.col(n("edges")))
+
+def spatial_enrich(
+    df: DataFrame,
+    joins: list[tuple[str, PolygonIndex, dict[str, str]]],
+    max_lookup_rows: int = DEFAULT_LOOKUP_ROWS,
+) -> DataFrame:
+    """Apply several left spatial joins ``(point column, index, take)`` to ``df``.
+
+    Trip and permit locations are centroids and repeat heavily, so the exact
+    test runs on the *distinct* points only (R2a):
+
+    1. the distinct non-NULL points of all the point columns are computed
+       once (map-side partial aggregation, so a hot location costs one row
+       per task) and materialised with a reliable ``checkpoint()`` under the
+       shared checkpoint directory;
+    2. if there are at most ``max_lookup_rows`` of them, each layer's
+       matches ``(x, y, key…)`` — one row per containing polygon — are
+       computed from that small table and joined back to ``df`` with a
+       broadcast hash join on the coordinates: ``df`` is never shuffled and
+       no per-row ray casting remains;
+    3. otherwise (points barely repeat) every join runs directly per row as
+       a broadcast cell join — still no shuffle of ``df``.
+
+    A LEFT equi-join on the exact coordinates returns the same rows as the
+    direct spatial join: one per containing polygon, or one with NULLs.
+    """
+    point_cols = sorted({pc for pc, _, _ in joins})
+    pts = (
+        df.select(F.explode(F.array(*[F.col(c) for c in point_cols])).alias("_pt"))
+        .where(F.col("_pt").isNotNull())
+        .distinct()
     )
-    joined = left.join(index, cond, "left")
-    drop = [n(s) for s in ("px", "py", "pcx", "pcy", "edges", "xmin", "xmax", "ymin", "ymax", "cx", "cy")]
-    return joined.drop(*drop)
+    pts = pts.checkpoint(eager=True)
+    if pts.limit(max_lookup_rows + 1).count() > max_lookup_rows:
+        for pc, index, take in joins:
+            df = index.join(df, pc, take)
+        return df
+
+    lookups: dict[int, tuple[DataFrame, list[str]]] = {}
+    for _, index, _ in joins:
+        if id(index) in lookups:
+            continue
+        keys = list(index.take)
+        lk = index.join(pts, "_pt", {f"_lk_{k}": k for k in keys}, how="inner")
+        lk = lk.select(F.col("_pt")["x"].alias("_lk_x"), F.col("_pt")["y"].alias("_lk_y"), *[f"_lk_{k}" for k in keys])
+        n = lk.limit(max_lookup_rows + 1).count()
+        lookups[id(index)] = (F.broadcast(lk) if n <= max_lookup_rows else lk, keys)
+
+    for pc, index, take in joins:
+        lk, keys = lookups[id(index)]
+        tag = uuid.uuid4().hex[:8]
+        renamed = lk.select(
+            F.col("_lk_x").alias(f"_x_{tag}"),
+            F.col("_lk_y").alias(f"_y_{tag}"),
+            *[F.col(f"_lk_{src}").alias(dst) for dst, src in take.items()],
+        )
+        cond = (F.col(pc)["x"] == F.col(f"_x_{tag}")) & (F.col(pc)["y"] == F.col(f"_y_{tag}"))
+        df = df.join(renamed, cond, "left").drop(f"_x_{tag}", f"_y_{tag}")
+    return df

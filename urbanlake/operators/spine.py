@@ -15,23 +15,19 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import DEFAULT_BROADCAST_ROWS, checked_broadcast
 
-
-def dense_spine(
-    periods: DataFrame,
-    *key_sets: DataFrame,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-) -> DataFrame:
+def dense_spine(periods: DataFrame, *key_sets: DataFrame) -> DataFrame:
     """Every combination of the distinct rows of ``periods`` and each key set.
 
-    NULL periods are kept (one spine row per key, S23).  Each key set is a
-    bounded dimension (ZIPs, airports); it is broadcast when provably small,
-    otherwise the product is left to the planner.
+    NULL periods are kept (one spine row per key, S23).  No broadcast hint
+    is given: both sides are distinct aggregates, so AQE sees their measured
+    sizes and broadcasts the side under ``autoBroadcastJoinThreshold`` (a
+    ZIP or airport list); if neither is, the product is planned as a
+    cartesian product, whose output is the spine itself.
     """
     spine = periods.distinct()
     for keys in key_sets:
-        spine = spine.crossJoin(checked_broadcast(keys.distinct(), max_broadcast_rows))
+        spine = spine.crossJoin(keys.distinct())
     return spine
 
 

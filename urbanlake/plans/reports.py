@@ -23,6 +23,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .. import schemas
 from ..functions import calendar as cal
@@ -37,7 +38,6 @@ from ..operators.aggregates import (
     union_distinct_total,
 )
 from ..operators.spine import dense_spine, zero_filled_left_join
-from ..session import checked_broadcast
 from ..sources.driver_tables import REFERENCE_AIRPORTS
 
 NEW_CONSTRUCTION = "PERMIT - NEW CONSTRUCTION"
@@ -104,8 +104,11 @@ def report1_averages(base: DataFrame) -> DataFrame:
         F.col("weekly_positive_cases").desc(),
         F.col("total_trip_count").desc(),
     ]
-    return base.withColumn("avg_trip_count", trailing_avg("total_trip_count", ["zip"], order, 0, 2)).withColumn(
-        "avg_cases", trailing_avg("weekly_positive_cases", ["zip"], order, 0, 2)
+    w = Window.partitionBy("zip").orderBy(*order).rowsBetween(0, 2)
+    return base.select(
+        "*",
+        F.avg("total_trip_count").over(w).alias("avg_trip_count"),
+        F.avg("weekly_positive_cases").over(w).alias("avg_cases"),
     )
 
 
@@ -334,9 +337,7 @@ def report6_loans(permits: DataFrame, health: DataFrame, income_limit: float = 3
     """RPTTBL06: new-construction permits in the least-built ZIPs whose
     community area's per-capita income is below ``income_limit``."""
     nc = new_construction(permits)
-    poor = checked_broadcast(
-        health.where(F.col("per_capita_income") < income_limit).select(F.col("community_area").alias("_area"))
-    )
+    poor = health.where(F.col("per_capita_income") < income_limit).select(F.col("community_area").alias("_area"))
     zips = least_built_zips(permits).select(F.col("zip").alias("_zip"))
     out = nc.join(poor, nc["community_area"] == poor["_area"]).join(zips, F.col("zip") == F.col("_zip"), "left_semi")
     return out.select("zip", F.col("permit_no").alias("permit_id"))

@@ -12,22 +12,28 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import calendar as cal
 from ..functions.columns import impute_area
-from ..operators.spatial import within_left_join
+from ..operators.spatial import PolygonIndex, spatial_enrich
+
+
+def _index(polygons: DataFrame | PolygonIndex, key: str, cell: float | None) -> PolygonIndex:
+    return polygons if isinstance(polygons, PolygonIndex) else PolygonIndex(polygons, [key], cell_size=cell)
 
 
 def stage_trips(
     trips: DataFrame,
-    zip_polygons: DataFrame,
-    areas: DataFrame,
+    zip_polygons: DataFrame | PolygonIndex,
+    areas: DataFrame | PolygonIndex,
     zip_cell: float | None = None,
     area_cell: float | None = None,
 ) -> DataFrame:
     """``STG.TRIPS_DATA`` (P1): trips with a located endpoint, the ZIP of each
     endpoint, community areas imputed from the area polygons, labels.
 
-    The four spatial joins are LEFT and keep duplicates (S12).  Only the
-    columns the output needs are read, and the "any endpoint located"
-    filter runs before the joins.
+    The four spatial joins are LEFT and keep duplicates (S12); each polygon
+    layer is indexed once (pass ``PolygonIndex`` objects to share them with
+    ``stage_permits``) and the exact test runs once per distinct location
+    (``spatial_enrich``).  Only the columns the output needs are read, and the
+    "any endpoint located" filter runs before the joins.
     """
     t = trips.where(F.col("pickup_point").isNotNull() | F.col("dropoff_point").isNotNull()).select(
         "trip_id", "trip_start", "week_start", "week_start_iso",
@@ -35,12 +41,17 @@ def stage_trips(
         "pickup_lat", "pickup_lon", "pickup_point",
         "dropoff_lat", "dropoff_lon", "dropoff_point",
     )
-    zips = zip_polygons.select("zip", "geom")
-    ca = areas.select("area_numbe", "geom")
-    t = within_left_join(t, "pickup_point", zips, {"pickup_zip": "zip"}, cell_size=zip_cell)
-    t = within_left_join(t, "dropoff_point", zips, {"dropoff_zip": "zip"}, cell_size=zip_cell)
-    t = within_left_join(t, "pickup_point", ca, {"_pickup_area_match": "area_numbe"}, cell_size=area_cell)
-    t = within_left_join(t, "dropoff_point", ca, {"_dropoff_area_match": "area_numbe"}, cell_size=area_cell)
+    zips = _index(zip_polygons, "zip", zip_cell)
+    ca = _index(areas, "area_numbe", area_cell)
+    t = spatial_enrich(
+        t,
+        [
+            ("pickup_point", zips, {"pickup_zip": "zip"}),
+            ("dropoff_point", zips, {"dropoff_zip": "zip"}),
+            ("pickup_point", ca, {"_pickup_area_match": "area_numbe"}),
+            ("dropoff_point", ca, {"_dropoff_area_match": "area_numbe"}),
+        ],
+    )
     return t.select(
         "trip_id",
         "trip_start",
@@ -86,8 +97,8 @@ def stage_ccvi(ccvi: DataFrame) -> DataFrame:
 
 def stage_permits(
     permits: DataFrame,
-    zip_polygons: DataFrame,
-    areas: DataFrame,
+    zip_polygons: DataFrame | PolygonIndex,
+    areas: DataFrame | PolygonIndex,
     zip_cell: float | None = None,
     area_cell: float | None = None,
 ) -> DataFrame:
@@ -96,9 +107,12 @@ def stage_permits(
         "id", "permit_no", "permit_type", "subtotal_unpaid", "latitude", "longitude",
         "location_point", "community_area",
     )
-    p = within_left_join(p, "location_point", zip_polygons.select("zip", "geom"), {"zip": "zip"}, cell_size=zip_cell)
-    p = within_left_join(
-        p, "location_point", areas.select("area_numbe", "geom"), {"_area_match": "area_numbe"}, cell_size=area_cell
+    p = spatial_enrich(
+        p,
+        [
+            ("location_point", _index(zip_polygons, "zip", zip_cell), {"zip": "zip"}),
+            ("location_point", _index(areas, "area_numbe", area_cell), {"_area_match": "area_numbe"}),
+        ],
     )
     return p.select(
         "id",
