@@ -9,8 +9,12 @@ Environment: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS``
 staging, eight reports).  Every report is executed completely with the
 ``noop`` sink (no collect).  Landing and staged tables are written as
 Parquet under a fresh folder of the session's checkpoint directory and read
-back, as the pipeline does.  Extra keys:
-``*_rows_per_s`` for reports 1 and 4C, and ``r1_off`` / ``r2_off`` /
+back, as the pipeline does.  The whole sequence first runs once, untimed,
+on ``BENCH_WARMUP_DIR`` (default sf0.001) so JVM start-up and JIT warm-up
+are not counted.  Extra keys:
+``*_rows_per_s`` for reports 1 and 4C, ``report1_update_rows_per_s`` (the
+severity/forecast step alone over the written report-1 base — the step the
+reference's only published figure times), and ``r1_off`` / ``r2_off`` /
 ``r3_off`` — the same work without the distinct-below-cross-join, grid
 spatial join and one-scan endpoint rewrites, next to ``*_on`` timings.
 """
@@ -31,7 +35,7 @@ from urbanlake import sinks  # noqa: E402
 from urbanlake.functions import geo  # noqa: E402
 from urbanlake.plans import reports as rp  # noqa: E402
 from urbanlake.plans import staging as st  # noqa: E402
-from urbanlake.session import get_spark, shared_dir  # noqa: E402
+from urbanlake.session import get_spark, shared_dir, spread  # noqa: E402
 from urbanlake.sources import driver_tables as dt  # noqa: E402
 from urbanlake.sources import landing as ld  # noqa: E402
 
@@ -51,6 +55,22 @@ def main() -> None:
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
     spark = get_spark(shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "8")))
+    warm = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
+    if warm and os.path.isdir(warm) and os.path.abspath(warm) != os.path.abspath(sf_dir):
+        measure(spark, warm)  # JVM / JIT warm-up on the smallest data, not reported
+    q, headline = measure(spark, sf_dir)
+    out = {
+        "metric": "pipeline_seconds",
+        "value": round(headline, 3),
+        "unit": "sec",
+        "queries": {k: round(v, 3) for k, v in q.items()},
+        "sf": sf,
+    }
+    print(json.dumps(out))
+    spark.stop()
+
+
+def measure(spark, sf_dir: str) -> tuple[dict[str, float], float]:
     root = shared_dir(spark, "bench")
     q: dict[str, float] = {}
 
@@ -63,7 +83,7 @@ def main() -> None:
     landed = {}
     t_land = 0.0
     for table in ("taxi_trips", "boundaries_zip", "comm_area", "covid_by_zip", "ccvi_by_ca", "public_health", "building_permit"):
-        landed[table], t = timed(lambda table=table: put(f"landing/{table}", ld.LAND[table](dt.RAW[table](spark, sf_dir))))
+        landed[table], t = timed(lambda table=table: put(f"landing/{table}", ld.LAND[table](spread(dt.RAW[table](spark, sf_dir)))))
         t_land += t
     q["land_all"] = t_land
     trips, zips, areas = landed["taxi_trips"], landed["boundaries_zip"], landed["comm_area"]
@@ -95,6 +115,29 @@ def main() -> None:
     n1 = rp.report1_severity(stg_trips, covid, zips_t).count()
     n4c = rp.report4c_daily(stg_trips, zips_t).count()
     q["report1_rows_per_s"] = round(n1 / q["report1"], 1)
+
+    # The reference's one published figure is the forecast-severity UPDATE
+    # over its materialised report-1 table; time the same step here: base
+    # written once, then quartiles + trailing averages + both severities.
+    base = put("report1_base", rp.report1_base(stg_trips, covid, zips_t))
+    nb = base.count()
+
+    def update():
+        from urbanlake.functions.columns import severity
+
+        qs = F.col("_q")
+        bounds = (qs["q1_total_trip_count"], qs["q3_total_trip_count"],
+                  qs["q1_weekly_positive_cases"], qs["q3_weekly_positive_cases"])
+        out = rp.report1_averages(base).withColumn("_q", rp.report1_quartiles(base)).select(
+            "*",
+            severity(F.col("total_trip_count"), F.col("weekly_positive_cases"), *bounds).alias("severity"),
+            severity(F.col("avg_trip_count"), F.col("avg_cases"), *bounds).alias("forecasted_severity"),
+        ).drop("_q")
+        run(out)
+
+    _, t_upd = timed(update)
+    q["report1_update"] = t_upd
+    q["report1_update_rows_per_s"] = round(nb / t_upd, 1)
     q["report4c_rows_per_s"] = round(n4c / q["report4c"], 1)
 
     # --- rewrites off -----------------------------------------------------------
@@ -138,15 +181,7 @@ def main() -> None:
 
     _, q["r3_on_day_totals"] = timed(lambda: run(endpoint_totals(stg_trips, ["trip_start"])))
 
-    out = {
-        "metric": "pipeline_seconds",
-        "value": round(headline, 3),
-        "unit": "sec",
-        "queries": {k: round(v, 3) for k, v in q.items()},
-        "sf": sf,
-    }
-    print(json.dumps(out))
-    spark.stop()
+    return q, headline
 
 
 if __name__ == "__main__":

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import sinks
 from ..schemas import REPORT_HEADERS
+from ..session import spread
 from ..sources import landing
 from ..sources.driver_tables import REFERENCE_AIRPORTS
 from . import reports, staging
@@ -37,7 +38,9 @@ def run_pipeline(
     """Run every zone; return ``{table: path}`` of everything written.
 
     ``raw`` gives each landing table as a raw-schema DataFrame, a CSV path
-    (read with the declared schema) or a zero-argument callable.
+    (read with the declared schema) or a zero-argument callable.  A source
+    that arrives in fewer partitions than the cluster has cores is spread
+    before the per-row landing work (``session.spread``).
     ``mode`` is the writer mode for every table (``ignore`` skips existing
     tables like ``CREATE TABLE IF NOT EXISTS``; ``append`` duplicates rows
     like re-running the reference's inserts).
@@ -60,7 +63,7 @@ def run_pipeline(
             df = src()
         else:
             df = src
-        land[table] = put("landing", table, landing.LAND[table](df))
+        land[table] = put("landing", table, landing.LAND[table](spread(df)))
 
     zips, areas = land["boundaries_zip"], land["comm_area"]
     trips = put("staging", "trips_data", staging.stage_trips(land["taxi_trips"], zips, areas))

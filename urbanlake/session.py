@@ -70,3 +70,15 @@ def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition a source that arrives in fewer partitions than
+    the cluster has cores (one large unsplittable file, a single row group).
+
+    Already parallel input (the normal case at scale: many files) is
+    returned as is, so no shuffle is added there.  The partition count is
+    known from planning; no job runs.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df

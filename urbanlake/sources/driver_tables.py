@@ -40,6 +40,7 @@ from pyspark.sql.window import Window
 
 from .. import schemas
 from ..functions import calendar as cal
+from ..session import spread
 
 # Airport pickup ZIPs.  The reference uses the city's real ZIP
 # codes; the test polygons are numbered by nation key, so stand-ins are used.
@@ -47,8 +48,11 @@ REFERENCE_AIRPORTS = {"Midway": [60638], "O'Hare": [60656, 60666]}
 TEST_AIRPORTS = {"Midway": [3], "O'Hare": [7, 8]}
 
 
-def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
+def _read(spark: SparkSession, sf_dir: str, table: str, fact: bool = False) -> DataFrame:
+    """Read a test table; fact tables (one row group per file here) are
+    spread over the cores before the per-row derivations."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
+    return spread(df) if fact else df
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
@@ -82,7 +86,7 @@ def _wkt_polygon(corners: list[tuple[Column, Column]]) -> Column:
 
 
 def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _read(spark, sf_dir, "lineitem")
+    li = _read(spark, sf_dir, "lineitem", fact=True)
     ok, pk, sk = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
     px = F.when(F.col("l_returnflag") == "R", F.lit(None)).otherwise(_tenth(pk))
     py = F.when(F.col("l_returnflag") == "R", F.lit(None)).otherwise(_tenth(ok))
@@ -220,7 +224,7 @@ def permits_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("PERMIT - NEW CONSTRUCTION")).otherwise(
         F.col("o_orderpriority")
     )
-    df = _read(spark, sf_dir, "orders").select(
+    df = _read(spark, sf_dir, "orders", fact=True).select(
         ok.cast("string").alias("id"),
         F.concat(F.lit("P"), ok.cast("string")).alias("permit_no"),
         F.col("o_orderstatus").alias("permit_status"),
