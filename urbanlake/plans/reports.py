@@ -58,13 +58,13 @@ def _covid_cases(covid: DataFrame) -> DataFrame:
 
 
 def _periods_and_totals(trips: DataFrame, periods: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Distinct periods of all trips and per (period, ZIP) totals, from one scan."""
-    g = endpoint_counts(trips, periods)
-    spine_periods = g.select(*periods)
-    totals = g.where(F.col("zip").isNotNull()).select(
+    """Periods of all trips (also those without a located ZIP) and per
+    (period, ZIP) totals.  The periods come from the period column alone —
+    a one-column Parquet read, de-duplicated map-side by the spine."""
+    totals = endpoint_counts(trips, periods).where(F.col("zip").isNotNull()).select(
         *periods, "zip", union_distinct_total().cast("long").alias("total")
     )
-    return spine_periods, totals
+    return trips.select(*periods), totals
 
 
 # --------------------------------------------------------------------------- 1
