@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from ..session import DEFAULT_BROADCAST_ROWS
+from ..session import DEFAULT_BROADCAST_ROWS, shared_dir
 
 # Upper bound on polygon × cell rows when the cell size is chosen
 # automatically; the cell grows until the index fits.
@@ -182,51 +182,64 @@ def spatial_enrich(
     Trip and permit locations are centroids and repeat heavily, so the exact
     test runs on the *distinct* points only (R2a):
 
-    1. the distinct non-NULL points of all the point columns are computed
-       once (map-side partial aggregation, so a hot location costs one row
-       per task) and materialised with a reliable ``checkpoint()`` under the
-       shared checkpoint directory;
-    2. if there are at most ``max_lookup_rows`` of them, each layer's
-       matches ``(x, y, key…)`` — one row per containing polygon — are
-       computed from that small table and joined back to ``df`` with a
-       broadcast hash join on the coordinates: ``df`` is never shuffled and
-       no per-row ray casting remains;
+    1. one job takes the distinct non-NULL points of all the point columns
+       (map-side partial aggregation, so a hot location costs one row per
+       task), matches them against every layer's index (broadcast cell
+       join + ray casting) and writes the matches ``(layer, x, y, key…)`` —
+       one row per containing polygon — as a table in the shared checkpoint
+       folder, which cuts the lineage;
+    2. if that table has at most ``max_lookup_rows`` rows, each layer's
+       slice is joined back to ``df`` with a broadcast hash join on the exact
+       coordinates: ``df`` is never shuffled and no per-row ray casting
+       remains;
     3. otherwise (points barely repeat) every join runs directly per row as
        a broadcast cell join — still no shuffle of ``df``.
 
     A LEFT equi-join on the exact coordinates returns the same rows as the
     direct spatial join: one per containing polygon, or one with NULLs.
     """
+    spark = df.sparkSession
     point_cols = sorted({pc for pc, _, _ in joins})
     pts = (
         df.select(F.explode(F.array(*[F.col(c) for c in point_cols])).alias("_pt"))
         .where(F.col("_pt").isNotNull())
         .distinct()
     )
-    pts = pts.checkpoint(eager=True)
-    if pts.limit(max_lookup_rows + 1).count() > max_lookup_rows:
+    layers: list[PolygonIndex] = []
+    for _, index, _ in joins:
+        if all(index is not other for other in layers):
+            layers.append(index)
+    parts = []
+    for i, index in enumerate(layers):
+        m = index.join(pts, "_pt", {f"_k{i}_{k}": k for k in index.take}, how="inner")
+        parts.append(
+            m.select(
+                F.lit(i).alias("_layer"),
+                F.col("_pt")["x"].alias("_lk_x"),
+                F.col("_pt")["y"].alias("_lk_y"),
+                *[f"_k{i}_{k}" for k in index.take],
+            )
+        )
+    matches = parts[0]
+    for p in parts[1:]:
+        matches = matches.unionByName(p, allowMissingColumns=True)
+    path = shared_dir(spark, "point-lookup")
+    matches.write.parquet(path)
+    matches = spark.read.parquet(path)
+
+    if matches.limit(max_lookup_rows + 1).count() > max_lookup_rows:
         for pc, index, take in joins:
             df = index.join(df, pc, take)
         return df
 
-    lookups: dict[int, tuple[DataFrame, list[str]]] = {}
-    for _, index, _ in joins:
-        if id(index) in lookups:
-            continue
-        keys = list(index.take)
-        lk = index.join(pts, "_pt", {f"_lk_{k}": k for k in keys}, how="inner")
-        lk = lk.select(F.col("_pt")["x"].alias("_lk_x"), F.col("_pt")["y"].alias("_lk_y"), *[f"_lk_{k}" for k in keys])
-        n = lk.limit(max_lookup_rows + 1).count()
-        lookups[id(index)] = (F.broadcast(lk) if n <= max_lookup_rows else lk, keys)
-
     for pc, index, take in joins:
-        lk, keys = lookups[id(index)]
+        i = next(k for k, other in enumerate(layers) if other is index)
         tag = uuid.uuid4().hex[:8]
-        renamed = lk.select(
+        lk = matches.where(F.col("_layer") == i).select(
             F.col("_lk_x").alias(f"_x_{tag}"),
             F.col("_lk_y").alias(f"_y_{tag}"),
-            *[F.col(f"_lk_{src}").alias(dst) for dst, src in take.items()],
+            *[F.col(f"_k{i}_{src}").alias(dst) for dst, src in take.items()],
         )
         cond = (F.col(pc)["x"] == F.col(f"_x_{tag}")) & (F.col(pc)["y"] == F.col(f"_y_{tag}"))
-        df = df.join(renamed, cond, "left").drop(f"_x_{tag}", f"_y_{tag}")
+        df = df.join(F.broadcast(lk), cond, "left").drop(f"_x_{tag}", f"_y_{tag}")
     return df
