@@ -4,7 +4,7 @@
   cluster, pass your own session to the library functions instead.
 * ``shared_dir`` returns a fresh folder under the cluster's shared
   ``spark.checkpoint.dir``; a local default is set only when it is unset.
-* ``checked_broadcast`` hints a broadcast only after proving a row bound.
+* ``spread`` spreads a source that arrives in too few partitions.
 """
 
 from __future__ import annotations
@@ -14,11 +14,9 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-# Broadcast row bound for dimension-like inputs (polygon cells, ZIPs, areas,
-# health rows).  Above it nothing is hinted and AQE picks the join from
-# runtime sizes.
+# Broadcast row bound for a polygon cell index (see operators.spatial).
+# Above it nothing is hinted and AQE picks the join from runtime sizes.
 DEFAULT_BROADCAST_ROWS = 200_000
 
 
@@ -61,17 +59,6 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if it provably has at most ``max_rows`` rows.
-
-    The proof is ``limit(max_rows + 1).count()``, which stops reading after
-    the bound.  Beyond it the frame is returned unhinted and the planner /
-    AQE choose a shuffle join from measured sizes.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin repartition a source that arrives in fewer partitions than
     the cluster has cores (one large unsplittable file, a single row group).

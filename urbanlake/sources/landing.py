@@ -14,7 +14,6 @@ from WKT and the stored week-start columns.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import calendar as cal
