@@ -21,6 +21,10 @@ from ..sources import landing
 from ..sources.driver_tables import REFERENCE_AIRPORTS
 from . import reports, staging
 
+# What re-running the reference's scripts does to each zone (S21): landing
+# loads and staging inserts append, report tables are created only if absent.
+REFERENCE_RERUN_MODES = {"landing": "append", "staging": "append", "summarised": "ignore", "export": "overwrite"}
+
 LANDING_TABLES = (
     "taxi_trips", "boundaries_zip", "covid_by_zip", "ccvi_by_ca",
     "public_health", "building_permit", "comm_area",
@@ -31,7 +35,7 @@ def run_pipeline(
     spark: SparkSession,
     raw: Mapping[str, DataFrame | str | Callable[[], DataFrame]],
     out_root: str,
-    mode: str = "overwrite",
+    mode: str | Mapping[str, str] = "overwrite",
     airports: Mapping[str, Sequence[int]] = REFERENCE_AIRPORTS,
     csv_out: bool = False,
 ) -> dict[str, str]:
@@ -41,16 +45,19 @@ def run_pipeline(
     (read with the declared schema) or a zero-argument callable.  A source
     that arrives in fewer partitions than the cluster has cores is spread
     before the per-row landing work (``session.spread``).
-    ``mode`` is the writer mode for every table (``ignore`` skips existing
-    tables like ``CREATE TABLE IF NOT EXISTS``; ``append`` duplicates rows
-    like re-running the reference's inserts).
+    ``mode`` is the writer mode for every table, or a ``{zone: mode}``
+    mapping (zones ``landing``, ``staging``, ``summarised``, ``export``):
+    ``ignore`` skips existing tables like ``CREATE TABLE IF NOT EXISTS``,
+    ``append`` duplicates rows like re-running the reference's loads and
+    inserts; ``REFERENCE_RERUN_MODES`` reproduces a re-run of the reference.
     """
     root = out_root.rstrip("/")
     written: dict[str, str] = {}
+    modes = {z: (mode if isinstance(mode, str) else mode.get(z, "overwrite")) for z in ("landing", "staging", "summarised", "export")}
 
     def put(zone: str, name: str, df: DataFrame) -> DataFrame:
         path = f"{root}/{zone}/{name}"
-        sinks.write_table(df, path, mode=mode)
+        sinks.write_table(df, path, mode=modes[zone])
         written[f"{zone}.{name}"] = path
         return sinks.scan_table(spark, path)
 
@@ -86,6 +93,6 @@ def run_pipeline(
         table = put("summarised", name, df)
         if csv_out:
             path = f"{root}/export/{name}"
-            sinks.write_csv(table, path, mode=mode, headers=REPORT_HEADERS[name])
+            sinks.write_csv(table, path, mode=modes["export"], headers=REPORT_HEADERS[name])
             written[f"export.{name}"] = path
     return written
