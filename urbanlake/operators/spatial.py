@@ -142,13 +142,28 @@ class PolygonIndex:
 
 
 def polygon_cells(prepared: DataFrame, cell: float) -> DataFrame:
-    """One row per (polygon, grid cell touched by its bounding box)."""
+    """One row per (polygon, grid cell touched by its bounding box).
+
+    Each row keeps only the edges whose cell-row range contains the cell's
+    row.  An edge crossed by the ray from a point — or containing it — spans
+    the point's ``y``; ``floor(y/g)`` is monotone, so such an edge's row
+    range contains the point's row.  The clipping is therefore exact, and a
+    large polygon tests a few edges per candidate instead of all of them.
+    """
     g = F.lit(float(cell))
-    return (
+    cells = (
         prepared.where(F.col("_xmin").isNotNull())
         .withColumn("_cx", F.explode(F.sequence(F.floor(F.col("_xmin") / g), F.floor(F.col("_xmax") / g))))
         .withColumn("_cy", F.explode(F.sequence(F.floor(F.col("_ymin") / g), F.floor(F.col("_ymax") / g))))
     )
+    row = F.col("_cy")
+    return cells.withColumn(
+        "_edges",
+        F.filter(
+            "_edges",
+            lambda e: (F.floor(F.least(e["y1"], e["y2"]) / g) <= row) & (F.floor(F.greatest(e["y1"], e["y2"]) / g) >= row),
+        ),
+    )
 
 
 def within_left_join(
@@ -176,6 +191,7 @@ def spatial_enrich(
     df: DataFrame,
     joins: list[tuple[str, PolygonIndex, dict[str, str]]],
     max_lookup_rows: int = DEFAULT_LOOKUP_ROWS,
+    dedupe: bool = True,
 ) -> DataFrame:
     """Apply several left spatial joins ``(point column, index, take)`` to ``df``.
 
@@ -197,7 +213,13 @@ def spatial_enrich(
 
     A LEFT equi-join on the exact coordinates returns the same rows as the
     direct spatial join: one per containing polygon, or one with NULLs.
+    ``dedupe=False`` goes straight to step 3, for points known not to repeat
+    (raw GPS), saving the distinct-point pass.
     """
+    if not dedupe:
+        for pc, index, take in joins:
+            df = index.join(df, pc, take)
+        return df
     spark = df.sparkSession
     point_cols = sorted({pc for pc, _, _ in joins})
     pts = (

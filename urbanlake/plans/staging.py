@@ -25,6 +25,7 @@ def stage_trips(
     areas: DataFrame | PolygonIndex,
     zip_cell: float | None = None,
     area_cell: float | None = None,
+    dedupe_points: bool = True,
 ) -> DataFrame:
     """``STG.TRIPS_DATA`` (P1): trips with a located endpoint, the ZIP of each
     endpoint, community areas imputed from the area polygons, labels.
@@ -51,6 +52,7 @@ def stage_trips(
             ("pickup_point", ca, {"_pickup_area_match": "area_numbe"}),
             ("dropoff_point", ca, {"_dropoff_area_match": "area_numbe"}),
         ],
+        dedupe=dedupe_points,
     )
     return t.select(
         "trip_id",
@@ -101,6 +103,7 @@ def stage_permits(
     areas: DataFrame | PolygonIndex,
     zip_cell: float | None = None,
     area_cell: float | None = None,
+    dedupe_points: bool = True,
 ) -> DataFrame:
     """``STG.BUILDING_PERMIT`` (P4): located permits with ZIP and imputed area."""
     p = permits.where(F.col("location_point").isNotNull()).select(
@@ -113,6 +116,7 @@ def stage_permits(
             ("location_point", _index(zip_polygons, "zip", zip_cell), {"zip": "zip"}),
             ("location_point", _index(areas, "area_numbe", area_cell), {"_area_match": "area_numbe"}),
         ],
+        dedupe=dedupe_points,
     )
     return p.select(
         "id",
