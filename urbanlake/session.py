@@ -41,14 +41,23 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str =
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The session's checkpoint dir; set a local one only when none is configured."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
+    """The session's checkpoint dir; set a local one only when none is configured.
+
+    On a cluster ``spark.checkpoint.dir`` names shared storage and is used as
+    is.  Sessions without a SparkContext (Spark Connect) fall back to the
+    configuration value.
+    """
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
         conf = tempfile.mkdtemp(prefix="urbanlake-ckpt-")
+    if sc is None:
+        return conf
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir()
 
@@ -67,5 +76,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     returned as is, so no shuffle is added there.  The partition count is
     known from planning; no job runs.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        n = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): leave as is
+        return df
+    return df.repartition(target) if n < target else df

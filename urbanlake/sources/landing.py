@@ -44,13 +44,16 @@ def csv_options(date_format: str | None = None, multi_line: bool = True) -> dict
     return opts
 
 
-def read_csv(spark: SparkSession, path: str, table: str, multi_line: bool = True) -> DataFrame:
-    """Raw landing table ``table`` (a key of ``schemas.LANDING``) from CSV."""
-    return (
-        spark.read.schema(schemas.LANDING[table])
-        .options(**csv_options(schemas.DATE_FORMATS.get(table), multi_line))
-        .csv(path)
-    )
+def read_csv(
+    spark: SparkSession, path: str, table: str, multi_line: bool = True, date_format: str | None = None
+) -> DataFrame:
+    """Raw landing table ``table`` (a key of ``schemas.LANDING``) from CSV.
+
+    ``date_format`` overrides the table's default text format of its date
+    columns (``schemas.DATE_FORMATS``).
+    """
+    fmt = date_format or schemas.DATE_FORMATS.get(table)
+    return spark.read.schema(schemas.LANDING[table]).options(**csv_options(fmt, multi_line)).csv(path)
 
 
 def land_trips(raw: DataFrame) -> DataFrame:
@@ -97,6 +100,8 @@ LAND = {
 }
 
 
-def load(spark: SparkSession, path: str, table: str, multi_line: bool = True) -> DataFrame:
+def load(
+    spark: SparkSession, path: str, table: str, multi_line: bool = True, date_format: str | None = None
+) -> DataFrame:
     """Read a landing CSV and apply its landing transformation."""
-    return LAND[table](read_csv(spark, path, table, multi_line))
+    return LAND[table](read_csv(spark, path, table, multi_line, date_format))
