@@ -18,7 +18,7 @@ from .. import sinks
 from ..schemas import REPORT_HEADERS
 from ..session import spread
 from ..sources import landing
-from ..sources.driver_tables import REFERENCE_AIRPORTS
+from ..schemas import REFERENCE_AIRPORTS
 from . import reports, staging
 
 # What re-running the reference's scripts does to each zone (S21): landing

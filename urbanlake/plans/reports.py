@@ -38,7 +38,7 @@ from ..operators.aggregates import (
     union_distinct_total,
 )
 from ..operators.spine import dense_spine, zero_filled_left_join
-from ..sources.driver_tables import REFERENCE_AIRPORTS
+from ..schemas import REFERENCE_AIRPORTS
 
 NEW_CONSTRUCTION = "PERMIT - NEW CONSTRUCTION"
 

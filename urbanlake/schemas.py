@@ -140,6 +140,9 @@ DATE_FORMATS = {
     "building_permit": "MM/dd/yyyy",
 }
 
+# Airport names and their pickup ZIP codes.
+REFERENCE_AIRPORTS = {"Midway": [60638], "O'Hare": [60656, 60666]}
+
 # Report column headers as the reference names them.
 REPORT_HEADERS = {
     "rpttbl01": {

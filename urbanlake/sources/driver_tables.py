@@ -42,9 +42,8 @@ from .. import schemas
 from ..functions import calendar as cal
 from ..session import spread
 
-# Airport pickup ZIPs.  The reference uses the city's real ZIP
-# codes; the test polygons are numbered by nation key, so stand-ins are used.
-REFERENCE_AIRPORTS = {"Midway": [60638], "O'Hare": [60656, 60666]}
+# Airport pickup ZIPs of the test polygons, which are numbered
+# by nation key (stand-ins for schemas.REFERENCE_AIRPORTS).
 TEST_AIRPORTS = {"Midway": [3], "O'Hare": [7, 8]}
 
 
