@@ -102,3 +102,20 @@ def test_report6_null_zip_holds_minimum(spark):
     assert sorted(r.permit_id for r in rp.report6_loans(more, health).collect()) == ["b", "c"]
     fewer = permits.where("zip is not null")
     assert sorted(r.permit_id for r in rp.report6_loans(fewer, health).collect()) == ["b", "c"]
+
+
+def test_reports_from_shared_day_table_equal_trip_scans(spark):
+    from test_properties import _random_trips
+
+    t = _random_trips(spark, 6000, 17)
+    z = zips(spark, [0, 1, 2, 3, 4, 5, 6, 7, 9])
+    days = rp.endpoint_days(t)
+    c = covid(spark, [(str(k), dt.date(2024, 1, 7) + dt.timedelta(weeks=w), k + w) for k in range(6) for w in range(4)])
+    key = lambda r: tuple(str(x) for x in r)
+    for a, b in [
+        (rp.report1_severity(t, c, z), rp.report1_severity(None, c, z, days)),
+        (rp.report4a_weekly(t, z), rp.report4a_weekly(None, z, days)),
+        (rp.report4b_monthly(t, z), rp.report4b_monthly(None, z, days)),
+        (rp.report4c_daily(t, z), rp.report4c_daily(None, z, days)),
+    ]:
+        assert [key(r) for r in a.collect()] == [key(r) for r in b.collect()]

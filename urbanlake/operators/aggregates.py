@@ -47,6 +47,23 @@ def endpoint_counts(
     )
 
 
+def rollup_endpoint_counts(counts: DataFrame, periods: dict[str, Column], key: str = "zip") -> DataFrame:
+    """Roll ``endpoint_counts`` up to coarser periods (e.g. day → week, month).
+
+    Counts add up and the presence flags OR together, so rolling up a
+    (day, key) table gives exactly what ``endpoint_counts`` gives on the
+    trips for the coarser period; the ``UNION``-distinct rule is applied
+    afterwards, on the rolled-up counts.  ``periods`` maps output names to
+    expressions over the finer table's columns.
+    """
+    return counts.groupBy(*[e.alias(n) for n, e in periods.items()], key).agg(
+        F.sum("n_pickup").alias("n_pickup"),
+        F.sum("n_dropoff").alias("n_dropoff"),
+        F.max("has_pickup").alias("has_pickup"),
+        F.max("has_dropoff").alias("has_dropoff"),
+    )
+
+
 def union_distinct_total(n_pickup="n_pickup", n_dropoff="n_dropoff") -> Column:
     """``SUM`` over ``UNION`` (distinct) of the two per-role counts.
 

@@ -30,6 +30,7 @@ from ..functions import calendar as cal
 from ..functions.columns import airport_from_zip, score_sum, severity
 from ..operators.aggregates import (
     endpoint_counts,
+    rollup_endpoint_counts,
     forecast_int,
     keep_min,
     quartiles,
@@ -57,18 +58,55 @@ def _covid_cases(covid: DataFrame) -> DataFrame:
     )
 
 
-def _periods_and_totals(trips: DataFrame, periods: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+def endpoint_days(trips: DataFrame) -> DataFrame:
+    """Per (trip day, ZIP) pickup/dropoff counts and presence flags, NULL ZIP
+    included — the one trips scan reports 1 and 4A-4C can share
+    (``run_pipeline`` writes it once and passes it as ``days``)."""
+    return endpoint_counts(trips, ["trip_start"])
+
+
+def _day_periods(kind: str) -> dict:
+    """Period columns of each report as functions of the trip day (as staging derives them)."""
+    d = F.col("trip_start")
+    if kind == "week_label":
+        return {"week_number": cal.week_label(cal.week_start_iso(d))}
+    if kind == "week":
+        return {"week_start": cal.week_start(d), "week_number": cal.week_label(cal.week_start_iso(d))}
+    if kind == "month":
+        return {"month_number": cal.month_label(d)}
+    return {"date": d}
+
+
+def _counts(trips: DataFrame | None, days: DataFrame | None, periods: Sequence[str], kind: str) -> DataFrame:
+    """``endpoint_counts`` per period: from the shared day table when given,
+    else from one scan of the trips."""
+    if days is not None:
+        return rollup_endpoint_counts(days, _day_periods(kind))
+    t = trips.withColumnRenamed("trip_start", "date") if kind == "day" else trips
+    return endpoint_counts(t, periods)
+
+
+def _periods_and_totals(
+    trips: DataFrame | None, periods: Sequence[str], kind: str, days: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Periods of all trips (also those without a located ZIP) and per
-    (period, ZIP) totals.  The periods come from the period column alone —
-    a one-column Parquet read, de-duplicated map-side by the spine."""
-    totals = endpoint_counts(trips, periods).where(F.col("zip").isNotNull()).select(
+    (period, ZIP) totals.  From the trips, the periods come from the period
+    column alone — a one-column Parquet read, de-duplicated map-side by the
+    spine; from the (small) day table, from its rolled-up rows."""
+    g = _counts(trips, days, periods, kind)
+    totals = g.where(F.col("zip").isNotNull()).select(
         *periods, "zip", union_distinct_total().cast("long").alias("total")
     )
-    return trips.select(*periods), totals
+    if days is not None:
+        return g.select(*periods), totals
+    src = trips.withColumnRenamed("trip_start", "date") if kind == "day" else trips
+    return src.select(*periods), totals
 
 
 # --------------------------------------------------------------------------- 1
-def report1_base(trips: DataFrame, covid: DataFrame, zip_polygons: DataFrame) -> DataFrame:
+def report1_base(
+    trips: DataFrame | None, covid: DataFrame, zip_polygons: DataFrame, days: DataFrame | None = None
+) -> DataFrame:
     """Dense (COVID week label × ZIP) totals and cases (steps 1-3 of report 1).
 
     Weeks come from the COVID table (S22) and are matched by label (S3,
@@ -76,7 +114,7 @@ def report1_base(trips: DataFrame, covid: DataFrame, zip_polygons: DataFrame) ->
     week (S17).  ``week_number`` is the bare label here.
     """
     spine = dense_spine(covid.select("week_number"), _zips(zip_polygons))
-    totals = endpoint_counts(trips, ["week_number"])
+    totals = _counts(trips, days, ["week_number"], "week_label")
     totals = totals.where(F.col("zip").isNotNull()).select(
         "week_number", "zip", union_distinct_total().alias("total")
     )
@@ -117,13 +155,16 @@ def report1_quartiles(base: DataFrame):
     return quartiles(base, ["total_trip_count", "weekly_positive_cases"])
 
 
-def report1_severity(trips: DataFrame, covid: DataFrame, zip_polygons: DataFrame) -> DataFrame:
+def report1_severity(
+    trips: DataFrame | None, covid: DataFrame, zip_polygons: DataFrame, days: DataFrame | None = None
+) -> DataFrame:
     """RPTTBL01: weekly trips and cases per ZIP with actual and forecast severity.
 
     Severity ranks each value against the table's quartiles; the forecast
-    ranks the trailing averages against the same quartiles.
+    ranks the trailing averages against the same quartiles.  ``days``
+    (``endpoint_days``) replaces the trips scan when given.
     """
-    base = report1_base(trips, covid, zip_polygons)
+    base = report1_base(trips, covid, zip_polygons, days)
     qs = F.col("_q")
     bounds = (
         qs["q1_total_trip_count"], qs["q3_total_trip_count"],
@@ -235,15 +276,17 @@ def report3_ccvi(trips: DataFrame, ccvi: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------------- 4
 def _traffic_forecast(
-    trips: DataFrame,
+    trips: DataFrame | None,
     zip_polygons: DataFrame,
     periods: Sequence[str],
+    kind: str,
     join_on: str,
     order,
+    days: DataFrame | None = None,
 ) -> DataFrame:
     """Dense (period × ZIP) totals with the average of the three previous
     periods as forecast (exclusive frame, S7-S9)."""
-    spine_periods, totals = _periods_and_totals(trips, periods)
+    spine_periods, totals = _periods_and_totals(trips, periods, kind, days)
     spine = dense_spine(spine_periods, _zips(zip_polygons))
     base = zero_filled_left_join(spine, totals, [(join_on, join_on), ("zip", "zip")], {"total_trip_count": "total"})
     return base.withColumn(
@@ -251,11 +294,11 @@ def _traffic_forecast(
     )
 
 
-def report4a_weekly(trips: DataFrame, zip_polygons: DataFrame) -> DataFrame:
+def report4a_weekly(trips: DataFrame | None, zip_polygons: DataFrame, days: DataFrame | None = None) -> DataFrame:
     """RPTTBL04A: weekly totals per ZIP and forecast; weeks from trips, joined
     on the week start (so the two weeks labelled ``1-1996`` stay apart)."""
     order = [F.col("week_start").desc_nulls_first()]
-    b = _traffic_forecast(trips, zip_polygons, ["week_start", "week_number"], "week_start", order)
+    b = _traffic_forecast(trips, zip_polygons, ["week_start", "week_number"], "week", "week_start", order, days)
     return b.select(
         cal.prefix_label("week_number").alias("week_number"),
         "week_start",
@@ -265,24 +308,23 @@ def report4a_weekly(trips: DataFrame, zip_polygons: DataFrame) -> DataFrame:
     ).orderBy(F.col("week_start").desc_nulls_first(), F.col("zip").asc_nulls_last())
 
 
-def report4b_monthly(trips: DataFrame, zip_polygons: DataFrame) -> DataFrame:
+def report4b_monthly(trips: DataFrame | None, zip_polygons: DataFrame, days: DataFrame | None = None) -> DataFrame:
     """RPTTBL04B: monthly totals per ZIP, ordered by the year and month parsed
     from the label."""
     order = [
         cal.label_part("month_number", 2).desc_nulls_first(),
         cal.label_part("month_number", 1).desc_nulls_first(),
     ]
-    b = _traffic_forecast(trips, zip_polygons, ["month_number"], "month_number", order)
+    b = _traffic_forecast(trips, zip_polygons, ["month_number"], "month", "month_number", order, days)
     return b.select("month_number", "zip", "total_trip_count", "forecasted_trip_count").orderBy(
         *order, F.col("zip").asc_nulls_last()
     )
 
 
-def report4c_daily(trips: DataFrame, zip_polygons: DataFrame) -> DataFrame:
+def report4c_daily(trips: DataFrame | None, zip_polygons: DataFrame, days: DataFrame | None = None) -> DataFrame:
     """RPTTBL04C: daily totals per ZIP and forecast."""
-    t = trips.withColumnRenamed("trip_start", "date")
     order = [F.col("date").desc_nulls_first()]
-    b = _traffic_forecast(t, zip_polygons, ["date"], "date", order)
+    b = _traffic_forecast(trips, zip_polygons, ["date"], "day", "date", order, days)
     return b.select("date", "zip", "total_trip_count", "forecasted_trip_count").orderBy(
         F.col("date").desc_nulls_first(), F.col("zip").asc_nulls_last()
     )
