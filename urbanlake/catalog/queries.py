@@ -20,7 +20,7 @@ from ..functions import calendar as cal
 from ..functions import geo
 from ..functions.columns import airport_from_zip, impute_area, score_sum
 from ..operators import aggregates as agg
-from ..operators.spatial import within_left_join
+from ..operators.spatial import PolygonIndex, within_left_join
 from ..operators.spine import dense_spine, zero_filled_left_join
 from ..plans import reports as rp
 from ..plans import staging as st
@@ -81,9 +81,17 @@ class Inputs:
     def permits(self) -> DataFrame:
         return ld.land_permits(dt.permits_raw(self.spark, self.sf))
 
+    @cached_property
+    def zip_index(self) -> PolygonIndex:
+        return PolygonIndex(self.zips, ["zip"])
+
+    @cached_property
+    def area_index(self) -> PolygonIndex:
+        return PolygonIndex(self.areas, ["area_numbe"])
+
     @cached_property
     def stg_trips(self) -> DataFrame:
-        return st.stage_trips(self.trips, self.zips, self.areas)
+        return st.stage_trips(self.trips, self.zip_index, self.area_index)
 
     @cached_property
     def stg_covid(self) -> DataFrame:
@@ -95,7 +103,7 @@ class Inputs:
 
     @cached_property
     def stg_permits(self) -> DataFrame:
-        return st.stage_permits(self.permits, self.zips, self.areas)
+        return st.stage_permits(self.permits, self.zip_index, self.area_index)
 
     @cached_property
     def stg_health(self) -> DataFrame:
