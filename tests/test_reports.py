@@ -104,18 +104,30 @@ def test_report6_null_zip_holds_minimum(spark):
     assert sorted(r.permit_id for r in rp.report6_loans(fewer, health).collect()) == ["b", "c"]
 
 
-def test_reports_from_shared_day_table_equal_trip_scans(spark):
+def test_reports_from_shared_day_facts_equal_trip_scans(spark):
+    import random
+
     from test_properties import _random_trips
 
     t = _random_trips(spark, 6000, 17)
+    rnd = random.Random(4)
+    # community areas with 0 / NULL and NULL days are in the random trips
+    t = t.withColumn("pickup_community_area", F.when(F.rand(1) < 0.1, None).otherwise((F.rand(2) * 6).cast("int"))) \
+         .withColumn("dropoff_community_area", F.when(F.rand(3) < 0.1, None).otherwise((F.rand(4) * 6).cast("int")))
     z = zips(spark, [0, 1, 2, 3, 4, 5, 6, 7, 9])
-    days = rp.endpoint_days(t)
-    c = covid(spark, [(str(k), dt.date(2024, 1, 7) + dt.timedelta(weeks=w), k + w) for k in range(6) for w in range(4)])
+    airports = {"Midway": [3], "O'Hare": [5, 6]}
+    days = rp.trip_day_facts(t, airports)
+    c = covid(spark, [(str(k), D(2024, 1, 7) + dt.timedelta(weeks=w), k + w + rnd.randrange(3)) for k in range(6) for w in range(4)])
+    ccvi = spark.createDataFrame([(a, "HIGH" if a % 2 else "low") for a in range(1, 9)], "community_area int, ccvi_category string")
     key = lambda r: tuple(str(x) for x in r)
     for a, b in [
         (rp.report1_severity(t, c, z), rp.report1_severity(None, c, z, days)),
+        (rp.report2_airport(t, c, z, airports), rp.report2_airport(None, c, z, airports, days)),
+        (rp.report3_ccvi(t, ccvi), rp.report3_ccvi(None, ccvi, days)),
         (rp.report4a_weekly(t, z), rp.report4a_weekly(None, z, days)),
         (rp.report4b_monthly(t, z), rp.report4b_monthly(None, z, days)),
         (rp.report4c_daily(t, z), rp.report4c_daily(None, z, days)),
     ]:
-        assert [key(r) for r in a.collect()] == [key(r) for r in b.collect()]
+        assert sorted(key(r) for r in a.collect()) == sorted(key(r) for r in b.collect())
+    # NULL-week sides stay apart through the day table too
+    assert rp.area_week_counts_from_days(days).where("week_start is null").count() >= 2

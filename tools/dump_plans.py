@@ -63,11 +63,11 @@ def main() -> None:
     ccvi = put("stg_ccvi", st.stage_ccvi(land["ccvi_by_ca"]))
     health = put("stg_health", st.stage_health(land["public_health"]))
     zips = land["boundaries_zip"]
-    plans["endpoint_days"] = tree(rp.endpoint_days(trips))
-    days = put("endpoint_days", rp.endpoint_days(trips))
+    plans["trip_day_facts"] = tree(rp.trip_day_facts(trips, dt.TEST_AIRPORTS))
+    days = put("trip_day_facts", rp.trip_day_facts(trips, dt.TEST_AIRPORTS))
     plans["report1_severity"] = tree(rp.report1_severity(trips, covid, zips, days))
-    plans["report2_airport"] = tree(rp.report2_airport(trips, covid, zips, dt.TEST_AIRPORTS))
-    plans["report3_ccvi"] = tree(rp.report3_ccvi(trips, ccvi))
+    plans["report2_airport"] = tree(rp.report2_airport(trips, covid, zips, dt.TEST_AIRPORTS, days))
+    plans["report3_ccvi"] = tree(rp.report3_ccvi(trips, ccvi, days))
     plans["report4a_weekly"] = tree(rp.report4a_weekly(trips, zips, days))
     plans["report4b_monthly"] = tree(rp.report4b_monthly(trips, zips, days))
     plans["report4c_daily"] = tree(rp.report4c_daily(trips, zips, days))
@@ -80,8 +80,8 @@ def main() -> None:
         "",
         f"Physical plans (`explain('formatted')`, tree part) at `{sf}`, generated by",
         "`tools/dump_plans.py`. Staging reads the landed Parquet tables; reports read",
-        "the staged tables, as `run_pipeline` does (reports 1 and 4A-4C read the",
-        "shared (day × ZIP) endpoint table). Plans are AQE initial plans:",
+        "the staged tables, as `run_pipeline` does (the six trip reports read the",
+        "shared per-day counts, `trip_day_facts`). Plans are AQE initial plans:",
         "at run time AQE may turn shuffled joins into broadcasts and coalesce",
         "partitions. Staging's distinct-point lookup is already materialised",
         "(its job runs while the plan is built).",

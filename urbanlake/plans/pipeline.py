@@ -6,8 +6,8 @@ next zone reads the written tables back: lineage is cut at every zone, so a
 lost executor recomputes at most one zone's tasks, and the staged trips —
 read by six reports — are computed once.  Any failure raises and stops the
 run, as the reference's runner stops at the first failing script.
-Reports 1 and 4A-4C share one scan of the staged trips through a small
-(day × ZIP) endpoint-count table (``reports.endpoint_days``).
+All six trip reports share one scan of the staged trips through a small
+table of per-day counts (``reports.trip_day_facts``).
 """
 
 from __future__ import annotations
@@ -81,13 +81,13 @@ def run_pipeline(
     permits = put("staging", "building_permit", staging.stage_permits(land["building_permit"], zips, areas))
     health = put("staging", "public_health", staging.stage_health(land["public_health"]))
 
-    # One scan of the staged trips feeds reports 1 and 4A-4C: per (day, ZIP)
-    # endpoint counts, rolled up by each report.
-    days = put("staging", "trip_endpoint_days", reports.endpoint_days(trips))
+    # One scan of the staged trips feeds all six trip reports: small per-day
+    # counts, rolled up by each report.
+    days = put("staging", "trip_day_facts", reports.trip_day_facts(trips, airports))
     out = {
         "rpttbl01": reports.report1_severity(trips, covid, zips, days),
-        "rpttbl02": reports.report2_airport(trips, covid, zips, airports),
-        "rpttbl03": reports.report3_ccvi(trips, ccvi),
+        "rpttbl02": reports.report2_airport(trips, covid, zips, airports, days),
+        "rpttbl03": reports.report3_ccvi(trips, ccvi, days),
         "rpttbl04a": reports.report4a_weekly(trips, zips, days),
         "rpttbl04b": reports.report4b_monthly(trips, zips, days),
         "rpttbl04c": reports.report4c_daily(trips, zips, days),

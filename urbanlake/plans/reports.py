@@ -58,11 +58,59 @@ def _covid_cases(covid: DataFrame) -> DataFrame:
     )
 
 
-def endpoint_days(trips: DataFrame) -> DataFrame:
-    """Per (trip day, ZIP) pickup/dropoff counts and presence flags, NULL ZIP
-    included — the one trips scan reports 1 and 4A-4C can share
-    (``run_pipeline`` writes it once and passes it as ``days``)."""
-    return endpoint_counts(trips, ["trip_start"])
+def trip_day_facts(trips: DataFrame, airports: Mapping[str, Sequence[int]] = REFERENCE_AIRPORTS) -> DataFrame:
+    """One scan of the staged trips → small per-day counts for all six trip reports.
+
+    Rows are tagged by ``kind``:
+
+    * ``zip`` — (day, ZIP) pickup / dropoff counts, NULL ZIP included
+      (reports 1, 4A-4C);
+    * ``area`` — (day, community area) from / to counts, areas 0 and NULL
+      dropped (report 3);
+    * ``air`` — (day, airport pickup ZIP, dropoff ZIP) counts (report 2).
+
+    ``n_a`` / ``n_b`` count non-NULL trip ids of the first / second role and
+    ``has_a`` / ``has_b`` say whether the role has rows at all.  Counts add
+    and flags OR, so every weekly / monthly figure rolls up exactly from the
+    day; ``run_pipeline`` writes this table once (days × keys: small) and
+    the reports read it instead of the trips.
+    """
+    air = [z for zs in airports.values() for z in zs]
+    is_air = F.col("pickup_zip").isin(air) & F.col("dropoff_zip").isNotNull()
+    null_int = F.lit(None).cast("int")
+
+    def part(kind, k1, k2, first):
+        return F.struct(kind.alias("kind"), k1.cast("int").alias("k1"), k2.alias("k2"), F.lit(first).alias("_a"))
+
+    parts = F.array(
+        part(F.lit("zip"), F.col("pickup_zip"), null_int, True),
+        part(F.lit("zip"), F.col("dropoff_zip"), null_int, False),
+        part(F.lit("area"), F.col("pickup_community_area"), null_int, True),
+        part(F.lit("area"), F.col("dropoff_community_area"), null_int, False),
+        part(F.when(is_air, F.lit("air")), F.col("pickup_zip"), F.col("dropoff_zip").cast("int"), True),
+    )
+    ex = trips.select("trip_start", "trip_id", F.inline(parts)).where(
+        F.col("kind").isNotNull() & ((F.col("kind") != "area") | (F.col("k1") != 0))
+    )
+    tid = F.col("trip_id")
+    return ex.groupBy("kind", "trip_start", "k1", "k2").agg(
+        F.count(F.when(F.col("_a"), tid)).alias("n_a"),
+        F.count(F.when(~F.col("_a"), tid)).alias("n_b"),
+        F.max(F.col("_a")).alias("has_a"),
+        F.max(~F.col("_a")).alias("has_b"),
+    )
+
+
+def endpoint_days(facts: DataFrame) -> DataFrame:
+    """The ``zip`` rows of ``trip_day_facts`` as ``endpoint_counts`` by day."""
+    return facts.where(F.col("kind") == "zip").select(
+        "trip_start",
+        F.col("k1").alias("zip"),
+        F.col("n_a").alias("n_pickup"),
+        F.col("n_b").alias("n_dropoff"),
+        F.col("has_a").alias("has_pickup"),
+        F.col("has_b").alias("has_dropoff"),
+    )
 
 
 def _day_periods(kind: str) -> dict:
@@ -78,10 +126,10 @@ def _day_periods(kind: str) -> dict:
 
 
 def _counts(trips: DataFrame | None, days: DataFrame | None, periods: Sequence[str], kind: str) -> DataFrame:
-    """``endpoint_counts`` per period: from the shared day table when given,
-    else from one scan of the trips."""
+    """``endpoint_counts`` per period: from the shared ``trip_day_facts`` when
+    given (``days``), else from one scan of the trips."""
     if days is not None:
-        return rollup_endpoint_counts(days, _day_periods(kind))
+        return rollup_endpoint_counts(endpoint_days(days), _day_periods(kind))
     t = trips.withColumnRenamed("trip_start", "date") if kind == "day" else trips
     return endpoint_counts(t, periods)
 
@@ -162,7 +210,7 @@ def report1_severity(
 
     Severity ranks each value against the table's quartiles; the forecast
     ranks the trailing averages against the same quartiles.  ``days``
-    (``endpoint_days``) replaces the trips scan when given.
+    (``trip_day_facts``) replaces the trips scan when given.
     """
     base = report1_base(trips, covid, zip_polygons, days)
     qs = F.col("_q")
@@ -193,17 +241,30 @@ def report2_airport(
     covid: DataFrame,
     zip_polygons: DataFrame,
     airports: Mapping[str, Sequence[int]] = REFERENCE_AIRPORTS,
+    days: DataFrame | None = None,
 ) -> DataFrame:
-    """RPTTBL02: weekly trips from each airport to each ZIP, with that ZIP's cases."""
-    spark = trips.sparkSession
+    """RPTTBL02: weekly trips from each airport to each ZIP, with that ZIP's cases.
+
+    ``days`` (``trip_day_facts`` built with the same ``airports``) replaces
+    the trips scan when given.
+    """
+    spark = covid.sparkSession
     spine = dense_spine(covid.select("week_number"), airport_dim(spark, airports), _zips(zip_polygons))
-    all_zips = [z for zs in airports.values() for z in zs]
-    from_airport = trips.where(F.col("pickup_zip").isin(all_zips) & F.col("dropoff_zip").isNotNull())
-    counts = from_airport.groupBy(
-        "week_number",
-        airport_from_zip("pickup_zip", airports).alias("from_airport"),
-        F.col("dropoff_zip").alias("to_zip"),
-    ).agg(F.count("trip_id").alias("n"))
+    if days is not None:
+        air = days.where(F.col("kind") == "air")
+        counts = air.groupBy(
+            cal.week_label(cal.week_start_iso("trip_start")).alias("week_number"),
+            airport_from_zip("k1", airports).alias("from_airport"),
+            F.col("k2").alias("to_zip"),
+        ).agg(F.sum("n_a").alias("n"))
+    else:
+        all_zips = [z for zs in airports.values() for z in zs]
+        from_airport = trips.where(F.col("pickup_zip").isin(all_zips) & F.col("dropoff_zip").isNotNull())
+        counts = from_airport.groupBy(
+            "week_number",
+            airport_from_zip("pickup_zip", airports).alias("from_airport"),
+            F.col("dropoff_zip").alias("to_zip"),
+        ).agg(F.count("trip_id").alias("n"))
     base = zero_filled_left_join(
         spine,
         counts,
@@ -255,14 +316,44 @@ def area_week_counts(trips: DataFrame) -> DataFrame:
     ).drop("_null_week_side")
 
 
-def report3_ccvi(trips: DataFrame, ccvi: DataFrame) -> DataFrame:
+def area_week_counts_from_days(days: DataFrame) -> DataFrame:
+    """``area_week_counts`` rolled up from the ``area`` rows of ``trip_day_facts``.
+
+    Each day row becomes one row per side present (``has_*``), so a NULL
+    week keeps its from and to sides apart exactly as on the trips.
+    """
+    a = days.where(F.col("kind") == "area")
+    sides = a.select(
+        cal.week_start("trip_start").alias("week_start"),
+        cal.week_label(cal.week_start_iso("trip_start")).alias("week_number"),
+        F.col("k1").alias("community_area"),
+        F.inline(
+            F.array(
+                F.struct(F.lit(True).alias("_from"), F.col("n_a").alias("_n"), F.col("has_a").alias("_has")),
+                F.struct(F.lit(False).alias("_from"), F.col("n_b").alias("_n"), F.col("has_b").alias("_has")),
+            )
+        ),
+    ).where(F.col("_has"))
+    return sides.groupBy(
+        "week_start",
+        "week_number",
+        "community_area",
+        F.when(F.col("week_start").isNull(), F.col("_from")).alias("_null_week_side"),
+    ).agg(
+        F.coalesce(F.sum(F.when(F.col("_from"), F.col("_n"))), F.lit(0)).cast("long").alias("trips_from"),
+        F.coalesce(F.sum(F.when(~F.col("_from"), F.col("_n"))), F.lit(0)).cast("long").alias("trips_to"),
+    ).drop("_null_week_side")
+
+
+def report3_ccvi(trips: DataFrame | None, ccvi: DataFrame, days: DataFrame | None = None) -> DataFrame:
     """RPTTBL03: weekly trips from/to community areas whose category is HIGH.
 
     A HIGH area without trips still gives one row, with NULL week and counts
-    (S24).
+    (S24).  ``days`` (``trip_day_facts``) replaces the trips scan when given.
     """
     high = ccvi.where(F.upper(F.col("ccvi_category")) == "HIGH")
-    counts = area_week_counts(trips).withColumnRenamed("community_area", "_area")
+    weekly = area_week_counts_from_days(days) if days is not None else area_week_counts(trips)
+    counts = weekly.withColumnRenamed("community_area", "_area")
     out = high.join(counts, high["community_area"] == counts["_area"], "left").select(
         cal.prefix_label("week_number").alias("week_number"),
         "week_start",
