@@ -160,15 +160,42 @@ def _polygon_stats(df: DataFrame, layer: str, id_col: str) -> DataFrame:
 
 
 _POLYGON_STATS_SQL = """
-SELECT 'zip' AS layer, CAST(n_nationkey AS INTEGER) AS polygon_id, 1 AS n_rings, 7 AS n_vertices,
-       CAST(n_nationkey % 5 AS DOUBLE) AS xmin, CAST(n_nationkey % 5 + 1 AS DOUBLE) AS xmax,
-       CAST(n_nationkey // 5 AS DOUBLE) AS ymin, CAST(n_nationkey // 5 + 1 AS DOUBLE) AS ymax,
-       0.75::DOUBLE AS area
-FROM nation
-UNION ALL
-SELECT 'area', CAST(r_regionkey + 1 AS INTEGER), 1, 5,
-       CAST(r_regionkey AS DOUBLE), CAST(r_regionkey + 1 AS DOUBLE), 0.0::DOUBLE, 5.0::DOUBLE, 5.0::DOUBLE
-FROM region"""
+SELECT s.*, CAST(coalesce(c.n, 0) AS BIGINT) AS n_pickups
+FROM (
+    SELECT 'zip' AS layer, CAST(n_nationkey AS INTEGER) AS polygon_id, 1 AS n_rings, 7 AS n_vertices,
+           CAST(n_nationkey % 5 AS DOUBLE) AS xmin, CAST(n_nationkey % 5 + 1 AS DOUBLE) AS xmax,
+           CAST(n_nationkey // 5 AS DOUBLE) AS ymin, CAST(n_nationkey // 5 + 1 AS DOUBLE) AS ymax,
+           0.75::DOUBLE AS area
+    FROM nation
+    UNION ALL
+    SELECT 'area', CAST(r_regionkey + 1 AS INTEGER), 1, 5,
+           CAST(r_regionkey AS DOUBLE), CAST(r_regionkey + 1 AS DOUBLE), 0.0::DOUBLE, 5.0::DOUBLE, 5.0::DOUBLE
+    FROM region) s
+LEFT JOIN (
+    SELECT 'zip' AS layer, h.zip AS id, count(*) AS n FROM trips_l t JOIN zip_hit h ON h.x = t.px AND h.y = t.py GROUP BY 2
+    UNION ALL
+    SELECT 'area', h.area, count(*) FROM trips_l t JOIN area_hit h ON h.x = t.px AND h.y = t.py GROUP BY 2) c
+  ON s.layer = c.layer AND s.polygon_id = c.id"""
+
+
+def _polygon_stats_with_pickups(spark, sf, zips: DataFrame, areas: DataFrame) -> DataFrame:
+    """Geometry statistics of each parsed polygon and the number of trip
+    pickups inside it (the parsed rings drive a within-join over all trips)."""
+    pickups = dt.trips_raw(spark, sf).select(geo.parse_point("pickup_location").alias("p")).where(F.col("p").isNotNull())
+    out = None
+    for layer, df, key in (("zip", zips, "zip"), ("area", areas, "area_numbe")):
+        stats = _polygon_stats(df, layer, key)
+        inside = (
+            within_left_join(pickups, "p", df, {"_id": key})
+            .where(F.col("_id").isNotNull())
+            .groupBy(F.col("_id").cast("int").alias("_id"))
+            .agg(F.count(F.lit(1)).alias("_n"))
+        )
+        part = stats.join(inside, stats["polygon_id"] == inside["_id"], "left").select(
+            *stats.columns, F.coalesce(F.col("_n"), F.lit(0)).cast("long").alias("n_pickups")
+        )
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @query("src_csv_polygons", _POLYGON_STATS_SQL)
@@ -178,7 +205,7 @@ def src_csv_polygons(spark, sf):
     sinks.write_csv(dt.area_polygons_raw(spark, sf), apath)
     z = ld.load(spark, zpath, "boundaries_zip")
     a = ld.load(spark, apath, "comm_area")
-    return _polygon_stats(z, "zip", "zip").unionByName(_polygon_stats(a, "area", "area_numbe"))
+    return _polygon_stats_with_pickups(spark, sf, z, a)
 
 
 @query("src_csv_covid", """
@@ -240,7 +267,7 @@ def geo_parse_point(spark, sf):
 @query("geo_parse_multipolygon", _POLYGON_STATS_SQL)
 def geo_parse_multipolygon(spark, sf):
     i = Inputs(spark, sf)
-    return _polygon_stats(i.zips, "zip", "zip").unionByName(_polygon_stats(i.areas, "area", "area_numbe"))
+    return _polygon_stats_with_pickups(spark, sf, i.zips, i.areas)
 
 
 _R1_COLS = "week_start, week_number, zip, total_trip_count, weekly_positive_cases, severity, forecasted_severity"
