@@ -9,7 +9,8 @@ tables.  Each adapter returns a frame in the *raw* landing schema
 a real file, so the same ``land_*`` → ``stage_*`` → report code runs on both.
 
 Derivations (FIXTURES.md §3, with the permit location added so permits go
-through the spatial join like the reference's):
+through the spatial join like the reference's, and whole part / supplier
+tables instead of key ranges):
 
 * trips ← lineitem: id ``l_orderkey*10 + l_linenumber`` (not unique), date
   ``l_shipdate``, areas ``l_partkey % 78`` / ``l_suppkey % 78`` (0 = missing),
@@ -22,19 +23,18 @@ through the spatial join like the reference's):
 * COVID weekly ← orders ⋈ customer: ZIP = ``c_nationkey``, Sunday week of
   ``o_orderdate``, cases = finished orders, tests = all orders, weeks
   without a finished order absent;
-* vulnerability ← part 1..100: ``' CA '`` rows for 1..90, ``ZIP`` rows
-  above; category by ``p_partkey % 3``: ``HIGH``, ``High``, ``low``;
-* public health ← supplier 1..77: unemployment ``s_acctbal/1000``,
-  poverty ``s_nationkey``, income ``s_acctbal*10``;
+* vulnerability ← part: area ``p_partkey``, a ``' CA '`` row except every
+  tenth part, which is a ``ZIP`` row; category by ``p_partkey % 3``:
+  ``HIGH``, ``High``, ``low``;
+* public health ← supplier: area ``s_suppkey``, unemployment
+  ``s_acctbal/1000``, poverty ``s_nationkey``, income ``s_acctbal*10``;
 * permits ← orders: ``1-URGENT`` is new construction, unpaid fee
   ``o_totalprice``, area ``o_custkey % 78`` (0 = missing), location
   ``((o_custkey%50)/10+.05, (o_orderkey*3%50)/10+.05)`` unless status ``P``.
 
-The key ranges of the health (1..77) and vulnerability (1..100) adapters
-are part of the data model, not a size cut: the city has 77 community
-areas, one health row each, and the vulnerability rows for areas 78-90 and
-the ZIP rows exercise the never-matching and filtered-out cases.  Every
-trip (lineitem), order and customer row is used.
+Every row of every table is used.  Trip and permit areas are 0..77, so
+vulnerability and health rows for larger area numbers never match — the
+"area without trips" and unmatched-join cases.
 """
 
 from __future__ import annotations
@@ -191,10 +191,9 @@ def covid_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ccvi_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = F.col("p_partkey")
-    is_ca = p <= 90
+    is_ca = p % 10 != 0
     df = (
         _read(spark, sf_dir, "part")
-        .where(p.between(1, 100))
         .select(
             F.when(is_ca, F.lit(" CA ")).otherwise(F.lit("ZIP")).alias("geography_type"),
             F.when(is_ca, p.cast("string")).otherwise((p + 60600).cast("string")).alias("area_or_zip"),
@@ -209,7 +208,6 @@ def ccvi_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def health_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = (
         _read(spark, sf_dir, "supplier")
-        .where(F.col("s_suppkey").between(1, 77))
         .select(
             F.col("s_suppkey").alias("community_area"),
             F.col("s_name").alias("community_area_name"),
