@@ -395,8 +395,7 @@ def cal_month_label(spark, sf):
 
 @query("impute_area", """
 SELECT t.trip_id, t.pickup_community_area AS own_area, h.area AS matched_area,
-       CASE WHEN t.pickup_community_area IS NOT NULL AND t.pickup_community_area <> 0
-            THEN t.pickup_community_area ELSE h.area END AS community_area
+       coalesce(nullif(t.pickup_community_area, 0), h.area) AS community_area
 FROM trips_l t LEFT JOIN area_hit h ON h.x = t.px AND h.y = t.py""")
 def impute_area_q(spark, sf):
     i = Inputs(spark, sf)
