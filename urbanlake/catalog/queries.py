@@ -900,10 +900,10 @@ _PIPELINE_TABLES = [
 ]
 
 
-@query("pipeline_end_to_end", "\nUNION ALL\n".join(
+@query("zones_end_to_end", "\nUNION ALL\n".join(
     f"SELECT '{name}' AS table_name, count(*) AS n_rows FROM {cte}" for name, cte in _PIPELINE_TABLES
 ))
-def pipeline_end_to_end(spark, sf):
+def zones_end_to_end(spark, sf):
     raw = {name: (lambda fn=fn: fn(spark, sf)) for name, fn in dt.RAW.items()}
     written = run_pipeline(spark, raw, shared_dir(spark, "pipeline"), airports=AIRPORTS)
     parts = [
