@@ -100,3 +100,22 @@ def test_json_documents_shape(spark):
     doc = json.loads(sinks.json_documents(df, {"week_start": "Week Start", "zip": "ZIP"}).first()[0])
     assert list(doc) == sorted(doc)
     assert doc == {"Week Start": "2024-01-07T00:00:00Z", "ZIP": 3, "severity": None, "fee": "1.50"}
+
+
+def test_command_line_runs_the_zones_from_csv(spark, scratch):
+    import json as _json
+
+    from urbanlake.__main__ import main
+    from urbanlake.sources import driver_tables as dt
+
+    sf = "/root/testdata/sf0.001"
+    src = scratch("src")
+    for table, fn in dt.RAW.items():
+        sinks.write_csv(fn(spark, sf), f"{src}/{table}", date_format=schemas.DATE_FORMATS.get(table))
+    out = scratch("warehouse")
+    airports = _json.dumps(dt.TEST_AIRPORTS)
+    written = main(["--src-dir", src, "--out", out, "--csv-out", "--airports", airports], spark)
+    assert sinks.scan_table(spark, written["summarised.rpttbl01"]).count() == 6501
+    assert "export.rpttbl06" in written
+    with pytest.raises(SystemExit):
+        main(["--out", out], spark)
