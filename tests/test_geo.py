@@ -141,3 +141,20 @@ def test_many_vertex_polygons_with_holes_small_cells(spark):
     b = sorted((r.i, r.pid or -1) for r in loop.select("i", "pid").collect())
     assert a == b
     assert {pid for _, pid in a} == {-1, 1, 2}
+
+
+def test_index_over_cell_budget_still_exact(spark):
+    # more polygons than the cell budget: the cell size stops growing, the index
+    # is not broadcast (row bound exceeded), and the shuffled cell join is exact
+    p = polys(spark, _triangles(80, 7))
+    idx = PolygonIndex(p, ["pid"], max_cells=50, max_broadcast_rows=100)
+    assert not idx.broadcast and idx.cells.count() <= idx.max_rows
+    rnd = random.Random(2)
+    pts = spark.createDataFrame(
+        [(i, rnd.uniform(0, 10), rnd.uniform(0, 10)) for i in range(1500)], "i int, x double, y double"
+    ).select("i", geo.point("x", "y").alias("pt"))
+    edges = p.select("pid", geo.ring_edges("geom").alias("edges"))
+    loop = pts.join(F.broadcast(edges), geo.point_within(F.col("pt"), F.col("edges")), "left")
+    a = sorted((r.i, r.pid or -1) for r in idx.join(pts, "pt", {"pid": "pid"}).select("i", "pid").collect())
+    b = sorted((r.i, r.pid or -1) for r in loop.select("i", "pid").collect())
+    assert a == b

@@ -101,10 +101,15 @@ class PolygonIndex:
         elif not n:
             g = 1.0
         else:
+            # every polygon touches at least one cell (the bound counts 4), so
+            # a layer with many polygons cannot go below a few rows each
+            target = max(max_cells, 8 * n)
             g = stats["med"] or 1.0
-            if cells(g) > max_cells:
-                g *= math.sqrt(cells(g) / max_cells)
-                while cells(g) > max_cells:
+            if cells(g) > target:
+                g *= math.sqrt(cells(g) / target)
+                for _ in range(64):
+                    if cells(g) <= target:
+                        break
                     g *= 1.5
         self.cell = g
         self.n_polygons = n
