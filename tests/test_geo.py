@@ -158,3 +158,9 @@ def test_index_over_cell_budget_still_exact(spark):
     a = sorted((r.i, r.pid or -1) for r in idx.join(pts, "pt", {"pid": "pid"}).select("i", "pid").collect())
     b = sorted((r.i, r.pid or -1) for r in loop.select("i", "pid").collect())
     assert a == b
+
+
+def test_explicit_cell_size_far_too_small_is_refused(spark):
+    p = polys(spark, [(1, "POLYGON ((0 0, 1000 0, 1000 1000, 0 0))")])
+    with pytest.raises(ValueError):
+        PolygonIndex(p, ["pid"], cell_size=0.01)

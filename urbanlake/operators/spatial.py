@@ -36,6 +36,9 @@ from ..session import DEFAULT_BROADCAST_ROWS, shared_dir
 # Upper bound on polygon × cell rows when the cell size is chosen
 # automatically; the cell grows until the index fits.
 DEFAULT_MAX_CELLS = 100_000
+# Hard limit on the cell index (an explicit cell size far below the polygon
+# extents would explode every polygon into a huge number of cells).
+MAX_INDEX_ROWS = 50_000_000
 # Byte bound of a broadcast cell index (rows × edge-array size).
 DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
 # Row bound of a broadcast distinct-point lookup (x, y, key: ~40 bytes a row).
@@ -114,6 +117,11 @@ class PolygonIndex:
         self.cell = g
         self.n_polygons = n
         self.max_rows = int(cells(g)) if n else 0
+        if self.max_rows > MAX_INDEX_ROWS:
+            raise ValueError(
+                f"cell size {g} would split {n} polygons into up to {self.max_rows} cells; "
+                "choose a larger cell_size or let it be chosen automatically"
+            )
         # cell row: two longs, four doubles, the edge array, the carried columns
         row_bytes = 64 + 32 * int(row["max_edges"] or 0) if n else 0
         self.broadcast = self.max_rows <= max_broadcast_rows and self.max_rows * row_bytes <= max_broadcast_bytes
