@@ -119,3 +119,16 @@ def test_command_line_runs_the_zones_from_csv(spark, scratch):
     assert "export.rpttbl06" in written
     with pytest.raises(SystemExit):
         main(["--out", out], spark)
+
+
+def test_stage_covid_keeps_known_located_zips(spark):
+    # ZIP not NULL, not 'Unknown', location not NULL; labels from the week start
+    raw = spark.createDataFrame(
+        [("60601", D(2024, 1, 7), 3, "POINT (1 2)"), ("Unknown", D(2024, 1, 7), 4, None),
+         (None, D(2024, 1, 7), 5, "POINT (1 2)"), ("60602", D(2024, 1, 7), 6, None),
+         ("60603", D(2023, 12, 31), 7, "POINT (3 4)")],
+        "zip_code string, week_start date, cases_weekly int, zip_location string",
+    )
+    staged = st.stage_covid(ld.land_covid(raw))
+    got = sorted((r.zip_code, r.cases_weekly, r.week_number, r.month_number) for r in staged.collect())
+    assert got == [("60601", 3, "2-2024", "1-2024"), ("60603", 7, "1-2024", "12-2023")]

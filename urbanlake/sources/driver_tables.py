@@ -20,9 +20,11 @@ tables instead of key ranges):
 * ZIP polygons ← nation: a notched unit cell (6 corners) at
   ``(n%5, n/5)``, ZIP = ``n_nationkey``;
 * community areas ← region: strip ``[r, r+1] × [0, 5]``, area = ``r+1``;
-* COVID weekly ← orders ⋈ customer: ZIP = ``c_nationkey``, Sunday week of
-  ``o_orderdate``, cases = finished orders, tests = all orders, weeks
-  without a finished order absent;
+* COVID weekly ← orders ⋈ customer: ZIP = ``c_nationkey`` (``Unknown``,
+  without a location, for customers with ``c_custkey % 97 = 0``; ZIP 13 has
+  no location in January weeks), Sunday week of ``o_orderdate``, cases =
+  finished orders, tests = all orders, weeks without a finished order
+  absent;
 * vulnerability ← part: area ``p_partkey``, a ``' CA '`` row except every
   tenth part, which is a ``ZIP`` row; category by ``p_partkey % 3``:
   ``HIGH``, ``High``, ``low``;
@@ -160,20 +162,27 @@ def covid_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _read(spark, sf_dir, "orders").select(
         "o_custkey", "o_orderstatus", cal.week_start(F.col("o_orderdate").cast("date")).alias("week_start")
     )
-    cust = _read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    cust = _read(spark, sf_dir, "customer").select(
+        "c_custkey",
+        F.when(F.col("c_custkey") % 97 == 0, F.lit("Unknown"))
+        .otherwise(F.col("c_nationkey").cast("string"))
+        .alias("zip_code"),
+    )
     g = (
         orders.join(cust, orders.o_custkey == cust.c_custkey)
-        .groupBy("c_nationkey", "week_start")
+        .groupBy("zip_code", "week_start")
         .agg(
             F.sum(F.when(F.col("o_orderstatus") == "F", 1).otherwise(0)).alias("cases_weekly"),
             F.count(F.lit(1)).alias("tests_weekly"),
         )
         .where(F.col("cases_weekly") > 0)
     )
-    run = Window.partitionBy("c_nationkey").orderBy("week_start").rowsBetween(Window.unboundedPreceding, 0)
-    n = F.col("c_nationkey")
+    run = Window.partitionBy("zip_code").orderBy("week_start").rowsBetween(Window.unboundedPreceding, 0)
+    known = F.col("zip_code") != "Unknown"
+    n = F.when(known, F.col("zip_code")).cast("int")
+    located = known & ~((n == 13) & (F.month("week_start") == 1))
     df = g.select(
-        n.cast("string").alias("zip_code"),
+        "zip_code",
         F.weekofyear(cal.iso_from_week_start("week_start")).alias("week_number"),
         "week_start",
         F.date_add("week_start", 6).alias("week_end"),
@@ -181,10 +190,11 @@ def covid_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("cases_weekly").over(run).alias("cases_cumulative"),
         "tests_weekly",
         F.sum("tests_weekly").over(run).alias("tests_cumulative"),
-        F.concat(n.cast("string"), F.lit("-"), F.date_format("week_start", "yyyyMMdd")).alias("row_id"),
-        _wkt_point((n % 5).cast("double") + F.lit(0.25), F.floor(n / 5).cast("double") + F.lit(0.25)).alias(
-            "zip_location"
-        ),
+        F.concat(F.col("zip_code"), F.lit("-"), F.date_format("week_start", "yyyyMMdd")).alias("row_id"),
+        F.when(
+            located,
+            _wkt_point((n % 5).cast("double") + F.lit(0.25), F.floor(n / 5).cast("double") + F.lit(0.25)),
+        ).alias("zip_location"),
     )
     return conform(df, schemas.COVID_BY_ZIP)
 
