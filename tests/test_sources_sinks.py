@@ -129,6 +129,8 @@ def test_stage_covid_keeps_known_located_zips(spark):
          ("60603", D(2023, 12, 31), 7, "POINT (3 4)")],
         "zip_code string, week_start date, cases_weekly int, zip_location string",
     )
-    staged = st.stage_covid(ld.land_covid(raw))
+    from urbanlake.sources.driver_tables import conform
+
+    staged = st.stage_covid(ld.land_covid(conform(raw, schemas.COVID_BY_ZIP)))
     got = sorted((r.zip_code, r.cases_weekly, r.week_number, r.month_number) for r in staged.collect())
     assert got == [("60601", 3, "2-2024", "1-2024"), ("60603", 7, "1-2024", "12-2023")]
