@@ -41,3 +41,15 @@ def covid(spark, data):
 
 def by(df, *cols):
     return df.orderBy(*[F.col(c).asc_nulls_first() for c in cols]).collect()
+
+
+def oracle_count(key, sf):
+    """Row count of a registered query's DuckDB oracle on the test tables in ``sf``."""
+    import duckdb
+
+    from urbanlake.catalog.queries import ORACLE
+
+    con = duckdb.connect()
+    for t in "region nation customer supplier part orders lineitem".split():
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
+    return con.execute(f"SELECT count(*) FROM ({ORACLE[key]})").fetchone()[0]

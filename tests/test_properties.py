@@ -9,7 +9,7 @@ from urbanlake.operators.spine import dense_spine
 from urbanlake.plans.pipeline import REFERENCE_RERUN_MODES, run_pipeline
 from urbanlake.sources import driver_tables as dt_tables
 
-from helpers import staged_trips
+from helpers import oracle_count, staged_trips
 
 
 def _random_trips(spark, n, seed):
@@ -67,7 +67,7 @@ def test_pipeline_modes(spark, scratch):
     root = scratch("pipe")
     w = run_pipeline(spark, raw, root, airports=dt_tables.TEST_AIRPORTS, csv_out=True)
     n = {k: sinks.scan_table(spark, p).count() for k, p in w.items() if not k.startswith("export.")}
-    assert n["summarised.rpttbl01"] == 6501  # sf0.001 figure of the FIXTURES dry run
+    assert n["summarised.rpttbl01"] == oracle_count("report1_severity", sf)
     assert sinks.read_report_csv(spark, w["export.rpttbl04c"], "rpttbl04c").count() == n["summarised.rpttbl04c"]
 
     run_pipeline(spark, raw, root, mode="ignore", airports=dt_tables.TEST_AIRPORTS)
