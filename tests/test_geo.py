@@ -164,3 +164,22 @@ def test_explicit_cell_size_far_too_small_is_refused(spark):
     p = polys(spark, [(1, "POLYGON ((0 0, 1000 0, 1000 1000, 0 0))")])
     with pytest.raises(ValueError):
         PolygonIndex(p, ["pid"], cell_size=0.01)
+
+
+def test_hot_location_holding_a_third_of_rows(spark):
+    # one location (an airport centroid) holds a third of all points
+    p = polys(spark, _triangles(30, 12) + [(99, "POLYGON ((4 4, 6 4, 6 6, 4 6, 4 4))")])
+    rnd = random.Random(13)
+    rows = [(i, 5.0, 5.0) if i % 3 == 0 else (i, round(rnd.uniform(0, 10), 2), round(rnd.uniform(0, 10), 2)) for i in range(9000)]
+    df = spark.createDataFrame(rows, "i int, x double, y double").select("i", geo.point("x", "y").alias("pt"))
+    idx = PolygonIndex(p, ["pid"])
+    key = lambda r: (r.i, r.pid if r.pid is not None else -1)
+    direct = sorted(map(key, idx.join(df, "pt", {"pid": "pid"}).select("i", "pid").collect()))
+    looked_up = sorted(map(key, spatial_enrich(df, [("pt", idx, {"pid": "pid"})]).select("i", "pid").collect()))
+    assert looked_up == direct
+    # the same with the cell index too big to broadcast: shuffled cell join with a hot cell
+    big = PolygonIndex(p, ["pid"], max_broadcast_rows=1)
+    assert not big.broadcast
+    shuffled = sorted(map(key, big.join(df, "pt", {"pid": "pid"}).select("i", "pid").collect()))
+    assert shuffled == direct
+    assert sum(1 for i, pid in direct if i % 3 == 0 and pid == 99) == 3000
