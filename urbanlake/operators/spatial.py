@@ -212,9 +212,11 @@ def spatial_enrich(
     test runs on the *distinct* points only (R2a):
 
     1. one job takes the distinct non-NULL points of all the point columns
-       (map-side partial aggregation, so a hot location costs one row per
-       task), matches them against every layer's index (broadcast cell
-       join + ray casting) and writes the matches ``(layer, x, y, key…)`` —
+       once (map-side partial aggregation, so a hot location costs one row
+       per task), matches them against all layers' indexes in a single
+       cell equi-join (each point tagged with its cell in every layer; ray
+       casting as the residual condition) and writes the matches
+       ``(layer, x, y, key…)`` —
        one row per containing polygon — as a table in the shared checkpoint
        folder, which cuts the lineage;
     2. if that table has at most ``max_lookup_rows`` rows, each layer's
@@ -244,20 +246,48 @@ def spatial_enrich(
     for _, index, _ in joins:
         if all(index is not other for other in layers):
             layers.append(index)
-    parts = []
+    # One join for all layers: each distinct point carries its cell in every
+    # layer (layers keep their own cell size), matched against the union of
+    # the layers' cell indexes on (layer, cell).  The distinct points are
+    # therefore computed once, whatever the number of layers.
+    cells = None
     for i, index in enumerate(layers):
-        m = index.join(pts, "_pt", {f"_k{i}_{k}": k for k in index.take}, how="inner")
-        parts.append(
-            m.select(
-                F.lit(i).alias("_layer"),
-                F.col("_pt")["x"].alias("_lk_x"),
-                F.col("_pt")["y"].alias("_lk_y"),
-                *[f"_k{i}_{k}" for k in index.take],
-            )
+        c = index.cells.select(
+            F.lit(i).alias("_layer"),
+            *[F.col(k).alias(f"_k{i}_{k}") for k in index.take],
+            "_edges", "_xmin", "_xmax", "_ymin", "_ymax", "_cx", "_cy",
         )
-    matches = parts[0]
-    for p in parts[1:]:
-        matches = matches.unionByName(p, allowMissingColumns=True)
+        cells = c if cells is None else cells.unionByName(c, allowMissingColumns=True)
+    if all(ix.broadcast for ix in layers) and sum(ix.max_rows for ix in layers) <= DEFAULT_BROADCAST_ROWS:
+        cells = F.broadcast(cells)
+    px, py = F.col("_pt")["x"], F.col("_pt")["y"]
+    tagged = pts.select(
+        "_pt",
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(i).alias("_p_layer"),
+                        F.floor(px / F.lit(ix.cell)).alias("_pcx"),
+                        F.floor(py / F.lit(ix.cell)).alias("_pcy"),
+                    )
+                    for i, ix in enumerate(layers)
+                ]
+            )
+        ),
+    )
+    cond = (
+        (F.col("_p_layer") == F.col("_layer"))
+        & (F.col("_pcx") == F.col("_cx"))
+        & (F.col("_pcy") == F.col("_cy"))
+        & px.between(F.col("_xmin"), F.col("_xmax"))
+        & py.between(F.col("_ymin"), F.col("_ymax"))
+        & geo.within(px, py, F.col("_edges"))
+    )
+    key_cols = [f"_k{i}_{k}" for i, ix in enumerate(layers) for k in ix.take]
+    matches = tagged.join(cells, cond, "inner").select(
+        "_layer", px.alias("_lk_x"), py.alias("_lk_y"), *key_cols
+    )
     path = shared_dir(spark, "point-lookup")
     matches.write.parquet(path)
     matches = spark.read.parquet(path)
