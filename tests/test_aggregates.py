@@ -107,3 +107,11 @@ def test_keep_min_ties_and_null_group(spark):
     assert sorted(r.zip if r.zip is not None else -1 for r in agg.keep_min(df, "n").collect()) == [-1]
     df2 = df.where("zip is not null")
     assert sorted(r.zip for r in agg.keep_min(df2, "n").collect()) == [2, 3]
+
+
+def test_quartiles_approx_option(spark):
+    df = spark.range(1, 1001).selectExpr("cast(id as long) as v")
+    exact = df.limit(1).select(agg.quartiles(df, ["v"]).alias("q")).first().q
+    approx = df.limit(1).select(agg.quartiles(df, ["v"], approx=True).alias("q")).first().q
+    assert (exact.q1_v, exact.q3_v) == (250.75, 750.25)
+    assert abs(approx.q1_v - 250.75) <= 1 and abs(approx.q3_v - 750.25) <= 1

@@ -101,16 +101,24 @@ def endpoint_totals(trips: DataFrame, period_cols: Sequence[str], **kw) -> DataF
     )
 
 
-def quartiles(df: DataFrame, cols: Sequence[str]) -> Column:
-    """Scalar-subquery struct of exact ``PERCENTILE_CONT`` 0.25 / 0.75 per column.
+def quartiles(df: DataFrame, cols: Sequence[str], approx: bool = False, accuracy: int = 10_000) -> Column:
+    """Scalar-subquery struct of ``PERCENTILE_CONT`` 0.25 / 0.75 per column.
 
     Fields are ``q1_<col>`` and ``q3_<col>``.  It is a one-row subquery,
-    broadcast into the expression: no join and no driver collect.
+    broadcast into the expression: no join and no driver collect.  Exact
+    percentiles keep a value → count map per task, so memory follows the
+    number of distinct values; ``approx=True`` switches to
+    ``percentile_approx`` (bounded memory, returns observed values instead
+    of interpolating) for very high cardinality.
     """
     fields = []
     for c in cols:
-        fields.append(F.percentile(F.col(c), 0.25).alias(f"q1_{c}"))
-        fields.append(F.percentile(F.col(c), 0.75).alias(f"q3_{c}"))
+        if approx:
+            fields.append(F.percentile_approx(F.col(c), 0.25, accuracy).cast("double").alias(f"q1_{c}"))
+            fields.append(F.percentile_approx(F.col(c), 0.75, accuracy).cast("double").alias(f"q3_{c}"))
+        else:
+            fields.append(F.percentile(F.col(c), 0.25).alias(f"q1_{c}"))
+            fields.append(F.percentile(F.col(c), 0.75).alias(f"q3_{c}"))
     return df.select(F.struct(*fields)).scalar()
 
 

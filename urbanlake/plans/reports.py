@@ -198,13 +198,17 @@ def report1_averages(base: DataFrame) -> DataFrame:
     )
 
 
-def report1_quartiles(base: DataFrame):
+def report1_quartiles(base: DataFrame, approx: bool = False):
     """Scalar struct ``q1_/q3_`` of total trips and cases over the whole table."""
-    return quartiles(base, ["total_trip_count", "weekly_positive_cases"])
+    return quartiles(base, ["total_trip_count", "weekly_positive_cases"], approx=approx)
 
 
 def report1_severity(
-    trips: DataFrame | None, covid: DataFrame, zip_polygons: DataFrame, days: DataFrame | None = None
+    trips: DataFrame | None,
+    covid: DataFrame,
+    zip_polygons: DataFrame,
+    days: DataFrame | None = None,
+    approx_quartiles: bool = False,
 ) -> DataFrame:
     """RPTTBL01: weekly trips and cases per ZIP with actual and forecast severity.
 
@@ -218,7 +222,7 @@ def report1_severity(
         qs["q1_total_trip_count"], qs["q3_total_trip_count"],
         qs["q1_weekly_positive_cases"], qs["q3_weekly_positive_cases"],
     )
-    out = report1_averages(base).withColumn("_q", report1_quartiles(base)).select(
+    out = report1_averages(base).withColumn("_q", report1_quartiles(base, approx_quartiles)).select(
         "week_start",
         cal.prefix_label("week_number").alias("week_number"),
         "zip",
