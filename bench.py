@@ -1,26 +1,30 @@
-"""Benchmark: staging + the eight reports, plus the R1/R2/R3 rewrites on/off.
+"""Benchmark of the zone pipeline, plus the R1/R2/R3 rewrites on and off.
 
 Environment: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS``
-(default all cores).  Prints ONE JSON line:
-
-    {"metric": "pipeline_seconds", "value": N, "unit": "sec", "queries": {...}, "sf": ...}
-
-``value`` is the sum of the headline timings in ``queries`` (landing from
-CSV, polygon indexes, staging, the shared per-day counts, eight reports;
-each report is the best of two runs, as they only read).  ``rows_per_s``
-holds throughput figures and ``detail_sec`` the per-table landing times,
-the report-1 update step and the rewrite on/off comparisons.  The source CSV files are generated from
-the test tables first and not timed.  Every report is executed completely with the
-``noop`` sink (no collect).  Landing and staged tables are written as
-Parquet under a fresh folder of the session's checkpoint directory and read
-back, as the pipeline does.  The whole sequence first runs once, untimed,
-on ``BENCH_WARMUP_DIR`` (default sf0.001) so JVM start-up and JIT warm-up
-are not counted.  Extra keys:
-``*_rows_per_s`` for reports 1 and 4C, ``report1_update_rows_per_s`` (the
-severity/forecast step alone over the written report-1 base — the step the
-reference's only published figure times), and ``r1_off`` / ``r2_off`` /
-``r3_off`` — the same work without the distinct-below-cross-join, grid
-spatial join and one-scan endpoint rewrites, next to ``*_on`` timings.
+(default all cores), ``BENCH_WARMUP_DIR`` (default sf0.001).  Prints ONE
+JSON line::
+
+    {"metric": "pipeline_seconds", "value": N, "unit": "sec",
+     "queries": {...}, "sf": ..., "rows_per_s": {...}, "detail_sec": {...}}
+
+* ``queries`` — the headline steps, in seconds; ``value`` is their sum:
+  landing of the seven source CSV files (typed read, geometry parsing,
+  Parquet write), the two polygon indexes, trip and permit staging, the
+  shared per-day counts, and the eight reports (each executed completely
+  with the ``noop`` sink, best of two runs since they only read).
+* ``rows_per_s`` — report 1 and 4C throughput, and
+  ``report1_update_rows_per_s``: the severity / forecast step alone over
+  the written report-1 base, the step the reference's only published figure
+  times.
+* ``detail_sec`` — per-table landing, the report-1 update step, and each
+  rewrite off vs on (``r1``: distinct below the cross join, ``r2``: grid
+  spatial join vs nested loop, ``r3``: one-scan endpoint totals).
+
+The source CSV files are first generated from the test tables (untimed).
+Every table is written as Parquet under a fresh folder of the session's
+checkpoint directory and read back, as ``run_pipeline`` does.  The whole
+sequence runs once, untimed, on the warm-up folder first, so JVM start-up
+and JIT compilation are not counted.
 """
 
 from __future__ import annotations
@@ -37,6 +41,9 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from urbanlake import schemas, sinks  # noqa: E402
 from urbanlake.functions import geo  # noqa: E402
+from urbanlake.functions.columns import severity  # noqa: E402
+from urbanlake.operators.aggregates import endpoint_totals  # noqa: E402
+from urbanlake.operators.spatial import PolygonIndex, within_left_join  # noqa: E402
 from urbanlake.plans import reports as rp  # noqa: E402
 from urbanlake.plans import staging as st  # noqa: E402
 from urbanlake.session import get_spark, shared_dir, spread  # noqa: E402
@@ -108,8 +115,6 @@ def measure(spark, sf_dir: str) -> tuple[dict[str, float], float]:
     q["land_all"] = t_land
     trips, zips, areas = landed["taxi_trips"], landed["boundaries_zip"], landed["comm_area"]
 
-    from urbanlake.operators.spatial import PolygonIndex
-
     (zi, ai), q["index_polygons"] = timed(lambda: (PolygonIndex(zips, ["zip"]), PolygonIndex(areas, ["area_numbe"])))
     stg_trips, q["stage_trips"] = timed(lambda: put("staging/trips", st.stage_trips(trips, zi, ai)))
     stg_permits, q["stage_permits"] = timed(lambda: put("staging/permits", st.stage_permits(landed["building_permit"], zi, ai)))
@@ -145,8 +150,6 @@ def measure(spark, sf_dir: str) -> tuple[dict[str, float], float]:
     nb = base.count()
 
     def update():
-        from urbanlake.functions.columns import severity
-
         qs = F.col("_q")
         bounds = (qs["q1_total_trip_count"], qs["q3_total_trip_count"],
                   qs["q1_weekly_positive_cases"], qs["q3_weekly_positive_cases"])
@@ -182,8 +185,6 @@ def measure(spark, sf_dir: str) -> tuple[dict[str, float], float]:
         run(pts.join(F.broadcast(prepared), cond, "left"))
 
     _, q["r2_off_pickup_zip"] = timed(r2_off)
-    from urbanlake.operators.spatial import within_left_join
-
     _, q["r2_on_pickup_zip"] = timed(
         lambda: run(within_left_join(trips.select("trip_id", "pickup_point"), "pickup_point", zips, {"zip": "zip"}))
     )
@@ -199,8 +200,6 @@ def measure(spark, sf_dir: str) -> tuple[dict[str, float], float]:
         run(p.union(d).distinct().groupBy("trip_start", "zip").agg(F.sum("n").alias("total")))
 
     _, q["r3_off_day_totals"] = timed(r3_off)
-    from urbanlake.operators.aggregates import endpoint_totals
-
     _, q["r3_on_day_totals"] = timed(lambda: run(endpoint_totals(stg_trips, ["trip_start"])))
 
     return q, headline
