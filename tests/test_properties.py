@@ -78,3 +78,12 @@ def test_pipeline_modes(spark, scratch):
     assert after["landing.public_health"] == 2 * n["landing.public_health"]
     assert after["staging.public_health"] == 3 * n["staging.public_health"]
     assert all(after[k] == n[k] for k in n if k.startswith("summarised."))
+
+
+def test_spread_only_touches_few_partition_sources(spark):
+    from urbanlake.session import spread
+
+    one = spark.range(1000).coalesce(1)
+    assert spread(one, min_partitions=8).rdd.getNumPartitions() == 8
+    many = spark.range(1000).repartition(40)
+    assert spread(many, min_partitions=200) is many  # many-file source left alone

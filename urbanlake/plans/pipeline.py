@@ -45,8 +45,8 @@ def run_pipeline(
 
     ``raw`` gives each landing table as a raw-schema DataFrame, a CSV path
     (read with the declared schema) or a zero-argument callable.  A source
-    that arrives in fewer partitions than the cluster has cores is spread
-    before the per-row landing work (``session.spread``).
+    that arrives in only a handful of partitions is spread before the
+    per-row landing work (``session.spread``).
     ``mode`` is the writer mode for every table, or a ``{zone: mode}``
     mapping (zones ``landing``, ``staging``, ``summarised``, ``export``):
     ``ignore`` skips existing tables like ``CREATE TABLE IF NOT EXISTS``,

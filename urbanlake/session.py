@@ -68,17 +68,19 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition a source that arrives in fewer partitions than
-    the cluster has cores (one large unsplittable file, a single row group).
+def spread(df: DataFrame, min_partitions: int | None = None, max_source_partitions: int = 16) -> DataFrame:
+    """Round-robin repartition a source that arrives in only a handful of
+    partitions (one large unsplittable file, a single row group).
 
-    Already parallel input (the normal case at scale: many files) is
-    returned as is, so no shuffle is added there.  The partition count is
-    known from planning; no job runs.
+    Only sources with at most ``max_source_partitions`` partitions — and
+    fewer than the cluster has cores — are spread.  A large many-file
+    source (the normal case at scale) is returned as is: shuffling terabytes
+    just to add parallelism would cost more than it gains.  The partition
+    count is known from planning; no job runs.
     """
     try:
         target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
         n = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): leave as is
         return df
-    return df.repartition(target) if n < target else df
+    return df.repartition(target) if n < target and n <= max_source_partitions else df
