@@ -73,7 +73,9 @@ def trip_day_facts(trips: DataFrame, airports: Mapping[str, Sequence[int]] = REF
     ``has_a`` / ``has_b`` say whether the role has rows at all.  Counts add
     and flags OR, so every weekly / monthly figure rolls up exactly from the
     day; ``run_pipeline`` writes this table once (days × keys: small) and
-    the reports read it instead of the trips.
+    the reports read it instead of the trips.  The reports re-derive week
+    start and labels from the day with the same functions staging uses, so
+    the staged table is expected to come from ``stage_trips``.
     """
     air = [z for zs in airports.values() for z in zs]
     is_air = F.col("pickup_zip").isin(air) & F.col("dropoff_zip").isNotNull()
