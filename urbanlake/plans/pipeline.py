@@ -17,6 +17,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import sinks
+from ..operators.spatial import PolygonIndex
 from ..schemas import REPORT_HEADERS
 from ..session import spread
 from ..sources import landing
@@ -40,6 +41,7 @@ def run_pipeline(
     mode: str | Mapping[str, str] = "overwrite",
     airports: Mapping[str, Sequence[int]] = REFERENCE_AIRPORTS,
     csv_out: bool = False,
+    dedupe_points: bool = True,
 ) -> dict[str, str]:
     """Run every zone; return ``{table: path}`` of everything written.
 
@@ -52,6 +54,8 @@ def run_pipeline(
     ``ignore`` skips existing tables like ``CREATE TABLE IF NOT EXISTS``,
     ``append`` duplicates rows like re-running the reference's loads and
     inserts; ``REFERENCE_RERUN_MODES`` reproduces a re-run of the reference.
+    ``dedupe_points=False`` skips the distinct-point lookup of the spatial
+    joins, for locations that do not repeat (raw GPS).
     """
     root = out_root.rstrip("/")
     written: dict[str, str] = {}
@@ -75,10 +79,15 @@ def run_pipeline(
         land[table] = put("landing", table, landing.LAND[table](spread(df)))
 
     zips, areas = land["boundaries_zip"], land["comm_area"]
-    trips = put("staging", "trips_data", staging.stage_trips(land["taxi_trips"], zips, areas))
+    zip_index = PolygonIndex(zips, ["zip"])
+    area_index = PolygonIndex(areas, ["area_numbe"])
+    trips = put("staging", "trips_data", staging.stage_trips(land["taxi_trips"], zip_index, area_index, dedupe_points=dedupe_points))
     covid = put("staging", "covid_by_zip", staging.stage_covid(land["covid_by_zip"]))
     ccvi = put("staging", "ccvi_by_ca", staging.stage_ccvi(land["ccvi_by_ca"]))
-    permits = put("staging", "building_permit", staging.stage_permits(land["building_permit"], zips, areas))
+    permits = put(
+        "staging", "building_permit",
+        staging.stage_permits(land["building_permit"], zip_index, area_index, dedupe_points=dedupe_points),
+    )
     health = put("staging", "public_health", staging.stage_health(land["public_health"]))
 
     # One scan of the staged trips feeds all six trip reports: small per-day

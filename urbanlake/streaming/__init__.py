@@ -37,6 +37,7 @@ def stage_trips_stream(
     available_now: bool = True,
     multi_line: bool = True,
     max_files_per_trigger: int | None = None,
+    dedupe_points: bool = True,
 ) -> StreamingQuery:
     """Start a streaming query staging every new trip CSV under ``landing_dir``.
 
@@ -54,7 +55,8 @@ def stage_trips_stream(
     root = out_path.rstrip("/")
 
     def stage_batch(batch: DataFrame, batch_id: int) -> None:
-        sinks.write_table(stage_trips(batch, zi, ai), f"{root}/batch_id={batch_id}", mode="overwrite")
+        staged = stage_trips(batch, zi, ai, dedupe_points=dedupe_points)
+        sinks.write_table(staged, f"{root}/batch_id={batch_id}", mode="overwrite")
 
     writer = (
         landed.writeStream.foreachBatch(stage_batch)
