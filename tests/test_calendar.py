@@ -41,3 +41,23 @@ def test_label_parts(spark):
     df = spark.createDataFrame([("12-2020",), (None,)], "l string")
     got = df.select(cal.label_part("l", 1), cal.label_part("l", 2)).collect()
     assert [tuple(r) for r in got] == [(12, 2020), (None, None)]
+
+
+def test_calendar_matches_python_on_random_dates(spark):
+    import random
+
+    rnd = random.Random(31)
+    start = D(1990, 1, 1)
+    days = [start + dt.timedelta(days=rnd.randrange(365 * 45)) for _ in range(3000)]
+    df = spark.createDataFrame([(d,) for d in days], "d date").select(
+        "d",
+        cal.week_start("d").alias("ws"),
+        cal.week_label(cal.week_start_iso("d")).alias("wl"),
+        cal.month_label("d").alias("ml"),
+    )
+    for r in df.collect():
+        sunday = r.d - dt.timedelta(days=(r.d.weekday() + 1) % 7)  # weekday(): Monday = 0
+        monday = sunday + dt.timedelta(days=1)
+        assert r.ws == sunday
+        assert r.wl == f"{monday.isocalendar()[1]}-{monday.year}"
+        assert r.ml == f"{r.d.month}-{r.d.year}"
