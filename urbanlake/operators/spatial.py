@@ -205,6 +205,7 @@ def spatial_enrich(
     joins: list[tuple[str, PolygonIndex, dict[str, str]]],
     max_lookup_rows: int = DEFAULT_LOOKUP_ROWS,
     dedupe: bool = True,
+    lookup_path: str | None = None,
 ) -> DataFrame:
     """Apply several left spatial joins ``(point column, index, take)`` to ``df``.
 
@@ -229,7 +230,9 @@ def spatial_enrich(
     A LEFT equi-join on the exact coordinates returns the same rows as the
     direct spatial join: one per containing polygon, or one with NULLs.
     ``dedupe=False`` goes straight to step 3, for points known not to repeat
-    (raw GPS), saving the distinct-point pass.
+    (raw GPS), saving the distinct-point pass.  ``lookup_path`` names where
+    the lookup is written (overwritten); by default a fresh folder under the
+    shared checkpoint directory.
     """
     if not dedupe:
         for pc, index, take in joins:
@@ -288,8 +291,8 @@ def spatial_enrich(
     matches = tagged.join(cells, cond, "inner").select(
         "_layer", px.alias("_lk_x"), py.alias("_lk_y"), *key_cols
     )
-    path = shared_dir(spark, "point-lookup")
-    matches.write.parquet(path)
+    path = lookup_path or shared_dir(spark, "point-lookup")
+    matches.write.mode("overwrite").parquet(path)
     matches = spark.read.parquet(path)
 
     if matches.limit(max_lookup_rows + 1).count() > max_lookup_rows:

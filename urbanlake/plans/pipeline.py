@@ -81,12 +81,21 @@ def run_pipeline(
     zips, areas = land["boundaries_zip"], land["comm_area"]
     zip_index = PolygonIndex(zips, ["zip"])
     area_index = PolygonIndex(areas, ["area_numbe"])
-    trips = put("staging", "trips_data", staging.stage_trips(land["taxi_trips"], zip_index, area_index, dedupe_points=dedupe_points))
+    trips = put(
+        "staging", "trips_data",
+        staging.stage_trips(
+            land["taxi_trips"], zip_index, area_index,
+            dedupe_points=dedupe_points, lookup_path=f"{root}/staging/_point_lookup_trips",
+        ),
+    )
     covid = put("staging", "covid_by_zip", staging.stage_covid(land["covid_by_zip"]))
     ccvi = put("staging", "ccvi_by_ca", staging.stage_ccvi(land["ccvi_by_ca"]))
     permits = put(
         "staging", "building_permit",
-        staging.stage_permits(land["building_permit"], zip_index, area_index, dedupe_points=dedupe_points),
+        staging.stage_permits(
+            land["building_permit"], zip_index, area_index,
+            dedupe_points=dedupe_points, lookup_path=f"{root}/staging/_point_lookup_permits",
+        ),
     )
     health = put("staging", "public_health", staging.stage_health(land["public_health"]))
 

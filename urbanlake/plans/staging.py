@@ -26,6 +26,7 @@ def stage_trips(
     zip_cell: float | None = None,
     area_cell: float | None = None,
     dedupe_points: bool = True,
+    lookup_path: str | None = None,
 ) -> DataFrame:
     """``STG.TRIPS_DATA`` (P1): trips with a located endpoint, the ZIP of each
     endpoint, community areas imputed from the area polygons, labels.
@@ -53,6 +54,7 @@ def stage_trips(
             ("dropoff_point", ca, {"_dropoff_area_match": "area_numbe"}),
         ],
         dedupe=dedupe_points,
+        lookup_path=lookup_path,
     )
     return t.select(
         "trip_id",
@@ -104,6 +106,7 @@ def stage_permits(
     zip_cell: float | None = None,
     area_cell: float | None = None,
     dedupe_points: bool = True,
+    lookup_path: str | None = None,
 ) -> DataFrame:
     """``STG.BUILDING_PERMIT`` (P4): located permits with ZIP and imputed area."""
     p = permits.where(F.col("location_point").isNotNull()).select(
@@ -117,6 +120,7 @@ def stage_permits(
             ("location_point", _index(areas, "area_numbe", area_cell), {"_area_match": "area_numbe"}),
         ],
         dedupe=dedupe_points,
+        lookup_path=lookup_path,
     )
     return p.select(
         "id",
