@@ -55,7 +55,7 @@ def stage_trips_stream(
     root = out_path.rstrip("/")
 
     def stage_batch(batch: DataFrame, batch_id: int) -> None:
-        staged = stage_trips(batch, zi, ai, dedupe_points=dedupe_points)
+        staged = stage_trips(batch, zi, ai, dedupe_points=dedupe_points, lookup_path=f"{root}/_point_lookup")
         sinks.write_table(staged, f"{root}/batch_id={batch_id}", mode="overwrite")
 
     writer = (
