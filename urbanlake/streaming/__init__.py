@@ -11,18 +11,28 @@ Each micro-batch writes its own ``batch_id=<n>`` folder in ``overwrite``
 mode, so a batch replayed after a failure replaces its own output instead
 of duplicating it; together with the query's checkpoint this gives
 exactly-once output.  The result reads as one table
-(``spark.read.parquet(out_path)``).  No operator is added: this is only a
-different way to run the staging plan.
+(``spark.read.parquet(out_path)``).
+
+With ``facts_path``, every micro-batch also writes its per-day counts
+(``reports.trip_day_facts``) next to it.  Those counts roll up by summing
+and OR-ing, so the rows of all batches together are valid input for the
+six trip reports (``days=spark.read.parquet(facts_path)``): reports can be
+refreshed without rescanning any trips.  No operator is added: this is only
+a different way to run the staging and report plans.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas, sinks
 from ..operators.spatial import PolygonIndex
+from ..plans.reports import trip_day_facts
 from ..plans.staging import stage_trips
+from ..schemas import REFERENCE_AIRPORTS
 from ..session import shared_dir
 from ..sources.landing import csv_options, land_trips
 
@@ -38,6 +48,8 @@ def stage_trips_stream(
     multi_line: bool = True,
     max_files_per_trigger: int | None = None,
     dedupe_points: bool = True,
+    facts_path: str | None = None,
+    airports: Mapping[str, Sequence[int]] = REFERENCE_AIRPORTS,
 ) -> StreamingQuery:
     """Start a streaming query staging every new trip CSV under ``landing_dir``.
 
@@ -57,6 +69,11 @@ def stage_trips_stream(
     def stage_batch(batch: DataFrame, batch_id: int) -> None:
         staged = stage_trips(batch, zi, ai, dedupe_points=dedupe_points, lookup_path=f"{root}/_point_lookup")
         sinks.write_table(staged, f"{root}/batch_id={batch_id}", mode="overwrite")
+        if facts_path:
+            written = sinks.scan_table(spark, f"{root}/batch_id={batch_id}")
+            sinks.write_table(
+                trip_day_facts(written, airports), f"{facts_path.rstrip('/')}/batch_id={batch_id}", mode="overwrite"
+            )
 
     writer = (
         landed.writeStream.foreachBatch(stage_batch)
