@@ -136,3 +136,12 @@ def test_stage_covid_keeps_known_located_zips(spark):
     staged = st.stage_covid(ld.land_covid(conform(raw, schemas.COVID_BY_ZIP)))
     got = sorted((r.zip_code, r.cases_weekly, r.week_number, r.month_number) for r in staged.collect())
     assert got == [("60601", 3, "2-2024", "1-2024"), ("60603", 7, "1-2024", "12-2023")]
+
+
+def test_write_jdbc_reaches_the_driver_lookup(spark):
+    # no database is started: a URL no JDBC driver accepts must fail at the
+    # driver lookup, after the writer options were assembled
+    df = spark.createDataFrame([(1, "a")], "zip int, permit_id string")
+    with pytest.raises(Exception) as err:
+        sinks.write_jdbc(df, "jdbc:urbanlake-none://nowhere/db", "rpttbl06", headers=schemas.REPORT_HEADERS["rpttbl06"])
+    assert "driver" in str(err.value).lower()
