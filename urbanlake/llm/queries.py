@@ -7,8 +7,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanlake.llm import simhash, suffix_dedup
+from urbanlake.llm import packing, secrets, simhash, suffix_dedup, toxicity
 from urbanlake.llm.common import table
+from urbanlake.llm.tokens import tokenizer_json
+from urbanlake.session import shared_dir
+
+WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
+
+
+def tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return tokenizer_json(public_tokenizers.path(name))
+
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -37,3 +48,27 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query("op5_toxicity")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op7_secrets")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ledger = secrets.BlobLedger(spark, shared_dir(spark, "secret-ledger"))
+    found = secrets.scan_texts(table(spark, sf_dir, "documents"), ledger)
+    base = F.filter("found", lambda x: x["place"] < len(secrets.BASE))
+    count = lambda kind: F.size(F.filter("found", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id",
+        *[count(r.kind) for r in secrets.BASE],
+        F.sha2(secrets.spans(base), 256).alias("base_sha256"),
+        secrets.spans(F.col("found")).alias("spans"),
+    )
+
+
+@query("op8_packing")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer(WORD_BPE))
