@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanlake.llm import packing, secrets, simhash, suffix_dedup, toxicity
+from urbanlake.llm import bpe, langid, packing, quality, secrets, simhash, suffix_dedup, topk, toxicity, warc
 from urbanlake.llm.common import table
 from urbanlake.llm.tokens import tokenizer_json
 from urbanlake.session import shared_dir
@@ -72,3 +72,45 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_packing")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer(WORD_BPE))
+
+
+@query("op1_bpe")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = tokenizer(BYTE_BPE)
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), vocabulary)
+    return bpe.decode(encoded, vocabulary).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(bpe.joined_ids(F.col("ids")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query("op3_quality")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op6_warc")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_dir(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    captures = warc.assemble(warc.read_records(spark, path, blocks=False))
+    return captures.select(
+        "response.page_id",
+        "response.payload_bytes",
+        "response.payload_digest",
+        F.col("response.type").alias("record_type"),
+        "response.refers_to",
+    )
+
+
+@query("op9_topk")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
+@query("op10_langid")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
