@@ -17,8 +17,9 @@ Then, for entries whose key met another:
 * entries that share a key but not the whole run: their strings are compared
   one by one through 128-bit digests of the actual 200 bytes, read again from
   the texts.
-Both are plain counts with map-side combining, so a passage that a third of
-all documents share never meets in one task.
+Keys with few different runs are compared side by side in sorted shards; keys
+with many (a passage that a third of all documents share, with different
+surroundings) by a count of their strings that is combined on the map side.
 """
 
 from __future__ import annotations
@@ -219,42 +220,137 @@ class SuffixLevels:
         self.levels, self.met = {}, []
 
 
-def _strings(texts: DataFrame, size: int) -> DataFrame:
-    """Digests of the strings of the runs listed per text (tid, tid2, text, runs)."""
+def _contexts(texts: DataFrame, size: int) -> DataFrame:
+    """The text of each listed run (tid, tid2, text, runs), with its key."""
 
     def body(batch):
-        import numpy as np
         import pyarrow as pa
 
-        out = []
-        tid, tid2 = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        rows, cuts = [], []
         for i, (text, listed) in enumerate(zip(utf8(batch.column(2)), batch.column(3).to_pylist())):
             for r in listed:
-                data = np.frombuffer(text[r["s"] : r["s"] + r["w"] + size], np.uint8)
-                (half,) = _digests(data, HALF)
-                n, over = r["w"] + 1, size - HALF
-                one, two = half[:n], half[over : over + n]
-                out.append((_mix(one, two), _mix(two, one + np.uint64(1)), i, r["s"], r["n"]))
-        if not out:
+                rows.append(i)
+                cuts.append((r["h"], r["n"], r["k"], r["s"], text[r["s"] : r["s"] + r["w"] + size]))
+        if not rows:
             return None
-        count = [len(o[0]) for o in out]
-        rows = np.repeat([o[2] for o in out], count)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.concatenate([o[0] for o in out]).view(np.int64)),
-                pa.array(np.concatenate([o[1] for o in out]).view(np.int64)),
-                pa.array(np.asarray(tid, np.int64)[rows]),
-                pa.array(np.asarray(tid2, np.int32)[rows]),
-                pa.array(np.concatenate([o[3] + np.arange(k) for o, k in zip(out, count)]).astype(np.int32)),
-                pa.array(np.repeat([o[4] for o in out], count).astype(np.int64)),
-            ],
-            names=["x", "y", "tid", "tid2", "at", "n"],
-        )
+        h, n, k, s, run = zip(*cuts)
+        where = pa.array(rows)
+        columns = [pa.array(h, pa.int64()), pa.array(n, pa.int64()), pa.array(k, pa.int64())]
+        columns += [batch.column(0).take(where), batch.column(1).take(where), pa.array(s, pa.int32()), pa.array(run, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, names=["h", "n", "k", "tid", "tid2", "s", "run"])
+
+    return texts.mapInArrow(per_batch(body), "h long, n long, k long, tid long, tid2 int, s int, run binary")
+
+
+def _strings(runs_: list[bytes], size: int):
+    """(run, start in the run, digest, digest) of every string of the runs."""
+    import numpy as np
+
+    length = np.array([len(r) for r in runs_], np.int64)
+    first = np.cumsum(length) - length
+    (half,) = _digests(np.frombuffer(b"".join(runs_), np.uint8), HALF)
+    count = length - size + 1
+    run = np.repeat(np.arange(len(runs_)), count)
+    at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    one, two = half[first[run] + at], half[first[run] + at + size - HALF]
+    return run, at, _mix(one, two), _mix(two, one + np.uint64(1))
+
+
+def _compare(rows, size: int):
+    """Repeated strings among whole key groups (a pyarrow table of contexts):
+    byte ranges of the rows that occur once, neighbours joined."""
+    import numpy as np
+    import pyarrow as pa
+
+    run, at, x, y = _strings(rows["run"].to_pylist(), size)
+    h = rows["h"].to_numpy().view(np.uint64)[run]
+    x = _mix(x, h)
+    order = np.lexsort((y, x))
+    same = (x[order][1:] == x[order][:-1]) & (y[order][1:] == y[order][:-1])
+    again = np.zeros(len(x), bool)
+    again[order[1:][same]] = True
+    again[order[:-1][same]] = True
+    # a string that a repeated run shares occurs at least twice, so it is a partner already
+    again &= (rows["n"].to_numpy() == 1)[run]
+    hits = np.flatnonzero(again)
+    if not len(hits):
+        return None
+    new = np.append(True, (np.diff(hits) != 1) | (np.diff(run[hits]) != 0))
+    first, last = hits[new], hits[np.append(np.flatnonzero(new)[1:], len(hits)) - 1]
+    where, s = pa.array(run[first]), rows["s"].to_numpy()[run[first]]
+    return pa.RecordBatch.from_arrays(
+        [
+            rows["tid"].combine_chunks().take(where),
+            rows["tid2"].combine_chunks().take(where),
+            pa.array((s + at[first]).astype(np.int32)),
+            pa.array((s + at[last] + size).astype(np.int32)),
+        ],
+        names=["tid", "tid2", "at", "end"],
+    )
 
-    return texts.mapInArrow(per_batch(body), "x long, y long, tid long, tid2 int, at int, n long")
+
+#: Runs of different text under one key that a task compares at once; keys
+#: with more are compared by a distributed count of their strings instead.
+GROUP_RUNS = 8192
+
+
+def _grouped(contexts: DataFrame, size: int) -> DataFrame:
+    """Ranges from keys with few runs: key groups side by side in sorted shards."""
+
+    def body(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        held, rows = [], 0
+        for batch in batches:
+            for part in (batch.slice(i, 2048) for i in range(0, batch.num_rows, 2048)):
+                held.append(part)
+                rows += part.num_rows
+                if rows < 2 * 2048:
+                    continue
+                table = pa.Table.from_batches(held)
+                h = table["h"].to_numpy()
+                cut = int(np.searchsorted(h, h[-1]))  # the last key may go on
+                if cut:
+                    out = _compare(table.slice(0, cut), size)
+                    if out is not None:
+                        yield out
+                    held = table.slice(cut).to_batches()
+                    rows = table.num_rows - cut
+        if rows:
+            out = _compare(pa.Table.from_batches(held), size)
+            if out is not None:
+                yield out
+
+    shards = contexts.repartition("h").sortWithinPartitions("h")
+    return shards.mapInArrow(body, "tid long, tid2 int, at int, end int")
+
+
+def _counted(contexts: DataFrame, size: int) -> DataFrame:
+    """Ranges from keys with many runs: strings counted across the cluster."""
+
+    def body(batch):
+        import numpy as np
+        import pyarrow as pa
+
+        run, at, x, y = _strings(batch.column(3).to_pylist(), size)
+        where = pa.array(run)
+        s = batch.column(2).to_numpy()[run]
+        columns = [pa.array(x.view(np.int64)), pa.array(y.view(np.int64)), batch.column(0).take(where), batch.column(1).take(where)]
+        columns += [pa.array((s + at).astype(np.int32)), batch.column(4).take(where)]
+        return pa.RecordBatch.from_arrays(columns, names=["x", "y", "tid", "tid2", "at", "n"])
+
+    rows = contexts.select("tid", "tid2", "s", "run", "n")
+    strings = rows.mapInArrow(
+        lambda batches: (body(b.slice(i, 2048)) for b in batches for i in range(0, b.num_rows, 2048)),
+        "x long, y long, tid long, tid2 int, at int, n long",
+    )
+    again = written(strings.groupBy("x", "y").agg(F.sum("n").alias("n")).where("n > 1").select("x", "y"), "suffix-again")
+    part = strings.where("n = 1").join(again, ["x", "y"], "left_semi")
+    return part.select("tid", "tid2", "at", (F.col("at") + size).alias("end"))
 
 
-def repeated_spans(texts: DataFrame, levels: SuffixLevels) -> DataFrame:
+def repeated_spans(texts: DataFrame, levels: SuffixLevels, group_runs: int = GROUP_RUNS) -> DataFrame:
     """(tid, tid2, spans): for each text with repeats, the byte ranges [at, end)
     of strings that start anywhere else too, as a table."""
     size, spark = levels.size, texts.sparkSession
@@ -271,22 +367,22 @@ def repeated_spans(texts: DataFrame, levels: SuffixLevels) -> DataFrame:
     )
     whole = written(whole.distinct(), "suffix-whole")
     # b. runs that share a key, but differ: compare string by string, one text for each distinct run
-    mixed = classes.groupBy("h").agg(F.count("*").alias("k")).where("k > 1").select("h")
+    mixed = classes.groupBy("h").agg(F.count("*").alias("k")).where("k > 1")
     runs_of = (
-        classes.join(mixed, "h", "left_semi")
+        classes.join(mixed, "h")
         .groupBy("one.tid", "one.tid2")
-        .agg(F.collect_list(F.struct("one.s", "one.w", "n")).alias("runs"))
+        .agg(F.collect_list(F.struct("h", "n", "k", "one.s", "one.w")).alias("runs"))
     )
     runs_of = written(runs_of, "suffix-partial")
-    read = texts.join(runs_of, ["tid", "tid2"]).select("tid", "tid2", "text", "runs")
-    strings = written(_strings(read, size), "suffix-strings")
+    once = texts.groupBy("tid", "tid2").agg(F.any_value("text").alias("text"))
+    read = once.join(runs_of, ["tid", "tid2"]).select("tid", "tid2", "text", "runs")
+    contexts = written(_contexts(read, size), "suffix-contexts")
     release_shuffles(spark)
-    again = strings.groupBy("x", "y").agg(F.sum("n").alias("n")).where("n > 1").select("x", "y")
-    part = strings.where("n = 1").join(written(again, "suffix-again"), ["x", "y"], "left_semi")
-    part = part.select("tid", "tid2", "at", (F.col("at") + size).alias("end"))
+    few, many = contexts.where(F.col("k") <= group_runs), contexts.where(F.col("k") > group_runs)
+    part = written(_grouped(few, size).unionByName(_counted(many, size)), "suffix-part")
     spans = whole.unionByName(part).groupBy("tid", "tid2").agg(F.collect_list(F.struct("at", "end")).alias("spans"))
     spans = written(spans, "suffix-spans")
-    for t in (entries, classes, whole, runs_of, strings):
+    for t in (entries, classes, whole, runs_of, contexts, part):
         drop_table(t)
     release_shuffles(spark)
     return spans
@@ -304,11 +400,11 @@ def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
 
 
 def cut_repeats(
-    docs: DataFrame, text_col: str = "text", size: int = 200, batches: int = 4, carry: tuple[str, ...] = ("doc_id",)
+    docs: DataFrame, text_col: str = "text", size: int = 200, batches: int = 4, carry: tuple[str, ...] = ("doc_id",), group_runs: int = GROUP_RUNS
 ) -> DataFrame:
-    """One row per input row: the ``carry`` columns (renamed by nothing; others
-    are not read), ``kept`` (binary, the bytes left) and ``spans`` (maximal
-    removed byte ranges [at, end)).
+    """One row per input row: the ``carry`` columns (others are not read),
+    ``n_bytes``, ``kept`` (binary, the bytes left), ``spans`` (maximal removed
+    byte ranges [at, end)) and ``kept_text`` (the whole characters left).
 
     Every byte covered by a ``size``-byte string that also starts anywhere
     else, in the same text or another, is removed; strings are judged on the
@@ -327,24 +423,26 @@ def cut_repeats(
     levels = SuffixLevels(size)
     for b in range(batches):
         levels.add(long.where(F.pmod("tid", F.lit(batches)) == b))
-    spans = repeated_spans(long, levels)
+    spans = repeated_spans(long, levels, group_runs)
 
     def body(batch):
         import pyarrow as pa
 
-        kept, cuts = [], []
+        kept, cuts, whole = [], [], []
         for text, listed in zip(utf8(batch.column(1)), batch.column(2).to_pylist()):
             cut = merged(listed)
             ends = [0, *[b for _, b in cut]]
             kept.append(b"".join(text[a:b] for a, b in zip(ends, [*[a for a, _ in cut], len(text)])))
             cuts.append([{"at": a, "end": b} for a, b in cut])
+            # what a cut leaves of a character at its edge is dropped
+            whole.append("".join(text[a:b].decode("utf-8", "ignore") for a, b in zip(ends, [*[a for a, _ in cut], len(text)])))
         kind = pa.list_(pa.struct([("at", pa.int32()), ("end", pa.int32())]))
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([len(t) for t in utf8(batch.column(1))], pa.int64()), pa.array(kept, pa.binary()), pa.array(cuts, kind)],
-            names=["row", "n_bytes", "kept", "spans"],
+            [batch.column(0), pa.array([len(t) for t in utf8(batch.column(1))], pa.int64()), pa.array(kept, pa.binary()), pa.array(cuts, kind), pa.array(whole)],
+            names=["row", "n_bytes", "kept", "spans", "kept_text"],
         )
 
     joined = keyed.join(spans, ["tid", "tid2"], "left").select("row", "text", "spans")
     kind = joined.schema["row"].dataType.simpleString()
-    schema = f"row {kind}, n_bytes long, kept binary, spans array<struct<at:int,end:int>>"
-    return joined.mapInArrow(per_batch(body), schema).select("row.*", "n_bytes", "kept", "spans")
+    schema = f"row {kind}, n_bytes long, kept binary, spans array<struct<at:int,end:int>>, kept_text string"
+    return joined.mapInArrow(per_batch(body), schema).select("row.*", "n_bytes", "kept", "spans", "kept_text")
