@@ -1,14 +1,86 @@
 """Corpus pipeline: every stage calls one operator of ``urbanlake.llm`` over all
-rows that the stage before it kept."""
+rows that the stage before it kept, and its decisions take effect.
+
+Null and empty texts pass every filter stage like any other text; an empty
+table passes through as an empty table with the same columns.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from urbanlake.llm import packing, secrets, simhash, suffix_dedup, toxicity
+from urbanlake.llm.common import table, written
+from urbanlake.llm.queries import WORD_BPE, tokenizer
+from urbanlake.session import shared_dir
+
+
+def _whole_rows(docs: DataFrame) -> DataFrame:
+    """(doc, text): the row as a struct, so that no column of it can clash."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), "text")
+
+
+def _with_text(rows: DataFrame, columns: list[str], text: Column) -> DataFrame:
+    """The documents of ``rows`` with the new text and its length."""
+    new = {"text": text, "n_chars": F.length(text).cast("long")}
+    return rows.select(*[new.get(c, F.col("doc")[c]).alias(c) for c in columns])
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity grammar predicts as toxic go.  It is trained
+    on the labelled rows of the documents given."""
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(_whole_rows(docs), model).where("score < 0.5").select("doc.*")
+
+
+def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays: the one with the
+    group's smallest id.  Of repeated rows one stays; rows without an id stay."""
+    groups = simhash.near_duplicates(docs, shingle=4, radius=4)
+    keep = groups.where("doc_id = component_id").select("doc_id").distinct()
+    named = _whole_rows(docs.where("doc_id IS NOT NULL")).withColumns(
+        {"doc_id": F.col("doc")["doc_id"].cast("long"), "content": F.xxhash64("text")}
+    )
+    first = named.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id", "content"])
+    return first.select("doc.*").unionByName(docs.where("doc_id IS NULL"))
+
+
+def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Bytes of 200-byte strings that occur elsewhere too are cut out of the
+    texts; a character cut in two goes whole.  Documents stay, even if empty."""
+    cut = suffix_dedup.cut_repeats(_whole_rows(docs), size=200, carry=("doc",))
+    return _with_text(cut, docs.columns, F.when(F.col("doc.text").isNotNull(), F.col("kept_text")))
+
+
+def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are masked in the texts; documents stay."""
+    ledger = secrets.BlobLedger(spark, shared_dir(spark, "secret-ledger"))
+    found = secrets.scan_texts(_whole_rows(docs), ledger, carry=("doc",))
+    return _with_text(found, docs.columns, secrets.redact(F.col("doc.text"), F.col("found")))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents, packed into sequences of at most 2048 tokens."""
+    return packing.pack(docs, tokenizer(WORD_BPE))
+
+
+STAGES = [
+    ("toxicity", toxicity_stage),
+    ("simhash_near_dedup", simhash_stage),
+    ("suffix_array_dedup", suffix_stage),
+    ("secret_scans", secrets_stage),
+    ("best_fit_packing", packing_stage),
+]
 
-STAGES: list = []
-#: Scoring, fingerprints, tokenizers and packing are beyond SQL; tests hold the stages against brute force.
+#: Scoring, fingerprints, tokenizers and packing are beyond SQL; tests hold the
+#: stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over documents; each stage's rows are written and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
