@@ -88,7 +88,7 @@ def test_grid_join_equals_nested_loop(spark, cell):
     assert len(a) > 3000  # overlaps occur
 
 
-def test_spatial_enrich_equals_direct(spark):
+def test_spatial_enrich_equals_direct(spark, scratch):
     p = polys(spark, _triangles(40, 3))
     rnd = random.Random(9)
     base = [(i, round(rnd.uniform(0, 10), 1), round(rnd.uniform(0, 10), 1)) for i in range(2000)]
@@ -96,22 +96,48 @@ def test_spatial_enrich_equals_direct(spark):
         "i", geo.point("x", "y").alias("a"), geo.point("y", "x").alias("b")
     )
     idx = PolygonIndex(p, ["pid"])
-    via_lookup = spatial_enrich(df, [("a", idx, {"pa": "pid"}), ("b", idx, {"pb": "pid"})])
+    joins = [("a", idx, {"pa": "pid"}), ("b", idx, {"pb": "pid"})]
+    via_lookup = spatial_enrich(df, joins, lookup_path=scratch("points"))
     direct = idx.join(idx.join(df, "a", {"pa": "pid"}), "b", {"pb": "pid"})
     key = lambda r: (r.i, r.pa or -1, r.pb or -1)
     assert sorted(map(key, via_lookup.collect())) == sorted(map(key, direct.collect()))
-    # the fall-back path (lookup over its bound) gives the same rows
-    fallback = spatial_enrich(df, [("a", idx, {"pa": "pid"}), ("b", idx, {"pb": "pid"})], max_lookup_rows=10)
-    assert sorted(map(key, fallback.collect())) == sorted(map(key, direct.collect()))
-    per_row = spatial_enrich(df, [("a", idx, {"pa": "pid"}), ("b", idx, {"pb": "pid"})], dedupe=False)
+    per_row = spatial_enrich(df, joins)
     assert sorted(map(key, per_row.collect())) == sorted(map(key, direct.collect()))
 
 
+def test_rows_without_a_point_stay_and_spread(spark, scratch):
+    # a third of the rows without a point: all kept, none matched, no common key
+    p = polys(spark, [(1, "POLYGON ((-1 -1, 6 -1, 6 6, -1 6, -1 -1))")])
+    df = spark.createDataFrame([(i, None if i % 3 == 0 else float(i % 10)) for i in range(900)], "i int, x double")
+    df = df.select("i", F.when(F.col("x").isNotNull(), geo.point("x", "x")).alias("a"))
+    idx = PolygonIndex(p, ["pid"])
+    for out in (spatial_enrich(df, [("a", idx, {"pa": "pid"})]), spatial_enrich(df, [("a", idx, {"pa": "pid"})], lookup_path=scratch("points"))):
+        rows = out.collect()
+        assert len(rows) == 900 and all(r.pa is None for r in rows if r.i % 3 == 0)
+        assert sum(r.pa == 1 for r in rows) == sum(1 for i in range(900) if i % 3 and i % 10 < 6)
+    from urbanlake.operators.spatial import _spare_key
+
+    keys = df.where("a is null").select(_spare_key(df).alias("k")).distinct().count()
+    assert keys > 290
+
+
+def test_inner_cells_need_no_edges(spark):
+    p = polys(spark, [(1, "POLYGON ((0 0, 10 0, 10 10, 0 10, 0 0), (4 4, 6 4, 6 6, 4 6, 4 4))")])
+    idx = PolygonIndex(p, ["pid"], cell_size=0.7)
+    cells = idx.cells.select("_inside", F.col("_edges").isNull().alias("bare")).collect()
+    assert all(r["_inside"] == r.bare for r in cells)
+    assert sum(r["_inside"] for r in cells) > len(cells) / 3
+    rnd = random.Random(4)
+    data = [(i, rnd.uniform(-1, 11), rnd.uniform(-1, 11)) for i in range(2000)] + [(2000, 5.0, 5.0), (2001, 4.0, 5.0), (2002, 0.0, 3.0)]
+    pts = spark.createDataFrame(data, "i int, x double, y double").select("i", geo.point("x", "y").alias("pt"))
+    inside = {i for i, x, y in data if 0 < x < 10 and 0 < y < 10 and not (4 <= x <= 6 and 4 <= y <= 6)}
+    assert {r.i for r in idx.join(pts, "pt", {"pid": "pid"}).collect() if r.pid == 1} == inside
+
+
 def test_index_bound_is_an_upper_bound(spark):
     p = polys(spark, _triangles(50, 1))
     idx = PolygonIndex(p, ["pid"], cell_size=0.5)
     assert idx.cells.count() <= idx.max_rows
-    assert idx.broadcast
 
 
 def _ring(cx, cy, r, n, phase=0.0):
@@ -144,11 +170,10 @@ def test_many_vertex_polygons_with_holes_small_cells(spark):
 
 
 def test_index_over_cell_budget_still_exact(spark):
-    # more polygons than the cell budget: the cell size stops growing, the index
-    # is not broadcast (row bound exceeded), and the shuffled cell join is exact
+    # more polygons than the cell budget: the cell size stops growing and the join stays exact
     p = polys(spark, _triangles(80, 7))
-    idx = PolygonIndex(p, ["pid"], max_cells=50, max_broadcast_rows=100)
-    assert not idx.broadcast and idx.cells.count() <= idx.max_rows
+    idx = PolygonIndex(p, ["pid"], max_cells=50)
+    assert idx.cells.count() <= idx.max_rows
     rnd = random.Random(2)
     pts = spark.createDataFrame(
         [(i, rnd.uniform(0, 10), rnd.uniform(0, 10)) for i in range(1500)], "i int, x double, y double"
@@ -160,13 +185,7 @@ def test_index_over_cell_budget_still_exact(spark):
     assert a == b
 
 
-def test_explicit_cell_size_far_too_small_is_refused(spark):
-    p = polys(spark, [(1, "POLYGON ((0 0, 1000 0, 1000 1000, 0 0))")])
-    with pytest.raises(ValueError):
-        PolygonIndex(p, ["pid"], cell_size=0.01)
-
-
-def test_hot_location_holding_a_third_of_rows(spark):
+def test_hot_location_holding_a_third_of_rows(spark, scratch):
     # one location (an airport centroid) holds a third of all points
     p = polys(spark, _triangles(30, 12) + [(99, "POLYGON ((4 4, 6 4, 6 6, 4 6, 4 4))")])
     rnd = random.Random(13)
@@ -175,11 +194,14 @@ def test_hot_location_holding_a_third_of_rows(spark):
     idx = PolygonIndex(p, ["pid"])
     key = lambda r: (r.i, r.pid if r.pid is not None else -1)
     direct = sorted(map(key, idx.join(df, "pt", {"pid": "pid"}).select("i", "pid").collect()))
-    looked_up = sorted(map(key, spatial_enrich(df, [("pt", idx, {"pid": "pid"})]).select("i", "pid").collect()))
+    looked_up = sorted(map(key, spatial_enrich(df, [("pt", idx, {"pid": "pid"})], lookup_path=scratch("points")).select("i", "pid").collect()))
     assert looked_up == direct
-    # the same with the cell index too big to broadcast: shuffled cell join with a hot cell
-    big = PolygonIndex(p, ["pid"], max_broadcast_rows=1)
-    assert not big.broadcast
-    shuffled = sorted(map(key, big.join(df, "pt", {"pid": "pid"}).select("i", "pid").collect()))
+    # the same without broadcast joins: shuffled cell join with a hot cell
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shuffled = sorted(map(key, idx.join(df, "pt", {"pid": "pid"}).select("i", "pid").collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     assert shuffled == direct
     assert sum(1 for i, pid in direct if i % 3 == 0 and pid == 99) == 3000

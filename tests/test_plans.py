@@ -1,7 +1,6 @@
 """Plan-shape guards: the physical plans keep the properties the design relies on."""
 
-import contextlib
-import io
+from helpers import plan
 
 from urbanlake import sinks
 from urbanlake.operators.spatial import PolygonIndex
@@ -13,13 +12,6 @@ from urbanlake.sources import landing as ld
 SF = "/root/testdata/sf0.001"
 
 
-def plan(df) -> str:
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        df.explain("formatted")
-    return buf.getvalue()
-
-
 def _landed(spark, scratch):
     root = scratch("plans")
     out = {}
@@ -29,17 +21,28 @@ def _landed(spark, scratch):
     return root, out
 
 
-def test_staging_never_shuffles_trips(spark, scratch):
+def test_staging_joins_on_spread_keys(spark, scratch):
     _, land = _landed(spark, scratch)
     zi, ai = PolygonIndex(land["boundaries_zip"], ["zip"]), PolygonIndex(land["comm_area"], ["area_numbe"])
-    text = plan(st.stage_trips(land["taxi_trips"], zi, ai))
-    for bad in ("Exchange hashpartitioning", "SortMergeJoin", "CartesianProduct", "BroadcastNestedLoopJoin"):
-        assert bad not in text, bad
-    tree = text.split("\n\n")[0]
-    assert tree.count("BroadcastHashJoin") == 4
-    # the location filter and the column pruning reach the trips scan
-    assert "Or(IsNotNull(pickup_point),IsNotNull(dropoff_point))" in text
-    assert "taxi_id" not in text.split("ReadSchema:")[1].split("\n")[0]
+    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    direct = st.stage_trips(land["taxi_trips"], zi, ai)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == before  # a lazy plan
+    looked_up = st.stage_trips(land["taxi_trips"], zi, ai, lookup_path=scratch("points"))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df, joins in ((direct, 4), (looked_up, 2)):
+            text = plan(df)
+            tree = text.split("\n\n")[0]
+            assert "CartesianProduct" not in tree and "NestedLoop" not in tree
+            assert tree.count("SortMergeJoin") == joins
+            # rows without a point are dealt out by a key of their own
+            assert text.count("xxhash64(trip_id") >= joins and "isnull" in text
+            # the location filter and the column pruning reach the trips scan
+            assert "Or(IsNotNull(pickup_point),IsNotNull(dropoff_point))" in text
+            assert all("taxi_id" not in part.split("\n")[0] for part in text.split("ReadSchema:")[1:])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
 
 
 def test_reports_from_day_table_do_not_read_trips(spark, scratch):

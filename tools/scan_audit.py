@@ -14,7 +14,7 @@ spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled","fals
          .config("spark.sql.shuffle.partitions","8").getOrCreate())
 spark.sparkContext.setLogLevel("ERROR")
 from urbanlake import sinks
-from urbanlake.session import shared_dir, spread
+from urbanlake.session import shared_dir
 from urbanlake.sources import driver_tables as dt, landing as ld
 from urbanlake.plans import staging as st, reports as rp
 from urbanlake.operators.spatial import PolygonIndex
@@ -22,7 +22,7 @@ sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"; root = shared
 sc = spark.sparkContext
 def put(name, df):
     sinks.write_table(df, f"{root}/{name}"); return sinks.scan_table(spark, f"{root}/{name}")
-L = {t: put(t, ld.LAND[t](spread(dt.RAW[t](spark, sf)))) for t in dt.RAW}
+L = {t: put(t, ld.LAND[t](dt.RAW[t](spark, sf))) for t in dt.RAW}
 print("landed trips", L["taxi_trips"].count())
 zi, ai = PolygonIndex(L["boundaries_zip"], ["zip"]), PolygonIndex(L["comm_area"], ["area_numbe"])
 sc.setJobGroup("stage_trips", "x"); trips = put("stg", st.stage_trips(L["taxi_trips"], zi, ai))

@@ -3,11 +3,12 @@
 A theta join on a geometric predicate plans as a nested loop.  Instead:
 
 1. every polygon is exploded into the grid cells its bounding box touches
-   (one row per polygon × cell, carrying the polygon's edge list);
+   (one row per polygon × cell, carrying the edges that matter there; a cell
+   that no edge crosses is marked as inside, or left out if it is outside);
 2. every point computes its own cell ``(floor(x/g), floor(y/g))``;
 3. the two sides equi-join on the cell, and the exact test (bounding box,
    even-odd ray casting, boundary exclusion) runs as the join's residual
-   condition.
+   condition, only in cells that an edge crosses.
 
 ``floor`` is monotone, so a point inside a polygon always lands in one of
 that polygon's cells and nothing is lost at cell borders; each point has one
@@ -15,11 +16,10 @@ cell and each (polygon, cell) pair one row, so a match is emitted once per
 containing polygon.  The join is LEFT and not de-duplicated: a point in two
 overlapping polygons yields two rows, a point in none keeps NULLs (S12).
 
-Scale: the cell index is a dimension (city polygons) and is broadcast when
-its size is proven below a row and byte bound (``PolygonIndex``), so the
-point side (billions of trips) is never shuffled for the join.  Beyond the
-bound the join is left to the planner: it shuffles both sides by cell, and
-AQE's skew-join handling splits a hot cell on the (preserved) point side.
+Scale: no join carries a hint.  AQE broadcasts a polygon index that it has
+measured to be small and otherwise joins by cell, splitting a hot cell on the
+(preserved) point side.  Rows without a point match nothing; they get keys of
+their own, spread over all partitions, instead of meeting under NULL.
 """
 
 from __future__ import annotations
@@ -27,22 +27,18 @@ from __future__ import annotations
 import math
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from ..session import DEFAULT_BROADCAST_ROWS, shared_dir
 
-# Upper bound on polygon × cell rows when the cell size is chosen
-# automatically; the cell grows until the index fits.
+# Sizing parameter: polygon × cell rows aimed at when the cell size is chosen
+# automatically; the cell grows until the index fits.  Results do not depend on it.
 DEFAULT_MAX_CELLS = 100_000
-# Hard limit on the cell index (an explicit cell size far below the polygon
-# extents would explode every polygon into a huge number of cells).
-MAX_INDEX_ROWS = 50_000_000
-# Byte bound of a broadcast cell index (rows × edge-array size).
-DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
-# Row bound of a broadcast distinct-point lookup (x, y, key: ~40 bytes a row).
-DEFAULT_LOOKUP_ROWS = 2_000_000
+# Keys over which rows without a point are spread.
+NULL_KEYS = 1 << 16
+# Cell row of those keys; no polygon reaches it.
+NO_CELL = -(1 << 62)
 
 
 def prepare_polygons(polygons: DataFrame, geom: str = "geom") -> DataFrame:
@@ -58,14 +54,19 @@ def prepare_polygons(polygons: DataFrame, geom: str = "geom") -> DataFrame:
     )
 
 
+def _spare_key(df: DataFrame) -> Column:
+    """Key from 1 to ``NULL_KEYS`` for a row without a point: a digest of its plain columns."""
+    plain = [F.col(f"`{f.name}`") for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    return F.pmod(F.xxhash64(*plain), F.lit(NULL_KEYS)) + 1
+
+
 class PolygonIndex:
     """Grid-cell index of one polygon layer, built once and reused.
 
-    One aggregate over the (small) polygon layer yields the median extent,
-    the extent sums and the largest edge count.  They give the cell size and
-    an exact upper bound on the index size — a polygon whose box spans
-    ``w × h`` touches at most ``(w/g + 2)(h/g + 2)`` cells — so the
-    broadcast decision is proven without counting the index.
+    One aggregate over the polygon layer yields the median extent and the
+    extent sums, which give the cell size and an upper bound on the index
+    size: a polygon whose box spans ``w × h`` touches at most
+    ``(w/g + 2)(h/g + 2)`` cells.
     """
 
     def __init__(
@@ -75,8 +76,6 @@ class PolygonIndex:
         geom: str = "geom",
         cell_size: float | None = None,
         max_cells: int = DEFAULT_MAX_CELLS,
-        max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-        max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
     ):
         prepared = prepare_polygons(polygons.select(*take, geom), geom)
         w = F.col("_xmax") - F.col("_xmin")
@@ -89,7 +88,6 @@ class PolygonIndex:
                 F.sum(h).alias("sh"),
                 F.sum(w * h).alias("swh"),
                 F.count(F.lit(1)).alias("n"),
-                F.max(F.size("_edges")).alias("max_edges"),
             )
             .first()
         )
@@ -117,14 +115,6 @@ class PolygonIndex:
         self.cell = g
         self.n_polygons = n
         self.max_rows = int(cells(g)) if n else 0
-        if self.max_rows > MAX_INDEX_ROWS:
-            raise ValueError(
-                f"cell size {g} would split {n} polygons into up to {self.max_rows} cells; "
-                "choose a larger cell_size or let it be chosen automatically"
-            )
-        # cell row: two longs, four doubles, the edge array, the carried columns
-        row_bytes = 64 + 32 * int(row["max_edges"] or 0) if n else 0
-        self.broadcast = self.max_rows <= max_broadcast_rows and self.max_rows * row_bytes <= max_broadcast_bytes
         self.take = list(take)
         self.cells = polygon_cells(prepared, g)
 
@@ -135,23 +125,33 @@ class PolygonIndex:
         n = lambda s: f"_{s}_{tag}"  # noqa: E731 - unique temp names per join
         index = self.cells.select(
             *[F.col(src).alias(dst) for dst, src in take.items()],
-            *[F.col(f"_{c}").alias(n(c)) for c in ("edges", "xmin", "xmax", "ymin", "ymax", "cx", "cy")],
+            *[F.col(f"_{c}").alias(n(c)) for c in ("edges", "inside", "xmin", "xmax", "ymin", "ymax", "cx", "cy")],
         )
-        if self.broadcast:
-            index = F.broadcast(index)
         g = F.lit(self.cell)
-        left = points.withColumn(n("px"), F.col(point_col)["x"]).withColumn(n("py"), F.col(point_col)["y"])
+        px, py = F.col(point_col)["x"], F.col(point_col)["y"]
+        none = px.isNull() | py.isNull()
+        left = points.withColumns(
+            {
+                n("px"): px,
+                n("py"): py,
+                n("pcx"): F.when(none, _spare_key(points)).otherwise(F.floor(px / g)),
+                n("pcy"): F.when(none, F.lit(NO_CELL)).otherwise(F.floor(py / g)),
+            }
+        )
         px, py = F.col(n("px")), F.col(n("py"))
-        left = left.withColumn(n("pcx"), F.floor(px / g)).withColumn(n("pcy"), F.floor(py / g))
         cond = (
             (F.col(n("pcx")) == F.col(n("cx")))
             & (F.col(n("pcy")) == F.col(n("cy")))
-            & px.between(F.col(n("xmin")), F.col(n("xmax")))
-            & py.between(F.col(n("ymin")), F.col(n("ymax")))
-            & geo.within(px, py, F.col(n("edges")))
+            & _inside(px, py, *[F.col(n(c)) for c in ("inside", "xmin", "xmax", "ymin", "ymax", "edges")])
         )
         joined = left.join(index, cond, how)
-        return joined.drop(*[n(s) for s in ("px", "py", "pcx", "pcy", "edges", "xmin", "xmax", "ymin", "ymax", "cx", "cy")])
+        helpers = ("px", "py", "pcx", "pcy", "edges", "inside", "xmin", "xmax", "ymin", "ymax", "cx", "cy")
+        return joined.drop(*[n(s) for s in helpers])
+
+
+def _inside(px: Column, py: Column, inside: Column, xmin: Column, xmax: Column, ymin: Column, ymax: Column, edges: Column) -> Column:
+    """The exact test; ``inside`` marks cells where every point passes."""
+    return inside | (px.between(xmin, xmax) & py.between(ymin, ymax) & geo.within(px, py, edges))
 
 
 def polygon_cells(prepared: DataFrame, cell: float) -> DataFrame:
@@ -160,23 +160,27 @@ def polygon_cells(prepared: DataFrame, cell: float) -> DataFrame:
     Each row keeps only the edges whose cell-row range contains the cell's
     row.  An edge crossed by the ray from a point — or containing it — spans
     the point's ``y``; ``floor(y/g)`` is monotone, so such an edge's row
-    range contains the point's row.  The clipping is therefore exact, and a
-    large polygon tests a few edges per candidate instead of all of them.
+    range contains the point's row.  The clipping is therefore exact.
+
+    A cell that no edge's box reaches has no boundary in it, so all its points
+    are on one side: outside cells are left out, inside cells need no test.
     """
     g = F.lit(float(cell))
+    low = lambda a, b: F.floor(F.least(a, b) / g)
+    high = lambda a, b: F.floor(F.greatest(a, b) / g)
     cells = (
         prepared.where(F.col("_xmin").isNotNull())
         .withColumn("_cx", F.explode(F.sequence(F.floor(F.col("_xmin") / g), F.floor(F.col("_xmax") / g))))
         .withColumn("_cy", F.explode(F.sequence(F.floor(F.col("_ymin") / g), F.floor(F.col("_ymax") / g))))
     )
-    row = F.col("_cy")
-    return cells.withColumn(
-        "_edges",
-        F.filter(
-            "_edges",
-            lambda e: (F.floor(F.least(e["y1"], e["y2"]) / g) <= row) & (F.floor(F.greatest(e["y1"], e["y2"]) / g) >= row),
-        ),
+    row, column = F.col("_cy"), F.col("_cx")
+    cells = cells.withColumn(
+        "_edges", F.filter("_edges", lambda e: (low(e["y1"], e["y2"]) <= row) & (high(e["y1"], e["y2"]) >= row))
     )
+    crossed = F.exists("_edges", lambda e: (low(e["x1"], e["x2"]) <= column) & (high(e["x1"], e["x2"]) >= column))
+    centre = geo.within((column + 0.5) * g, (row + 0.5) * g, F.col("_edges"))
+    cells = cells.withColumn("_inside", ~crossed & centre).where(crossed | centre)
+    return cells.withColumn("_edges", F.when(~F.col("_inside"), F.col("_edges")))
 
 
 def within_left_join(
@@ -200,71 +204,25 @@ def within_left_join(
     return index.join(points, point_col, take)
 
 
-def spatial_enrich(
-    df: DataFrame,
-    joins: list[tuple[str, PolygonIndex, dict[str, str]]],
-    max_lookup_rows: int = DEFAULT_LOOKUP_ROWS,
-    dedupe: bool = True,
-    lookup_path: str | None = None,
-) -> DataFrame:
-    """Apply several left spatial joins ``(point column, index, take)`` to ``df``.
+def point_matches(points: DataFrame, layers: list[PolygonIndex]) -> DataFrame:
+    """(x, y, m0, m1, …) for the points (``struct<x,y>`` column ``_pt``) that
+    any layer contains: ``m<i>`` lists the carried columns of layer ``i``'s
+    containing polygons, NULL if none.
 
-    Trip and permit locations are centroids and repeat heavily, so the exact
-    test runs on the *distinct* points only (R2a):
-
-    1. one job takes the distinct non-NULL points of all the point columns
-       once (map-side partial aggregation, so a hot location costs one row
-       per task), matches them against all layers' indexes in a single
-       cell equi-join (each point tagged with its cell in every layer; ray
-       casting as the residual condition) and writes the matches
-       ``(layer, x, y, key…)`` —
-       one row per containing polygon — as a table in the shared checkpoint
-       folder, which cuts the lineage;
-    2. if that table has at most ``max_lookup_rows`` rows, each layer's
-       slice is joined back to ``df`` with a broadcast hash join on the exact
-       coordinates: ``df`` is never shuffled and no per-row ray casting
-       remains;
-    3. otherwise (points barely repeat) every join runs directly per row as
-       a broadcast cell join — still no shuffle of ``df``.
-
-    A LEFT equi-join on the exact coordinates returns the same rows as the
-    direct spatial join: one per containing polygon, or one with NULLs.
-    ``dedupe=False`` goes straight to step 3, for points known not to repeat
-    (raw GPS), saving the distinct-point pass.  ``lookup_path`` names where
-    the lookup is written (overwritten); by default a fresh folder under the
-    shared checkpoint directory.
+    One cell join for all layers: each point carries its cell in every layer
+    (layers keep their own cell size), matched against the union of the
+    layers' indexes on (layer, cell).
     """
-    if not dedupe:
-        for pc, index, take in joins:
-            df = index.join(df, pc, take)
-        return df
-    spark = df.sparkSession
-    point_cols = sorted({pc for pc, _, _ in joins})
-    pts = (
-        df.select(F.explode(F.array(*[F.col(c) for c in point_cols])).alias("_pt"))
-        .where(F.col("_pt").isNotNull())
-        .distinct()
-    )
-    layers: list[PolygonIndex] = []
-    for _, index, _ in joins:
-        if all(index is not other for other in layers):
-            layers.append(index)
-    # One join for all layers: each distinct point carries its cell in every
-    # layer (layers keep their own cell size), matched against the union of
-    # the layers' cell indexes on (layer, cell).  The distinct points are
-    # therefore computed once, whatever the number of layers.
     cells = None
     for i, index in enumerate(layers):
         c = index.cells.select(
             F.lit(i).alias("_layer"),
-            *[F.col(k).alias(f"_k{i}_{k}") for k in index.take],
-            "_edges", "_xmin", "_xmax", "_ymin", "_ymax", "_cx", "_cy",
+            F.struct(*index.take).alias(f"_k{i}"),
+            "_edges", "_inside", "_xmin", "_xmax", "_ymin", "_ymax", "_cx", "_cy",
         )
         cells = c if cells is None else cells.unionByName(c, allowMissingColumns=True)
-    if all(ix.broadcast for ix in layers) and sum(ix.max_rows for ix in layers) <= DEFAULT_BROADCAST_ROWS:
-        cells = F.broadcast(cells)
     px, py = F.col("_pt")["x"], F.col("_pt")["y"]
-    tagged = pts.select(
+    tagged = points.select(
         "_pt",
         F.inline(
             F.array(
@@ -283,31 +241,68 @@ def spatial_enrich(
         (F.col("_p_layer") == F.col("_layer"))
         & (F.col("_pcx") == F.col("_cx"))
         & (F.col("_pcy") == F.col("_cy"))
-        & px.between(F.col("_xmin"), F.col("_xmax"))
-        & py.between(F.col("_ymin"), F.col("_ymax"))
-        & geo.within(px, py, F.col("_edges"))
-    )
-    key_cols = [f"_k{i}_{k}" for i, ix in enumerate(layers) for k in ix.take]
-    matches = tagged.join(cells, cond, "inner").select(
-        "_layer", px.alias("_lk_x"), py.alias("_lk_y"), *key_cols
+        & _inside(px, py, *[F.col(f"_{c}") for c in ("inside", "xmin", "xmax", "ymin", "ymax", "edges")])
     )
-    path = lookup_path or shared_dir(spark, "point-lookup")
-    matches.write.mode("overwrite").parquet(path)
-    matches = spark.read.parquet(path)
+    found = tagged.join(cells, cond, "inner")
+    # a point lies in as many polygons as overlap there: lists stay short
+    lists = [F.collect_list(F.when(F.col("_layer") == i, F.col(f"_k{i}"))).alias(f"m{i}") for i in range(len(layers))]
+    grouped = found.groupBy(px.alias("x"), py.alias("y")).agg(*lists)
+    return grouped.select("x", "y", *[F.nullif(F.col(f"m{i}"), F.array().cast(grouped.schema[f"m{i}"].dataType)).alias(f"m{i}") for i in range(len(layers))])
+
+
+def spatial_enrich(
+    df: DataFrame,
+    joins: list[tuple[str, PolygonIndex, dict[str, str]]],
+    lookup_path: str | None = None,
+) -> DataFrame:
+    """Apply several left spatial joins ``(point column, index, take)`` to ``df``.
 
-    if matches.limit(max_lookup_rows + 1).count() > max_lookup_rows:
+    Without ``lookup_path`` every join runs directly, per row, and the result
+    is a lazy plan: right for points that do not repeat (raw GPS).
+
+    With ``lookup_path`` the exact test runs on the *distinct* points only
+    (R2a), for locations that are centroids and repeat heavily.  One job,
+    which runs while this function is called, takes the distinct points of
+    all point columns (map-side partial aggregation, so a hot location costs
+    one row per task), matches them against all layers in a single cell join
+    (``point_matches``) and writes the lookup to ``lookup_path``, overwriting
+    it; the caller owns that table and keeps it as long as the result is
+    read.  Each point column is then joined once, by its exact coordinates,
+    for all layers.
+
+    Both give the rows of the direct spatial join: one per containing
+    polygon, or one with NULLs.
+    """
+    if lookup_path is None:
         for pc, index, take in joins:
             df = index.join(df, pc, take)
         return df
+    spark = df.sparkSession
+    point_cols = list(dict.fromkeys(pc for pc, _, _ in joins))
+    layers = list({id(index): index for _, index, _ in joins}.values())
+    pts = df.select(F.explode(F.array(*[F.col(c) for c in point_cols])).alias("_pt"))
+    pts = pts.where(F.col("_pt.x").isNotNull() & F.col("_pt.y").isNotNull()).distinct()
+    point_matches(pts, layers).write.mode("overwrite").parquet(lookup_path)
+    lookup = spark.read.parquet(lookup_path)
 
-    for pc, index, take in joins:
-        i = next(k for k, other in enumerate(layers) if other is index)
+    for pc in point_cols:
         tag = uuid.uuid4().hex[:8]
-        lk = matches.where(F.col("_layer") == i).select(
-            F.col("_lk_x").alias(f"_x_{tag}"),
-            F.col("_lk_y").alias(f"_y_{tag}"),
-            *[F.col(f"_k{i}_{src}").alias(dst) for dst, src in take.items()],
+        n = lambda s: f"_{s}_{tag}"
+        x, y = F.col(pc)["x"], F.col(pc)["y"]
+        none = x.isNull() | y.isNull()
+        lk = lookup.select(
+            F.col("x").alias(n("x")),
+            F.col("y").alias(n("y")),
+            *[F.col(f"m{i}").alias(n(f"m{i}")) for i in range(len(layers))],
         )
-        cond = (F.col(pc)["x"] == F.col(f"_x_{tag}")) & (F.col(pc)["y"] == F.col(f"_y_{tag}"))
-        df = df.join(F.broadcast(lk), cond, "left").drop(f"_x_{tag}", f"_y_{tag}")
+        # no point of the lookup is NaN, as no polygon contains one
+        key_x, key_y = F.when(none, _spare_key(df).cast("double")).otherwise(x), F.when(none, F.lit(float("nan"))).otherwise(y)
+        left = df.withColumns({n("px"): key_x, n("py"): key_y})
+        df = left.join(lk, (F.col(n("px")) == F.col(n("x"))) & (F.col(n("py")) == F.col(n("y"))), "left")
+        for col, index, take in joins:
+            if col == pc:
+                i = layers.index(index)
+                df = df.withColumn(n("hit"), F.explode_outer(n(f"m{i}")))
+                df = df.withColumns({dst: F.col(n("hit"))[src] for dst, src in take.items()}).drop(n("hit"))
+        df = df.drop(*[n(s) for s in ("px", "py", "x", "y", *[f"m{i}" for i in range(len(layers))])])
     return df

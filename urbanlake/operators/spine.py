@@ -4,8 +4,7 @@ The reference writes ``SELECT DISTINCT period, zip FROM facts, zips`` — a
 cross join of the whole fact table with the ZIP table, de-duplicated
 afterwards.  ``DISTINCT (A × B) = DISTINCT A × DISTINCT B`` (R1), so the
 product here is taken only after both sides are reduced to their distinct
-values: its size is exactly the report's row count (periods × ZIPs), and the
-key side (a polygon dimension) is broadcast once its row count is proven.
+values: its size is exactly the report's row count (periods × ZIPs).
 """
 
 from __future__ import annotations

@@ -1,7 +1,10 @@
 """Staging zone: clean, project and spatially enrich.
 
-Inputs are *landed* frames (``sources.landing.land_*`` applied).  Every
-function is a lazy plan; ``plans.pipeline`` decides what is written.
+Inputs are *landed* frames (``sources.landing.land_*`` applied).  The functions
+return lazy plans, with one exception that the caller chooses: given a
+``lookup_path``, ``stage_trips`` and ``stage_permits`` write their point lookup
+there when they are called (``operators.spatial.spatial_enrich``).
+``plans.pipeline`` decides what else is written.
 """
 
 from __future__ import annotations
@@ -25,7 +28,6 @@ def stage_trips(
     areas: DataFrame | PolygonIndex,
     zip_cell: float | None = None,
     area_cell: float | None = None,
-    dedupe_points: bool = True,
     lookup_path: str | None = None,
 ) -> DataFrame:
     """``STG.TRIPS_DATA`` (P1): trips with a located endpoint, the ZIP of each
@@ -33,8 +35,8 @@ def stage_trips(
 
     The four spatial joins are LEFT and keep duplicates (S12); each polygon
     layer is indexed once (pass ``PolygonIndex`` objects to share them with
-    ``stage_permits``) and the exact test runs once per distinct location
-    (``spatial_enrich``).  Only the columns the output needs are read, and the
+    ``stage_permits``).  With ``lookup_path`` the exact test runs once per
+    distinct location, else once per row.  Only the columns the output needs are read, and the
     "any endpoint located" filter runs before the joins.
     """
     t = trips.where(F.col("pickup_point").isNotNull() | F.col("dropoff_point").isNotNull()).select(
@@ -53,8 +55,7 @@ def stage_trips(
             ("pickup_point", ca, {"_pickup_area_match": "area_numbe"}),
             ("dropoff_point", ca, {"_dropoff_area_match": "area_numbe"}),
         ],
-        dedupe=dedupe_points,
-        lookup_path=lookup_path,
+        lookup_path,
     )
     return t.select(
         "trip_id",
@@ -94,7 +95,7 @@ def stage_ccvi(ccvi: DataFrame) -> DataFrame:
     number and ANSI casting would fail on it (S14).
     """
     return ccvi.where(F.trim(F.col("geography_type")) == "CA").select(
-        F.col("area_or_zip").cast("int").alias("community_area"),
+        F.col("area_or_zip").cast("decimal(18,2)").cast("int").alias("community_area"),
         "ccvi_category",
     )
 
@@ -105,7 +106,6 @@ def stage_permits(
     areas: DataFrame | PolygonIndex,
     zip_cell: float | None = None,
     area_cell: float | None = None,
-    dedupe_points: bool = True,
     lookup_path: str | None = None,
 ) -> DataFrame:
     """``STG.BUILDING_PERMIT`` (P4): located permits with ZIP and imputed area."""
@@ -119,8 +119,7 @@ def stage_permits(
             ("location_point", _index(zip_polygons, "zip", zip_cell), {"zip": "zip"}),
             ("location_point", _index(areas, "area_numbe", area_cell), {"_area_match": "area_numbe"}),
         ],
-        dedupe=dedupe_points,
-        lookup_path=lookup_path,
+        lookup_path,
     )
     return p.select(
         "id",

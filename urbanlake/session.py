@@ -3,8 +3,7 @@
 * ``get_spark`` builds a session for tests, the bench and local runs.  On a
   cluster, pass your own session to the library functions instead.
 * ``shared_dir`` returns a fresh folder under the cluster's shared
-  ``spark.checkpoint.dir``; a local default is set only when it is unset.
-* ``spread`` spreads a source that arrives in too few partitions.
+  ``spark.checkpoint.dir``; only a local session gets a default when it is unset.
 """
 
 from __future__ import annotations
@@ -13,11 +12,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
-
-# Broadcast row bound for a polygon cell index (see operators.spatial).
-# Above it nothing is hinted and AQE picks the join from runtime sizes.
-DEFAULT_BROADCAST_ROWS = 200_000
+from pyspark.sql import SparkSession
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str = "urbanlake") -> SparkSession:
@@ -41,11 +36,13 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str =
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The session's checkpoint dir; set a local one only when none is configured.
+    """The session's checkpoint dir.
 
     On a cluster ``spark.checkpoint.dir`` names shared storage and is used as
-    is.  Sessions without a SparkContext (Spark Connect) fall back to the
-    configuration value.
+    is.  Only a local session may do without: it gets a temporary folder.
+    Elsewhere the executors would write to disks of their own, so a missing
+    setting is an error.  Sessions without a SparkContext (Spark Connect) use
+    the configuration value.
     """
     try:
         sc = spark.sparkContext
@@ -55,6 +52,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return sc.getCheckpointDir()
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if sc is None or not is_local(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf = tempfile.mkdtemp(prefix="urbanlake-ckpt-")
     if sc is None:
         return conf
@@ -62,25 +61,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def is_local(master: str) -> bool:
+    """Driver and executors in one process (``local-cluster`` is not)."""
+    return master == "local" or master.startswith("local[")
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new, unique folder under the shared checkpoint dir."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def spread(df: DataFrame, min_partitions: int | None = None, max_source_partitions: int = 16) -> DataFrame:
-    """Round-robin repartition a source that arrives in only a handful of
-    partitions (one large unsplittable file, a single row group).
-
-    Only sources with at most ``max_source_partitions`` partitions — and
-    fewer than the cluster has cores — are spread.  A large many-file
-    source (the normal case at scale) is returned as is: shuffling terabytes
-    just to add parallelism would cost more than it gains.  The partition
-    count is known from planning; no job runs.
-    """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        n = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): leave as is
-        return df
-    return df.repartition(target) if n < target and n <= max_source_partitions else df
