@@ -1,5 +1,8 @@
 """Tiny staged-shape frames for edge tests."""
 
+import contextlib
+import io
+
 from pyspark.sql import functions as F
 
 from urbanlake.functions import calendar as cal
@@ -53,3 +56,10 @@ def oracle_count(key, sf):
     for t in "region nation customer supplier part orders lineitem".split():
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     return con.execute(f"SELECT count(*) FROM ({ORACLE[key]})").fetchone()[0]
+
+
+def plan(df) -> str:
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    return buf.getvalue()

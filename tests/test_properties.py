@@ -1,15 +1,20 @@
+import csv
 import datetime as dt
+import glob
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
-from urbanlake import sinks
+from urbanlake import schemas, sinks
+from urbanlake.catalog.queries import Inputs
 from urbanlake.operators import aggregates as agg
 from urbanlake.operators.spine import dense_spine
-from urbanlake.plans.pipeline import REFERENCE_RERUN_MODES, run_pipeline
+from urbanlake.plans import reports as rp
+from urbanlake.plans.pipeline import REFERENCE_RERUN_MODES, day_facts_of, run_pipeline
 from urbanlake.sources import driver_tables as dt_tables
 
-from helpers import oracle_count, staged_trips
+from helpers import oracle_count, plan, staged_trips
 
 
 def _random_trips(spark, n, seed):
@@ -80,10 +85,89 @@ def test_pipeline_modes(spark, scratch):
     assert all(after[k] == n[k] for k in n if k.startswith("summarised."))
 
 
-def test_spread_only_touches_few_partition_sources(spark):
-    from urbanlake.session import spread
+def _trip_reports(i, days, trips=None):
+    covid, zips, ccvi = i.stg_covid, i.zips, i.stg_ccvi
+    return {
+        "rpttbl01": rp.report1_severity(trips, covid, zips, days),
+        "rpttbl02": rp.report2_airport(trips, covid, zips, dt_tables.TEST_AIRPORTS, days),
+        "rpttbl03": rp.report3_ccvi(trips, ccvi, days),
+        "rpttbl04a": rp.report4a_weekly(trips, zips, days),
+        "rpttbl04b": rp.report4b_monthly(trips, zips, days),
+        "rpttbl04c": rp.report4c_daily(trips, zips, days),
+    }
 
-    one = spark.range(1000).coalesce(1)
-    assert spread(one, min_partitions=8).rdd.getNumPartitions() == 8
-    many = spark.range(1000).repartition(40)
-    assert spread(many, min_partitions=200) is many  # many-file source left alone
+
+def _sorted(df):
+    return sorted(map(str, df.select(sorted(df.columns)).collect()))
+
+
+@pytest.mark.parametrize("mode", ["append", {"staging": "append"}])
+def test_reruns_count_every_staged_trip_once(spark, scratch, mode):
+    # the per-day counts follow the staged trips, whatever the mode
+    sf = "/root/testdata/sf0.001"
+    raw = {name: (lambda fn=fn: fn(spark, sf)) for name, fn in dt_tables.RAW.items()}
+    root = scratch("pipe")
+    run_pipeline(spark, raw, root, airports=dt_tables.TEST_AIRPORTS)
+    w = run_pipeline(spark, raw, root, mode=mode, airports=dt_tables.TEST_AIRPORTS)
+    trips = sinks.scan_table(spark, w["staging.trips_data"])
+    days = sinks.scan_table(spark, w["staging.trip_day_facts"])
+    i = Inputs(spark, sf)
+    straight, counted = _trip_reports(i, None, trips), _trip_reports(i, days)
+    for name in straight:
+        assert _sorted(counted[name]) == _sorted(straight[name]), name
+    if mode != "append":  # the written reports were overwritten from the same counts
+        assert _sorted(sinks.scan_table(spark, w["summarised.rpttbl04c"])) == _sorted(straight["rpttbl04c"])
+
+
+def test_one_month_is_replaced_and_pruned(spark, scratch):
+    sf = "/root/testdata/sf0.001"
+    raw = {name: (lambda fn=fn: fn(spark, sf)) for name, fn in dt_tables.RAW.items()}
+    root = scratch("pipe")
+    w = run_pipeline(spark, raw, root, airports=dt_tables.TEST_AIRPORTS)
+    trips = sinks.scan_table(spark, w["staging.trips_data"])
+    before = {r.month_number: r["count"] for r in trips.groupBy("month_number").count().collect()}
+    march = F.date_format("trip_start", "M-yyyy") == "3-1995"
+    raw["taxi_trips"] = lambda: dt_tables.RAW["taxi_trips"](spark, sf).where(march & (F.col("dropoff_community_area") > 5))
+    run_pipeline(spark, raw, root, mode={"staging": "replace"}, airports=dt_tables.TEST_AIRPORTS)
+    trips = spark.read.parquet(w["staging.trips_data"])
+    after = {r.month_number: r["count"] for r in trips.groupBy("month_number").count().collect()}
+    assert 0 < after["3-1995"] < before["3-1995"]
+    assert {m: n for m, n in after.items() if m != "3-1995"} == {m: n for m, n in before.items() if m != "3-1995"}
+    days = sinks.scan_table(spark, w["staging.trip_day_facts"])
+    i = Inputs(spark, sf)
+    assert _sorted(_trip_reports(i, days)["rpttbl04c"]) == _sorted(_trip_reports(i, None, trips)["rpttbl04c"])
+    text = plan(day_facts_of(trips, ["3-1995"], dt_tables.TEST_AIRPORTS))
+    assert "PartitionFilters" in text and "3-1995" in text.split("PartitionFilters")[1].split("\n")[0]
+
+
+def test_exports_are_in_report_order_across_files(spark, scratch):
+    i = Inputs(spark, "/root/testdata/sf0.001")
+    days = i.days
+    frames = {
+        **_trip_reports(i, days),
+        "rpttbl05": rp.report5_waiver(i.stg_health, i.stg_permits),
+        "rpttbl06": rp.report6_loans(i.stg_permits, i.stg_health),
+    }
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for name, df in frames.items():
+            path, order = scratch("export"), rp.report_order(name)
+            table = scratch("table")
+            sinks.write_table(df.repartition(6), table)
+            sinks.write_csv(sinks.scan_table(spark, table), path, headers=schemas.REPORT_HEADERS[name], order=order)
+            files = sorted(glob.glob(path.removeprefix("file:") + "/part-*.csv"))
+            if name not in ("rpttbl05", "rpttbl06"):
+                assert len(files) >= 4, name
+            got = []
+            for f in files:
+                with open(f, newline="") as lines:
+                    got += list(csv.reader(lines))[1:]
+            want = df.orderBy(*order).collect() if order else []
+            keys = [c for c in schemas.REPORT_HEADERS[name]]
+            text = lambda v: "" if v is None else str(v)
+            if order:
+                assert len(got) == len(want)
+                used = [k for k, c in enumerate(keys) if c in {"week_start", "date", "month_number", "zip", "from_airport", "to_zip_code", "community_area", "total_fees_waived"}]
+                assert [[r[k] for k in used] for r in got] == [[text(r[keys[k]]) for k in used] for r in want], name
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")

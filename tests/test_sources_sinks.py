@@ -100,6 +100,36 @@ def test_json_documents_shape(spark):
     doc = json.loads(sinks.json_documents(df, {"week_start": "Week Start", "zip": "ZIP"}).first()[0])
     assert list(doc) == sorted(doc)
     assert doc == {"Week Start": "2024-01-07T00:00:00Z", "ZIP": 3, "severity": None, "fee": "1.50"}
+    types = {"week_start": "date", "zip": "numeric", "severity": "text", "fee": "numeric"}
+    line = sinks.json_documents(df, {"week_start": "Week Start", "zip": "ZIP"}, types).first()[0]
+    assert '"ZIP":"3"' in line and '"fee":"1.50"' in line
+
+
+def test_jdbc_options_carry_the_declared_types():
+    headers, types = schemas.REPORT_HEADERS["rpttbl04c"], schemas.report_types("rpttbl04c")
+    props = sinks.jdbc_properties(headers, types, {"user": "u"}, 4)
+    assert props == {
+        "user": "u", "batchsize": "10000", "numPartitions": "4",
+        "createTableColumnTypes": "`Date` DATE, `ZIP` NUMERIC, `Total Trip Count` NUMERIC, `Forecasted Trip Count` INTEGER",
+    }
+
+
+def test_large_csv_is_read_in_several_tasks(spark, scratch):
+    path = scratch("bigcsv")
+    header = ",".join(f.name for f in schemas.BOUNDARIES_ZIP.fields)
+    _write_text(_local(path), header + "\n" + "".join(f'"MULTIPOLYGON (((0 0, 1 0, 1 1, 0 0)))",{i},{i},0.5,1.5\n' for i in range(20000)))
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    try:
+        one, many = (ld.read_csv(spark, path, "boundaries_zip", multi_line=m) for m in (True, False))
+        assert one.rdd.getNumPartitions() == 1 and many.rdd.getNumPartitions() >= 4
+        assert many.count() == 20000 and many.agg(F.sum("zip")).first()[0] == sum(range(20000))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    stray = scratch("straycsv")
+    _write_text(_local(stray), header + '\n"say\nit",1,2,0.5,1.5\n')
+    with pytest.raises(Exception):
+        ld.read_csv(spark, stray, "boundaries_zip", multi_line=False).collect()
 
 
 def test_command_line_runs_the_zones_from_csv(spark, scratch):
@@ -114,11 +144,12 @@ def test_command_line_runs_the_zones_from_csv(spark, scratch):
         sinks.write_csv(fn(spark, sf), f"{src}/{table}", date_format=schemas.DATE_FORMATS.get(table))
     out = scratch("warehouse")
     airports = _json.dumps(dt.TEST_AIRPORTS)
-    written = main(["--src-dir", src, "--out", out, "--csv-out", "--airports", airports], spark)
+    options = ["--json-out", "--raw-points", "--single-line", "covid_by_zip"]
+    written = main(["--src-dir", src, "--out", out, "--csv-out", "--airports", airports, *options], spark)
     from helpers import oracle_count
 
     assert sinks.scan_table(spark, written["summarised.rpttbl01"]).count() == oracle_count("report1_severity", sf)
-    assert "export.rpttbl06" in written
+    assert "export.rpttbl06" in written and "export_json.rpttbl06" in written
     with pytest.raises(SystemExit):
         main(["--out", out], spark)
 
@@ -145,3 +176,10 @@ def test_write_jdbc_reaches_the_driver_lookup(spark):
     with pytest.raises(Exception) as err:
         sinks.write_jdbc(df, "jdbc:urbanlake-none://nowhere/db", "rpttbl06", headers=schemas.REPORT_HEADERS["rpttbl06"])
     assert "driver" in str(err.value).lower()
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    from urbanlake.session import is_local
+
+    assert is_local("local") and is_local("local[4]") and is_local("local[*]")
+    assert not is_local("local-cluster[2,1,1024]") and not is_local("spark://host:7077") and not is_local("yarn")

@@ -28,6 +28,11 @@ def test_stream_staging_matches_batch_and_is_incremental(spark, scratch):
     q.awaitTermination()
     streamed = spark.read.parquet(out).drop("batch_id")
 
+    # the same files again: nothing is staged twice
+    q = stage_trips_stream(spark, landing_dir + "/*", zips, areas, out, checkpoint_location=ckpt)
+    q.awaitTermination()
+    assert spark.read.parquet(out).count() == streamed.count()
+
     batch = st.stage_trips(ld.land_trips(raw), zips, areas)
     cols = ["trip_id", "trip_start", "pickup_zip", "dropoff_zip", "pickup_community_area", "week_number"]
     key = lambda r: tuple(str(x) for x in r)

@@ -6,9 +6,10 @@
 or ``python -m urbanlake …`` for a local session.  Each landing table is read
 from ``<src-dir>/<table>`` (a CSV file or a folder of CSV files) unless a
 per-table option (``--taxi-trips PATH`` …) names another path.  ``--mode``
-is ``overwrite`` (default), ``ignore``, ``append`` or ``rerun`` (what
-re-running the reference's scripts does: landing and staging append,
-existing reports are kept).  Stops with a non-zero exit status at the first
+is ``overwrite`` (default), ``ignore``, ``append``, ``replace`` (stage the
+landed months in place of what is there) or ``rerun`` (what re-running the
+reference's scripts does: landing and staging append, existing reports are
+kept).  Stops with a non-zero exit status at the first
 failure; prints the written tables as JSON.
 """
 
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 import argparse
 import json
+import os
 import sys
 
 from pyspark.sql import SparkSession
@@ -28,8 +30,16 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p = argparse.ArgumentParser(prog="urbanlake", description=__doc__.splitlines()[0])
     p.add_argument("--src-dir", help="folder holding one CSV file or folder per landing table")
     p.add_argument("--out", required=True, help="warehouse root on shared storage")
-    p.add_argument("--mode", default="overwrite", choices=["overwrite", "ignore", "append", "rerun"])
+    p.add_argument("--mode", default="overwrite", choices=["overwrite", "ignore", "append", "replace", "rerun"])
     p.add_argument("--csv-out", action="store_true", help="also export every report as CSV with headers")
+    p.add_argument("--json-out", action="store_true", help="also export every report as JSON lines")
+    p.add_argument("--jdbc-url", default=None, help="also load every report into this database (password: URBANLAKE_JDBC_PASSWORD)")
+    p.add_argument("--jdbc-user", default=None)
+    p.add_argument("--raw-points", action="store_true", help="locations do not repeat: no distinct-point lookup")
+    p.add_argument(
+        "--single-line", action="append", default=[], choices=list(LANDING_TABLES), metavar="TABLE",
+        help="this table's CSV holds no quoted newline: read each file in several tasks (repeatable)",
+    )
     p.add_argument("--airports", default=None, help='JSON {"name": [zip, ...]} (default: the reference\'s)')
     for table in LANDING_TABLES:
         p.add_argument(f"--{table.replace('_', '-')}", dest=table, default=None, help=f"path of the {table} CSV")
@@ -47,7 +57,14 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     mode = REFERENCE_RERUN_MODES if args.mode == "rerun" else args.mode
     airports = json.loads(args.airports) if args.airports else REFERENCE_AIRPORTS
     spark = spark or SparkSession.builder.appName("urbanlake").getOrCreate()
-    return run_pipeline(spark, sources, args.out, mode=mode, airports=airports, csv_out=args.csv_out)
+    jdbc = None
+    if args.jdbc_url:
+        login = {"user": args.jdbc_user, "password": os.environ.get("URBANLAKE_JDBC_PASSWORD")}
+        jdbc = {"url": args.jdbc_url, "properties": {k: v for k, v in login.items() if v}}
+    return run_pipeline(
+        spark, sources, args.out, mode=mode, airports=airports, csv_out=args.csv_out, json_out=args.json_out, jdbc=jdbc,
+        dedupe_points=not args.raw_points, multi_line={table: False for table in args.single_line},
+    )
 
 
 if __name__ == "__main__":

@@ -1,4 +1,5 @@
-"""End-to-end zone pipeline: landing → staging → summarised.
+"""End-to-end zone pipeline: landing → staging → summarised →
+publish.
 
 One Spark application instead of a chain of shell scripts.  Each zone is
 written as Parquet under ``out_root`` (shared storage on a cluster) and the
@@ -15,13 +16,13 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import sinks
+from ..functions.calendar import month_label
 from ..operators.spatial import PolygonIndex
-from ..schemas import REPORT_HEADERS
-from ..session import spread
+from ..schemas import REFERENCE_AIRPORTS, REPORT_HEADERS, report_types
 from ..sources import landing
-from ..schemas import REFERENCE_AIRPORTS
 from . import reports, staging
 
 # What re-running the reference's scripts does to each zone (S21): landing
@@ -41,67 +42,83 @@ def run_pipeline(
     mode: str | Mapping[str, str] = "overwrite",
     airports: Mapping[str, Sequence[int]] = REFERENCE_AIRPORTS,
     csv_out: bool = False,
+    json_out: bool = False,
+    jdbc: Mapping | None = None,
     dedupe_points: bool = True,
+    multi_line: Mapping[str, bool] | None = None,
 ) -> dict[str, str]:
     """Run every zone; return ``{table: path}`` of everything written.
 
     ``raw`` gives each landing table as a raw-schema DataFrame, a CSV path
-    (read with the declared schema) or a zero-argument callable.  A source
-    that arrives in only a handful of partitions is spread before the
-    per-row landing work (``session.spread``).
+    (read with the declared schema) or a zero-argument callable.
+    ``multi_line={"taxi_trips": False}`` reads that table's CSV files in
+    several tasks each: for large files known to hold no quoted newline (one
+    that does fails the job).
+
     ``mode`` is the writer mode for every table, or a ``{zone: mode}``
     mapping (zones ``landing``, ``staging``, ``summarised``, ``export``):
     ``ignore`` skips existing tables like ``CREATE TABLE IF NOT EXISTS``,
     ``append`` duplicates rows like re-running the reference's loads and
     inserts; ``REFERENCE_RERUN_MODES`` reproduces a re-run of the reference.
+    Staged trips and their per-day counts are partitioned by month:
+    ``{"staging": "replace"}`` stages what was landed now and replaces just
+    its months.  The per-day counts are derived, so they always follow the
+    staged trips, whatever the mode.
+
     ``dedupe_points=False`` skips the distinct-point lookup of the spatial
     joins, for locations that do not repeat (raw GPS).
+
+    Publishing: ``csv_out`` and ``json_out`` export every report in its order
+    under ``export/``; ``jdbc`` (``url``, and optionally ``properties``,
+    ``mode``, ``table`` as a pattern for the report's name) loads them into a
+    database.
     """
     root = out_root.rstrip("/")
     written: dict[str, str] = {}
     modes = {z: (mode if isinstance(mode, str) else mode.get(z, "overwrite")) for z in ("landing", "staging", "summarised", "export")}
 
-    def put(zone: str, name: str, df: DataFrame) -> DataFrame:
+    def put(zone: str, name: str, df: DataFrame, how: str | None = None, by: list[str] | None = None) -> DataFrame:
         path = f"{root}/{zone}/{name}"
-        sinks.write_table(df, path, mode=modes[zone])
+        sinks.write_table(df, path, mode=how or modes[zone], partition_by=by)
         written[f"{zone}.{name}"] = path
-        return sinks.scan_table(spark, path)
+        return sinks.scan_table(spark, path, schema=df.schema)
 
     land: dict[str, DataFrame] = {}
     for table in LANDING_TABLES:
         src = raw[table]
         if isinstance(src, str):
-            df = landing.read_csv(spark, src, table)
+            df = landing.read_csv(spark, src, table, multi_line=(multi_line or {}).get(table, True))
         elif callable(src) and not isinstance(src, DataFrame):
             df = src()
         else:
             df = src
-        land[table] = put("landing", table, landing.LAND[table](spread(df)))
+        land[table] = put("landing", table, landing.LAND[table](df))
 
     zips, areas = land["boundaries_zip"], land["comm_area"]
     zip_index = PolygonIndex(zips, ["zip"])
     area_index = PolygonIndex(areas, ["area_numbe"])
+    lookup = lambda name: f"{root}/staging/_point_lookup_{name}" if dedupe_points else None
     trips = put(
         "staging", "trips_data",
-        staging.stage_trips(
-            land["taxi_trips"], zip_index, area_index,
-            dedupe_points=dedupe_points, lookup_path=f"{root}/staging/_point_lookup_trips",
-        ),
+        staging.stage_trips(land["taxi_trips"], zip_index, area_index, lookup_path=lookup("trips")),
+        by=["month_number"],
     )
     covid = put("staging", "covid_by_zip", staging.stage_covid(land["covid_by_zip"]))
     ccvi = put("staging", "ccvi_by_ca", staging.stage_ccvi(land["ccvi_by_ca"]))
     permits = put(
         "staging", "building_permit",
-        staging.stage_permits(
-            land["building_permit"], zip_index, area_index,
-            dedupe_points=dedupe_points, lookup_path=f"{root}/staging/_point_lookup_permits",
-        ),
+        staging.stage_permits(land["building_permit"], zip_index, area_index, lookup_path=lookup("permits")),
     )
     health = put("staging", "public_health", staging.stage_health(land["public_health"]))
 
     # One scan of the staged trips feeds all six trip reports: small per-day
     # counts, rolled up by each report.
-    days = put("staging", "trip_day_facts", reports.trip_day_facts(trips, airports))
+    if modes["staging"] == "replace":
+        # one label per calendar month that was landed now
+        landed = land["taxi_trips"].select(month_label("trip_start").alias("m")).distinct().collect()
+        days = put("staging", "trip_day_facts", day_facts_of(trips, [r["m"] for r in landed], airports), "replace", ["month_number"])
+    else:
+        days = put("staging", "trip_day_facts", day_facts_of(trips, None, airports), "overwrite", ["month_number"])
     out = {
         "rpttbl01": reports.report1_severity(trips, covid, zips, days),
         "rpttbl02": reports.report2_airport(trips, covid, zips, airports, days),
@@ -114,8 +131,27 @@ def run_pipeline(
     }
     for name, df in out.items():
         table = put("summarised", name, df)
+        headers, types, order = REPORT_HEADERS[name], report_types(name), reports.report_order(name)
         if csv_out:
-            path = f"{root}/export/{name}"
-            sinks.write_csv(table, path, mode=modes["export"], headers=REPORT_HEADERS[name])
-            written[f"export.{name}"] = path
+            written[f"export.{name}"] = sinks.write_csv(
+                table, f"{root}/export/{name}", mode=modes["export"], headers=headers, order=order
+            )
+        if json_out:
+            written[f"export_json.{name}"] = sinks.write_json(
+                table, f"{root}/export_json/{name}", mode=modes["export"], headers=headers, types=types, order=order
+            )
+        if jdbc:
+            sinks.write_jdbc(
+                table, jdbc["url"], jdbc.get("table", "{report}").format(report=name), mode=jdbc.get("mode", "append"),
+                properties=jdbc.get("properties"), headers=headers, types=types,
+            )
     return written
+
+
+def day_facts_of(trips: DataFrame, months: Sequence[str | None] | None, airports: Mapping[str, Sequence[int]]) -> DataFrame:
+    """Per-day counts with their month, of all staged trips or of the given
+    months (labels; only their partitions are read)."""
+    if months is not None:
+        label = F.col("month_number")
+        trips = trips.where(label.isin([m for m in months if m is not None]) | (label.isNull() if None in months else F.lit(False)))
+    return reports.trip_day_facts(trips, airports).withColumn("month_number", month_label("trip_start"))

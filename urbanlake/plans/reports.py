@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -41,9 +41,33 @@ from ..operators.aggregates import (
 from ..operators.spine import dense_spine, zero_filled_left_join
 from ..schemas import REFERENCE_AIRPORTS
 
+# Fixed value: the permit type as the source spells it.
 NEW_CONSTRUCTION = "PERMIT - NEW CONSTRUCTION"
 
 
+def report_order(report: str) -> list[Column]:
+    """Row order of a report (H1-H6); none for report 6."""
+    newest = [F.col("week_start").desc_nulls_first()]
+    up = lambda *names: [F.col(n).asc_nulls_last() for n in names]
+    return {
+        "rpttbl01": [*newest, *up("zip")],
+        "rpttbl02": [*newest, *up("from_airport", "to_zip_code")],
+        "rpttbl03": [*newest, *up("community_area")],
+        "rpttbl04a": [*newest, *up("zip")],
+        "rpttbl04b": [*[cal.label_part("month_number", i).desc_nulls_first() for i in (2, 1)], *up("zip")],
+        "rpttbl04c": [F.col("date").desc_nulls_first(), *up("zip")],
+        "rpttbl05": up("total_fees_waived", "community_area"),
+        "rpttbl06": [],
+    }[report]
+
+
+def ordered(df: DataFrame, report: str) -> DataFrame:
+    """``df`` in the order of its report.  Tables are written unordered (files
+    keep no order); exports and the order keys sort."""
+    order = report_order(report)
+    return df.orderBy(*order) if order else df
+
+
 def _zips(zip_polygons: DataFrame) -> DataFrame:
     return zip_polygons.select(F.col("zip").cast("int").alias("zip"))
 
@@ -51,7 +75,7 @@ def _zips(zip_polygons: DataFrame) -> DataFrame:
 def _covid_cases(covid: DataFrame) -> DataFrame:
     """COVID side of the (ZIP, week label) join: the text ZIP is cast to a number."""
     return covid.select(
-        F.col("zip_code").cast("int").alias("_c_zip"),
+        F.col("zip_code").cast("decimal(18,2)").cast("int").alias("_c_zip"),
         F.col("week_number").alias("_c_week"),
         F.col("week_start").alias("_c_week_start"),
         F.col("cases_weekly").alias("_c_cases"),
@@ -80,6 +104,9 @@ def trip_day_facts(trips: DataFrame, airports: Mapping[str, Sequence[int]] = REF
     air = [z for zs in airports.values() for z in zs]
     is_air = F.col("pickup_zip").isin(air) & F.col("dropoff_zip").isNotNull()
     null_int = F.lit(None).cast("int")
+    # count the trips of each (day, endpoints) once; only these counts are unfolded by role
+    ends = ["pickup_zip", "dropoff_zip", "pickup_community_area", "dropoff_community_area"]
+    counted = trips.groupBy("trip_start", *ends).agg(F.count("trip_id").alias("_n"))
 
     def part(kind, k1, k2, first):
         return F.struct(kind.alias("kind"), k1.cast("int").alias("k1"), k2.alias("k2"), F.lit(first).alias("_a"))
@@ -91,13 +118,12 @@ def trip_day_facts(trips: DataFrame, airports: Mapping[str, Sequence[int]] = REF
         part(F.lit("area"), F.col("dropoff_community_area"), null_int, False),
         part(F.when(is_air, F.lit("air")), F.col("pickup_zip"), F.col("dropoff_zip").cast("int"), True),
     )
-    ex = trips.select("trip_start", "trip_id", F.inline(parts)).where(
+    ex = counted.select("trip_start", "_n", F.inline(parts)).where(
         F.col("kind").isNotNull() & ((F.col("kind") != "area") | (F.col("k1") != 0))
     )
-    tid = F.col("trip_id")
     return ex.groupBy("kind", "trip_start", "k1", "k2").agg(
-        F.count(F.when(F.col("_a"), tid)).alias("n_a"),
-        F.count(F.when(~F.col("_a"), tid)).alias("n_b"),
+        F.sum(F.when(F.col("_a"), F.col("_n")).otherwise(0)).alias("n_a"),
+        F.sum(F.when(~F.col("_a"), F.col("_n")).otherwise(0)).alias("n_b"),
         F.max(F.col("_a")).alias("has_a"),
         F.max(~F.col("_a")).alias("has_b"),
     )
@@ -224,7 +250,7 @@ def report1_severity(
         qs["q1_total_trip_count"], qs["q3_total_trip_count"],
         qs["q1_weekly_positive_cases"], qs["q3_weekly_positive_cases"],
     )
-    out = report1_averages(base).withColumn("_q", report1_quartiles(base, approx_quartiles)).select(
+    return report1_averages(base).withColumn("_q", report1_quartiles(base, approx_quartiles)).select(
         "week_start",
         cal.prefix_label("week_number").alias("week_number"),
         "zip",
@@ -233,7 +259,6 @@ def report1_severity(
         severity(F.col("total_trip_count"), F.col("weekly_positive_cases"), *bounds).alias("severity"),
         severity(F.col("avg_trip_count"), F.col("avg_cases"), *bounds).alias("forecasted_severity"),
     )
-    return out.orderBy(F.col("week_start").desc_nulls_first(), F.col("zip").asc_nulls_last())
 
 
 # --------------------------------------------------------------------------- 2
@@ -278,7 +303,7 @@ def report2_airport(
         {"trip_count": "n"},
     )
     cov = _covid_cases(covid)
-    out = base.join(cov, (base["zip"] == cov["_c_zip"]) & (base["week_number"] == cov["_c_week"]), "left").select(
+    return base.join(cov, (base["zip"] == cov["_c_zip"]) & (base["week_number"] == cov["_c_week"]), "left").select(
         F.col("_c_week_start").alias("week_start"),
         cal.prefix_label("week_number").alias("week_number"),
         F.col("airport").alias("from_airport"),
@@ -286,11 +311,6 @@ def report2_airport(
         "trip_count",
         F.coalesce(F.col("_c_cases"), F.lit(0)).cast("long").alias("weekly_positive_cases"),
     )
-    return out.orderBy(
-        F.col("week_start").desc_nulls_first(),
-        F.col("from_airport").asc_nulls_last(),
-        F.col("to_zip_code").asc_nulls_last(),
-    )
 
 
 # --------------------------------------------------------------------------- 3
@@ -360,7 +380,7 @@ def report3_ccvi(trips: DataFrame | None, ccvi: DataFrame, days: DataFrame | Non
     high = ccvi.where(F.upper(F.col("ccvi_category")) == "HIGH")
     weekly = area_week_counts_from_days(days) if days is not None else area_week_counts(trips)
     counts = weekly.withColumnRenamed("community_area", "_area")
-    out = high.join(counts, high["community_area"] == counts["_area"], "left").select(
+    return high.join(counts, high["community_area"] == counts["_area"], "left").select(
         cal.prefix_label("week_number").alias("week_number"),
         "week_start",
         high["community_area"],
@@ -368,7 +388,6 @@ def report3_ccvi(trips: DataFrame | None, ccvi: DataFrame, days: DataFrame | Non
         "trips_to",
         "ccvi_category",
     )
-    return out.orderBy(F.col("week_start").desc_nulls_first(), F.col("community_area").asc_nulls_last())
 
 
 # --------------------------------------------------------------------------- 4
@@ -402,7 +421,7 @@ def report4a_weekly(trips: DataFrame | None, zip_polygons: DataFrame, days: Data
         "zip",
         "total_trip_count",
         "forecasted_trip_count",
-    ).orderBy(F.col("week_start").desc_nulls_first(), F.col("zip").asc_nulls_last())
+    )
 
 
 def report4b_monthly(trips: DataFrame | None, zip_polygons: DataFrame, days: DataFrame | None = None) -> DataFrame:
@@ -413,18 +432,14 @@ def report4b_monthly(trips: DataFrame | None, zip_polygons: DataFrame, days: Dat
         cal.label_part("month_number", 1).desc_nulls_first(),
     ]
     b = _traffic_forecast(trips, zip_polygons, ["month_number"], "month", "month_number", order, days)
-    return b.select("month_number", "zip", "total_trip_count", "forecasted_trip_count").orderBy(
-        *order, F.col("zip").asc_nulls_last()
-    )
+    return b.select("month_number", "zip", "total_trip_count", "forecasted_trip_count")
 
 
 def report4c_daily(trips: DataFrame | None, zip_polygons: DataFrame, days: DataFrame | None = None) -> DataFrame:
     """RPTTBL04C: daily totals per ZIP and forecast."""
     order = [F.col("date").desc_nulls_first()]
     b = _traffic_forecast(trips, zip_polygons, ["date"], "day", "date", order, days)
-    return b.select("date", "zip", "total_trip_count", "forecasted_trip_count").orderBy(
-        F.col("date").desc_nulls_first(), F.col("zip").asc_nulls_last()
-    )
+    return b.select("date", "zip", "total_trip_count", "forecasted_trip_count")
 
 
 # --------------------------------------------------------------------------- 5
@@ -445,12 +460,11 @@ def report5_waiver(health: DataFrame, permits: DataFrame, k: int = 5) -> DataFra
     """
     top = neediest_areas(health, k)
     fees = permits.groupBy(F.col("community_area").alias("_area")).agg(F.sum("subtotal_unpaid").alias("_fees"))
-    out = (
+    return (
         top.join(fees, top["community_area"] == fees["_area"], "left")
         .groupBy("community_area")
         .agg(F.sum("_fees").cast(schemas.MONEY_SUM).alias("total_fees_waived"))
     )
-    return out.orderBy(F.col("total_fees_waived").asc_nulls_last(), F.col("community_area").asc_nulls_last())
 
 
 # --------------------------------------------------------------------------- 6

@@ -177,20 +177,31 @@ REPORT_HEADERS = {
     "rpttbl06": {"zip": "ZIP", "permit_id": "Permit ID - ELIGIBLE FOR LOAN"},
 }
 
-# Report column types, in report column order (FIXTURES §2).
-REPORT_TYPES = {
-    "rpttbl01": [D, S, I, L, L, S, S],
-    "rpttbl02": [D, S, S, I, L, L],
-    "rpttbl03": [S, D, I, L, L, S],
-    "rpttbl04a": [S, D, I, L, I],
-    "rpttbl04b": [S, I, L, I],
-    "rpttbl04c": [D, I, L, I],
-    "rpttbl05": [I, MONEY_SUM],
-    "rpttbl06": [I, S],
+# Declared type of each report column, in report column order.
+REPORT_SQL_TYPES = {
+    "rpttbl01": ["date", "text", "numeric", "numeric", "numeric", "text", "text"],
+    "rpttbl02": ["date", "text", "text", "numeric", "bigint", "numeric"],
+    "rpttbl03": ["text", "date", "numeric", "bigint", "bigint", "text"],
+    "rpttbl04a": ["text", "date", "numeric", "numeric", "integer"],
+    "rpttbl04b": ["text", "numeric", "numeric", "integer"],
+    "rpttbl04c": ["date", "numeric", "numeric", "integer"],
+    "rpttbl05": ["numeric", "numeric"],
+    "rpttbl06": ["numeric", "text"],
 }
 
+# What a declared type is here; the numeric columns hold counts and keys but
+# for the fees.
+_FROM_SQL = {"date": D, "text": S, "bigint": L, "integer": I, "numeric": L}
+_NUMERIC = {
+    "zip": I, "to_zip_code": I, "community_area": I, "total_fees_waived": MONEY_SUM,
+}
+
+
+def report_types(report: str) -> dict[str, str]:
+    """Declared type by (snake_case) column of a report, in column order."""
+    return dict(zip(REPORT_HEADERS[report], REPORT_SQL_TYPES[report]))
+
 
 def report_schema(report: str) -> StructType:
     """Typed schema of a report with snake_case names (for re-loading its CSV)."""
-    names = list(REPORT_HEADERS[report])
-    return _schema(*zip(names, REPORT_TYPES[report]))
+    return _schema(*[(n, _NUMERIC.get(n, _FROM_SQL[t])) for n, t in report_types(report).items()])

@@ -9,11 +9,11 @@ the driver.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, DecimalType
+from pyspark.sql.types import DateType, DecimalType, StructType
 
 from .. import schemas
 from ..sources.landing import csv_options
@@ -30,9 +30,17 @@ def write_table(
     """Write ``df`` as a table directory (B1 create-if-absent, B2 append).
 
     Parquet is written with zstd by default: smaller files than snappy, so
-    every later scan of the zone reads fewer bytes.
+    every later scan of the zone reads fewer bytes.  ``partition_by`` deals
+    the rows out by partition value first (a rebalance, so that a large
+    partition still goes to several tasks and a small one to one file).
+    ``mode="replace"`` overwrites only the partitions that ``df`` has rows
+    for; without ``partition_by`` it is ``overwrite``.
     """
-    w = df.write.mode(mode).format(fmt)
+    if partition_by:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    w = df.write.mode("overwrite" if mode == "replace" else mode).format(fmt)
+    if mode == "replace" and partition_by:
+        w = w.option("partitionOverwriteMode", "dynamic")
     if compression and fmt == "parquet":
         w = w.option("compression", compression)
     if partition_by:
@@ -41,9 +49,11 @@ def write_table(
     return path
 
 
-def scan_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Full scan of a written table."""
-    return spark.read.format(fmt).load(path)
+def scan_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | None = None) -> DataFrame:
+    """Full scan of a written table (A11); ``schema`` keeps the declared types
+    of partition columns."""
+    reader = spark.read.format(fmt)
+    return (reader.schema(schema) if schema else reader).load(path)
 
 
 def _rename(df: DataFrame, headers: Mapping[str, str] | None) -> DataFrame:
@@ -58,9 +68,12 @@ def write_csv(
     mode: str = "overwrite",
     headers: Mapping[str, str] | None = None,
     date_format: str | None = None,
+    order: Sequence[Column] = (),
 ) -> str:
     """CSV with a header line (B3): one directory, one part file per task.
 
+    With ``order`` the rows are sorted across the part files: read in file
+    name order, they are the report in its order.
     Quotes inside fields are doubled, so the file re-loads with the
     ``COPY``-compatible reader.  ``date_format`` renders date columns as
     text first (e.g. the trip file's ``MM/dd/yyyy hh:mm:ss a``).
@@ -75,6 +88,7 @@ def write_csv(
     opts = {k: v for k, v in csv_options().items() if k in ("header", "sep", "quote", "escape")}
     # The writer trims spaces by default; padded values (' CA ') must survive.
     opts.update(ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false")
+    df = df.orderBy(*order) if order else df
     _rename(df, headers).write.mode(mode).options(**opts).csv(path)
     return path
 
@@ -84,32 +98,60 @@ def read_report_csv(spark: SparkSession, path: str, report: str) -> DataFrame:
     return spark.read.schema(schemas.report_schema(report)).options(**csv_options()).csv(path)
 
 
-def json_documents(df: DataFrame, headers: Mapping[str, str] | None = None) -> DataFrame:
+def json_documents(
+    df: DataFrame, headers: Mapping[str, str] | None = None, types: Mapping[str, str] | None = None
+) -> DataFrame:
     """One JSON object per row, shaped like the reference's service output.
 
     Keys are the (renamed) column names in sorted order; NULL is kept as
-    ``null``; dates become ``yyyy-MM-ddT00:00:00Z``; decimals become strings
-    (the database driver hands ``numeric`` over as text); integers and
-    doubles stay numbers.
+    ``null``; dates become ``yyyy-MM-ddT00:00:00Z``.  ``types`` names the
+    declared type of each column (``schemas.report_types``): ``numeric`` is
+    text, because the database driver hands it over as text; ``bigint`` and
+    ``integer`` stay numbers.  Without it decimals count as numeric.
     """
     named = []
     for f in df.schema.fields:
         c = F.col(f.name)
         if isinstance(f.dataType, DateType):
             c = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
-        elif isinstance(f.dataType, DecimalType):
+        elif (types or {}).get(f.name) == "numeric" or (not types and isinstance(f.dataType, DecimalType)):
             c = c.cast("string")
         named.append(((headers or {}).get(f.name, f.name), c))
     cols = [c.alias(name) for name, c in sorted(named, key=lambda nc: nc[0])]
     return df.select(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("value"))
 
 
-def write_json(df: DataFrame, path: str, mode: str = "overwrite", headers: Mapping[str, str] | None = None) -> str:
-    """JSON lines of ``json_documents``."""
-    json_documents(df, headers).write.mode(mode).text(path)
+def write_json(
+    df: DataFrame,
+    path: str,
+    mode: str = "overwrite",
+    headers: Mapping[str, str] | None = None,
+    types: Mapping[str, str] | None = None,
+    order: Sequence[Column] = (),
+) -> str:
+    """JSON lines of ``json_documents`` (B5), sorted across files by ``order``."""
+    df = df.orderBy(*order) if order else df
+    json_documents(df, headers, types).write.mode(mode).text(path)
     return path
 
 
+def jdbc_properties(
+    headers: Mapping[str, str] | None = None,
+    types: Mapping[str, str] | None = None,
+    properties: Mapping[str, str] | None = None,
+    num_partitions: int = 8,
+) -> dict[str, str]:
+    """Writer options of ``write_jdbc``: batched inserts over ``num_partitions``
+    connections, and the declared column types for a table it has to create."""
+    props = dict(properties or {})
+    props.setdefault("batchsize", "10000")
+    props.setdefault("numPartitions", str(num_partitions))
+    if types:
+        names = {c: (headers or {}).get(c, c) for c in types}
+        props.setdefault("createTableColumnTypes", ", ".join(f"`{names[c]}` {t.upper()}" for c, t in types.items()))
+    return props
+
+
 def write_jdbc(
     df: DataFrame,
     url: str,
@@ -118,10 +160,9 @@ def write_jdbc(
     properties: Mapping[str, str] | None = None,
     num_partitions: int = 8,
     headers: Mapping[str, str] | None = None,
+    types: Mapping[str, str] | None = None,
 ) -> None:
-    """Publish to a relational database (B4): ``num_partitions`` parallel
-    connections, batched inserts.  Needs the JDBC driver on the classpath."""
-    props = dict(properties or {})
-    props.setdefault("batchsize", "10000")
-    props.setdefault("numPartitions", str(num_partitions))
-    _rename(df, headers).coalesce(num_partitions).write.jdbc(url, table, mode=mode, properties=props)
+    """Publish to a relational database (B4).  Needs the JDBC driver on the
+    classpath; Spark itself narrows the write to ``numPartitions``."""
+    props = jdbc_properties(headers, types, properties, num_partitions)
+    _rename(df, headers).write.jdbc(url, table, mode=mode, properties=props)

@@ -33,7 +33,6 @@ from ..operators.spatial import PolygonIndex
 from ..plans.reports import trip_day_facts
 from ..plans.staging import stage_trips
 from ..schemas import REFERENCE_AIRPORTS
-from ..session import shared_dir
 from ..sources.landing import csv_options, land_trips
 
 
@@ -43,7 +42,7 @@ def stage_trips_stream(
     zip_polygons: DataFrame | PolygonIndex,
     areas: DataFrame | PolygonIndex,
     out_path: str,
-    checkpoint_location: str | None = None,
+    checkpoint_location: str,
     available_now: bool = True,
     multi_line: bool = True,
     max_files_per_trigger: int | None = None,
@@ -55,6 +54,8 @@ def stage_trips_stream(
 
     ``available_now`` processes what is there and stops (a scheduled
     incremental job); otherwise it keeps running with the default trigger.
+    ``checkpoint_location`` belongs to ``out_path``: it remembers which files
+    were staged, so a restart neither skips nor repeats one.
     Polygon layers are indexed once, outside the stream.
     """
     opts = csv_options(schemas.DATE_FORMATS["taxi_trips"], multi_line)
@@ -67,8 +68,12 @@ def stage_trips_stream(
     root = out_path.rstrip("/")
 
     def stage_batch(batch: DataFrame, batch_id: int) -> None:
-        staged = stage_trips(batch, zi, ai, dedupe_points=dedupe_points, lookup_path=f"{root}/_point_lookup")
-        sinks.write_table(staged, f"{root}/batch_id={batch_id}", mode="overwrite")
+        batch = batch.persist()  # parsed once for the lookup and the staging
+        try:
+            staged = stage_trips(batch, zi, ai, lookup_path=f"{root}/_point_lookup" if dedupe_points else None)
+            sinks.write_table(staged, f"{root}/batch_id={batch_id}", mode="overwrite")
+        finally:
+            batch.unpersist()
         if facts_path:
             written = sinks.scan_table(spark, f"{root}/batch_id={batch_id}")
             sinks.write_table(
@@ -77,7 +82,7 @@ def stage_trips_stream(
 
     writer = (
         landed.writeStream.foreachBatch(stage_batch)
-        .option("checkpointLocation", checkpoint_location or shared_dir(spark, "stage-trips-stream"))
+        .option("checkpointLocation", checkpoint_location)
         .queryName(f"stage_trips_stream_{abs(hash(root)) % 10**8}")
     )
     writer = writer.trigger(availableNow=True) if available_now else writer
