@@ -28,7 +28,7 @@ from ..plans.pipeline import run_pipeline
 from ..session import shared_dir
 from ..sources import driver_tables as dt
 from ..sources import landing as ld
-from .sql_oracle import MIDWAY, OHARE, with_ctes
+from .sql_oracle import PERIODS, with_ctes
 
 AIRPORTS = dt.TEST_AIRPORTS
 AIRPORT_ZIPS = [z for zs in AIRPORTS.values() for z in zs]
@@ -91,7 +91,7 @@ class Inputs:
 
     @cached_property
     def stg_trips(self) -> DataFrame:
-        return st.stage_trips(self.trips, self.zip_index, self.area_index)
+        return st.stage_trips(self.trips, self.zip_index, self.area_index, lookup_path=shared_dir(self.spark, "trip-points"))
 
     @cached_property
     def stg_covid(self) -> DataFrame:
@@ -103,7 +103,7 @@ class Inputs:
 
     @cached_property
     def stg_permits(self) -> DataFrame:
-        return st.stage_permits(self.permits, self.zip_index, self.area_index)
+        return st.stage_permits(self.permits, self.zip_index, self.area_index, lookup_path=shared_dir(self.spark, "permit-points"))
 
     @cached_property
     def stg_health(self) -> DataFrame:
@@ -273,28 +273,69 @@ def geo_parse_multipolygon(spark, sf):
 _R1_COLS = "week_start, week_number, zip, total_trip_count, weekly_positive_cases, severity, forecasted_severity"
 
 
-@query("report_csv_roundtrip", f"SELECT {_R1_COLS} FROM r1")
+_REPORT_CTES = {
+    "rpttbl01": "r1", "rpttbl02": "r2", "rpttbl03": "r3", "rpttbl04a": "r4a", "rpttbl04b": "r4b", "rpttbl04c": "r4c",
+    "rpttbl05": "r5", "rpttbl06": "r6",
+}
+
+
+def _all_reports(i: Inputs) -> dict[str, DataFrame]:
+    return {
+        "rpttbl01": rp.report1_severity(None, i.stg_covid, i.zips, i.days),
+        "rpttbl02": rp.report2_airport(None, i.stg_covid, i.zips, AIRPORTS, i.days),
+        "rpttbl03": rp.report3_ccvi(None, i.stg_ccvi, i.days),
+        "rpttbl04a": rp.report4a_weekly(None, i.zips, i.days),
+        "rpttbl04b": rp.report4b_monthly(None, i.zips, i.days),
+        "rpttbl04c": rp.report4c_daily(None, i.zips, i.days),
+        "rpttbl05": rp.report5_waiver(i.stg_health, i.stg_permits),
+        "rpttbl06": rp.report6_loans(i.stg_permits, i.stg_health),
+    }
+
+
+def _as_text(reports: dict[str, DataFrame]) -> DataFrame:
+    """Rows of several reports as one table: report, and the row's fields
+    joined by ``|`` in report column order, NULL as ``-``."""
+    out = None
+    for name, df in reports.items():
+        fields = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in schemas.REPORT_HEADERS[name]]
+        part = df.select(F.lit(name).alias("report"), F.concat_ws("|", *fields).alias("fields"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+_ALL_REPORTS_SQL = "\nUNION ALL\n".join(
+    "SELECT '{0}' AS report, concat_ws('|', {1}) AS fields FROM {2}".format(
+        name, ", ".join(f"ifnull(CAST({c} AS VARCHAR), '-')" for c in schemas.REPORT_HEADERS[name]), cte
+    )
+    for name, cte in _REPORT_CTES.items()
+)
+
+
+@query("report_csv_roundtrip", _ALL_REPORTS_SQL)
 def report_csv_roundtrip(spark, sf):
-    i = Inputs(spark, sf)
-    path = shared_dir(spark, "report_csv_roundtrip")
-    sinks.write_csv(rp.report1_severity(i.stg_trips, i.stg_covid, i.zips), path, headers=schemas.REPORT_HEADERS["rpttbl01"])
-    return sinks.read_report_csv(spark, path, "rpttbl01")
+    back = {}
+    for name, df in _all_reports(Inputs(spark, sf)).items():
+        path = shared_dir(spark, f"report_csv_{name}")
+        sinks.write_csv(df, path, headers=schemas.REPORT_HEADERS[name], order=rp.report_order(name))
+        back[name] = sinks.read_report_csv(spark, path, name)
+    return _as_text(back)
 
 
-@query("scan_report", "SELECT * FROM r3")
+@query("scan_report", _ALL_REPORTS_SQL)
 def scan_report(spark, sf):
-    i = Inputs(spark, sf)
-    path = shared_dir(spark, "scan_report")
-    sinks.write_table(rp.report3_ccvi(i.stg_trips, i.stg_ccvi), path)
-    return sinks.scan_table(spark, path)
+    back = {}
+    for name, df in _all_reports(Inputs(spark, sf)).items():
+        path = shared_dir(spark, f"scan_{name}")
+        sinks.write_table(df, path)
+        back[name] = sinks.scan_table(spark, path)
+    return _as_text(back)
 
 
-@query("airport_dim", f"""
-SELECT a.airport, CAST(coalesce(c.n, 0) AS BIGINT) AS trips
+@query("airport_dim", """
+SELECT airport, CAST(coalesce(c.n, 0) AS BIGINT) AS trips
 FROM airport a LEFT JOIN (
-    SELECT CASE WHEN pickup_zip = {MIDWAY} THEN 'Midway' WHEN pickup_zip IN ({OHARE}) THEN 'O''Hare' END AS a,
-           count(trip_id) AS n
-    FROM stg_trips WHERE pickup_zip IN ({MIDWAY}, {OHARE}) GROUP BY 1) c ON a.airport = c.a""")
+    SELECT airport, count(trip_id) AS n FROM airport_zip z JOIN stg_trips t ON t.pickup_zip = z.zip GROUP BY airport) c
+  USING (airport)""")
 def airport_dim_q(spark, sf):
     i = Inputs(spark, sf)
     dim = rp.airport_dim(spark, AIRPORTS)
@@ -326,16 +367,33 @@ def sink_append(spark, sf):
     return sinks.scan_table(spark, path)
 
 
-@query("sink_json_report", """
-SELECT strftime(date, '%Y-%m-%dT%H:%M:%SZ') AS date, zip, total_trip_count, forecasted_trip_count FROM r4c""")
+def _json_sql(name: str, cte: str) -> str:
+    """The raw JSON line of each report row, keys in order."""
+    headers, types = schemas.REPORT_HEADERS[name], schemas.report_types(name)
+    parts = []
+    for c, h in sorted(headers.items(), key=lambda x: x[1]):
+        if types[c] == "date":
+            value = f"""'"' || strftime({c}, '%Y-%m-%dT00:00:00Z') || '"'"""
+        elif types[c] in ("bigint", "integer"):
+            value = f"CAST({c} AS VARCHAR)"
+        else:
+            value = f"""'"' || CAST({c} AS VARCHAR) || '"'"""
+        parts.append(f"""'"{h}":' || ifnull({value}, 'null')""")
+    line = " || ',' || ".join(parts)
+    return f"SELECT '{name}' AS report, '{{' || {line} || '}}' AS line FROM {cte}"
+
+
+@query("sink_json_report", "\nUNION ALL\n".join(_json_sql(name, cte) for name, cte in _REPORT_CTES.items()))
 def sink_json_report(spark, sf):
-    i = Inputs(spark, sf)
-    path = shared_dir(spark, "sink_json_report")
-    headers = schemas.REPORT_HEADERS["rpttbl04c"]
-    sinks.write_json(rp.report4c_daily(i.stg_trips, i.zips), path, headers=headers)
-    schema = "`Date` string, `ZIP` int, `Total Trip Count` bigint, `Forecasted Trip Count` int"
-    back = spark.read.schema(schema).json(path)
-    return back.select(*[F.col(f"`{h}`").alias(n) for n, h in headers.items()])
+    out = None
+    for name, df in _all_reports(Inputs(spark, sf)).items():
+        path = shared_dir(spark, f"json_{name}")
+        sinks.write_json(
+            df, path, headers=schemas.REPORT_HEADERS[name], types=schemas.report_types(name), order=rp.report_order(name)
+        )
+        part = spark.read.text(path).select(F.lit(name).alias("report"), F.col("value").alias("line"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 # ================================================ 2.3 projections and derived
@@ -395,7 +453,7 @@ def cal_month_label(spark, sf):
 
 @query("impute_area", """
 SELECT t.trip_id, t.pickup_community_area AS own_area, h.area AS matched_area,
-       coalesce(nullif(t.pickup_community_area, 0), h.area) AS community_area
+       list_filter([t.pickup_community_area, h.area], lambda n: n <> 0)[1] AS community_area
 FROM trips_l t LEFT JOIN area_hit h ON h.x = t.px AND h.y = t.py""")
 def impute_area_q(spark, sf):
     i = Inputs(spark, sf)
@@ -416,25 +474,22 @@ def prefix_label(spark, sf):
 
 
 @query("zero_fill", """
-SELECT z.zip, CAST(coalesce(c.n, 0) AS BIGINT) AS total_cases
-FROM zips z LEFT JOIN (
-    SELECT CAST(zip_code AS INTEGER) AS zc, sum(cases_weekly) AS n FROM stg_covid GROUP BY 1) c ON z.zip = c.zc""")
+SELECT zip, CAST(ifnull(sum(cases), 0) AS BIGINT) AS total_cases FROM zips LEFT JOIN covid_cells USING (zip) GROUP BY zip""")
 def zero_fill(spark, sf):
     i = Inputs(spark, sf)
     cases = i.stg_covid.groupBy(F.col("zip_code").cast("int").alias("_zc")).agg(F.sum("cases_weekly").alias("n"))
     return zero_filled_left_join(i.zip_keys, cases, [("zip", "_zc")], {"total_cases": "n"})
 
 
-@query("full_outer_merge", "SELECT * FROM fttc")
+@query("full_outer_merge", "SELECT week_number, week_start, community_area, trips_from, trips_to FROM area_weeks")
 def full_outer_merge(spark, sf):
     return rp.area_week_counts(Inputs(spark, sf).stg_trips)
 
 
-@query("airport_from_zip", f"""
-SELECT pickup_zip,
-       CASE WHEN pickup_zip = {MIDWAY} THEN 'Midway' WHEN pickup_zip IN ({OHARE}) THEN 'O''Hare' END AS airport,
-       count(trip_id) AS n
-FROM stg_trips WHERE pickup_zip IS NOT NULL GROUP BY 1, 2""")
+@query("airport_from_zip", """
+SELECT pickup_zip, airport, n
+FROM (SELECT pickup_zip, count(trip_id) AS n FROM stg_trips WHERE pickup_zip IS NOT NULL GROUP BY pickup_zip) p
+LEFT JOIN airport_zip z ON z.zip = p.pickup_zip""")
 def airport_from_zip_q(spark, sf):
     t = Inputs(spark, sf).stg_trips.where(F.col("pickup_zip").isNotNull())
     return t.groupBy("pickup_zip", airport_from_zip("pickup_zip", AIRPORTS).alias("airport")).agg(
@@ -465,7 +520,7 @@ def severity_forecast(spark, sf):
 # ==================================================== 2.4 filters, predicates
 @query("filter_any_location", """
 SELECT trip_id, px AS pickup_x, py AS pickup_y, dx AS dropoff_x, dy AS dropoff_y
-FROM trips_l WHERE px IS NOT NULL OR dx IS NOT NULL""")
+FROM trips_l WHERE coalesce(px, dx) IS NOT NULL""")
 def filter_any_location(spark, sf):
     t = Inputs(spark, sf).trips
     return t.where(F.col("pickup_point").isNotNull() | F.col("dropoff_point").isNotNull()).select(
@@ -475,7 +530,7 @@ def filter_any_location(spark, sf):
 
 @query("filter_known_zip", """
 SELECT zip_code, week_start, cases_weekly FROM covid_l
-WHERE zip_code IS NOT NULL AND zip_code <> 'Unknown' AND loc_x IS NOT NULL""")
+WHERE loc_x IS NOT NULL AND ifnull(zip_code, 'Unknown') <> 'Unknown'""")
 def filter_known_zip(spark, sf):
     c = Inputs(spark, sf).covid
     known = F.col("zip_code").isNotNull() & (F.col("zip_code") != "Unknown") & F.col("zip_point").isNotNull()
@@ -488,9 +543,9 @@ def filter_trim_eq(spark, sf):
     return c.where(F.trim("geography_type") == "CA").select("geography_type", "area_or_zip", "ccvi_category")
 
 
-@query("filter_in_list", f"""
+@query("filter_in_list", """
 SELECT trip_id, pickup_zip, dropoff_zip, week_number FROM stg_trips
-WHERE pickup_zip IN ({MIDWAY}, {OHARE}) AND dropoff_zip IS NOT NULL""")
+WHERE dropoff_zip IS NOT NULL AND pickup_zip IN (SELECT zip FROM airport_zip)""")
 def filter_in_list(spark, sf):
     t = Inputs(spark, sf).stg_trips
     return t.where(F.col("pickup_zip").isin(AIRPORT_ZIPS) & F.col("dropoff_zip").isNotNull()).select(
@@ -500,13 +555,13 @@ def filter_in_list(spark, sf):
 
 @query("filter_nonzero", """
 SELECT trip_id, pickup_community_area FROM trips_l
-WHERE pickup_community_area IS NOT NULL AND pickup_community_area <> 0""")
+WHERE pickup_community_area <> 0""")
 def filter_nonzero(spark, sf):
     t = dt.trips_raw(spark, sf)
     return t.where(F.col("pickup_community_area") != 0).select("trip_id", "pickup_community_area")
 
 
-@query("filter_upper_eq", "SELECT * FROM stg_ccvi WHERE upper(ccvi_category) = 'HIGH'")
+@query("filter_upper_eq", "SELECT * FROM stg_ccvi WHERE ccvi_category ILIKE 'high'")
 def filter_upper_eq(spark, sf):
     return Inputs(spark, sf).stg_ccvi.where(F.upper("ccvi_category") == "HIGH")
 
@@ -574,34 +629,33 @@ def spine_week_zip_airport(spark, sf):
     return dense_spine(i.stg_covid.select("week_number"), rp.airport_dim(spark, AIRPORTS), i.zip_keys)
 
 
-@query("spine_tripweek_zip", "SELECT DISTINCT t.week_number, t.week_start, z.zip FROM stg_trips t, zips z")
+@query("spine_tripweek_zip", "SELECT week_number, week_start, zip FROM cells_weekstart")
 def spine_tripweek_zip(spark, sf):
     i = Inputs(spark, sf)
     return dense_spine(i.stg_trips.select("week_number", "week_start"), i.zip_keys)
 
 
-@query("spine_month_zip", "SELECT DISTINCT t.month_number, z.zip FROM stg_trips t, zips z")
+@query("spine_month_zip", "SELECT month_number, zip FROM cells_month")
 def spine_month_zip(spark, sf):
     i = Inputs(spark, sf)
     return dense_spine(i.stg_trips.select("month_number"), i.zip_keys)
 
 
-@query("spine_day_zip", "SELECT DISTINCT t.trip_start AS date, z.zip FROM stg_trips t, zips z")
+@query("spine_day_zip", "SELECT trip_start AS date, zip FROM cells_day")
 def spine_day_zip(spark, sf):
     i = Inputs(spark, sf)
     return dense_spine(i.stg_trips.select(F.col("trip_start").alias("date")), i.zip_keys)
 
 
-@query("spine_left_counts", "SELECT * FROM r4c_base")
+@query("spine_left_counts", "SELECT trip_start AS date, zip, total_trip_count FROM cells_day")
 def spine_left_counts(spark, sf):
     i = Inputs(spark, sf)
     return rp.report4c_daily(i.stg_trips, i.zips).drop("forecasted_trip_count")
 
 
 @query("left_join_cast_key", """
-SELECT awz.week_number, awz.zip, cbz.week_start, CAST(coalesce(cbz.cases_weekly, 0) AS BIGINT) AS weekly_positive_cases
-FROM covid_weeks_zips awz
-LEFT JOIN stg_covid cbz ON awz.zip = CAST(cbz.zip_code AS INTEGER) AND awz.week_number = cbz.week_number""")
+SELECT week_number, zip, week_start, CAST(ifnull(cases, 0) AS BIGINT) AS weekly_positive_cases
+FROM covid_weeks_zips LEFT JOIN covid_cells USING (week_number, zip)""")
 def left_join_cast_key(spark, sf):
     i = Inputs(spark, sf)
     spine = dense_spine(i.stg_covid.select("week_number"), i.zip_keys)
@@ -632,12 +686,10 @@ def _left_join_3key(i: Inputs) -> DataFrame:
 
 
 @query("left_join_dim_fact", """
-SELECT c.community_area, c.ccvi_category, f.n AS trips_from
-FROM stg_ccvi c LEFT JOIN (
-    SELECT pickup_community_area AS area, count(trip_id) AS n FROM stg_trips
-    WHERE pickup_community_area IS NOT NULL AND pickup_community_area <> 0 GROUP BY 1) f
-  ON c.community_area = f.area
-WHERE upper(c.ccvi_category) = 'HIGH'""")
+SELECT community_area, ccvi_category, n AS trips_from
+FROM (FROM stg_ccvi WHERE ccvi_category ILIKE 'high')
+LEFT JOIN (SELECT area AS community_area, count(trip_id) AS n FROM stg_ends WHERE role = 'pickup' GROUP BY area)
+  USING (community_area)""")
 def left_join_dim_fact(spark, sf):
     i = Inputs(spark, sf)
     high = i.stg_ccvi.where(F.upper("ccvi_category") == "HIGH")
@@ -656,9 +708,7 @@ def topk_left_join_sum(spark, sf):
 
 
 @query("inner_join_area", """
-SELECT bp.permit_no, bp.community_area, ph.per_capita_income
-FROM stg_permits bp JOIN stg_health ph ON bp.community_area = ph.community_area
-WHERE trim(bp.permit_type) = 'PERMIT - NEW CONSTRUCTION'""")
+SELECT permit_no, community_area, per_capita_income FROM new_buildings JOIN stg_health USING (community_area)""")
 def inner_join_area(spark, sf):
     i = Inputs(spark, sf)
     nc = rp.new_construction(i.stg_permits)
@@ -667,8 +717,7 @@ def inner_join_area(spark, sf):
 
 
 @query("inner_join_min_zip", """
-SELECT bp.zip, bp.permit_no FROM stg_permits bp JOIN ncc_min z ON bp.zip = z.zip
-WHERE trim(bp.permit_type) = 'PERMIT - NEW CONSTRUCTION'""")
+SELECT zip, permit_no FROM new_buildings WHERE zip IN (SELECT zip FROM least_built)""")
 def inner_join_min_zip(spark, sf):
     i = Inputs(spark, sf)
     nc = rp.new_construction(i.stg_permits)
@@ -676,21 +725,18 @@ def inner_join_min_zip(spark, sf):
     return nc.join(z, nc["zip"] == z["_zip"], "left_semi").select("zip", "permit_no")
 
 
-@query("argmin_with_ties", "SELECT * FROM ncc_min")
+@query("argmin_with_ties", "SELECT * FROM least_built")
 def argmin_with_ties(spark, sf):
     return rp.least_built_zips(Inputs(spark, sf).stg_permits)
 
 
 # ========================================================== 2.6 aggregations
-def _role_counts_sql(period: str, alias: str | None = None) -> str:
-    out = alias or period
+def _role_counts_sql(name: str, alias: str | None = None) -> str:
     return f"""
-SELECT coalesce(p.{period}, d.{period}) AS {out}, coalesce(p.zip, d.zip) AS zip,
-       coalesce(p.n, 0) AS n_pickup, coalesce(d.n, 0) AS n_dropoff
-FROM (SELECT {period}, pickup_zip AS zip, count(trip_id) AS n FROM stg_trips WHERE pickup_zip IS NOT NULL GROUP BY 1, 2) p
-FULL OUTER JOIN
-     (SELECT {period}, dropoff_zip AS zip, count(trip_id) AS n FROM stg_trips WHERE dropoff_zip IS NOT NULL GROUP BY 1, 2) d
-  ON p.{period} = d.{period} AND p.zip = d.zip"""
+SELECT {PERIODS[name]} AS {alias or PERIODS[name]}, zip,
+       CAST(sum(n) FILTER (role = 'pickup') AS BIGINT).ifnull(0) AS n_pickup,
+       CAST(sum(n) FILTER (role = 'dropoff') AS BIGINT).ifnull(0) AS n_dropoff
+FROM ends_{name} GROUP BY {PERIODS[name]}, zip"""
 
 
 def _role_counts(i: Inputs, period: str, alias: str | None = None) -> DataFrame:
@@ -699,27 +745,27 @@ def _role_counts(i: Inputs, period: str, alias: str | None = None) -> DataFrame:
     return g.where(F.col("zip").isNotNull()).select(alias or period, "zip", "n_pickup", "n_dropoff")
 
 
-@query("trips_by_week_zip", _role_counts_sql("week_number"))
+@query("trips_by_week_zip", _role_counts_sql("week"))
 def trips_by_week_zip(spark, sf):
     return _role_counts(Inputs(spark, sf), "week_number")
 
 
-@query("trips_by_weekstart_zip", _role_counts_sql("week_start"))
+@query("trips_by_weekstart_zip", _role_counts_sql("weekstart"))
 def trips_by_weekstart_zip(spark, sf):
     return _role_counts(Inputs(spark, sf), "week_start")
 
 
-@query("trips_by_month_zip", _role_counts_sql("month_number"))
+@query("trips_by_month_zip", _role_counts_sql("month"))
 def trips_by_month_zip(spark, sf):
     return _role_counts(Inputs(spark, sf), "month_number")
 
 
-@query("trips_by_day_zip", _role_counts_sql("trip_start", "date"))
+@query("trips_by_day_zip", _role_counts_sql("day", "date"))
 def trips_by_day_zip(spark, sf):
     return _role_counts(Inputs(spark, sf), "trip_start", "date")
 
 
-@query("endpoint_total", "SELECT week_number, zip_code AS zip, total AS total_trip_count FROM ctc_week")
+@query("endpoint_total", "SELECT week_number, zip, total AS total_trip_count FROM total_week")
 def endpoint_total(spark, sf):
     return agg.endpoint_totals(Inputs(spark, sf).stg_trips, ["week_number"])
 
@@ -740,12 +786,12 @@ def _side_counts(i: Inputs, col: str, out: str) -> DataFrame:
     )
 
 
-@query("trips_from_area", "SELECT * FROM ftc")
+@query("trips_from_area", "SELECT week_number, week_start, community_area, trips_from AS from_count FROM area_weeks WHERE has_from")
 def trips_from_area(spark, sf):
     return _side_counts(Inputs(spark, sf), "pickup_community_area", "from_count")
 
 
-@query("trips_to_area", "SELECT * FROM ttc")
+@query("trips_to_area", "SELECT week_number, week_start, community_area, trips_to AS to_count FROM area_weeks WHERE has_to")
 def trips_to_area(spark, sf):
     return _side_counts(Inputs(spark, sf), "dropoff_community_area", "to_count")
 
@@ -762,7 +808,7 @@ def quartiles_global(spark, sf):
     )
 
 
-@query("permits_by_zip", "SELECT * FROM ncc")
+@query("permits_by_zip", "SELECT * FROM built")
 def permits_by_zip(spark, sf):
     return rp.permits_by_zip(Inputs(spark, sf).stg_permits)
 
@@ -797,7 +843,7 @@ def forecast_daily(spark, sf):
 @query("sort_week_zip", "SELECT * FROM r4a ORDER BY week_start DESC NULLS FIRST, zip ASC NULLS LAST")
 def sort_week_zip(spark, sf):
     i = Inputs(spark, sf)
-    return rp.report4a_weekly(i.stg_trips, i.zips).orderBy(F.col("week_start").desc_nulls_first(), F.col("zip").asc_nulls_last())
+    return rp.ordered(rp.report4a_weekly(i.stg_trips, i.zips), "rpttbl04a")
 
 
 @query("sort_month_label", """
@@ -805,16 +851,16 @@ SELECT * FROM r4b ORDER BY CAST(split_part(month_number, '-', 2) AS INTEGER) DES
                            CAST(split_part(month_number, '-', 1) AS INTEGER) DESC NULLS FIRST, zip""")
 def sort_month_label(spark, sf):
     i = Inputs(spark, sf)
-    return rp.report4b_monthly(i.stg_trips, i.zips)
+    return rp.ordered(rp.report4b_monthly(i.stg_trips, i.zips), "rpttbl04b")
 
 
-@query("topk_score", "SELECT * FROM waived_ca")
+@query("topk_score", "SELECT * FROM neediest")
 def topk_score(spark, sf):
     return rp.neediest_areas(Inputs(spark, sf).stg_health)
 
 
 # ============================================================ 2.9 set ops
-@query("union_distinct", "SELECT week_number, zip_code AS zip, trip_count FROM tc_week")
+@query("union_distinct", "SELECT DISTINCT week_number, zip, n AS trip_count FROM ends_week")
 def union_distinct(spark, sf):
     g = agg.endpoint_counts(Inputs(spark, sf).stg_trips, ["week_number"])
     return agg.union_distinct_rows(g, ["week_number"])
@@ -891,28 +937,29 @@ def report6_loans(spark, sf):
     return rp.report6_loans(i.stg_permits, i.stg_health)
 
 
-_PIPELINE_TABLES = [
-    ("staging.trips_data", "stg_trips"), ("staging.covid_by_zip", "stg_covid"), ("staging.ccvi_by_ca", "stg_ccvi"),
-    ("staging.building_permit", "stg_permits"), ("staging.public_health", "stg_health"),
-    ("summarised.rpttbl01", "r1"), ("summarised.rpttbl02", "r2"), ("summarised.rpttbl03", "r3"),
-    ("summarised.rpttbl04a", "r4a"), ("summarised.rpttbl04b", "r4b"), ("summarised.rpttbl04c", "r4c"),
-    ("summarised.rpttbl05", "r5"), ("summarised.rpttbl06", "r6"),
-]
+_PIPELINE_COLUMNS = {
+    "staging.trips_data": ("stg_trips", "trip_id trip_start pickup_community_area dropoff_community_area pickup_zip dropoff_zip week_number month_number"),
+    "staging.covid_by_zip": ("stg_covid", "zip_code week_start cases_weekly tests_cumulative week_number month_number"),
+    "staging.ccvi_by_ca": ("stg_ccvi", "community_area ccvi_category"),
+    "staging.building_permit": ("stg_permits", "id permit_no permit_type subtotal_unpaid community_area zip"),
+    "staging.public_health": ("stg_health", "community_area per_capita_income"),
+    **{f"summarised.{name}": (cte, " ".join(schemas.REPORT_HEADERS[name])) for name, cte in _REPORT_CTES.items()},
+}
 
 
-@query("zones_end_to_end", "\nUNION ALL\n".join(
-    f"SELECT '{name}' AS table_name, count(*) AS n_rows FROM {cte}" for name, cte in _PIPELINE_TABLES
+@query("pipeline_end_to_end", "\nUNION ALL\n".join(
+    "SELECT '{0}' AS table_name, concat_ws('|', {1}) AS fields FROM {2}".format(
+        name, ", ".join(f"ifnull(CAST({c} AS VARCHAR), '-')" for c in cols.split()), cte
+    )
+    for name, (cte, cols) in _PIPELINE_COLUMNS.items()
 ))
-def zones_end_to_end(spark, sf):
+def pipeline_end_to_end(spark, sf):
+    """The contents of every staged and summarised table that one run writes."""
     raw = {name: (lambda fn=fn: fn(spark, sf)) for name, fn in dt.RAW.items()}
     written = run_pipeline(spark, raw, shared_dir(spark, "pipeline"), airports=AIRPORTS)
-    parts = [
-        sinks.scan_table(spark, written[name]).agg(F.count(F.lit(1)).alias("n_rows")).select(
-            F.lit(name).alias("table_name"), "n_rows"
-        )
-        for name, _ in _PIPELINE_TABLES
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    out = None
+    for name, (_, cols) in _PIPELINE_COLUMNS.items():
+        fields = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in cols.split()]
+        part = sinks.scan_table(spark, written[name]).select(F.lit(name).alias("table_name"), F.concat_ws("|", *fields).alias("fields"))
+        out = part if out is None else out.unionByName(part)
     return out
