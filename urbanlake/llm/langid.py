@@ -51,10 +51,12 @@ def codewords(languages: int):
     few, else one bit per language and a fixed series of balanced splits."""
     import numpy as np
 
+    if languages < 2:
+        return np.zeros((languages, 0), np.int8)
     if languages <= 6:
-        splits = range(1, 1 << (languages - 1)) if languages > 1 else []
+        splits = range(1, 1 << (languages - 1))
         bits = [[1 if s >> i & 1 else -1 for i in range(languages)] for s in splits]
-        return np.array(bits, np.int8).reshape(-1, languages).T
+        return np.array(bits, np.int8).T
     series, half = np.random.RandomState(7), languages // 2
     bits = [np.where(np.arange(languages) == i, 1, -1) for i in range(languages)]
     for _ in range(int(10 * np.log2(languages))):
