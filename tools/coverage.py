@@ -15,7 +15,7 @@ sys.path.insert(0, ROOT)
 from urbanlake.catalog.queries import ORACLE, QUERIES  # noqa: E402
 
 # Registered key for the SURVEY key names that differ.
-RENAMED = {"pipeline_end_to_end": "zones_end_to_end"}
+RENAMED: dict[str, str] = {}
 
 # Where each operator lives in the library (module.function).
 CODE = {
