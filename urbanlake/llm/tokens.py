@@ -2,7 +2,7 @@
 
 A text is cut where the tokenizer itself always cuts (at white space, and
 between letters and other characters), so the parts can be encoded on their
-own and remembered; anything unusual is left to the tokenizer whole.
+own and remembered; a text with anything unusual is left to it whole.
 """
 
 from __future__ import annotations
@@ -10,14 +10,14 @@ from __future__ import annotations
 import re
 
 WS = r" \t\n\r\x0b\x0c"
-#: White space that the tokenizers know beside the ASCII kinds, or that
-#: libraries disagree on: texts with it are encoded whole.
-ODD_SPACE = re.compile(r"[\x1c-\x1f\x85\xa0 ᠎ -‏    ⁠　﻿]")
-#: Words of plain letters and symbols without apostrophes (contractions) or marks.
-PLAIN = re.compile(r" ?[\x21-\x26\x28-\x7eÀ-ÖØ-öø-ÿ]+")
-PARTS = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[^A-Za-zÀ-ÖØ-öø-ÿ ]+")
-SPACED = re.compile(rf" ?[^{WS}]+|[{WS}]+(?![^{WS}])|[{WS}]+")
-WORDS = re.compile(rf"[^{WS}]+")
+LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+#: Texts of plain letters and symbols: no apostrophes (contractions), marks,
+#: other scripts or white space that libraries disagree on.
+PLAIN = re.compile(rf"[{WS}\x21-\x26\x28-\x7eÀ-ÖØ-öø-ÿ]*")
+#: Where the tokenizers cut plain texts.  In a byte-level vocabulary a word
+#: carries the blank before it; otherwise white space is dropped.
+SPACED = re.compile(rf" ?[{LETTERS}]+| ?[^{LETTERS}{WS}]+|[{WS}]+(?![^{WS}])|[{WS}]+")
+FOLDED = re.compile(rf"[{LETTERS}]+|[^{LETTERS}{WS}]+")
 
 
 class CachedEncoder:
@@ -26,10 +26,10 @@ class CachedEncoder:
 
     ``spaced``: byte-level vocabulary, where a word carries the space before
     it; otherwise white space is dropped and case is folded by the tokenizer.
-    ``limit`` bounds the remembered words.
+    ``limit`` bounds the remembered words.  Unusual texts are encoded whole.
     """
 
-    def __init__(self, json_text: str, spaced: bool, limit: int = 300_000):
+    def __init__(self, json_text: str, spaced: bool, limit: int = 500_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
@@ -38,11 +38,15 @@ class CachedEncoder:
         self.tokenizer = Tokenizer.from_str(json_text)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.units = (SPACED if spaced else WORDS).findall
+        self.cut = (SPACED if spaced else FOLDED).findall
         self.fold = not spaced
         self.limit = limit
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        vocabulary = sorted(self.tokenizer.get_vocab(with_added_tokens=True).items(), key=lambda x: x[1])
+        # tokens at which a word of letters begins (spaced) or ends
+        self.edge = bytearray(max(i for _, i in vocabulary) + 1)
+        for token, i in vocabulary:
+            self.edge[i] = token.startswith("Ġ") if spaced else token.endswith("</w>")
+        self.known: dict[str, bytes] = {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
         import numpy as np
@@ -50,36 +54,50 @@ class CachedEncoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    def _learn(self, words: set[str]) -> None:
-        cut, whole = {}, []
-        for w in words:
-            if PLAIN.fullmatch(w) and "<|" not in w:
-                cut[w] = PARTS.findall(w.lower() if self.fold else w)
-            else:
-                whole.append(w)
-        if len(self.parts) > self.limit:
-            self.parts.clear()
-        new = list({p for ps in cut.values() for p in ps}.difference(self.parts))
-        self.parts.update(zip(new, self._library(new)))
-        parts = self.parts
-        for w, ps in cut.items():
-            self.words[w] = parts[ps[0]] if len(ps) == 1 else b"".join([parts[p] for p in ps])
-        self.words.update(zip(whole, self._library(whole)))
+    def _letters(self, parts: list[str]) -> list[bytes]:
+        """Ids of parts that are one pre-token each: many in one text, told
+        apart by their first or last tokens."""
+        import numpy as np
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        out = []
-        if len(self.words) > self.limit:
-            self.words.clear()
-        known = self.words
-        for text in texts:
-            if ODD_SPACE.search(text):
-                out.extend(self._library([text]))
+        out, edge = [], np.frombuffer(self.edge, np.uint8)
+        chunks = [parts[i : i + 64] for i in range(0, len(parts), 64)]
+        texts = ["".join(c) if not self.fold else " ".join(c) for c in chunks]
+        for chunk, found in zip(chunks, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(found.ids, "<u4")
+            cuts = np.flatnonzero(edge[ids])
+            if len(cuts) != len(chunk):  # not told apart: one by one
+                out += self._library(chunk)
                 continue
-            words = self.units(text)
-            missing = set(words).difference(known)
-            if missing:
-                self._learn(missing)
-            out.append(b"".join([known[w] for w in words]))
+            ends = (cuts + 1 if self.fold else np.append(cuts[1:], len(ids))).tolist()
+            raw, at = ids.tobytes(), 0
+            for end in ends:
+                out.append(raw[at : 4 * end])
+                at = 4 * end
+        return out
+
+    def _learn(self, parts: set[str]) -> None:
+        if self.fold:
+            letters = [p for p in parts if p.isalpha()]
+        else:
+            letters = [p for p in parts if p[0] == " " and p[1:].isalpha()]
+        others = list(parts.difference(letters))
+        self.known.update(zip(letters, self._letters(letters)))
+        self.known.update(zip(others, self._library(others)))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        if len(self.known) > self.limit:
+            self.known.clear()
+        known, parts, unusual = self.known, [], []
+        for i, text in enumerate(texts):
+            if PLAIN.fullmatch(text) and "<|" not in text:
+                parts.append(self.cut(text.lower() if self.fold else text))
+            else:
+                parts.append(())
+                unusual.append(i)
+        self._learn(set().union(*parts).difference(known))
+        out = [b"".join(map(known.__getitem__, p)) for p in parts]
+        for i, found in zip(unusual, self._library([texts[i] for i in unusual])):
+            out[i] = found
         return out
 
 
