@@ -85,3 +85,10 @@ def utf8(column) -> list[bytes]:
 def crc_fold(column: str, n: int) -> Column:
     """crc32 of the column as text, modulo ``n``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % F.lit(n)
+
+
+def bounded_sample(rows: DataFrame, key: str, limit: int) -> DataFrame:
+    """About ``limit`` of the rows (all, if there are no more), chosen by a
+    digest of their key: the same rows on every run, and for either size."""
+    share, n = 1 << 30, rows.count()
+    return rows.where(F.pmod(F.xxhash64(key), F.lit(share)) < (share if n <= limit else share * limit // n))

@@ -24,7 +24,7 @@ from itertools import product
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from urbanlake.llm.common import crc_fold, per_batch, utf8
+from urbanlake.llm.common import bounded_sample, crc_fold, per_batch, utf8
 
 #: Word classes.  Weights of words not learned from labels are in nats.
 THREATS = {w: 2.0 for w in "kill hurt destroy murder stab shoot strangle tuer frapper töten umbringen matar golpear".split()}
@@ -144,11 +144,8 @@ def _sample(docs: DataFrame, labels: DataFrame, id_col: str, max_rows: int) -> D
     chosen by a digest of the id; half 0 feeds the lexicon, half 1 the calibration."""
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (crc_fold("doc_id", 5) != 0))
     known = known.groupBy(F.col("doc_id").alias("k")).agg(F.max("toxic").alias("toxic"))
-    share = 1 << 30
-    n = known.count()
-    cut = share if n <= max_rows else share * max_rows // n
     # a bounded side: about max_rows rows of two numbers
-    chosen = F.broadcast(known.where(F.pmod(F.xxhash64("k"), F.lit(share)) < cut))
+    chosen = F.broadcast(bounded_sample(known, "k", max_rows))
     return docs.select(F.col(id_col).alias("k"), F.col("text")).join(chosen, "k").select(
         "text", "toxic", F.pmod(F.xxhash64("k", F.lit(1)), F.lit(2)).alias("half")
     )
