@@ -59,7 +59,9 @@ test_halves_of_one_word_join_exactly.tree = bpe.TreeEncoder(tokenizer_json(PATH)
 def test_cached_words_equal_the_tokenizer(text):
     for name, spaced in (("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)):
         path = public_tokenizers.path(name)
-        cached = CACHE.setdefault(name, (CachedEncoder(tokenizer_json(path), spaced), Tokenizer.from_file(path)))
+        if name not in CACHE:
+            CACHE[name] = CachedEncoder(tokenizer_json(path), spaced), Tokenizer.from_file(path)
+        cached = CACHE[name]
         want = cached[1].encode(text, add_special_tokens=False).ids
         got = cached[0].encode([text])[0]
         assert [int.from_bytes(got[i : i + 4], "little") for i in range(0, len(got), 4)] == want

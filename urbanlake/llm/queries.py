@@ -55,6 +55,37 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def _ledger_sql() -> str:
+    """The same matches, rule by rule: split at the pattern, and each match
+    begins after all gaps and matches before it."""
+    parts = []
+    for place, r in enumerate(secrets.RULES):
+        pattern = r.pattern.replace("'", "''")
+        parts.append(f"""
+SELECT doc_id, {place} AS place, '{r.kind}' AS kind, {r.least} AS least,
+       list_transform(string_split_regex(t, '{pattern}'), lambda x: length(x)) AS gaps,
+       list_transform(regexp_extract_all(t, '{pattern}', 0), lambda x: length(x)) AS lens,
+       list_transform(regexp_extract_all(t, '{pattern}', {r.group}), lambda x: length(x)) AS keys
+FROM d""")
+    n = len(secrets.BASE)
+    counts = ", ".join(f"count(kind) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in secrets.BASE)
+    return f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, ifnull(text, '') AS t FROM documents),
+raw AS ({" UNION ALL ".join(parts).replace("SELECT doc_id,", "SELECT doc_id, r,")}),
+hits AS (SELECT doc_id, r, place, kind, least, gaps, lens, keys, unnest(range(1, len(lens) + 1)) AS i FROM raw),
+found AS (
+    SELECT doc_id, r, place, kind, CAST(list_sum(gaps[1:i]) + list_sum(lens[1:i]) - lens[i] AS BIGINT) AS a, lens[i] AS n
+    FROM hits WHERE keys[i] >= least),
+spans AS (SELECT *, kind || ':' || a || ':' || (a + n) AS span FROM found)
+SELECT doc_id, {counts},
+       sha256(ifnull(string_agg(span, ',' ORDER BY a, place) FILTER (place < {n}), '')) AS base_sha256,
+       ifnull(string_agg(span, ',' ORDER BY a, place), '') AS spans
+FROM (SELECT doc_id, r FROM d) LEFT JOIN spans USING (doc_id, r) GROUP BY doc_id, r"""
+
+
+ORACLE["op7_secrets"] = _ledger_sql()
+
+
 @query("op7_secrets")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = secrets.BlobLedger(spark, shared_dir(spark, "secret-ledger"))
@@ -114,3 +145,23 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_langid")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op6_warc"] = """
+WITH p AS (SELECT page_id, ifnull(html, '') AS payload FROM pages),
+d AS (SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes, sha256(payload) AS payload_digest FROM p),
+first AS (SELECT payload_digest, min(page_id) AS first_id FROM d WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type, nullif(first_id, page_id) AS refers_to
+FROM d LEFT JOIN first USING (payload_digest)"""
+
+ORACLE["op9_topk"] = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           CAST(ifnull(list_sum(list_transform(list_zip(q.v, c.v), lambda z: ifnull(z[1] * z[2], 0))), 0) AS BIGINT) AS score
+    FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored
+QUALIFY rank <= 5"""

@@ -66,7 +66,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def _words(fps):
     import numpy as np
 
-    return np.bitwise_count(fps.view(np.uint16).reshape(-1, 4)).astype(np.int16)
+    return np.bitwise_count(np.ascontiguousarray(fps).view(np.uint16).reshape(-1, 4)).astype(np.int16)
 
 
 def _ordered(fps):
