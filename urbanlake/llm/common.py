@@ -21,17 +21,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_dir(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_path = path
+    return out
 
 
 def drop_table(df: DataFrame) -> None:
     """Delete the files of a table made by ``written`` that no later step reads."""
     spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    folders = {file.rsplit("/", 1)[0] for file in df.inputFiles()}
-    for folder in folders:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.written_path)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def release_shuffles(spark: SparkSession) -> None:

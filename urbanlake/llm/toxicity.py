@@ -153,7 +153,8 @@ def _sample(docs: DataFrame, labels: DataFrame, id_col: str, max_rows: int) -> D
 
 def learn_lexicon(sample: DataFrame, max_units: int = MAX_LEXICON, least: int = 4, odds: float = 12.0) -> dict[str, float]:
     """{unit: weight}: units in at least ``least`` toxic documents whose odds
-    of a toxic document are ``odds`` times the others' or more."""
+    of a toxic document are ``odds`` times the others' or more, if not even one
+    of all units tested would get there by chance."""
     import math
 
     def body(batch):
@@ -173,8 +174,10 @@ def learn_lexicon(sample: DataFrame, max_units: int = MAX_LEXICON, least: int =
         )
 
     counts = sample.select("text", "toxic").mapInArrow(per_batch(body), "unit string, bad long, good long")
-    counts = counts.groupBy("unit").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).where((F.col("bad") >= least) | (F.col("unit") == ""))
-    # about least / max_rows of all units pass, and max_units are kept: a bounded table
+    counts = counts.groupBy("unit").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    counts = counts.where((F.col("bad") >= least) | (F.col("unit") == "")).checkpoint()
+    tested = max(1, counts.count())
+    # a bounded table: max_units rows
     top = counts.where((F.col("unit") == "") | (F.col("bad") >= F.col("good"))).orderBy(
         F.col("unit") != "", F.desc(F.col("bad") / (F.col("good") + 0.5)), F.desc("bad"), "unit"
     ).limit(max_units + 1).collect()
@@ -182,11 +185,21 @@ def learn_lexicon(sample: DataFrame, max_units: int = MAX_LEXICON, least: int =
     out = {}
     for r in top:
         ratio = ((r["bad"] + 0.5) / (total[0] + 1)) / ((r["good"] + 0.5) / (total[1] + 1))
-        if r["unit"] and ratio >= odds:
+        if r["unit"] and ratio >= odds and _by_chance(r["bad"], r["good"], *total) * tested <= 1:
             out[r["unit"]] = math.log(ratio)
     return out
 
 
+def _by_chance(bad: int, good: int, all_bad: int, all_good: int) -> float:
+    """Upper bound on the chance that a unit without meaning falls on that many
+    toxic documents (Chernoff)."""
+    import math
+
+    n, share, seen = bad + good, all_bad / (all_bad + all_good), bad / (bad + good)
+    gain = seen * math.log(seen / share) + ((1 - seen) * math.log((1 - seen) / (1 - share)) if good else 0.0)
+    return math.exp(-n * gain)
+
+
 def calibrate(features, labels, ridge: float = 1e-3, rounds: int = 50):
     """Logistic regression by Newton's method."""
     import numpy as np
