@@ -12,9 +12,7 @@ keeps every component whole.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from urbanlake.llm.common import per_batch, utf8, written
@@ -129,6 +127,11 @@ def linked(a, b, radius: int, same: bool):
     return np.concatenate(left or [empty]), np.concatenate(right or [empty])
 
 
+def _tile(pop: Column, part: Column) -> Column:
+    """A tile's number."""
+    return pop.cast("long") * (1 << 32) + part
+
+
 def links(distinct: DataFrame, radius: int = 4, tile_rows: int = TILE_ROWS) -> DataFrame:
     """(u, v): links between distinct fingerprints (column ``fp``) that keep
     every component of the full link graph connected."""
@@ -146,7 +149,7 @@ def links(distinct: DataFrame, radius: int = 4, tile_rows: int = TILE_ROWS) -> D
     pairs = tiled.withColumn("pop2", other).withColumn(
         "part2", F.explode(F.sequence(F.lit(0), (per_pop[F.col("pop2")] - 1).cast("int")))
     )
-    mine, theirs = F.struct("pop", "part"), F.struct(F.col("pop2").alias("pop"), F.col("part2").alias("part"))
+    mine, theirs = _tile(F.col("pop"), F.col("part")), _tile(F.col("pop2"), F.col("part2"))
     pairs = pairs.select(
         F.least(mine, theirs).alias("x"), F.greatest(mine, theirs).alias("y"), (mine <= theirs).alias("first"), "fp"
     )
@@ -155,9 +158,8 @@ def links(distinct: DataFrame, radius: int = 4, tile_rows: int = TILE_ROWS) -> D
         import numpy as np
         import pandas as pd
 
-        x, y = pdf["x"].iloc[0], pdf["y"].iloc[0]
         fps, first = pdf["fp"].to_numpy(np.int64).view(np.uint64), pdf["first"].to_numpy(bool)
-        same = dict(x) == dict(y)
+        same = pdf["x"].iloc[0] == pdf["y"].iloc[0]
         if same or (first.any() and not first.all()):
             u, v = linked(fps[first], fps[~first], radius, same)
         else:

@@ -268,8 +268,8 @@ def classify(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col:
     """One row per input row: id, held_out, score, predicted (1 from 0.5 on).
 
     Only the text enters a score.  Null and empty texts are scored like a text
-    without matches; repeated rows stay repeated; a null id is held in by the
-    crc32 of the empty text; labels without a document, or null, are ignored;
+    without matches; repeated rows stay repeated; a null id counts as the empty
+    text, whose crc32 is held out; labels without a document, or null, are ignored;
     an empty table gives an empty result.
     """
     model = train(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), labels, "doc_id", max_train)
