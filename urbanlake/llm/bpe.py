@@ -204,14 +204,18 @@ def decode(encoded: DataFrame, tokenizer: str, ids_col: str = "ids") -> DataFram
     tokens included, as the tokenizer decodes them; null ids stay null."""
 
     def run(series: Iterator) -> Iterator:
+        import os
+
         import pandas as pd
+        from tokenizers import Tokenizer
 
-        encoder = CachedEncoder(tokenizer, spaced=True)
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
+        decoder = Tokenizer.from_str(tokenizer)
         for ids in series:
             out = []
-            for a in range(0, len(ids), 256):
-                part = [x.tolist() if x is not None else None for x in ids.iloc[a : a + 256]]
-                texts = iter(encoder.tokenizer.decode_batch([p for p in part if p is not None], skip_special_tokens=False))
+            for a in range(0, len(ids), 64):
+                part = [x.tolist() if x is not None else None for x in ids.iloc[a : a + 64]]
+                texts = iter(decoder.decode_batch([p for p in part if p is not None], skip_special_tokens=False))
                 out += [None if p is None else next(texts) for p in part]
             yield pd.Series(out, index=ids.index, dtype=object)
 

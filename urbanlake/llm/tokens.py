@@ -29,7 +29,7 @@ class CachedEncoder:
     ``limit`` bounds the remembered words.  Unusual texts are encoded whole.
     """
 
-    def __init__(self, json_text: str, spaced: bool, limit: int = 500_000):
+    def __init__(self, json_text: str, spaced: bool, limit: int = 400_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
