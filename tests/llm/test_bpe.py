@@ -28,12 +28,13 @@ TEXTS = edge_texts() + [
 @pytest.mark.parametrize("leaf", [64, bpe.LEAF])
 def test_equals_the_tokenizer(spark, vocabulary, leaf):
     tokenizer = Tokenizer.from_file(PATH)
-    got = bpe.decode(bpe.encode(documents(spark, TEXTS), vocabulary, leaf=leaf), vocabulary).collect()
+    encoded = bpe.encode(documents(spark, TEXTS), vocabulary, leaf=leaf, round_trip=True)
+    got = bpe.decode(encoded.withColumnRenamed("decoded", "there"), vocabulary).collect()
     assert len(got) == len(TEXTS)
     for r in got:
         ids = tokenizer.encode(TEXTS[r.doc_id - 1] or "", add_special_tokens=False).ids
         assert r.ids == ids, r.doc_id
-        assert r.decoded == tokenizer.decode(ids, skip_special_tokens=False)
+        assert r.decoded == r.there == tokenizer.decode(ids, skip_special_tokens=False)
 
 
 def test_digest_column_and_empty_table(spark, vocabulary):

@@ -121,10 +121,26 @@ class TreeEncoder:
         return out
 
 
-def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", carry: tuple[str, ...] = ("doc_id",), leaf: int = LEAF) -> DataFrame:
+def decoded_texts(tokenizer, ids: list[list[int]]) -> list[str]:
+    """The ids' bytes as UTF-8, special tokens included, a few texts at a time."""
+    out = []
+    for a in range(0, len(ids), 64):
+        out += tokenizer.decode_batch(ids[a : a + 64], skip_special_tokens=False)
+    return out
+
+
+def encode(
+    docs: DataFrame,
+    tokenizer: str,
+    text_col: str = "text",
+    carry: tuple[str, ...] = ("doc_id",),
+    leaf: int = LEAF,
+    round_trip: bool = False,
+) -> DataFrame:
     """One row per input row: the ``carry`` columns and ``ids`` (array<int>),
     equal to the tokenizer's encoding of the whole text without added special
-    tokens.
+    tokens.  ``round_trip`` adds ``decoded``, the ids decoded again where they
+    were made, which spares sending them to a second Python process.
 
     Null and empty texts get no ids.  Repeated rows stay repeated, an empty
     table gives an empty result, and columns not carried are not read.  Texts
@@ -142,8 +158,14 @@ def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", carry: tuple
             import pyarrow as pa
 
             streams = encoder.cached.encode([t.decode() for t in utf8(batch.column(1))])
-            ids = pa.array([np.frombuffer(s, "<u4").view(np.int32) for s in streams], pa.list_(pa.int32()))
-            return pa.RecordBatch.from_arrays([batch.column(0), ids], names=["row", "ids"])
+            ids = [np.frombuffer(s, "<u4").view(np.int32) for s in streams]
+            columns = [batch.column(0), pa.array(ids, pa.list_(pa.int32()))]
+            if round_trip:
+                texts = []
+                for a in range(0, len(ids), 64):
+                    texts += decoded_texts(encoder.tokenizer, [x.tolist() for x in ids[a : a + 64]])
+                columns.append(pa.array(texts, pa.string()))
+            return pa.RecordBatch.from_arrays(columns, names=["row", *out])
 
         yield from per_batch(body)(batches)
 
@@ -184,19 +206,24 @@ def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", carry: tuple
             for i in range(batch.num_rows):  # one long text at a time
                 parts = sorted(batch.column(1)[i].as_py(), key=lambda x: x["nth"])
                 ids = encoder.joined([p["glued"] for p in parts], [p["ids"] for p in parts])
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), pa.array([ids], pa.list_(pa.int32()))], names=["uid", "ids"])
+                columns = [batch.column(0).slice(i, 1), pa.array([ids], pa.list_(pa.int32()))]
+                if round_trip:
+                    columns.append(pa.array(decoded_texts(encoder.tokenizer, [ids]), pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, names=["uid", *out])
 
+    out = ["ids", "decoded"] if round_trip else ["ids"]
+    found = "ids array<int>, decoded string" if round_trip else "ids array<int>"
     is_long = F.length("text") > 2 * leaf
-    near = rows.where(~is_long).mapInArrow(short, f"row {kind}, ids array<int>")
+    near = rows.where(~is_long).mapInArrow(short, f"row {kind}, {found}")
     # Equal long texts are one: their address is their content.
     far = rows.where(is_long).withColumn("uid", F.sha2("text", 256))
     texts = far.groupBy("uid").agg(F.any_value("text").alias("text"))
     leaves = texts.select("uid", F.lit(0).alias("pad"), "text").mapInArrow(split, "uid string, nth int, glued boolean, part string")
     parts = leaves.repartition("uid", "nth").mapInArrow(encode_parts, "uid string, nth int, glued boolean, ids array<int>")
     whole = parts.groupBy("uid").agg(F.collect_list(F.struct("nth", "glued", "ids")).alias("parts"))
-    whole = whole.mapInArrow(meet, "uid string, ids array<int>")
-    long = far.select("row", "uid").join(whole, "uid").select("row", "ids")
-    return near.unionByName(long).select("row.*", "ids")
+    whole = whole.mapInArrow(meet, f"uid string, {found}")
+    long = far.select("row", "uid").join(whole, "uid").select("row", *out)
+    return near.unionByName(long).select("row.*", *out)
 
 
 def decode(encoded: DataFrame, tokenizer: str, ids_col: str = "ids") -> DataFrame:
@@ -212,12 +239,10 @@ def decode(encoded: DataFrame, tokenizer: str, ids_col: str = "ids") -> DataFram
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
         decoder = Tokenizer.from_str(tokenizer)
         for ids in series:
-            out = []
-            for a in range(0, len(ids), 64):
-                part = [x.tolist() if x is not None else None for x in ids.iloc[a : a + 64]]
-                texts = iter(decoder.decode_batch([p for p in part if p is not None], skip_special_tokens=False))
-                out += [None if p is None else next(texts) for p in part]
-            yield pd.Series(out, index=ids.index, dtype=object)
+            texts = []
+            for x in ids:
+                texts += [None] if x is None else decoded_texts(decoder, [x.tolist()])
+            yield pd.Series(texts, index=ids.index, dtype=object)
 
     return encoded.withColumn("decoded", F.pandas_udf(run, "string", F.PandasUDFType.SCALAR_ITER)(ids_col))
 

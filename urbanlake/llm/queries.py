@@ -107,9 +107,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op1_bpe")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vocabulary = tokenizer(BYTE_BPE)
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), vocabulary)
-    return bpe.decode(encoded, vocabulary).select(
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), tokenizer(BYTE_BPE), round_trip=True)
+    return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(bpe.joined_ids(F.col("ids")), 256).alias("ids_sha256"),
