@@ -192,8 +192,9 @@ class SuffixLevels:
         release_shuffles(texts.sparkSession)
 
     def _sorted(self, entries: DataFrame) -> DataFrame:
-        """A level: sharded by key digest, each shard sorted by suffix."""
-        return written(entries.repartition("h").sortWithinPartitions("p", "h", "c"), "suffix-level")
+        """A level: sharded by key digest (a large key goes to several shards),
+        each shard sorted by suffix."""
+        return written(entries.hint("rebalance", "h").sortWithinPartitions("p", "h", "c"), "suffix-level")
 
     def _merge_scan(self, new: DataFrame) -> DataFrame:
         """Keys of the new array that repeat in it or occur in an older level."""
@@ -212,7 +213,8 @@ class SuffixLevels:
             met = met.unionByName(more)
         for level in self.levels.values():
             all_entries = level if all_entries is None else all_entries.unionByName(level)
-        return written(all_entries.join(met.distinct(), "h", "left_semi"), "suffix-entries")
+        # both sides plainly shuffled, so that AQE can split a large key
+        return written(all_entries.join(written(met.distinct(), "suffix-met"), "h", "left_semi"), "suffix-entries")
 
     def drop(self) -> None:
         for t in [*self.levels.values(), *self.met]:
