@@ -91,7 +91,7 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, capacity
         import pyarrow as pa
         from pyspark import TaskContext
 
-        encoder = CachedEncoder(tokenizer, spaced=False)
+        encoder = CachedEncoder(tokenizer, spaced=False, limit=500_000)
         part, seen = TaskContext.get().partitionId(), {}
         end = np.array([end_id], "<u4").tobytes()
         for batch in (s for b in batches for s in slices(b)):
