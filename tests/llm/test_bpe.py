@@ -37,6 +37,22 @@ def test_equals_the_tokenizer(spark, vocabulary, leaf):
         assert r.decoded == r.there == tokenizer.decode(ids, skip_special_tokens=False)
 
 
+#: White space of two pre-tokens where a leaf may end.
+BLANK_LINES = [
+    "a\n\n" + "=" * 70_000, "Hello world!\n\n" + "=" * 70_000 + "\n\n" + "-" * 70_000, "\n\n" + "é" * 40_000, "。\r\n\r\n" + "=" * 70_000,
+    ("日本語のテキストです。" * 7 + "\n\n") * 900, ("中文。\n \n\t\n" + "字" * 29) * 2500, ("!\u2003\u2003\n" * 9 + "?" * 40) * 900, "= \n" * 200 + "<|endoftext|>" + "!\n\n" * 30_000,
+]
+
+
+@pytest.mark.parametrize("leaf", [64, bpe.LEAF])
+def test_blank_lines_at_the_end_of_a_leaf(vocabulary, leaf):
+    tree, tokenizer = bpe.TreeEncoder(vocabulary, leaf), Tokenizer.from_file(PATH)
+    for nth, text in enumerate(BLANK_LINES):
+        leaves = list(tree.leaves(text))
+        ids = tree.joined([g for g, _ in leaves], tree.encode_leaves(leaves))
+        assert ids == tokenizer.encode(text, add_special_tokens=False).ids, nth
+
+
 def test_digest_column_and_empty_table(spark, vocabulary):
     got = bpe.encode(documents(spark, ["to be"]), vocabulary).select(bpe.joined_ids(bpe.F.col("ids")).alias("j")).first()
     ids = Tokenizer.from_file(PATH).encode("to be", add_special_tokens=False).ids

@@ -24,6 +24,8 @@ from urbanlake.llm.tokens import CachedEncoder
 LEAF = 1 << 15
 #: A blank after a letter or digit: the tokenizer always cuts before it.
 CUT = re.compile(r"(?<=[^\W_])[ \n]")
+#: White space as the tokenizer sees it.  How it is cut depends on what follows.
+SPACE = re.compile(r"[^\S\x1c-\x1f]")
 
 
 def join(left: list[int], right: list[int], text_of: Callable, encode: Callable, window: int = 8) -> list[int]:
@@ -86,19 +88,28 @@ class TreeEncoder:
                 at = found.end()
 
     def _words(self, text: str) -> Iterator[tuple[bool, str]]:
+        """Leaves end after other characters than white space, which on its
+        own may be cut differently; before a long pre-token it goes as the
+        pre-tokens that it is."""
         start = end = 0
+        spaces: list[str] = []  # pre-tokens after ``end``
         for symbols, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(text):
             if len(symbols) > 2 * self.leaf:
-                if a > start:
-                    yield False, text[start:a]
+                if end > start:
+                    yield False, text[start:end]
+                for space in spaces:
+                    yield from ((True, space), (True, ""))
                 yield from ((True, symbols[i : i + self.leaf]) for i in range(0, len(symbols), self.leaf))
                 yield True, ""
-                start = end = b
-            elif b - start > self.leaf and end > start:
+                start, end, spaces = b, b, []
+                continue
+            if b - start > self.leaf and end > start:
                 yield False, text[start:end]
-                start, end = end, b
+                start = end
+            if SPACE.match(text, b - 1):
+                spaces.append(symbols)
             else:
-                end = b
+                end, spaces = b, []
         if start < len(text):
             yield False, text[start:]
 
