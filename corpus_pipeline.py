@@ -54,8 +54,9 @@ def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are masked in the texts; documents stay."""
-    ledger = secrets.BlobLedger(spark, shared_dir(spark, "secret-ledger"))
+    """Secrets are masked in the texts, private keys from their BEGIN to their
+    END line (the BEGIN line alone if there is no END); documents stay."""
+    ledger = secrets.BlobLedger(spark, shared_dir(spark, "secret-ledger"), secrets.MASKED)
     found = secrets.scan_texts(_whole_rows(docs), ledger, carry=("doc",))
     return _with_text(found, docs.columns, secrets.redact(F.col("doc.text"), F.col("found")))
 

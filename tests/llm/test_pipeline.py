@@ -71,6 +71,18 @@ def test_secrets_are_masked(spark):
             assert out[i].text == text
 
 
+def test_private_keys_are_masked_whole(spark):
+    body = "\n".join(f"MIIEvQ+{i:02}/" + "aB3x/Z+q" * 7 for i in range(400))
+    keys = [
+        f"-----BEGIN {kind}-----\n{head}{body}\n-----END {kind}-----"
+        for kind, head in [("PRIVATE KEY", ""), ("RSA PRIVATE KEY", "DEK-Info: AES-128-CBC\n\n"), ("PGP PRIVATE KEY BLOCK", "Version: 2 - x\n\n")]
+    ]
+    texts = [f"before\n{k}\nafter" for k in keys] + ["\n".join(keys), "-----BEGIN PGP PRIVATE KEY BLOCK----- no end"]
+    out = {r.doc_id: r.text for r in corpus_pipeline.secrets_stage(spark, documents(spark, texts), SF).collect()}
+    assert [out[i] for i in (1, 2, 3)] == ["before\n[SECRET]\nafter"] * 3
+    assert out[4] == "[SECRET]\n[SECRET]\n[SECRET]" and out[5] == "[SECRET] no end"
+
+
 def test_run_packs_what_is_left(spark):
     rows = corpus_pipeline.run(spark, SF).collect()
     used: dict = {}

@@ -43,6 +43,15 @@ BASE = (
 )
 RULES = (*BASE, Rule("pem", 1, r"-----BEGIN [A-Z ]{0,32}PRIVATE KEY-----", 0, 1))
 
+#: The whole key, from its BEGIN to its END line.  Findings list the BEGIN
+#: line ("pem"); where texts are masked, the key itself has to go too.
+MASKED = (
+    *RULES,
+    Rule(
+        "key", 1, r"-----BEGIN [A-Z0-9 ]{0,32}PRIVATE KEY(?: BLOCK)?-----(?:[\s\S]*?-----END [A-Z0-9 ]{0,32}PRIVATE KEY(?: BLOCK)?-----)?"
+    ),
+)
+
 FOUND = "array<struct<rule:string,hits:array<struct<gap:int,len:int,key:int>>>>"
 
 
