@@ -32,6 +32,13 @@ def test_held_out_accuracy(spark):
     assert right > 0.97 and caught > 0.85
 
 
+def test_rare_labels_need_no_more_than_the_odds(spark):
+    rows = [("zork" if i < 20 else "fine", 1) for i in range(300)] + [("zork" if i < 40 else "fine", 0) for i in range(9700)]
+    lexicon = toxicity.learn_lexicon(spark.createDataFrame(rows, "text string, toxic int"))
+    assert lexicon.keys() == {"zork", "zor*", "zork*"}  # 16 times the odds, in fewer toxic than clean documents
+    assert toxicity.learn_lexicon(spark.createDataFrame([("zork", 0)] * 9, "text string, toxic int")) == {}
+
+
 def test_edges_and_missing_labels(spark):
     docs = documents(spark, edge_texts(), [None, *range(2, len(edge_texts())), 2])
     labels = spark.createDataFrame([(2, 1, None), (None, 1, 1), (99, 0, 1)], LABELS)

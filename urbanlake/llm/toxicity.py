@@ -177,16 +177,14 @@ def learn_lexicon(sample: DataFrame, max_units: int = MAX_LEXICON, least: int =
     counts = counts.groupBy("unit").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     counts = counts.where((F.col("bad") >= least) | (F.col("unit") == "")).checkpoint()
     tested = max(1, counts.count())
-    # a bounded table: max_units rows
-    top = counts.where((F.col("unit") == "") | (F.col("bad") >= F.col("good"))).orderBy(
-        F.col("unit") != "", F.desc(F.col("bad") / (F.col("good") + 0.5)), F.desc("bad"), "unit"
-    ).limit(max_units + 1).collect()
-    total = next(((r["bad"], r["good"]) for r in top if r["unit"] == ""), (0, 0))
+    total = counts.where("unit = ''").select("bad", "good").first() or (0, 0)
+    ratio = ((F.col("bad") + 0.5) / (total[0] + 1)) / ((F.col("good") + 0.5) / (total[1] + 1))
+    likely = counts.where("unit <> ''").withColumn("ratio", ratio).where(F.col("ratio") >= odds)
     out = {}
-    for r in top:
-        ratio = ((r["bad"] + 0.5) / (total[0] + 1)) / ((r["good"] + 0.5) / (total[1] + 1))
-        if r["unit"] and ratio >= odds and _by_chance(r["bad"], r["good"], *total) * tested <= 1:
-            out[r["unit"]] = math.log(ratio)
+    # a bounded table: max_units rows
+    for r in likely.orderBy(F.desc("ratio"), F.desc("bad"), "unit").limit(max_units).collect():
+        if _by_chance(r["bad"], r["good"], *total) * tested <= 1:
+            out[r["unit"]] = math.log(r["ratio"])
     return out
 
 
