@@ -36,13 +36,14 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: the one with the
-    group's smallest id.  Of repeated rows one stays; rows without an id stay."""
-    groups = simhash.near_duplicates(docs, shingle=4, radius=4)
-    keep = groups.where("doc_id = component_id").select("doc_id").distinct()
+    group's smallest id, whatever other groups that id occurs in.  Of repeated
+    rows one stays; rows without an id stay."""
+    groups = simhash.near_duplicates(docs, shingle=4, radius=4, groups=True).where("doc_id IS NOT NULL")
+    keep = groups.groupBy("component").agg(F.min(F.struct("doc_id", "content")).alias("kept")).select("kept.*")
     named = _whole_rows(docs.where("doc_id IS NOT NULL")).withColumns(
         {"doc_id": F.col("doc")["doc_id"].cast("long"), "content": F.xxhash64("text")}
     )
-    first = named.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id", "content"])
+    first = named.join(keep, ["doc_id", "content"], "left_semi").dropDuplicates(["doc_id", "content"])
     return first.select("doc.*").unionByName(docs.where("doc_id IS NULL"))
 
 

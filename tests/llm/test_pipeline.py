@@ -52,6 +52,17 @@ def test_one_document_of_each_group_stays(spark):
     assert sorted(str(r.doc_id) for r in nameless.collect()) == ["2", "None"]
 
 
+def test_one_text_of_a_repeated_id_stays(spark):
+    near = prose(40, 80)
+    other = prose(90, 80)
+    assert len(set(brute_components([1, 2], [brute_fingerprint(near), brute_fingerprint(near + "\n")]))) == 1
+    texts, ids = [near, near + "\n", near, other, other, near + " "], [7, 7, 7, 7, 3, 9]
+    out = corpus_pipeline.simhash_stage(spark, documents(spark, texts, ids), SF).collect()
+    assert len(out) == 2 and {r.doc_id for r in out} == {7, 3}  # near copies once, the other text under its smallest id
+    twice = corpus_pipeline.simhash_stage(spark, documents(spark, [near, other], [5, 5]), SF).collect()
+    assert sorted(r.text for r in twice) == sorted([near, other])  # two groups of one id
+
+
 def test_repeats_are_cut_from_the_texts(spark):
     out = {r.doc_id: r for r in corpus_pipeline.suffix_stage(spark, documents(spark, TEXTS), SF).collect()}
     for i, (text, want) in enumerate(zip(TEXTS, repeats_of(TEXTS)), 1):

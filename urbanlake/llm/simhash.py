@@ -47,18 +47,22 @@ def fingerprint(text: bytes, shingle: int) -> int:
     return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4) -> DataFrame:
-    """(id, fp) for every row; null, empty and wordless texts have fingerprint 0."""
+def fingerprints(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, content: bool = False
+) -> DataFrame:
+    """(id, fp) for every row; null, empty and wordless texts have fingerprint 0.
+    ``content`` adds a digest of the text."""
+    more = [F.xxhash64(text_col).alias("content")] if content else []
 
     def body(batch):
         import numpy as np
         import pyarrow as pa
 
         fps = np.array([fingerprint(t, shingle) for t in utf8(batch.column(1))], np.uint64).view(np.int64)
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], names=["id", "fp"])
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps), *batch.columns[2:]], names=["id", "fp", *batch.schema.names[2:]])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(per_batch(body), "id long, fp long")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), *more)
+    return rows.mapInArrow(per_batch(body), "id long, fp long" + ", content long" * content)
 
 
 def _words(fps):
@@ -170,7 +174,13 @@ def links(distinct: DataFrame, radius: int = 4, tile_rows: int = TILE_ROWS) -> D
 
 
 def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, radius: int = 4, tile_rows: int = TILE_ROWS
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle: int = 4,
+    radius: int = 4,
+    tile_rows: int = TILE_ROWS,
+    groups: bool = False,
 ) -> DataFrame:
     """One row per input row: id, fingerprint (16 hex digits) and component_id,
     the smallest id reachable over links of ``radius`` or fewer differing bits.
@@ -179,15 +189,21 @@ def near_duplicates(
     Repeated rows stay repeated.  Rows with a null id keep their row; they take
     the component of their text, which is null if no row of it has an id.  An
     empty table gives an empty result.  Other columns are not read.
+
+    ``groups`` adds a digest of the text (content) and the group (component),
+    since groups that share a repeated id may have the same smallest one.
     """
-    rows = written(fingerprints(docs, id_col, text_col, shingle), "simhash-fingerprints")
+    rows = written(fingerprints(docs, id_col, text_col, shingle, groups), "simhash-fingerprints")
     distinct = rows.groupBy("fp").agg(F.min("id").alias("rep"))
     parts = components(links(distinct.select("fp"), radius, tile_rows), "u", "v")
     placed = distinct.join(parts.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "rep", F.coalesce("component", "fp").alias("component")
     )
     smallest = placed.groupBy("component").agg(F.min("rep").alias("component_id"))
-    named = placed.join(smallest, "component").select("fp", "component_id").checkpoint()
+    named = placed.join(smallest, "component").select("fp", "component_id", *(["component"] if groups else [])).checkpoint()
     return rows.join(named, "fp").select(
-        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+        F.col("id").alias(id_col),
+        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        "component_id",
+        *(["content", "component"] if groups else []),
     )
