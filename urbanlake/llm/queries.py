@@ -7,12 +7,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanlake.llm import bpe, langid, packing, quality, secrets, simhash, suffix_dedup, topk, toxicity, warc
+from urbanlake.llm import bpe, langid, packing, pieces, quality, resampling, secrets, simhash, suffix_dedup, topk, toxicity, warc, whitening
 from urbanlake.llm.common import table
 from urbanlake.llm.tokens import tokenizer_json
 from urbanlake.session import shared_dir
 
-WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
+WORD_BPE, BYTE_BPE, PIECE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def tokenizer(name: str) -> str:
@@ -146,6 +146,66 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+@query("op11_pieces")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    model = pieces.model_bytes(public_tokenizers.path(PIECE_BPE))
+    encoded = pieces.encode(table(spark, sf_dir, "documents"), model, round_trip=True)
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(bpe.joined_ids(F.col("ids")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query("op12_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"), components=8)
+    return found.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+@query("op13_resampling")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=10)
+
+
+#: crc32 by its table, over the distinct words only.
+ORACLE["op13_resampling"] = """
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, translate(ifnull(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+goal AS (SELECT translate(ifnull(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM benchmark),
+dw AS (SELECT r, unnest(regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM docs),
+gw AS (SELECT unnest(regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM goal),
+crc_table AS (
+    SELECT list(list_reduce(list_prepend(CAST(i AS BIGINT), CAST(range(8) AS BIGINT[])),
+           lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS e FROM range(256) AS x(i)),
+vocabulary AS (SELECT DISTINCT w FROM (SELECT w FROM dw UNION ALL SELECT w FROM gw)),
+bytes AS (SELECT w, hex(encode(w)) AS h FROM vocabulary),
+crcs AS (
+    SELECT w, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(octet_length(encode(w))),
+           lambda i: CAST('0x' || substr(h, CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT))),
+           lambda c, b: xor(c >> 8, e[CAST(xor(c & 255, b) + 1 AS BIGINT)])), 4294967295) % 10000 AS bucket
+    FROM bytes, crc_table),
+s AS (SELECT bucket, count(*) AS n FROM dw JOIN crcs USING (w) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM gw JOIN crcs USING (w) GROUP BY bucket),
+sums AS (SELECT (SELECT ifnull(sum(n), 0) FROM s)::DOUBLE AS sa, (SELECT ifnull(sum(n), 0) FROM t)::DOUBLE AS ta),
+gain AS (
+    SELECT s.bucket, CAST(floor(1000 * ln((ifnull(t.n, 0) + 1) * (sa + 10000) / ((s.n + 1) * (ta + 10000)))) AS BIGINT) AS g
+    FROM s LEFT JOIN t USING (bucket), sums),
+weights AS (
+    SELECT r, count(*) AS n_features, CAST(floor(sum(g)::DOUBLE / count(*)) AS BIGINT) AS weight
+    FROM dw JOIN crcs USING (w) JOIN gain USING (bucket) GROUP BY r),
+scored AS (
+    SELECT r, doc_id, ifnull(n_features, 0) AS n_features, ifnull(weight, 0) AS weight,
+           ifnull(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || ifnull(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT)
+               + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+    FROM docs LEFT JOIN weights USING (r)),
+drawn AS (
+    SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, r) AS rank FROM scored WHERE n_features >= 20
+    QUALIFY rank <= (SELECT count(*) * 10 // 100 FROM scored WHERE n_features >= 20))
+SELECT doc_id, n_features, weight, score, CAST(rank AS BIGINT) AS rank FROM scored LEFT JOIN drawn USING (r)"""
+
 ORACLE["op6_warc"] = """
 WITH p AS (SELECT page_id, ifnull(html, '') AS payload FROM pages),
 d AS (SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes, sha256(payload) AS payload_digest FROM p),
