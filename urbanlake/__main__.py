@@ -38,7 +38,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--raw-points", action="store_true", help="locations do not repeat: no distinct-point lookup")
     p.add_argument(
         "--single-line", action="append", default=[], choices=list(LANDING_TABLES), metavar="TABLE",
-        help="this table's CSV holds no quoted newline: read each file in several tasks (repeatable)",
+        help="this table's CSV holds no quoted newline: do not look for them (repeatable)",
     )
     p.add_argument("--airports", default=None, help='JSON {"name": [zip, ...]} (default: the reference\'s)')
     for table in LANDING_TABLES:

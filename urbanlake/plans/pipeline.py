@@ -51,9 +51,9 @@ def run_pipeline(
 
     ``raw`` gives each landing table as a raw-schema DataFrame, a CSV path
     (read with the declared schema) or a zero-argument callable.
-    ``multi_line={"taxi_trips": False}`` reads that table's CSV files in
-    several tasks each: for large files known to hold no quoted newline (one
-    that does fails the job).
+    CSV files are read in several tasks each, quoted newlines included;
+    ``multi_line={"taxi_trips": False}`` spares that table the job which looks
+    for them: for files known to hold none (one that does fails the job).
 
     ``mode`` is the writer mode for every table, or a ``{zone: mode}``
     mapping (zones ``landing``, ``staging``, ``summarised``, ``export``):
@@ -87,7 +87,7 @@ def run_pipeline(
     for table in LANDING_TABLES:
         src = raw[table]
         if isinstance(src, str):
-            df = landing.read_csv(spark, src, table, multi_line=(multi_line or {}).get(table, True))
+            df = landing.read_csv(spark, src, table, multi_line=(multi_line or {}).get(table))
         elif callable(src) and not isinstance(src, DataFrame):
             df = src()
         else:

@@ -18,15 +18,15 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import schemas
 from ..functions import calendar as cal
 from ..functions import geo
+from . import csv_blocks
 
 
 def csv_options(date_format: str | None = None, multi_line: bool = True) -> dict[str, str]:
     """Reader options matching ``COPY … DELIMITER ',' CSV HEADER``.
 
     ``multi_line`` keeps quoted newlines intact (as ``COPY`` does) at the
-    price of one task per file; set it False for very large files known to
-    hold no quoted newline — a stray one then fails the job instead of
-    splitting a row.
+    price of one task per file; without it a quoted newline fails the job
+    instead of splitting a row.  ``csv_blocks`` keeps them in several tasks.
     """
     opts = {
         "header": "true",
@@ -45,15 +45,23 @@ def csv_options(date_format: str | None = None, multi_line: bool = True) -> dict
 
 
 def read_csv(
-    spark: SparkSession, path: str, table: str, multi_line: bool = True, date_format: str | None = None
+    spark: SparkSession, path: str, table: str, multi_line: bool | None = None, date_format: str | None = None
 ) -> DataFrame:
     """Raw landing table ``table`` (a key of ``schemas.LANDING``) from CSV.
 
+    Files are read in several tasks each and quoted newlines kept intact
+    (``csv_blocks``; one small job over the lines runs when this is called).
+    ``multi_line=True`` takes Spark's own reader instead, one task per file,
+    and ``multi_line=False`` spares that job for files known to hold no
+    quoted newline: one that does fails the job.
+
     ``date_format`` overrides the table's default text format of its date
     columns (``schemas.DATE_FORMATS``).
     """
-    fmt = date_format or schemas.DATE_FORMATS.get(table)
-    return spark.read.schema(schemas.LANDING[table]).options(**csv_options(fmt, multi_line)).csv(path)
+    fmt, schema = date_format or schemas.DATE_FORMATS.get(table), schemas.LANDING[table]
+    if multi_line is None:
+        return csv_blocks.read_csv_blocks(spark, path, schema, csv_options(fmt))
+    return spark.read.schema(schema).options(**csv_options(fmt, multi_line)).csv(path)
 
 
 def land_trips(raw: DataFrame) -> DataFrame:
@@ -101,7 +109,7 @@ LAND = {
 
 
 def load(
-    spark: SparkSession, path: str, table: str, multi_line: bool = True, date_format: str | None = None
+    spark: SparkSession, path: str, table: str, multi_line: bool | None = None, date_format: str | None = None
 ) -> DataFrame:
     """Read a landing CSV and apply its landing transformation."""
     return LAND[table](read_csv(spark, path, table, multi_line, date_format))
