@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import math
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -118,37 +119,51 @@ class PolygonIndex:
         self.take = list(take)
         self.cells = polygon_cells(prepared, g)
 
-    def join(self, points: DataFrame, point_col: str, take: dict[str, str], how: str = "left") -> DataFrame:
+    def join(self, points: DataFrame, point_col: str, take: dict[str, str], how: str = "left", cover=None) -> DataFrame:
         """``points LEFT JOIN layer ON ST_Within(point, polygon)``; ``take`` maps
-        output names to carried polygon columns (``how='inner'`` keeps matches only)."""
+        output names to carried polygon columns (``how='inner'`` keeps matches only).
+        ``cover``: a ``DensityCover`` of this layer for these points."""
         tag = uuid.uuid4().hex[:8]
         n = lambda s: f"_{s}_{tag}"  # noqa: E731 - unique temp names per join
-        index = self.cells.select(
+        cells = cover.cells if cover else keyed_cells(self.cells)
+        index = cells.select(
             *[F.col(src).alias(dst) for dst, src in take.items()],
-            *[F.col(f"_{c}").alias(n(c)) for c in ("edges", "inside", "xmin", "xmax", "ymin", "ymax", "cx", "cy")],
+            *[F.col(f"_{c}").alias(n(c)) for c in ("edges", "inside", "xmin", "xmax", "ymin", "ymax", "cl", "cx", "cy", "cs")],
         )
-        g = F.lit(self.cell)
         px, py = F.col(point_col)["x"], F.col(point_col)["y"]
-        none = px.isNull() | py.isNull()
-        left = points.withColumns(
+        none, spare = px.isNull() | py.isNull(), _spare_key(points)
+        left = points.withColumns({n("px"): px, n("py"): py, n("spare"): spare})
+        px, py = F.col(n("px")), F.col(n("py"))
+        place = plain_place(px, py, self.cell)
+        left = cover.place(left, px, py, n("at"), F.col(n("spare"))) if cover else left.withColumn(n("at"), place)
+        at = F.col(n("at"))
+        left = left.withColumns(
             {
-                n("px"): px,
-                n("py"): py,
-                n("pcx"): F.when(none, _spare_key(points)).otherwise(F.floor(px / g)),
-                n("pcy"): F.when(none, F.lit(NO_CELL)).otherwise(F.floor(py / g)),
+                n("pcl"): at["l"],
+                n("pcx"): F.when(none, F.col(n("spare"))).otherwise(at["x"]),
+                n("pcy"): F.when(none, F.lit(NO_CELL)).otherwise(at["y"]),
+                n("pcs"): at["s"],
             }
         )
-        px, py = F.col(n("px")), F.col(n("py"))
-        cond = (
-            (F.col(n("pcx")) == F.col(n("cx")))
-            & (F.col(n("pcy")) == F.col(n("cy")))
-            & _inside(px, py, *[F.col(n(c)) for c in ("inside", "xmin", "xmax", "ymin", "ymax", "edges")])
-        )
+        cond = _inside(px, py, *[F.col(n(c)) for c in ("inside", "xmin", "xmax", "ymin", "ymax", "edges")])
+        for c in ("cl", "cx", "cy", "cs"):
+            cond = (F.col(n(f"p{c}")) == F.col(n(c))) & cond
         joined = left.join(index, cond, how)
-        helpers = ("px", "py", "pcx", "pcy", "edges", "inside", "xmin", "xmax", "ymin", "ymax", "cx", "cy")
+        helpers = ("px", "py", "spare", "at", "pcl", "pcx", "pcy", "pcs", "edges", "inside", "xmin", "xmax", "ymin", "ymax", "cl", "cx", "cy", "cs")
         return joined.drop(*[n(s) for s in helpers])
 
 
+def plain_place(px: Column, py: Column, cell: float) -> Column:
+    """A point's grid cell as a node of level 0: struct (l, x, y, s)."""
+    g = F.lit(cell)
+    return F.struct(F.lit(0).alias("l"), F.floor(px / g).alias("x"), F.floor(py / g).alias("y"), F.lit(0).alias("s"))
+
+
+def keyed_cells(cells: DataFrame) -> DataFrame:
+    """Grid cells with the rest of a node's key: level 0, one copy."""
+    return cells.withColumns({"_cl": F.lit(0), "_cs": F.lit(0)})
+
+
 def _inside(px: Column, py: Column, inside: Column, xmin: Column, xmax: Column, ymin: Column, ymax: Column, edges: Column) -> Column:
     """The exact test; ``inside`` marks cells where every point passes."""
     return inside | (px.between(xmin, xmax) & py.between(ymin, ymax) & geo.within(px, py, edges))
@@ -166,19 +181,29 @@ def polygon_cells(prepared: DataFrame, cell: float) -> DataFrame:
     are on one side: outside cells are left out, inside cells need no test.
     """
     g = F.lit(float(cell))
-    low = lambda a, b: F.floor(F.least(a, b) / g)
-    high = lambda a, b: F.floor(F.greatest(a, b) / g)
     cells = (
         prepared.where(F.col("_xmin").isNotNull())
         .withColumn("_cx", F.explode(F.sequence(F.floor(F.col("_xmin") / g), F.floor(F.col("_xmax") / g))))
         .withColumn("_cy", F.explode(F.sequence(F.floor(F.col("_ymin") / g), F.floor(F.col("_ymax") / g))))
     )
+    return clipped(cells, g)
+
+
+def clipped(cells: DataFrame, size: Column, whole: str | None = None) -> DataFrame:
+    """Rows (polygon, cell ``_cx``, ``_cy`` of ``size``) with the edges that
+    matter in the cell and ``_inside``; cells outside the polygon are left
+    out.  ``whole`` names a column that is true where the cell is known to be
+    inside."""
+    low = lambda a, b: F.floor(F.least(a, b) / size)
+    high = lambda a, b: F.floor(F.greatest(a, b) / size)
     row, column = F.col("_cy"), F.col("_cx")
     cells = cells.withColumn(
         "_edges", F.filter("_edges", lambda e: (low(e["y1"], e["y2"]) <= row) & (high(e["y1"], e["y2"]) >= row))
     )
     crossed = F.exists("_edges", lambda e: (low(e["x1"], e["x2"]) <= column) & (high(e["x1"], e["x2"]) >= column))
-    centre = geo.within((column + 0.5) * g, (row + 0.5) * g, F.col("_edges"))
+    centre = geo.within((column + 0.5) * size, (row + 0.5) * size, F.col("_edges"))
+    if whole is not None:  # such cells carry no edges
+        crossed, centre = F.when(F.col(whole), F.lit(False)).otherwise(crossed), F.when(F.col(whole), F.lit(True)).otherwise(centre)
     cells = cells.withColumn("_inside", ~crossed & centre).where(crossed | centre)
     return cells.withColumn("_edges", F.when(~F.col("_inside"), F.col("_edges")))
 
@@ -190,6 +215,7 @@ def within_left_join(
     take: dict[str, str],
     geom: str = "geom",
     cell_size: float | None = None,
+    cover: Callable | None = None,
 ) -> DataFrame:
     """``points LEFT JOIN polygons ON ST_Within(points.point_col, polygons.geom)``.
 
@@ -197,48 +223,45 @@ def within_left_join(
     (e.g. ``{"pickup_zip": "zip"}``); they are NULL when nothing contains
     the point.  ``point_col`` is a ``struct<x,y>`` column.  Pass a
     ``PolygonIndex`` to reuse one layer's index across several joins.
+    ``cover=DensityCover`` (``operators.cover``) measures where the points are
+    first, one job that runs when this is called, and splits crowded cells.
     """
     index = polygons if isinstance(polygons, PolygonIndex) else PolygonIndex(
         polygons, sorted(set(take.values())), geom, cell_size
     )
-    return index.join(points, point_col, take)
+    return index.join(points, point_col, take, cover=cover(index, points, point_col) if cover else None)
 
 
-def point_matches(points: DataFrame, layers: list[PolygonIndex]) -> DataFrame:
+def point_matches(points: DataFrame, layers: list[PolygonIndex], covers: list | None = None) -> DataFrame:
     """(x, y, m0, m1, …) for the points (``struct<x,y>`` column ``_pt``) that
     any layer contains: ``m<i>`` lists the carried columns of layer ``i``'s
     containing polygons, NULL if none.
 
     One cell join for all layers: each point carries its cell in every layer
-    (layers keep their own cell size), matched against the union of the
-    layers' indexes on (layer, cell).
+    (layers keep their own cell size, and may have a ``DensityCover`` each),
+    matched against the union of the layers' indexes on (layer, cell).
     """
-    cells = None
-    for i, index in enumerate(layers):
-        c = index.cells.select(
+    cells, covers = None, covers or [None] * len(layers)
+    for i, (index, cover) in enumerate(zip(layers, covers)):
+        c = (cover.cells if cover else keyed_cells(index.cells)).select(
             F.lit(i).alias("_layer"),
             F.struct(*index.take).alias(f"_k{i}"),
-            "_edges", "_inside", "_xmin", "_xmax", "_ymin", "_ymax", "_cx", "_cy",
+            "_edges", "_inside", "_xmin", "_xmax", "_ymin", "_ymax", "_cl", "_cx", "_cy", "_cs",
         )
         cells = c if cells is None else cells.unionByName(c, allowMissingColumns=True)
     px, py = F.col("_pt")["x"], F.col("_pt")["y"]
+    spread = F.xxhash64(px, py)
+    for i, (index, cover) in enumerate(zip(layers, covers)):
+        place = plain_place(px, py, index.cell)
+        points = cover.place(points, px, py, f"_at{i}", spread) if cover else points.withColumn(f"_at{i}", place)
     tagged = points.select(
         "_pt",
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(i).alias("_p_layer"),
-                        F.floor(px / F.lit(ix.cell)).alias("_pcx"),
-                        F.floor(py / F.lit(ix.cell)).alias("_pcy"),
-                    )
-                    for i, ix in enumerate(layers)
-                ]
-            )
-        ),
-    )
+        F.inline(F.array(*[F.struct(F.lit(i).alias("_p_layer"), F.col(f"_at{i}").alias("_at")) for i in range(len(layers))])),
+    ).select("_pt", "_p_layer", *[F.col("_at")[c].alias(f"_pc{c}") for c in ("l", "x", "y", "s")])
     cond = (
         (F.col("_p_layer") == F.col("_layer"))
+        & (F.col("_pcl") == F.col("_cl"))
+        & (F.col("_pcs") == F.col("_cs"))
         & (F.col("_pcx") == F.col("_cx"))
         & (F.col("_pcy") == F.col("_cy"))
         & _inside(px, py, *[F.col(f"_{c}") for c in ("inside", "xmin", "xmax", "ymin", "ymax", "edges")])
@@ -254,9 +277,14 @@ def spatial_enrich(
     df: DataFrame,
     joins: list[tuple[str, PolygonIndex, dict[str, str]]],
     lookup_path: str | None = None,
+    cover: Callable | None = None,
 ) -> DataFrame:
     """Apply several left spatial joins ``(point column, index, take)`` to ``df``.
 
+    ``cover=DensityCover`` (``operators.cover``) measures first where the points
+    are and splits each layer's crowded cells: for points that crowd in few
+    cells and do not repeat.
+
     Without ``lookup_path`` every join runs directly, per row, and the result
     is a lazy plan: right for points that do not repeat (raw GPS).
 
@@ -273,16 +301,19 @@ def spatial_enrich(
     Both give the rows of the direct spatial join: one per containing
     polygon, or one with NULLs.
     """
+    layers = list({id(index): index for _, index, _ in joins}.values())
     if lookup_path is None:
+        cols = {id(index): list(dict.fromkeys(pc for pc, ix, _ in joins if ix is index)) for index in layers}
+        covers = {id(index): cover(index, df, cols[id(index)]) if cover else None for index in layers}
         for pc, index, take in joins:
-            df = index.join(df, pc, take)
+            df = index.join(df, pc, take, cover=covers[id(index)])
         return df
     spark = df.sparkSession
     point_cols = list(dict.fromkeys(pc for pc, _, _ in joins))
-    layers = list({id(index): index for _, index, _ in joins}.values())
     pts = df.select(F.explode(F.array(*[F.col(c) for c in point_cols])).alias("_pt"))
     pts = pts.where(F.col("_pt.x").isNotNull() & F.col("_pt.y").isNotNull()).distinct()
-    point_matches(pts, layers).write.mode("overwrite").parquet(lookup_path)
+    covers = [cover(index, pts, "_pt") if cover else None for index in layers]
+    point_matches(pts, layers, covers).write.mode("overwrite").parquet(lookup_path)
     lookup = spark.read.parquet(lookup_path)
 
     for pc in point_cols:

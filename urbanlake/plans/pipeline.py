@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from .. import sinks
 from ..functions.calendar import month_label
+from ..operators.cover import DensityCover
 from ..operators.spatial import PolygonIndex
 from ..schemas import REFERENCE_AIRPORTS, REPORT_HEADERS, report_types
 from ..sources import landing
@@ -66,7 +67,8 @@ def run_pipeline(
     staged trips, whatever the mode.
 
     ``dedupe_points=False`` skips the distinct-point lookup of the spatial
-    joins, for locations that do not repeat (raw GPS).
+    joins, for locations that do not repeat (raw GPS); trips then join over a
+    cover that follows the density of their points (``operators.cover``).
 
     Publishing: ``csv_out`` and ``json_out`` export every report in its order
     under ``export/``; ``jdbc`` (``url``, and optionally ``properties``,
@@ -100,7 +102,9 @@ def run_pipeline(
     lookup = lambda name: f"{root}/staging/_point_lookup_{name}" if dedupe_points else None
     trips = put(
         "staging", "trips_data",
-        staging.stage_trips(land["taxi_trips"], zip_index, area_index, lookup_path=lookup("trips")),
+        staging.stage_trips(
+            land["taxi_trips"], zip_index, area_index, lookup_path=lookup("trips"), cover=None if dedupe_points else DensityCover
+        ),
         by=["month_number"],
     )
     covid = put("staging", "covid_by_zip", staging.stage_covid(land["covid_by_zip"]))

@@ -9,6 +9,8 @@ there when they are called (``operators.spatial.spatial_enrich``).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +31,7 @@ def stage_trips(
     zip_cell: float | None = None,
     area_cell: float | None = None,
     lookup_path: str | None = None,
+    cover: Callable | None = None,
 ) -> DataFrame:
     """``STG.TRIPS_DATA`` (P1): trips with a located endpoint, the ZIP of each
     endpoint, community areas imputed from the area polygons, labels.
@@ -36,7 +39,8 @@ def stage_trips(
     The four spatial joins are LEFT and keep duplicates (S12); each polygon
     layer is indexed once (pass ``PolygonIndex`` objects to share them with
     ``stage_permits``).  With ``lookup_path`` the exact test runs once per
-    distinct location, else once per row.  Only the columns the output needs are read, and the
+    distinct location, else once per row; ``cover=DensityCover`` splits the
+    cells where points crowd (``operators.cover``).  Only the columns the output needs are read, and the
     "any endpoint located" filter runs before the joins.
     """
     t = trips.where(F.col("pickup_point").isNotNull() | F.col("dropoff_point").isNotNull()).select(
@@ -56,6 +60,7 @@ def stage_trips(
             ("dropoff_point", ca, {"_dropoff_area_match": "area_numbe"}),
         ],
         lookup_path,
+        cover,
     )
     return t.select(
         "trip_id",
@@ -107,6 +112,7 @@ def stage_permits(
     zip_cell: float | None = None,
     area_cell: float | None = None,
     lookup_path: str | None = None,
+    cover: Callable | None = None,
 ) -> DataFrame:
     """``STG.BUILDING_PERMIT`` (P4): located permits with ZIP and imputed area."""
     p = permits.where(F.col("location_point").isNotNull()).select(
@@ -120,6 +126,7 @@ def stage_permits(
             ("location_point", _index(areas, "area_numbe", area_cell), {"_area_match": "area_numbe"}),
         ],
         lookup_path,
+        cover,
     )
     return p.select(
         "id",
