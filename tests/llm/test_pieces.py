@@ -59,7 +59,7 @@ def test_without_segments_the_whole_text_is_merged():
 
 def test_a_difference_raises():
     broken = pieces.PieceEncoder(pieces.model_bytes(PATH))
-    broken.scores = {p: s for p, s in broken.scores.items() if "th" not in p}
+    broken.order = {p: s for p, s in broken.order.items() if "th" not in p}
     with pytest.raises(ValueError, match="library"):
         broken.encode(["that the other"])
 
@@ -78,8 +78,23 @@ def test_any_ids(ids):
     assert ENCODER.decode(ids) == LIBRARY.decode(ids)
 
 
-def test_agenda_takes_the_best_score_and_then_the_leftmost():
-    scores = {"ab": -1.0, "bc": -1.0, "cd": 0.0, "abcd": -9.0}
-    assert pieces.agenda(list("abcd"), scores) == ["abcd"]
-    assert pieces.agenda(list("abc"), scores) == ["ab", "c"]
-    assert pieces.agenda(list("aaa"), {"aa": 0.0}) == ["aa", "a"]
+@pytest.mark.parametrize("agenda", [pieces.short_agenda, pieces.long_agenda])
+def test_agenda_takes_the_best_score_and_then_the_leftmost(agenda):
+    order = {"ab": 1.0, "bc": 1.0, "cd": 0.0, "abcd": 9.0}
+    assert agenda(list("abcd"), order) == ["abcd"]
+    assert agenda(list("abc"), order) == ["ab", "c"]
+    assert agenda(list("aaa"), {"aa": 0.0}) == ["aa", "a"]
+    assert agenda([], order) == [] and agenda(["a"], order) == ["a"]
+
+
+def test_forgotten_segments_are_learned_again():
+    small = pieces.PieceEncoder(pieces.model_bytes(PATH), limit=5)
+    for text in [prose(k, 30) for k in range(6)] * 2:
+        assert [int.from_bytes(small.encode([text])[0][i : i + 4], "little") for i in range(0, 4 * len(LIBRARY.encode(text)), 4)] == LIBRARY.encode(text)
+        assert len(small.known) + len(small.older) < 80
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="abinorsth▁", min_size=2, max_size=40))
+def test_both_agendas_agree(text):
+    assert pieces.short_agenda(list(text), ENCODER.order) == pieces.long_agenda(list(text), ENCODER.order)

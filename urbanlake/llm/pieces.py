@@ -31,21 +31,48 @@ BLANK = "▁"
 LETTERS = "A-Za-zÀ-ÖØ-öø-ɏͰ-ԯ"
 SEGMENT = re.compile(f"{BLANK}*[{LETTERS}]+|{BLANK}*[^{LETTERS}{BLANK}]+|{BLANK}+")
 LETTER = re.compile(f"[{LETTERS}]")
-#: Longer segments are not remembered.
+#: Longer segments are cut further and not remembered.
 REMEMBERED = 64
+#: Symbols up to which a list is faster than a heap.
+SHORT = 24
 
 
-def agenda(symbols: list[str], scores: dict[str, float]) -> list[str]:
-    """The pieces that merging by score leaves of ``symbols``."""
-    if len(symbols) < 2:
-        return symbols
+NEVER = float("inf")
+
+
+def agenda(symbols: list[str], order: dict[str, float]) -> list[str]:
+    """The pieces that merging leaves of ``symbols``: the pair of least
+    ``order`` (the negative score) first, the leftmost of equal ones."""
+    return short_agenda(symbols, order) if len(symbols) <= SHORT else long_agenda(symbols, order)
+
+
+def short_agenda(symbols: list[str], order: dict[str, float]) -> list[str]:
+    """With the agenda as a list by place, searched for its best entry."""
+    pieces, get = symbols, order.get
+    ranks = [get(a + b, NEVER) for a, b in zip(pieces, pieces[1:])]
+    while ranks:
+        best = min(ranks)
+        if best == NEVER:
+            break
+        i = ranks.index(best)
+        pieces[i : i + 2] = [pieces[i] + pieces[i + 1]]
+        del ranks[i]
+        if i:
+            ranks[i - 1] = get(pieces[i - 1] + pieces[i], NEVER)
+        if i < len(ranks):
+            ranks[i] = get(pieces[i] + pieces[i + 1], NEVER)
+    return pieces
+
+
+def long_agenda(symbols: list[str], order: dict[str, float]) -> list[str]:
+    """With the agenda as a heap, which takes time n log n."""
     n = len(symbols)
     pieces, after, before = list(symbols), list(range(1, n + 1)), list(range(-1, n - 1))
     heap = []
     for i in range(n - 1):
-        score = scores.get(pieces[i] + pieces[i + 1])
-        if score is not None:
-            heap.append((-score, i, pieces[i] + pieces[i + 1]))
+        rank = order.get(pieces[i] + pieces[i + 1])
+        if rank is not None:
+            heap.append((rank, i, pieces[i] + pieces[i + 1]))
     heapify(heap)
     while heap:
         _, i, merged = heappop(heap)
@@ -57,14 +84,14 @@ def agenda(symbols: list[str], scores: dict[str, float]) -> list[str]:
         after[i] = k = after[j]
         if k < n:
             before[k] = i
-            score = scores.get(merged + pieces[k])
-            if score is not None:
-                heappush(heap, (-score, i, merged + pieces[k]))
+            rank = order.get(merged + pieces[k])
+            if rank is not None:
+                heappush(heap, (rank, i, merged + pieces[k]))
         h = before[i]
         if h >= 0:
-            score = scores.get(pieces[h] + merged)
-            if score is not None:
-                heappush(heap, (-score, h, pieces[h] + merged))
+            rank = order.get(pieces[h] + merged)
+            if rank is not None:
+                heappush(heap, (rank, h, pieces[h] + merged))
     return [p for p in pieces if p]
 
 
@@ -74,10 +101,11 @@ class PieceEncoder:
     Only merge-type models with byte pieces are accepted, without unused
     pieces; a model whose normaliser does more than mark blanks, or whose pieces go on
     from letters to other characters, has its texts normalised by the library
-    and encoded as one segment each.  ``limit`` bounds the remembered segments.
+    and encoded as one segment each.  Twice ``limit`` segments are remembered, and
+    those of one slice of texts.
     """
 
-    def __init__(self, model: bytes, limit: int = 500_000):
+    def __init__(self, model: bytes, limit: int = 300_000):
         import sentencepiece
 
         self.library = library = sentencepiece.SentencePieceProcessor(model_proto=model)
@@ -87,8 +115,8 @@ class PieceEncoder:
             raise ValueError("the vocabulary must have all byte pieces and no unused ones")
         names = library.id_to_piece(list(range(size)))
         self.ids = {p: i for i, p in enumerate(names) if not special[i]}
-        self.scores = {p: library.get_score(i) for p, i in self.ids.items() if len(p) > 1}
-        self.pairs = {p[k : k + 2] for p in self.scores for k in range(len(p) - 1)}
+        self.order = {p: -library.get_score(i) for p, i in self.ids.items() if len(p) > 1}
+        self.pairs = {p[k : k + 2] for p in self.order for k in range(len(p) - 1)}
         # whether no piece goes on where SEGMENT cuts, or beside a line break
         kind = lambda c: c if c == BLANK else bool(LETTER.match(c))
         marks = library.normalize(" \ta  b \x00ＡǺ\n") == f"{BLANK * 2}\ta{BLANK * 2}b{BLANK}\x00ＡǺ\n"
@@ -106,7 +134,8 @@ class PieceEncoder:
                 self.bytes_of[i] = library.decode([i]).encode()
         self.first_blank = [n.startswith(BLANK) for n in names]
         self.control = {i for i in range(size) if library.is_control(i)}
-        self.limit, self.known, self.parts = limit, {}, {}
+        self.raw_ids = {p: i.to_bytes(4, "little") for p, i in self.ids.items()}
+        self.limit, self.known, self.older = limit, {}, {}
 
     def normalized(self, text: str) -> str:
         if not self.segmented:
@@ -115,26 +144,18 @@ class PieceEncoder:
 
     def by_agenda(self, part: str) -> bytes:
         """Ids of a part (little-endian uint32), by the agenda alone."""
-        out = []
-        for piece in agenda(list(part), self.scores):
-            i = self.ids.get(piece)
-            out += [i] if i is not None else [self.byte_id[b] for b in piece.encode()]
-        return b"".join(i.to_bytes(4, "little") for i in out)
+        pieces, raw = agenda(list(part), self.order), self.raw_ids
+        try:
+            return b"".join([raw[p] for p in pieces])
+        except KeyError:  # characters that are no piece
+            return b"".join([raw[p] if p in raw else b"".join(self.byte_id[b].to_bytes(4, "little") for b in p.encode()) for p in pieces])
 
     def segment(self, segment: str) -> bytes:
-        """Ids of a segment: cut where no piece goes on, each part by the agenda."""
-        pairs, parts, start, out = self.pairs, self.parts, 0, []
-        for k in range(1, len(segment) + 1):
-            if k == len(segment) or segment[k - 1 : k + 1] not in pairs:
-                part = segment[start:k]
-                ids = parts.get(part)
-                if ids is None:
-                    ids = self.by_agenda(part)
-                    if k - start < len(segment) and len(part) <= REMEMBERED:
-                        parts[part] = ids
-                out.append(ids)
-                start = k
-        return b"".join(out)
+        """Ids of a segment; a long one is cut where no piece goes on."""
+        if len(segment) <= REMEMBERED:
+            return self.by_agenda(segment)
+        cuts = [0, *(k for k in range(1, len(segment)) if segment[k - 1 : k + 1] not in self.pairs), len(segment)]
+        return b"".join(self.by_agenda(segment[a:b]) for a, b in zip(cuts, cuts[1:]))
 
     def _check(self, segments: list[str], ids: list[bytes]) -> None:
         """The library encodes the segments as lines of one text, or whole
@@ -155,21 +176,24 @@ class PieceEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian uint32 bytes, equal to the
         library's ``encode`` without begin and end ids."""
-        if len(self.known) + len(self.parts) > self.limit:
-            self.known.clear()
-            self.parts.clear()
         texts = [self.normalized(t) for t in texts] if self.segmented else texts
         found = [SEGMENT.findall(t) if self.segmented else [t] for t in texts]
-        known = self.known
-        new = list(set().union(*found).difference(known))
+        wanted = set().union(*found)
+        known, older = self.known, self.older
+        missing = wanted.difference(known)
+        back = missing.intersection(older)
+        new = list(missing.difference(back))
         ids = [self.segment(s if self.segmented else self.normalized(s)) for s in new]
         self._check(new, ids)
-        learned = dict(zip(new, ids))
-        known.update((s, i) for s, i in learned.items() if len(s) <= REMEMBERED)
-        long = {s: i for s, i in learned.items() if len(s) > REMEMBERED}
-        if not long:
-            return [b"".join(map(known.__getitem__, f)) for f in found]
-        return [b"".join([known[s] if s in known else long[s] for s in f]) for f in found]
+        known.update((s, older[s]) for s in back)
+        known.update(zip(new, ids))
+        out = [b"".join(map(known.__getitem__, f)) for f in found]
+        for s in new:
+            if len(s) > REMEMBERED:
+                del known[s]
+        if len(known) > self.limit:  # what has not been met since the last time is forgotten
+            self.known, self.older = {}, known
+        return out
 
     def decode(self, ids: list[int]) -> str:
         """The text of the ids: pieces with their blanks, the first one's blank
