@@ -118,6 +118,15 @@ class PolygonIndex:
         self.max_rows = int(cells(g)) if n else 0
         self.take = list(take)
         self.cells = polygon_cells(prepared, g)
+        self._polygons, self._version = polygons.select(*take, geom), None
+
+    def version(self) -> str:
+        """Digest of the layer's keys and geometries, whatever the order of its rows."""
+        if self._version is None:
+            row = self._polygons.select(F.xxhash64(F.to_json(F.struct("*"))).cast("decimal(38,0)").alias("h"))
+            n, total = row.agg(F.count("*"), F.sum("h")).first()
+            self._version = f"{','.join(self.take)}:{n}:{total}"
+        return self._version
 
     def join(self, points: DataFrame, point_col: str, take: dict[str, str], how: str = "left", cover=None) -> DataFrame:
         """``points LEFT JOIN layer ON ST_Within(point, polygon)``; ``take`` maps
@@ -232,10 +241,10 @@ def within_left_join(
     return index.join(points, point_col, take, cover=cover(index, points, point_col) if cover else None)
 
 
-def point_matches(points: DataFrame, layers: list[PolygonIndex], covers: list | None = None) -> DataFrame:
+def point_matches(points: DataFrame, layers: list[PolygonIndex], covers: list | None = None, unmatched: bool = False) -> DataFrame:
     """(x, y, m0, m1, …) for the points (``struct<x,y>`` column ``_pt``) that
-    any layer contains: ``m<i>`` lists the carried columns of layer ``i``'s
-    containing polygons, NULL if none.
+    any layer contains (with ``unmatched`` for all of them): ``m<i>`` lists the
+    carried columns of layer ``i``'s containing polygons, NULL if none.
 
     One cell join for all layers: each point carries its cell in every layer
     (layers keep their own cell size, and may have a ``DensityCover`` each),
@@ -266,18 +275,27 @@ def point_matches(points: DataFrame, layers: list[PolygonIndex], covers: list |
         & (F.col("_pcy") == F.col("_cy"))
         & _inside(px, py, *[F.col(f"_{c}") for c in ("inside", "xmin", "xmax", "ymin", "ymax", "edges")])
     )
-    found = tagged.join(cells, cond, "inner")
+    found = tagged.join(cells, cond, "left" if unmatched else "inner")
     # a point lies in as many polygons as overlap there: lists stay short
     lists = [F.collect_list(F.when(F.col("_layer") == i, F.col(f"_k{i}"))).alias(f"m{i}") for i in range(len(layers))]
     grouped = found.groupBy(px.alias("x"), py.alias("y")).agg(*lists)
     return grouped.select("x", "y", *[F.nullif(F.col(f"m{i}"), F.array().cast(grouped.schema[f"m{i}"].dataType)).alias(f"m{i}") for i in range(len(layers))])
 
 
+def _written_lookup(df: DataFrame, point_cols: list[str], layers: list[PolygonIndex], path: str, cover: Callable | None) -> DataFrame:
+    pts = df.select(F.explode(F.array(*[F.col(c) for c in point_cols])).alias("_pt"))
+    pts = pts.where(F.col("_pt.x").isNotNull() & F.col("_pt.y").isNotNull()).distinct()
+    covers = [cover(index, pts, "_pt") if cover else None for index in layers]
+    point_matches(pts, layers, covers).write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def spatial_enrich(
     df: DataFrame,
     joins: list[tuple[str, PolygonIndex, dict[str, str]]],
     lookup_path: str | None = None,
     cover: Callable | None = None,
+    dictionary=None,
 ) -> DataFrame:
     """Apply several left spatial joins ``(point column, index, take)`` to ``df``.
 
@@ -298,24 +316,24 @@ def spatial_enrich(
     read.  Each point column is then joined once, by its exact coordinates,
     for all layers.
 
-    Both give the rows of the direct spatial join: one per containing
+    With ``dictionary`` (``operators.points.PointDictionary``, updated with
+    these points) the matches come from there and nothing is matched here.
+
+    All give the rows of the direct spatial join: one per containing
     polygon, or one with NULLs.
     """
     layers = list({id(index): index for _, index, _ in joins}.values())
-    if lookup_path is None:
+    if dictionary is None and lookup_path is None:
         cols = {id(index): list(dict.fromkeys(pc for pc, ix, _ in joins if ix is index)) for index in layers}
         covers = {id(index): cover(index, df, cols[id(index)]) if cover else None for index in layers}
         for pc, index, take in joins:
             df = index.join(df, pc, take, cover=covers[id(index)])
         return df
-    spark = df.sparkSession
     point_cols = list(dict.fromkeys(pc for pc, _, _ in joins))
-    pts = df.select(F.explode(F.array(*[F.col(c) for c in point_cols])).alias("_pt"))
-    pts = pts.where(F.col("_pt.x").isNotNull() & F.col("_pt.y").isNotNull()).distinct()
-    covers = [cover(index, pts, "_pt") if cover else None for index in layers]
-    point_matches(pts, layers, covers).write.mode("overwrite").parquet(lookup_path)
-    lookup = spark.read.parquet(lookup_path)
-
+    if dictionary is not None:
+        layers, lookup = dictionary.layers, dictionary.lookup()
+    else:
+        lookup = _written_lookup(df, point_cols, layers, lookup_path, cover)
     for pc in point_cols:
         tag = uuid.uuid4().hex[:8]
         n = lambda s: f"_{s}_{tag}"

@@ -244,7 +244,11 @@ def report1_severity(
     ranks the trailing averages against the same quartiles.  ``days``
     (``trip_day_facts``) replaces the trips scan when given.
     """
-    base = report1_base(trips, covid, zip_polygons, days)
+    return report1_from_base(report1_base(trips, covid, zip_polygons, days), approx_quartiles)
+
+
+def report1_from_base(base: DataFrame, approx_quartiles: bool = False) -> DataFrame:
+    """Report 1 from its totals (``report1_base``)."""
     qs = F.col("_q")
     bounds = (
         qs["q1_total_trip_count"], qs["q3_total_trip_count"],

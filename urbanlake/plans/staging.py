@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import calendar as cal
 from ..functions.columns import impute_area
+from ..operators.points import PointDictionary
 from ..operators.spatial import PolygonIndex, spatial_enrich
 
 
@@ -32,6 +33,7 @@ def stage_trips(
     area_cell: float | None = None,
     lookup_path: str | None = None,
     cover: Callable | None = None,
+    dictionary: PointDictionary | None = None,
 ) -> DataFrame:
     """``STG.TRIPS_DATA`` (P1): trips with a located endpoint, the ZIP of each
     endpoint, community areas imputed from the area polygons, labels.
@@ -39,7 +41,8 @@ def stage_trips(
     The four spatial joins are LEFT and keep duplicates (S12); each polygon
     layer is indexed once (pass ``PolygonIndex`` objects to share them with
     ``stage_permits``).  With ``lookup_path`` the exact test runs once per
-    distinct location, else once per row; ``cover=DensityCover`` splits the
+    distinct location, with a ``dictionary`` once for all runs (``update`` it
+    first, ``point_sources``), else once per row; ``cover=DensityCover`` splits the
     cells where points crowd (``operators.cover``).  Only the columns the output needs are read, and the
     "any endpoint located" filter runs before the joins.
     """
@@ -61,6 +64,7 @@ def stage_trips(
         ],
         lookup_path,
         cover,
+        dictionary,
     )
     return t.select(
         "trip_id",
@@ -77,6 +81,12 @@ def stage_trips(
     )
 
 
+def point_sources(trips: DataFrame | None = None, permits: DataFrame | None = None) -> list[tuple[DataFrame, list[str]]]:
+    """What ``PointDictionary.update`` needs before these are staged."""
+    found = [(trips, ["pickup_point", "dropoff_point"]), (permits, ["location_point"])]
+    return [(df, columns) for df, columns in found if df is not None]
+
+
 def stage_covid(covid: DataFrame) -> DataFrame:
     """``STG.COVID_BY_ZIP`` (P2): known ZIPs with a location, labels from the week start."""
     return covid.where(
@@ -113,6 +123,7 @@ def stage_permits(
     area_cell: float | None = None,
     lookup_path: str | None = None,
     cover: Callable | None = None,
+    dictionary: PointDictionary | None = None,
 ) -> DataFrame:
     """``STG.BUILDING_PERMIT`` (P4): located permits with ZIP and imputed area."""
     p = permits.where(F.col("location_point").isNotNull()).select(
@@ -127,6 +138,7 @@ def stage_permits(
         ],
         lookup_path,
         cover,
+        dictionary,
     )
     return p.select(
         "id",
