@@ -38,6 +38,7 @@ from ..operators.aggregates import (
     trailing_avg,
     union_distinct_total,
 )
+from ..operators.quantiles import exact_quartiles
 from ..operators.spine import dense_spine, zero_filled_left_join
 from ..schemas import REFERENCE_AIRPORTS
 
@@ -247,14 +248,17 @@ def report1_severity(
     return report1_from_base(report1_base(trips, covid, zip_polygons, days), approx_quartiles)
 
 
-def report1_from_base(base: DataFrame, approx_quartiles: bool = False) -> DataFrame:
-    """Report 1 from its totals (``report1_base``)."""
+def report1_from_base(base: DataFrame, approx_quartiles: bool = False, select_quartiles: bool = False) -> DataFrame:
+    """Report 1 from its totals (``report1_base``).  ``select_quartiles``
+    selects the exact quartiles in a few jobs that run now, with bounded
+    memory: for a written table (``operators.quantiles``)."""
     qs = F.col("_q")
+    found = exact_quartiles(base, ["total_trip_count", "weekly_positive_cases"]) if select_quartiles else report1_quartiles(base, approx_quartiles)
     bounds = (
         qs["q1_total_trip_count"], qs["q3_total_trip_count"],
         qs["q1_weekly_positive_cases"], qs["q3_weekly_positive_cases"],
     )
-    return report1_averages(base).withColumn("_q", report1_quartiles(base, approx_quartiles)).select(
+    return report1_averages(base).withColumn("_q", found).select(
         "week_start",
         cal.prefix_label("week_number").alias("week_number"),
         "zip",
