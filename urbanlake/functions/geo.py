@@ -92,30 +92,79 @@ def ring_coords(rings, axis: str) -> Column:
     return F.flatten(F.transform(_col(rings), lambda r: F.transform(r, lambda p: p[axis])))
 
 
-def crossings(x, y, edges) -> Column:
-    """Number of edges crossed by the ray from (x, y) towards +x.
+#: Relative error of a double operation, and of the plain orientation below
+#: against the sum of its two products' sizes (three roundings of differences
+#: and products, and their higher terms).
+EPS = 2.0**-53
+ORIENTATION_ERROR = (3 + 16 * EPS) * EPS
+#: Splits a double into two halves whose products are exact.
+SPLITTER = 2.0**27 + 1
+
+
+def _two_products(a: Column, b: Column, sign: int) -> list[Column]:
+    """sign * a * b as two doubles without any error."""
+    halves = []
+    for v in (a, b):
+        c = v * SPLITTER
+        high = c - (c - v)
+        halves.append((high, v - high))
+    (ah, al), (bh, bl) = halves
+    p = a * b
+    rest = ((ah * bh - p) + ah * bl + al * bh) + al * bl
+    return [p, rest] if sign > 0 else [-p, -rest]
+
+
+def _sign_of_sum(terms: list[Column]) -> Column:
+    """Sign of an exact sum: each term is added to an expansion, doubles of
+    rising size that do not overlap, with the error of every addition kept."""
+
+    def add(expansion: Column, term: Column) -> Column:
+        def step(acc: Column, e: Column) -> Column:
+            total = acc["q"] + e
+            back = total - acc["q"]
+            error = (acc["q"] - (total - back)) + (e - back)
+            return F.struct(total.alias("q"), F.concat(acc["out"], F.array(error)).alias("out"))
+
+        start = F.struct(term.alias("q"), F.array().cast("array<double>").alias("out"))
+        return F.aggregate(expansion, start, step, lambda acc: F.concat(acc["out"], F.array(acc["q"])))
+
+    expansion = F.aggregate(F.array(*terms), F.array().cast("array<double>"), add)
+    largest = F.aggregate(expansion, F.lit(0.0), lambda last, e: F.when(e != 0, e).otherwise(last))
+    return F.signum(largest)
+
+
+def orientation(x1, y1, x2, y2, x, y) -> Column:
+    """1.0 if (x, y) lies left of the line from (x1, y1) to (x2, y2), -1.0 if
+    right, 0.0 if on it: exact for the doubles given.  The plain expression
+    decides where its error bound allows, else exact sums of products do."""
+    left, right = (x1 - x) * (y2 - y), (x2 - x) * (y1 - y)
+    plain = left - right
+    terms = [t for a, b, s in ((x1, y2, 1), (x1, y, -1), (x, y2, -1), (x2, y1, -1), (x2, y, 1), (x, y1, 1)) for t in _two_products(a, b, s)]
+    return F.when(F.abs(plain) > (F.abs(left) + F.abs(right)) * ORIENTATION_ERROR, F.signum(plain)).otherwise(_sign_of_sum(terms))
 
-    ``nullif`` keeps ANSI division from raising on horizontal edges whatever
-    order the conjuncts are evaluated in.
-    """
+
+def crossings(x, y, edges) -> Column:
+    """Number of edges crossed by the ray from (x, y) towards +x: those that
+    span its height and have the point on their left (on their right, if they
+    lead down)."""
     x, y = _col(x), _col(y)
     return F.size(
         F.filter(
             _col(edges),
             lambda e: ((e["y1"] > y) != (e["y2"] > y))
-            & (x < (e["x2"] - e["x1"]) * (y - e["y1"]) / F.nullif(e["y2"] - e["y1"], F.lit(0.0)) + e["x1"]),
+            & (orientation(e["x1"], e["y1"], e["x2"], e["y2"], x, y) == F.when(e["y2"] > e["y1"], 1.0).otherwise(-1.0)),
         )
     )
 
 
 def on_boundary(x, y, edges) -> Column:
-    """True when (x, y) lies on one of the edges (collinear and inside the segment box)."""
+    """True when (x, y) lies on one of the edges (inside the segment's box and collinear)."""
     x, y = _col(x), _col(y)
     return F.exists(
         _col(edges),
-        lambda e: ((e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"]) == 0)
-        & x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
-        & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"])),
+        lambda e: x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
+        & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
+        & (orientation(e["x1"], e["y1"], e["x2"], e["y2"], x, y) == 0),
     )
 
 
