@@ -19,7 +19,7 @@ RENAMED: dict[str, str] = {}
 
 # Where each operator lives in the library (module.function).
 CODE = {
-    "src_csv_trips": "sources.landing.read_csv / load('taxi_trips'), schemas.TAXI_TRIPS",
+    "src_csv_trips": "sources.landing.read_csv / load('taxi_trips'), sources.csv_blocks (quoted newlines, several tasks), schemas.TAXI_TRIPS",
     "src_csv_polygons": "sources.landing.read_csv + land_polygons, schemas.BOUNDARIES_ZIP / COMM_AREA",
     "src_csv_covid": "sources.landing.load('covid_by_zip'), land_covid",
     "src_csv_ccvi": "sources.landing.load('ccvi_by_ca')",
@@ -57,6 +57,12 @@ CODE = {
     "filter_nonzero": "plans.reports.area_week_counts / trip_day_facts",
     "filter_upper_eq": "plans.reports.report3_ccvi",
     "filter_lt": "plans.reports.report6_loans",
+    "spatial_adaptive_join_zip": "operators.cover.DensityCover, within_left_join(cover=…)",
+    "stage_trips_kept_points": "operators.points.PointDictionary, spatial_enrich(dictionary=…)",
+    "sink_append_batches": "sinks.batches.append_batch / read_batch",
+    "report_refresh": "plans.refresh.refresh",
+    "quartiles_selected": "operators.quantiles.exact_quantiles / exact_quartiles",
+    "trailing_avg_by_year": "operators.aggregates.trailing_avgs_by_range",
     "spatial_left_join_zip": "operators.spatial.PolygonIndex / within_left_join / spatial_enrich",
     "spatial_left_join_area": "operators.spatial.PolygonIndex / within_left_join / spatial_enrich",
     "geo_point_in_polygon": "functions.geo.within / point_within (crossings, on_boundary)",

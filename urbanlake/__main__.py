@@ -35,6 +35,9 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--json-out", action="store_true", help="also export every report as JSON lines")
     p.add_argument("--jdbc-url", default=None, help="also load every report into this database (password: URBANLAKE_JDBC_PASSWORD)")
     p.add_argument("--jdbc-user", default=None)
+    p.add_argument("--jdbc-swap", action="store_true", help="load side tables, compare counts and swap")
+    p.add_argument("--batch", default=None, help="name of this delivery: appended exactly once, a killed run may be repeated")
+    p.add_argument("--refresh", action="store_true", help="recompute only the parts of the trip reports that the landed days reach")
     p.add_argument("--raw-points", action="store_true", help="locations do not repeat: no distinct-point lookup")
     p.add_argument(
         "--single-line", action="append", default=[], choices=list(LANDING_TABLES), metavar="TABLE",
@@ -55,15 +58,18 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
             raise SystemExit(f"no source for {table}: give --src-dir or --{table.replace('_', '-')}")
         sources[table] = path
     mode = REFERENCE_RERUN_MODES if args.mode == "rerun" else args.mode
+    if args.refresh:
+        mode = {**(mode if isinstance(mode, dict) else dict.fromkeys(("landing", "staging", "export"), mode)), "summarised": "refresh"}
     airports = json.loads(args.airports) if args.airports else REFERENCE_AIRPORTS
     spark = spark or SparkSession.builder.appName("urbanlake").getOrCreate()
     jdbc = None
     if args.jdbc_url:
         login = {"user": args.jdbc_user, "password": os.environ.get("URBANLAKE_JDBC_PASSWORD")}
         jdbc = {"url": args.jdbc_url, "properties": {k: v for k, v in login.items() if v}}
+        jdbc |= {"mode": "swap"} if args.jdbc_swap else {}
     return run_pipeline(
         spark, sources, args.out, mode=mode, airports=airports, csv_out=args.csv_out, json_out=args.json_out, jdbc=jdbc,
-        dedupe_points=not args.raw_points, multi_line={table: False for table in args.single_line},
+        dedupe_points=not args.raw_points, batch=args.batch, multi_line={table: False for table in args.single_line},
     )
 
 

@@ -20,12 +20,17 @@ from ..functions import calendar as cal
 from ..functions import geo
 from ..functions.columns import airport_from_zip, impute_area, score_sum
 from ..operators import aggregates as agg
+from ..operators.cover import DensityCover
+from ..operators.points import PointDictionary
+from ..operators.quantiles import exact_quartiles
 from ..operators.spatial import PolygonIndex, within_left_join
 from ..operators.spine import dense_spine, zero_filled_left_join
 from ..plans import reports as rp
 from ..plans import staging as st
 from ..plans.pipeline import run_pipeline
+from ..plans.refresh import refresh
 from ..session import shared_dir
+from ..sinks.batches import append_batch
 from ..sources import driver_tables as dt
 from ..sources import landing as ld
 from .sql_oracle import PERIODS, with_ctes
@@ -368,6 +373,18 @@ def sink_append(spark, sf):
     return sinks.scan_table(spark, path)
 
 
+@query("sink_append_batches", "SELECT * FROM stg_health")
+def sink_append_batches(spark, sf):
+    """Two batches, each delivered twice: every row is there once."""
+    i = Inputs(spark, sf)
+    path, odd = shared_dir(spark, "sink_append_batches"), F.col("community_area") % 2 == 1
+    parts = {"odd": i.stg_health.where(odd), "rest": i.stg_health.where(~F.coalesce(odd, F.lit(False)))}
+    for _ in range(2):
+        for name, part in parts.items():
+            append_batch(spark, lambda part=part: part, path, name)
+    return sinks.scan_table(spark, path)
+
+
 def _json_sql(name: str, cte: str) -> str:
     """The raw JSON line of each report row, keys in order."""
     headers, types = schemas.REPORT_HEADERS[name], schemas.report_types(name)
@@ -403,6 +420,17 @@ def stage_trips(spark, sf):
     return Inputs(spark, sf).stg_trips.drop("pickup_point", "dropoff_point")
 
 
+@query("stage_trips_kept_points", "SELECT * FROM stg_trips")
+def stage_trips_kept_points(spark, sf):
+    """Staging over a kept point dictionary: permits bring their points first,
+    trips add theirs."""
+    i = Inputs(spark, sf)
+    known = PointDictionary(spark, shared_dir(spark, "points"), [i.zip_index, i.area_index])
+    known.update(st.point_sources(permits=i.permits))
+    known.update(st.point_sources(trips=i.trips))
+    return st.stage_trips(i.trips, i.zip_index, i.area_index, dictionary=known).drop("pickup_point", "dropoff_point")
+
+
 @query("stage_covid", "SELECT * FROM stg_covid")
 def stage_covid(spark, sf):
     return Inputs(spark, sf).stg_covid
@@ -606,6 +634,14 @@ def spatial_left_join_area(spark, sf):
     return j.select("trip_id", "role", F.col("point")["x"].alias("x"), F.col("point")["y"].alias("y"), "area")
 
 
+@query("spatial_adaptive_join_zip", _endpoint_join_sql("zip_hit", "zip"))
+def spatial_adaptive_join_zip(spark, sf):
+    """The same join over a cover that follows the density of the points."""
+    i = Inputs(spark, sf)
+    j = within_left_join(_endpoints(i.trips), "point", i.zips, {"zip": "zip"}, cover=DensityCover)
+    return j.select("trip_id", "role", F.col("point")["x"].alias("x"), F.col("point")["y"].alias("y"), "zip")
+
+
 @query("geo_point_in_polygon", """
 SELECT p.x, p.y, count(h.zip) AS n_zip
 FROM (SELECT DISTINCT px AS x, py AS y FROM trips_l WHERE px IS NOT NULL) p
@@ -809,6 +845,18 @@ def quartiles_global(spark, sf):
     )
 
 
+@query("quartiles_selected", "SELECT * FROM r1_iqr")
+def quartiles_selected(spark, sf):
+    """The same quartiles by selection over narrowing value ranges."""
+    i, path = Inputs(spark, sf), shared_dir(spark, "report1_base")
+    base = rp.report1_base(None, i.stg_covid, i.zips, i.days)
+    sinks.write_table(base, path)
+    base = sinks.scan_table(spark, path)
+    q = exact_quartiles(base, ["total_trip_count", "weekly_positive_cases"], collect=100)
+    names = {"q1_trips": "q1_total_trip_count", "q3_trips": "q3_total_trip_count", "q1_cases": "q1_weekly_positive_cases", "q3_cases": "q3_weekly_positive_cases"}
+    return base.groupBy().agg(F.count("*").alias("n")).select(*[q[field].alias(name) for name, field in names.items()])
+
+
 @query("permits_by_zip", "SELECT * FROM built")
 def permits_by_zip(spark, sf):
     return rp.permits_by_zip(Inputs(spark, sf).stg_permits)
@@ -822,6 +870,14 @@ def trailing_avg_inclusive(spark, sf):
     return rp.report1_averages(base).select("week_start", "week_number", "zip", "avg_trip_count", "avg_cases")
 
 
+@query("trailing_avg_by_year", "SELECT week_start, week_number, zip, avg_trip_count, avg_cases FROM r1_avg")
+def trailing_avg_by_year(spark, sf):
+    """The same averages with each ZIP's history split by year."""
+    i = Inputs(spark, sf)
+    base = rp.report1_base(i.stg_trips, i.stg_covid, i.zips)
+    return rp.report1_averages(base, by_year=True).select("week_start", "week_number", "zip", "avg_trip_count", "avg_cases")
+
+
 @query("forecast_weekly", "SELECT * FROM r4a")
 def forecast_weekly(spark, sf):
     i = Inputs(spark, sf)
@@ -938,6 +994,29 @@ def report6_loans(spark, sf):
     return rp.report6_loans(i.stg_permits, i.stg_health)
 
 
+_TRIP_REPORTS = [name for name in _REPORT_CTES if name < "rpttbl05"]
+
+
+@query("report_refresh", "\nUNION ALL\n".join(
+    "SELECT '{0}' AS report, concat_ws('|', {1}) AS fields FROM {2}".format(
+        name, ", ".join(f"ifnull(CAST({c} AS VARCHAR), '-')" for c in schemas.REPORT_HEADERS[name]), _REPORT_CTES[name]
+    )
+    for name in _TRIP_REPORTS
+))
+def report_refresh(spark, sf):
+    """The trip reports built without one spring, then refreshed with it."""
+    i, root, path = Inputs(spark, sf), shared_dir(spark, "reports"), shared_dir(spark, "days")
+    facts = i.days.withColumn("month_number", cal.month_label("trip_start"))
+    late = F.col("trip_start").between(F.lit("1996-04-10").cast("date"), F.lit("1996-05-20").cast("date"))
+    early = facts.where(F.col("trip_start").isNull() | ~late)
+    touched = [r[0] for r in i.stg_trips.where(late).select("trip_start").distinct().collect()]
+    for rows, days in ((early, None), (facts, touched)):
+        sinks.write_table(rows, path, partition_by=["month_number"])
+        kept = sinks.scan_table(spark, path, schema=rows.schema)
+        out = refresh(spark, root, kept, i.stg_covid, i.stg_ccvi, i.zips, days, AIRPORTS)
+    return _as_text({name: out[name] for name in _TRIP_REPORTS})
+
+
 _PIPELINE_COLUMNS = {
     "staging.trips_data": ("stg_trips", "trip_id trip_start pickup_community_area dropoff_community_area pickup_zip dropoff_zip week_number month_number"),
     "staging.covid_by_zip": ("stg_covid", "zip_code week_start cases_weekly tests_cumulative week_number month_number"),

@@ -148,3 +148,32 @@ def forecast_int(avg: Column) -> Column:
     """Average assigned to an integer column: empty frame → 0, then round half
     away from zero (S8, S9)."""
     return F.round(F.coalesce(avg, F.lit(0.0))).cast("int")
+
+
+def trailing_avgs_by_range(
+    df: DataFrame, values: dict[str, str], partition: Sequence[str], order: Sequence[Column], chunk: Column, start: int, end: int
+) -> DataFrame:
+    """``df`` with ``trailing_avg`` of several columns (output name: column),
+    for long histories (G1-G5): a key's rows are split by ``chunk`` and each
+    (key, chunk) is a window of its own, so that no task holds a whole history.
+
+    ``chunk`` is an integer that never rises along ``order`` (say the year of
+    a newest-first order; NULL, if NULLs come first).  A frame that ends
+    ``end`` rows further on may reach into later chunks: the first ``end``
+    rows of each chunk are handed to all chunks before it, which need no more
+    of it.  The chunks, some calendar units, are listed on the driver.
+    """
+    rows = df.withColumn("_chunk", chunk.cast("int"))
+    found = [r[0] for r in rows.select("_chunk").distinct().collect()]
+    top = max([c for c in found if c is not None], default=0) + 1  # NULLs come first
+    chunks = sorted({top if c is None else c for c in found})
+    rows = rows.withColumn("_chunk", F.coalesce("_chunk", F.lit(top)))
+    keys = [*partition, "_chunk"]
+    heads = rows.withColumn("_nth", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("_nth") <= end).drop("_nth")
+    before = F.filter(F.array(*[F.lit(c) for c in chunks]).cast("array<int>"), lambda c: c > F.col("_chunk"))
+    halo = heads.withColumn("_to", F.explode(before)).drop("_chunk").withColumnRenamed("_to", "_chunk")
+    both = rows.withColumn("_halo", F.lit(False)).unionByName(halo.withColumn("_halo", F.lit(True)))
+    frame = Window.partitionBy(*keys).orderBy(F.col("_halo"), *order).rowsBetween(start, end)
+    # own rows come first, then the chunks after them, in order
+    out = both.withColumns({name: F.avg(F.col(c)).over(frame) for name, c in values.items()})
+    return out.where(~F.col("_halo")).drop("_halo", "_chunk")

@@ -27,6 +27,7 @@ from ..operators.spatial import PolygonIndex
 from ..schemas import LANDING, REFERENCE_AIRPORTS, REPORT_HEADERS, report_types
 from ..sinks import files
 from ..sinks.batches import append_batch, read_batch
+from ..sinks.publish import publish
 from ..sources import landing
 from . import refresh, reports, staging
 
@@ -93,7 +94,8 @@ def run_pipeline(
     Publishing: ``csv_out`` and ``json_out`` export every report in its order
     under ``export/``; ``jdbc`` (``url``, and optionally ``properties``,
     ``mode``, ``table`` as a pattern for the report's name) loads them into a
-    database.
+    database; its mode ``swap`` loads a side table, compares the counts and
+    swaps (``sinks.publish``).
     """
     root = out_root.rstrip("/")
     written: dict[str, str] = {}
@@ -210,7 +212,10 @@ def run_pipeline(
             written[f"export_json.{name}"] = sinks.write_json(
                 table, f"{root}/export_json/{name}", mode=modes["export"], headers=headers, types=types, order=order
             )
-        if jdbc:
+        if jdbc and jdbc.get("mode") == "swap":
+            target = jdbc.get("table", "{report}").format(report=name)
+            publish(table, jdbc["url"], target, headers, types, jdbc.get("properties"))
+        elif jdbc:
             sinks.write_jdbc(
                 table, jdbc["url"], jdbc.get("table", "{report}").format(report=name), mode=jdbc.get("mode", "append"),
                 properties=jdbc.get("properties"), headers=headers, types=types,

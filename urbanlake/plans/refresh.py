@@ -198,7 +198,7 @@ def refresh(
         table = sinks.scan_table(spark, path, schema=rows.select("*", part).schema).drop(PART)
         if name == "rpttbl01":
             done = f"{root}/{name}"
-            sinks.write_table(reports.report1_from_base(table, select_quartiles=True), done)
+            sinks.write_table(reports.report1_from_base(table, at_scale=True), done)
             table = sinks.scan_table(spark, done)
         out[name] = table
     return out

@@ -36,6 +36,7 @@ from ..operators.aggregates import (
     quartiles,
     top_k,
     trailing_avg,
+    trailing_avgs_by_range,
     union_distinct_total,
 )
 from ..operators.quantiles import exact_quartiles
@@ -208,10 +209,11 @@ def report1_base(
     )
 
 
-def report1_averages(base: DataFrame) -> DataFrame:
+def report1_averages(base: DataFrame, by_year: bool = False) -> DataFrame:
     """Base rows plus the average of this and the next two older rows per ZIP
     (inclusive frame, S7), newest first with NULL weeks first (S6) and
-    tie-breaks on the label's year and week, then the values (S17)."""
+    tie-breaks on the label's year and week, then the values (S17).
+    ``by_year`` splits each ZIP's history by the year of the week."""
     order = [
         F.col("week_start").desc_nulls_first(),
         cal.label_part("week_number", 2).desc_nulls_first(),
@@ -219,12 +221,11 @@ def report1_averages(base: DataFrame) -> DataFrame:
         F.col("weekly_positive_cases").desc(),
         F.col("total_trip_count").desc(),
     ]
+    averages = {"avg_trip_count": "total_trip_count", "avg_cases": "weekly_positive_cases"}
+    if by_year:
+        return trailing_avgs_by_range(base, averages, ["zip"], order, F.year("week_start"), 0, 2)
     w = Window.partitionBy("zip").orderBy(*order).rowsBetween(0, 2)
-    return base.select(
-        "*",
-        F.avg("total_trip_count").over(w).alias("avg_trip_count"),
-        F.avg("weekly_positive_cases").over(w).alias("avg_cases"),
-    )
+    return base.select("*", *[F.avg(c).over(w).alias(name) for name, c in averages.items()])
 
 
 def report1_quartiles(base: DataFrame, approx: bool = False):
@@ -248,17 +249,18 @@ def report1_severity(
     return report1_from_base(report1_base(trips, covid, zip_polygons, days), approx_quartiles)
 
 
-def report1_from_base(base: DataFrame, approx_quartiles: bool = False, select_quartiles: bool = False) -> DataFrame:
-    """Report 1 from its totals (``report1_base``).  ``select_quartiles``
-    selects the exact quartiles in a few jobs that run now, with bounded
-    memory: for a written table (``operators.quantiles``)."""
+def report1_from_base(base: DataFrame, approx_quartiles: bool = False, at_scale: bool = False) -> DataFrame:
+    """Report 1 from its totals (``report1_base``).  ``at_scale``, for a written
+    table: the exact quartiles are selected in a few jobs that run now, with
+    bounded memory (``operators.quantiles``), and each ZIP's history is split
+    by year."""
     qs = F.col("_q")
-    found = exact_quartiles(base, ["total_trip_count", "weekly_positive_cases"]) if select_quartiles else report1_quartiles(base, approx_quartiles)
+    found = exact_quartiles(base, ["total_trip_count", "weekly_positive_cases"]) if at_scale else report1_quartiles(base, approx_quartiles)
     bounds = (
         qs["q1_total_trip_count"], qs["q3_total_trip_count"],
         qs["q1_weekly_positive_cases"], qs["q3_weekly_positive_cases"],
     )
-    return report1_averages(base).withColumn("_q", found).select(
+    return report1_averages(base, by_year=at_scale).withColumn("_q", found).select(
         "week_start",
         cal.prefix_label("week_number").alias("week_number"),
         "zip",
