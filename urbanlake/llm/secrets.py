@@ -35,21 +35,26 @@ class Rule:
         return f"{self.kind}@{self.version}"
 
 
-#: The base kinds, in the order in which they are listed.
+#: The base kinds, in the order in which they are listed.  The
+#: long s and the Kelvin sign are other cases of s and k.
 BASE = (
-    Rule("assign", 1, r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
+    Rule(
+        "assign", 2,
+        r"""((?i:pa[sſ]{2}word|pa[sſ]{2}wd|[sſ]ecret|to[kK]en|api_?[kK]ey))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+        2, 12,
+    ),
     Rule("access", 1, r"AKIA[A-Z0-9]+", 0, 18),
     Rule("hex", 1, r"[0-9a-f]{16,}", 0, 16),  # a run of 16 or more is a run that is not dropped
-)
+)
 RULES = (*BASE, Rule("pem", 1, r"-----BEGIN [A-Z ]{0,32}PRIVATE KEY-----", 0, 1))
 
-#: The whole key, from its BEGIN to its END line.  Findings list the BEGIN
-#: line ("pem"); where texts are masked, the key itself has to go too.
+#: Findings list the BEGIN line ("pem"); where texts are masked, the key itself
+#: has to go too: from a BEGIN line to the END line that is the next such line.
+KEY, KEY_END = "key", "key_end"
 MASKED = (
     *RULES,
-    Rule(
-        "key", 1, r"-----BEGIN [A-Z0-9 ]{0,32}PRIVATE KEY(?: BLOCK)?-----(?:[\s\S]*?-----END [A-Z0-9 ]{0,32}PRIVATE KEY(?: BLOCK)?-----)?"
-    ),
+    Rule(KEY, 2, r"-----BEGIN [A-Z0-9 ]{0,32}PRIVATE KEY(?: BLOCK)?-----"),
+    Rule(KEY_END, 1, r"-----END [A-Z0-9 ]{0,32}PRIVATE KEY(?: BLOCK)?-----"),
 )
 
 FOUND = "array<struct<rule:string,hits:array<struct<gap:int,len:int,key:int>>>>"
@@ -90,13 +95,22 @@ class BlobLedger:
 
     def scan(self, versions: DataFrame, text_col: str = "text") -> None:
         """Run every rule version over each blob of ``versions`` that has not
-        seen it, and append the results."""
+        seen it, and append the results.  Texts whose blob has seen all rules
+        are left out before texts are shuffled."""
         text = F.coalesce(F.col(text_col), F.lit(""))
-        blobs = versions.select(blob_id(text).alias("blob"), text.alias("text")).groupBy("blob").agg(F.any_value("text").alias("text"))
-        done = self.records().select("blob", F.explode("found.rule").alias("rule")).groupBy("blob").agg(F.collect_set("rule").alias("done"))
+        texts = versions.select(blob_id(text).alias("blob"), text.alias("text"))
         every = F.array(*[F.lit(r.name) for r in self.rules])
-        todo = F.array_except(every, F.coalesce("done", F.array().cast("array<string>")))
-        unseen = blobs.join(done, "blob", "left").withColumn("todo", todo).where(F.size("todo") > 0)
+        records = self.records()
+        if records.isEmpty():
+            todo = texts.groupBy("blob").agg(F.any_value("text").alias("text")).withColumn("todo", every)
+        else:
+            done = records.join(texts.select("blob").distinct(), "blob", "left_semi").select("blob", F.explode("found.rule").alias("rule"))
+            done = done.groupBy("blob").agg(F.collect_set("rule").alias("done"))
+            full = done.where(F.size(F.array_except(every, "done")) == 0).select("blob")
+            blobs = texts.join(full, "blob", "left_anti").groupBy("blob").agg(F.any_value("text").alias("text"))
+            left = F.array_except(every, F.coalesce("done", F.array().cast("array<string>")))
+            todo = blobs.join(done, "blob", "left").withColumn("todo", left)
+        unseen = todo.where(F.size("todo") > 0)
         found = F.array(
             *[
                 F.struct(
@@ -111,14 +125,18 @@ class BlobLedger:
         ran = F.transform(ran, lambda x: F.struct(x["rule"].alias("rule"), F.filter(x["hits"], lambda h: h["len"].isNotNull()).alias("hits")))
         unseen.select("blob", ran.cast(FOUND).alias("found")).write.mode("append").parquet(self.path)
 
-    def findings(self) -> DataFrame:
+    def findings(self, blobs: DataFrame | None = None) -> DataFrame:
         """(blob, kind, place, start, end): matches that pass, of the current
-        rule versions; ``place`` is the kind's position in the rule list."""
+        rule versions, in ``blobs`` (a column blob) or all; ``place`` is the
+        kind's position in the rule list.  A blob that two scans have read at
+        once counts once."""
         rules = self.spark.createDataFrame(
             [(r.name, r.kind, i, r.least) for i, r in enumerate(self.rules)], "rule string, kind string, place int, least int"
         )
-        raw = self.records().select("blob", F.explode("found").alias("f")).where(F.size("f.hits") > 0)
-        raw = raw.select("blob", "f.rule", F.posexplode("f.hits").alias("nth", "hit"))
+        records = self.records() if blobs is None else self.records().join(blobs, "blob", "left_semi")
+        raw = records.select("blob", F.explode("found").alias("f")).where(F.size("f.hits") > 0)
+        raw = raw.select("blob", "f.rule", "f.hits").dropDuplicates(["blob", "rule"])
+        raw = raw.select("blob", "rule", F.posexplode("hits").alias("nth", "hit"))
         upto = Window.partitionBy("blob", "rule").orderBy("nth").rowsBetween(Window.unboundedPreceding, 0)
         end = F.sum(F.col("hit.gap") + F.col("hit.len")).over(upto)
         return (
@@ -140,7 +158,7 @@ def scan_texts(docs: DataFrame, ledger: BlobLedger, text_col: str = "text", carr
     """
     ledger.scan(docs, text_col)
     per_blob = (
-        ledger.findings()
+        ledger.findings(docs.select(blob_id(F.col(text_col)).alias("blob")).distinct())
         .groupBy("blob")
         .agg(F.sort_array(F.collect_list(F.struct("start", "place", "kind", "end"))).alias("found"))
         .checkpoint()
@@ -155,30 +173,54 @@ def spans(found: Column) -> Column:
     return F.array_join(F.transform(found, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
-def redact(text: Column, found: Column, mask: str = "[SECRET]") -> Column:
-    """``text`` with every found range replaced; overlapping ranges become one mask."""
-    merged = F.aggregate(
-        found,
-        F.array().cast("array<struct<start:bigint,end:bigint>>"),
-        lambda out, x: F.when(
-            (F.size(out) > 0) & (F.element_at(out, -1)["end"] >= x["start"]),
-            F.concat(
-                F.slice(out, F.lit(1), F.size(out) - 1),
-                F.array(
-                    F.struct(
-                        F.element_at(out, -1)["start"].alias("start"), F.greatest(F.element_at(out, -1)["end"], x["end"]).alias("end")
-                    )
-                ),
-            ),
-        ).otherwise(F.concat(out, F.array(F.struct(x["start"].alias("start"), x["end"].alias("end"))))),
-    )
-    out = F.aggregate(
-        merged,
-        F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("text")),
-        lambda acc, x: F.struct(
-            x["end"].alias("at"),
-            F.concat(acc["text"], text.substr((acc["at"] + 1).cast("int"), (x["start"] - acc["at"]).cast("int")), F.lit(mask)).alias("text"),
+def masked_ranges(found: Column) -> Column:
+    """array<struct<start,end>> of what is to be masked: every finding, a key
+    from its BEGIN to its END line (the BEGIN line alone, if another one or
+    none comes next), an END line without a BEGIN not at all."""
+    marks = F.filter(found, lambda x: x["kind"].isin(KEY, KEY_END))
+    zipped = F.arrays_zip(marks.alias("mark"), F.slice(marks, F.lit(2), F.greatest(F.size(marks), F.lit(1))).alias("next"))
+    keys = F.transform(
+        F.filter(zipped, lambda z: z["mark"]["kind"] == KEY),
+        lambda z: F.struct(
+            z["mark"]["start"].alias("start"),
+            F.when(z["next"]["kind"] == KEY_END, z["next"]["end"]).otherwise(z["mark"]["end"]).alias("end"),
         ),
-        lambda acc: F.concat(acc["text"], text.substr((acc["at"] + 1).cast("int"), F.length(text))),
     )
-    return F.when(F.size(found) > 0, out).otherwise(text)
+    plain = F.filter(found, lambda x: ~x["kind"].isin(KEY, KEY_END))
+    return F.concat(F.transform(plain, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))), keys)
+
+
+#: Code points of a text's chunks, from which the gaps between masks are cut.
+CHUNK = 1024
+
+
+def redact(text: Column, found: Column, mask: str = "[SECRET]") -> Column:
+    """``text`` with every found range replaced; ranges that overlap or touch
+    become one mask.  Time grows with the text and its findings: the sorted
+    starts and ends tell the gaps (with k ranges begun, a gap follows where the
+    k-th smallest end is before the next start), and each gap is cut out of the
+    few chunks that hold it."""
+    ranges = masked_ranges(found)
+    long = F.lit(0).cast("bigint")
+    # bound once as a lambda's variable, so that no gap evaluates them again
+    bound = F.struct(
+        F.sort_array(F.transform(ranges, lambda x: x["start"])).alias("starts"),
+        F.sort_array(F.transform(ranges, lambda x: x["end"])).alias("ends"),
+        F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0)).alias("chunks"),
+        F.length(text).cast("bigint").alias("n"),
+    )
+
+    def gaps(b: Column) -> Column:
+        zipped = F.arrays_zip(F.concat(F.array(long), b["ends"]).alias("a"), F.concat(b["starts"], F.array(b["n"])).alias("b"))
+        return F.filter(zipped, lambda z, i: (i == 0) | (i == F.size(b["starts"])) | (z["a"] < z["b"]))
+
+    def cut(chunks: Column, z: Column) -> Column:
+        first, last = F.floor(z["a"] / CHUNK).cast("int"), F.floor(z["b"] / CHUNK).cast("int")
+        some = F.array_join(F.slice(chunks, first + 1, last - first + 1), "")
+        return some.substr((z["a"] - first * CHUNK + 1).cast("int"), (z["b"] - z["a"]).cast("int"))
+
+    def join(v: Column) -> Column:
+        return F.array_join(F.transform(v["gaps"], lambda z: cut(v["chunks"], z)), mask)
+
+    with_gaps = F.transform(F.array(bound), lambda b: F.struct(gaps(b).alias("gaps"), b["chunks"].alias("chunks")))
+    return F.when((F.size(ranges) > 0) & text.isNotNull(), F.transform(with_gaps, join)[0]).otherwise(text)
