@@ -36,15 +36,14 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: the one with the
-    group's smallest id, whatever other groups that id occurs in.  Of repeated
-    rows one stays; rows without an id stay."""
-    groups = simhash.near_duplicates(docs, shingle=4, radius=4, groups=True).where("doc_id IS NOT NULL")
-    keep = groups.groupBy("component").agg(F.min(F.struct("doc_id", "content")).alias("kept")).select("kept.*")
-    named = _whole_rows(docs.where("doc_id IS NOT NULL")).withColumns(
-        {"doc_id": F.col("doc")["doc_id"].cast("long"), "content": F.xxhash64("text")}
-    )
-    first = named.join(keep, ["doc_id", "content"], "left_semi").dropDuplicates(["doc_id", "content"])
-    return first.select("doc.*").unionByName(docs.where("doc_id IS NULL"))
+    group's smallest id, whatever other groups that id occurs in; a row without
+    an id only if no row of the group has one.  Of repeated rows one stays."""
+    groups = simhash.near_duplicates(docs, shingle=4, radius=4, groups=True)
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "content")
+    keep = groups.groupBy("component").agg(F.min(place).alias("kept")).select("kept.*")
+    named = _whole_rows(docs).withColumns({"doc_id": F.col("doc")["doc_id"].cast("long"), "content": F.xxhash64("text")})
+    same = named["doc_id"].eqNullSafe(keep["doc_id"]) & (named["content"] == keep["content"])
+    return named.join(keep, same, "left_semi").dropDuplicates(["doc_id", "content"]).select("doc.*")
 
 
 def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,11 +53,13 @@ def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return _with_text(cut, docs.columns, F.when(F.col("doc.text").isNotNull(), F.col("kept_text")))
 
 
-def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, ledger: str | None = None) -> DataFrame:
     """Secrets are masked in the texts, private keys from their BEGIN to their
-    END line (the BEGIN line alone if there is no END); documents stay."""
-    ledger = secrets.BlobLedger(spark, shared_dir(spark, "secret-ledger"), secrets.MASKED)
-    found = secrets.scan_texts(_whole_rows(docs), ledger, carry=("doc",))
+    END line (the BEGIN line alone if there is no END); documents stay.
+    ``ledger``: folder of a ledger that is kept from run to run, so that only
+    texts it does not know are scanned; None is a new one."""
+    kept = secrets.BlobLedger(spark, ledger or shared_dir(spark, "secret-ledger"), secrets.MASKED)
+    found = secrets.scan_texts(_whole_rows(docs), kept, carry=("doc",))
     return _with_text(found, docs.columns, secrets.redact(F.col("doc.text"), F.col("found")))
 
 
@@ -80,9 +81,11 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each stage's rows are written and read again."""
+def run(spark: SparkSession, sf_dir: str, ledger: str | None = None) -> DataFrame:
+    """All stages over documents; each stage's rows are written and read again.
+    ``ledger`` is the secret scans' (see ``secrets_stage``)."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        more = {"ledger": ledger} if stage is secrets_stage else {}
+        docs = written(stage(spark, docs, sf_dir, **more), f"pipeline-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)
