@@ -6,6 +6,7 @@ from llm.test_secrets import brute as secrets_of
 from llm.test_simhash import brute_components, brute_fingerprint
 from llm.test_suffix_dedup import PASSAGE, brute as repeats_of
 from urbanlake.llm import toxicity
+from urbanlake.session import shared_dir
 
 SF = "/root/testdata/sf0.001"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars", *CLASHING]
@@ -49,7 +50,10 @@ def test_one_document_of_each_group_stays(spark):
     assert out.columns == COLUMNS
     assert {r.doc_id for r in out.collect()} == set(parts)
     nameless = corpus_pipeline.simhash_stage(spark, documents(spark, ["a b", "a b", "a b"], [None, 3, 2]), SF)
-    assert sorted(str(r.doc_id) for r in nameless.collect()) == ["2", "None"]
+    assert [r.doc_id for r in nameless.collect()] == [2]
+    alone = [prose(60, 50), prose(60, 50), prose(61, 50), prose(61, 50) + "\n"]  # two groups, one of them all without ids
+    out = corpus_pipeline.simhash_stage(spark, documents(spark, alone, [None, None, None, 8]), SF).collect()
+    assert sorted((str(r.doc_id), r.text) for r in out) == sorted([("None", alone[0]), ("8", alone[3])])
 
 
 def test_one_text_of_a_repeated_id_stays(spark):
@@ -82,6 +86,19 @@ def test_secrets_are_masked(spark):
             assert out[i].text == text
 
 
+def test_a_kept_ledger_scans_no_text_twice(spark):
+    path = shared_dir(spark, "ledger-test")
+    docs = documents(spark, TEXTS)
+    first = corpus_pipeline.secrets_stage(spark, docs, SF, ledger=path).collect()
+    scanned = spark.read.parquet(path).count()
+    assert scanned == len({t or "" for t in TEXTS})
+    again = corpus_pipeline.secrets_stage(spark, docs, SF, ledger=path).collect()
+    assert spark.read.parquet(path).count() == scanned  # 0 old texts
+    assert sorted(map(str, again)) == sorted(map(str, first))
+    corpus_pipeline.secrets_stage(spark, documents(spark, [*TEXTS[:5], "a new one"]), SF, ledger=path).collect()
+    assert spark.read.parquet(path).count() == scanned + 1
+
+
 def test_private_keys_are_masked_whole(spark):
     body = "\n".join(f"MIIEvQ+{i:02}/" + "aB3x/Z+q" * 7 for i in range(400))
     keys = [
