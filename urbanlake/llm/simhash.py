@@ -199,7 +199,9 @@ def near_duplicates(
     placed = distinct.join(parts.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "rep", F.coalesce("component", "fp").alias("component")
     )
-    smallest = placed.groupBy("component").agg(F.min("rep").alias("component_id"))
+    # both sides of the join are written, so plainly shuffled: a large component can be split
+    placed = written(placed, "simhash-placed")
+    smallest = written(placed.groupBy("component").agg(F.min("rep").alias("component_id")), "simhash-smallest")
     named = placed.join(smallest, "component").select("fp", "component_id", *(["component"] if groups else [])).checkpoint()
     return rows.join(named, "fp").select(
         F.col("id").alias(id_col),

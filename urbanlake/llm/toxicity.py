@@ -38,8 +38,8 @@ TOKEN = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?|[.!?;\n\"“”«»]")
 STEMS = range(3, 9)
 SYMBOLS = "itynrqo"  # insult, threat, target, negation, report, quote, other
 
-#: Rows of labels that training may take, in all and for the lexicon's size.
-MAX_TRAIN, MAX_LEXICON = 24_000, 20_000
+#: Rows of labels that training may take.
+MAX_TRAIN = 24_000
 
 
 def _reported(state: int, symbol: str) -> tuple[int, float]:
@@ -151,10 +151,11 @@ def _sample(docs: DataFrame, labels: DataFrame, id_col: str, max_rows: int) -> D
     )
 
 
-def learn_lexicon(sample: DataFrame, max_units: int = MAX_LEXICON, least: int = 4, odds: float = 12.0) -> dict[str, float]:
+def learn_lexicon(sample: DataFrame, least: int = 4, odds: float = 12.0) -> dict[str, float]:
     """{unit: weight}: units in at least ``least`` toxic documents whose odds
     of a toxic document are ``odds`` times the others' or more, if not even one
-    of all units tested would get there by chance."""
+    of all units tested would get there by chance (Chernoff's bound on a unit
+    without meaning falling on that many toxic documents)."""
     import math
 
     def body(batch):
@@ -179,23 +180,13 @@ def learn_lexicon(sample: DataFrame, max_units: int = MAX_LEXICON, least: int =
     tested = max(1, counts.count())
     total = counts.where("unit = ''").select("bad", "good").first() or (0, 0)
     ratio = ((F.col("bad") + 0.5) / (total[0] + 1)) / ((F.col("good") + 0.5) / (total[1] + 1))
-    likely = counts.where("unit <> ''").withColumn("ratio", ratio).where(F.col("ratio") >= odds)
-    out = {}
-    # a bounded table: max_units rows
-    for r in likely.orderBy(F.desc("ratio"), F.desc("bad"), "unit").limit(max_units).collect():
-        if _by_chance(r["bad"], r["good"], *total) * tested <= 1:
-            out[r["unit"]] = math.log(r["ratio"])
-    return out
-
-
-def _by_chance(bad: int, good: int, all_bad: int, all_good: int) -> float:
-    """Upper bound on the chance that a unit without meaning falls on that many
-    toxic documents (Chernoff)."""
-    import math
-
-    n, share, seen = bad + good, all_bad / (all_bad + all_good), bad / (bad + good)
-    gain = seen * math.log(seen / share) + ((1 - seen) * math.log((1 - seen) / (1 - share)) if good else 0.0)
-    return math.exp(-n * gain)
+    n, share = F.col("bad") + F.col("good"), F.lit(min(max(total[0] / max(1, total[0] + total[1]), 1e-12), 1 - 1e-12))
+    seen = F.col("bad") / n
+    gain = seen * F.log(seen / share) + F.when(F.col("good") > 0, (1 - seen) * F.log((1 - seen) / (1 - share))).otherwise(0.0)
+    likely = counts.where("unit <> '' AND bad > 0").withColumn("ratio", ratio).where(F.col("ratio") >= odds)
+    # a bounded table: units of the sample, whose rows are bounded
+    rows = likely.where(F.exp(-n * gain) * tested <= 1).select("unit", "ratio").collect()
+    return {r["unit"]: math.log(r["ratio"]) for r in rows}
 
 
 def calibrate(features, labels, ridge: float = 1e-3, rounds: int = 50):
