@@ -147,7 +147,9 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
     Null texts and texts without a letter are ``und`` with score 0, as is
     everything if no language can be learned; with one learned language it is
-    always that.  Only the text enters a prediction.  A null id counts as the
+    always that.  Up to six languages the code words are all splits of them,
+    above a fixed series; more than ``MAX_LANGUAGES`` different labels raise, as
+    the model has a row for each.  Only the text enters a prediction.  A null id counts as the
     empty text's crc32; repeated rows stay repeated, ties go to the language
     first in order, an empty table gives an empty result.
     """
