@@ -46,7 +46,7 @@ def test_empty_table(spark):
 def test_cuts_are_taken_from_the_vocabulary():
     assert ENCODER.segmented
     assert not any("\n" in p for p in ENCODER.pairs)
-    assert "".join(pieces.SEGMENT.findall("▁▁a²é.▁b1_x▁")) == "▁▁a²é.▁b1_x▁"
+    assert "".join(pieces.SEGMENT.findall("  a²é. b1_x ")) == "  a²é. b1_x "
 
 
 def test_without_segments_the_whole_text_is_merged():
@@ -95,6 +95,6 @@ def test_forgotten_segments_are_learned_again():
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.text(alphabet="abinorsth▁", min_size=2, max_size=40))
+@given(st.text(alphabet="abinorsth ", min_size=2, max_size=40))
 def test_both_agendas_agree(text):
     assert pieces.short_agenda(list(text), ENCODER.order) == pieces.long_agenda(list(text), ENCODER.order)

@@ -1,3 +1,4 @@
+import gzip
 import hashlib
 import io
 
@@ -58,3 +59,35 @@ def test_lone_records_and_damage(spark):
     assert all(r.response is None and len(r.requests) == len(r.metadata) == 1 for r in orphans) and len(orphans) == 3
     with pytest.raises(ValueError):
         list(warc.parse(io.BytesIO(b"HTTP/1.1 200 OK\r\n\r\n")))
+
+
+def test_files_are_bounded_by_bytes(spark):
+    """Very long pages among small ones: they share no file, and the others keep within the bound."""
+    rows = [(i, None, "s" * 40 + str(i)) for i in range(60)] + [(100 + i, None, chr(97 + i) * 40_000) for i in range(20)]
+    rows += [(200, None, "long " * 2_000_000), (201, None, "🙂" * 1_500_000), (202, None, "long " * 2_000_000)]
+    path = shared_dir(spark, "warc-test")
+    warc.write_archives(pages(spark, rows).coalesce(1), path, file_bytes=1 << 20, date="2020-02-02T02:02:02Z")
+    held: dict = {}
+    for r in spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("path", "content").collect():
+        content = gzip.decompress(bytes(r.content))
+        assert not content or b"WARC-Date: 2020-02-02T02:02:02Z" in content
+        held[r.path] = [int(h["x-page-id"]) for h, _ in warc.parse(io.BytesIO(content)) if h["warc-type"] != "request" and h["warc-type"] != "metadata"]
+        assert len(content) < (1 << 20) + 4000 * len(held[r.path]) or len(held[r.path]) == 1
+    assert sorted(i for ids in held.values() for i in ids) == [i for i, _, _ in rows]
+    assert [200] in held.values() and [201] in held.values()  # 202 is a revisit, and short
+    back = warc.assemble(warc.read_records(spark, path, blocks=False)).collect()
+    want = sorted((i, len(t.encode()), hashlib.sha256(t.encode()).hexdigest()) for i, _, t in rows)
+    assert sorted((r.response.page_id, r.response.payload_bytes, r.response.payload_digest) for r in back) == want
+
+
+def test_clashing_columns_and_repeated_rows_keep_their_captures(spark):
+    names = ("first", "bytes", "revisit", "level", "value", "n", "type", "capture")
+    rows = [(1, "u", BIG), (1, "u", BIG), (2, "u", BIG), (2, "u", "y" * 300_000), (None, None, None)]
+    table = pages(spark, rows).withColumns({n: warc.F.lit("x") for n in names})
+    path = shared_dir(spark, "warc-test")
+    warc.write_archives(table.repartition(3), path)
+    got = warc.assemble(warc.read_records(spark, path, blocks=False)).collect()
+    assert len(got) == len({r.capture for r in got}) == 5
+    assert sorted((str(r.response.page_id), r.response.type, len(r.requests), len(r.metadata)) for r in got) == [
+        ("1", "response", 1, 1), ("1", "response", 1, 1), ("2", "response", 1, 1), ("2", "revisit", 1, 1), ("None", "response", 1, 1)
+    ]

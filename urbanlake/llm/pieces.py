@@ -8,9 +8,9 @@ pieces; a character that is no piece becomes its UTF-8 bytes.
 
 Two neighbouring characters that stand side by side in no piece are never
 merged over, so a text may be cut there and equal parts are encoded once.
-All parts that an Arrow batch brings for the first time are also encoded by the
-sentencepiece library, as one text, and each decoded text is compared with the
-library's; a difference raises.
+All parts that an Arrow batch brings for the first time are also encoded, and
+decoded again, by the sentencepiece library, as one text; a difference raises.
+Texts are made of parts, so what holds for the parts holds for them.
 """
 
 from __future__ import annotations
@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 
 from urbanlake.llm.common import per_batch, utf8
 
-#: The symbol that stands for a blank.
-BLANK = "▁"
+#: The symbol that stands for a blank in pieces.  Inside this module it is the
+#: blank itself, so that most texts need no copy.
+MARK, BLANK = "▁", " "
 #: Blanks and the letters, or the other characters, that follow them.
 LETTERS = "A-Za-zÀ-ÖØ-öø-ɏͰ-ԯ"
 SEGMENT = re.compile(f"{BLANK}*[{LETTERS}]+|{BLANK}*[^{LETTERS}{BLANK}]+|{BLANK}+")
@@ -114,16 +115,16 @@ class PieceEncoder:
         if any(library.is_unused(i) for i in range(size)) or sum(map(library.is_byte, range(size))) != 256:
             raise ValueError("the vocabulary must have all byte pieces and no unused ones")
         names = library.id_to_piece(list(range(size)))
-        self.ids = {p: i for i, p in enumerate(names) if not special[i]}
+        self.ids = {p.replace(MARK, BLANK): i for i, p in enumerate(names) if not special[i]}
         self.order = {p: -library.get_score(i) for p, i in self.ids.items() if len(p) > 1}
         self.pairs = {p[k : k + 2] for p in self.order for k in range(len(p) - 1)}
         # whether no piece goes on where SEGMENT cuts, or beside a line break
         kind = lambda c: c if c == BLANK else bool(LETTER.match(c))
-        marks = library.normalize(" \ta  b \x00ＡǺ\n") == f"{BLANK * 2}\ta{BLANK * 2}b{BLANK}\x00ＡǺ\n"
+        marks = library.normalize(" \ta  b \x00ＡǺ\n") == f"{MARK * 2}\ta{MARK * 2}b{MARK}\x00ＡǺ\n"
         self.segmented = marks and all((a == BLANK or kind(a) == kind(b)) and "\n" not in (a, b) for a, b in self.pairs)
         byte_ids = [i for i in range(size) if library.is_byte(i)]
         self.byte_id = {int(names[i][3:5], 16): i for i in byte_ids}
-        self.bytes_of = [b"" if special[i] else names[i].replace(BLANK, " ").encode() for i in range(size)]
+        self.bytes_of = [b"" if special[i] else names[i].replace(MARK, BLANK).encode() for i in range(size)]
         for value, i in self.byte_id.items():
             self.bytes_of[i] = bytes([value])
         self.is_byte = [False] * size
@@ -132,15 +133,17 @@ class PieceEncoder:
         for i in range(size):
             if library.is_unknown(i):
                 self.bytes_of[i] = library.decode([i]).encode()
-        self.first_blank = [n.startswith(BLANK) for n in names]
+        self.first_blank = [n.startswith(MARK) for n in names]
         self.control = {i for i in range(size) if library.is_control(i)}
         self.raw_ids = {p: i.to_bytes(4, "little") for p, i in self.ids.items()}
         self.limit, self.known, self.older = limit, {}, {}
 
     def normalized(self, text: str) -> str:
         if not self.segmented:
-            return self.library.normalize(text)
-        return BLANK + text.replace(" ", BLANK) if text else ""
+            text = self.library.normalize(text)
+        elif text:
+            text = BLANK + text
+        return text.replace(MARK, BLANK) if MARK in text else text
 
     def by_agenda(self, part: str) -> bytes:
         """Ids of a part (little-endian uint32), by the agenda alone."""
@@ -165,11 +168,11 @@ class PieceEncoder:
         if not segments:
             return
         if self.segmented:
-            text = "\n" + "\n".join(segments).replace(BLANK, " ")
-            line = self.by_agenda("\n")
-            same = np.array(self.library.encode(text), "<u4").tobytes() == line.join([self.by_agenda(BLANK), *ids])
+            line, theirs = self.by_agenda("\n"), self.library.encode("\n" + "\n".join(segments))
+            same = np.array(theirs, "<u4").tobytes() == line.join([self.by_agenda(BLANK), *ids]) and self.decode(theirs) == self.library.decode(theirs)
         else:
-            same = all(np.array(t, "<u4").tobytes() == i for t, i in zip(self.library.encode(segments, num_threads=1), ids))
+            theirs = self.library.encode(segments, num_threads=1)
+            same = all(np.array(t, "<u4").tobytes() == i for t, i in zip(theirs, ids)) and list(map(self.decode, theirs)) == self.library.decode(theirs)
         if not same:
             raise ValueError("the agenda's pieces are not the library's")
 
@@ -287,7 +290,7 @@ def encode(docs: DataFrame, model: bytes, text_col: str = "text", carry: tuple[s
             streams = encoder.encode([t.decode() for t in utf8(batch.column(1))])
             columns = [batch.column(0), id_lists(streams)]
             if round_trip:
-                columns.append(pa.array(encoder.decode_checked([np.frombuffer(s, "<u4").tolist() for s in streams]), pa.string()))
+                columns.append(pa.array([encoder.decode(np.frombuffer(s, "<u4").tolist()) for s in streams], pa.string()))
             return pa.RecordBatch.from_arrays(columns, names=["row", *out])
 
         yield from per_batch(body)(batches)

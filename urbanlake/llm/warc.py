@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,12 +19,14 @@ from pyspark.sql import functions as F
 from urbanlake.llm.common import written
 
 CRLF = "\r\n"
-DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Payloads from this size on are archived once.
 LEAST_BYTES = 100
-#: Records in one archive file, which the reader takes as a whole.
-FILE_RECORDS = 6000
+#: Records and payload bytes in one archive file, which the reader takes as a
+#: whole (a longer payload has a file of its own).
+FILE_RECORDS, FILE_BYTES = 6000, 32 << 20
+#: Payload sizes up to which pages share files; those beyond are alone.
+SIZES = (16 << 10, 256 << 10, 4 << 20)
 
 RECORD = (
     "type string, record_id string, concurrent_to string, page_id long, refers_to long, target_uri string,"
@@ -53,10 +56,16 @@ def _urn(kind: str, run: str, row: Column) -> Column:
 
 
 def write_archives(
-    pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", file_records: int = FILE_RECORDS
+    pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
+    file_records: int = FILE_RECORDS, file_bytes: int = FILE_BYTES, date: str | None = None,
 ) -> None:
     """Write one transaction per page as gzip-compressed WARC 1.1 files.
 
+    Pages are written by classes of size, and a file takes as many of a class
+    as keep within ``file_bytes`` (and ``file_records``); beyond the largest
+    class a page has a file of its own.  ``date`` is the capture date in the
+    records, now if not given.
+
     The payload is the html in UTF-8, null as empty.  Of rows with equal
     payloads of at least ``LEAST_BYTES`` bytes, every row with the smallest id
     (there are several only if rows repeat) is a response, the others revisit
@@ -75,7 +84,7 @@ def write_archives(
     shared = rows.where(F.col("bytes") >= LEAST_BYTES).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
     # written first: its size is then known when the join is planned
     shared = written(shared.where("n > 1 AND first IS NOT NULL").select("digest", "first"), "warc-shared")
-    run, row = uuid.uuid4().hex, F.col("row")
+    run = uuid.uuid4().hex
     linked = rows.join(shared, "digest", "left").withColumn("row", F.monotonically_increasing_id())
     linked = linked.withColumn("revisit", F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")))
     http = F.concat(
@@ -83,7 +92,15 @@ def write_archives(
         F.col("bytes").cast("string"),
         F.lit(CRLF * 2),
     )
-    uri, date, page = ("WARC-Target-URI", F.col("url")), ("WARC-Date", DATE), ("X-Page-Id", F.col("page_id"))
+    date = date or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
+    uri, date, page = ("WARC-Target-URI", F.col("url")), ("WARC-Date", date), ("X-Page-Id", F.col("page_id"))
+    # each class is a scan of its own: row numbers are told apart by it
+    size = F.when(F.col("revisit"), 0).otherwise(F.col("bytes"))
+    level = F.lit(0)
+    for most in SIZES:
+        level = level + (size > most).cast("int")
+    linked = linked.withColumn("level", level)
+    row = F.concat_ws("/", "level", "row")
     main, revisit = _urn("response", run, row), F.col("revisit")
     response = _record(
         F.concat(http, F.when(revisit, "").otherwise(F.col("payload"))),
@@ -104,9 +121,12 @@ def write_archives(
         ("WARC-Type", "metadata"), ("WARC-Record-ID", _urn("metadata", run, row)), ("WARC-Concurrent-To", main), date, uri, page,
         ("Content-Type", "application/warc-fields"),
     )
-    records = linked.select(F.explode(F.array(request, response, metadata)).alias("value"))
+    records = linked.select("level", F.explode(F.array(request, response, metadata)).alias("value"))
     # the line separator of the text writer is the end of a WARC record
-    records.write.option("lineSep", CRLF * 2).option("compression", "gzip").option("maxRecordsPerFile", file_records).text(path)
+    for i, most in enumerate([*SIZES, None]):
+        captures = max(1, min(file_records // 3, file_bytes // most)) if most else 1
+        writer = records.where(F.col("level") == i).select("value").write.mode("append")
+        writer.option("lineSep", CRLF * 2).option("compression", "gzip").option("maxRecordsPerFile", 3 * captures).text(path)
 
 
 def parse(stream) -> Iterator[tuple[dict[str, str], bytes]]:
