@@ -69,6 +69,6 @@ def test_within_near_the_edges(spark):
     wkt = "POLYGON ((" + ", ".join(f"{x!r} {y!r}" for x, y in ring + ring[:1]) + "))"
     df = spark.createDataFrame([(i, x, y, wkt) for i, (x, y) in enumerate(pts)], "i int, x double, y double, g string")
     edges = geo.ring_edges(geo.parse_multipolygon("g"))
-    got = {r.i: r.w for r in df.select("i", geo.within("x", "y", edges).alias("w")).collect()}
+    got = {r.i: r.w for r in df.select("i", geo.within("x", "y", edges, exact=True).alias("w")).collect()}
     assert got == {i: inside_exactly(p, ring) for i, p in enumerate(pts)}
     assert any(got.values()) and not all(got.values())

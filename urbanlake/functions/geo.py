@@ -143,37 +143,48 @@ def orientation(x1, y1, x2, y2, x, y) -> Column:
     return F.when(F.abs(plain) > (F.abs(left) + F.abs(right)) * ORIENTATION_ERROR, F.signum(plain)).otherwise(_sign_of_sum(terms))
 
 
-def crossings(x, y, edges) -> Column:
-    """Number of edges crossed by the ray from (x, y) towards +x: those that
-    span its height and have the point on their left (on their right, if they
-    lead down)."""
+def crossings(x, y, edges, exact: bool = False) -> Column:
+    """Number of edges crossed by the ray from (x, y) towards +x.
+
+    ``nullif`` keeps ANSI division from raising on horizontal edges whatever
+    order the conjuncts are evaluated in.  ``exact`` decides by ``orientation``
+    on which side of an edge the point is.
+    """
     x, y = _col(x), _col(y)
-    return F.size(
-        F.filter(
-            _col(edges),
-            lambda e: ((e["y1"] > y) != (e["y2"] > y))
-            & (orientation(e["x1"], e["y1"], e["x2"], e["y2"], x, y) == F.when(e["y2"] > e["y1"], 1.0).otherwise(-1.0)),
-        )
-    )
 
+    def left_of(e: Column) -> Column:
+        if exact:
+            return orientation(e["x1"], e["y1"], e["x2"], e["y2"], x, y) == F.when(e["y2"] > e["y1"], 1.0).otherwise(-1.0)
+        return x < (e["x2"] - e["x1"]) * (y - e["y1"]) / F.nullif(e["y2"] - e["y1"], F.lit(0.0)) + e["x1"]
 
-def on_boundary(x, y, edges) -> Column:
-    """True when (x, y) lies on one of the edges (inside the segment's box and collinear)."""
+    return F.size(F.filter(_col(edges), lambda e: ((e["y1"] > y) != (e["y2"] > y)) & left_of(e)))
+
+
+def on_boundary(x, y, edges, exact: bool = False) -> Column:
+    """True when (x, y) lies on one of the edges (collinear and inside the segment box)."""
     x, y = _col(x), _col(y)
+
+    def collinear(e: Column) -> Column:
+        if exact:
+            return orientation(e["x1"], e["y1"], e["x2"], e["y2"], x, y) == 0
+        return (e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"]) == 0
+
     return F.exists(
         _col(edges),
         lambda e: x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
         & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
-        & (orientation(e["x1"], e["y1"], e["x2"], e["y2"], x, y) == 0),
+        & collinear(e),
     )
 
 
-def within(x, y, edges) -> Column:
-    """Strictly inside: odd number of crossings and not on the boundary."""
-    return ((crossings(x, y, edges) % 2) == 1) & ~on_boundary(x, y, edges)
+def within(x, y, edges, exact: bool = False) -> Column:
+    """Strictly inside: odd number of crossings and not on the boundary.
+    ``exact`` is right up to the last place of the doubles given; its
+    expression is long and costs some seconds of planning."""
+    return ((crossings(x, y, edges, exact) % 2) == 1) & ~on_boundary(x, y, edges, exact)
 
 
-def point_within(pt, edges) -> Column:
+def point_within(pt, edges, exact: bool = False) -> Column:
     """``ST_Within(point, polygon)`` on a point struct column."""
     p = _col(pt)
-    return within(p["x"], p["y"], edges)
+    return within(p["x"], p["y"], edges, exact)
