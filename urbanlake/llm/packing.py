@@ -20,10 +20,12 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from urbanlake.llm.common import slices, utf8, written
+from urbanlake.llm.common import slices, trim_memory, utf8, written
 from urbanlake.llm.tokens import CachedEncoder
 
 CAPACITY = 2048
+#: Words that a task remembers the ids of.
+MAX_WORDS = 200_000
 
 
 def fill(room: int, available: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -91,7 +93,8 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, capacity
         import pyarrow as pa
         from pyspark import TaskContext
 
-        encoder = CachedEncoder(tokenizer, spaced=False, limit=500_000)
+        trim_memory()
+        encoder = CachedEncoder(tokenizer, spaced=False, limit=MAX_WORDS)
         part, seen = TaskContext.get().partitionId(), {}
         end = np.array([end_id], "<u4").tobytes()
         for batch in (s for b in batches for s in slices(b)):
@@ -123,6 +126,8 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, capacity
                 pa.array(number, long),
             ]
             yield pa.RecordBatch.from_arrays(columns + ([pa.array(tokens, pa.list_(small))] if ids else []), names=names)
+        del encoder
+        trim_memory()
 
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, part int, number long" + ", ids array<int>" * ids

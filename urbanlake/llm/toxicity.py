@@ -168,7 +168,7 @@ def learn_lexicon(sample: DataFrame, least: int = 4, odds: float = 12.0) -> dict
             rows[t] += 1
             seen[t].update(units(text.decode()))
         seen[0][""], seen[1][""] = rows
-        names = list(seen[0] | seen[1])
+        names = list(seen[0].keys() | seen[1].keys())
         return pa.RecordBatch.from_arrays(
             [pa.array(names), pa.array([seen[1][u] for u in names], pa.int64()), pa.array([seen[0][u] for u in names], pa.int64())],
             names=["unit", "bad", "good"],
