@@ -137,8 +137,8 @@ SELECT trip_id, taxi_id, trip_start, trip_end, trip_seconds, trip_miles,
 FROM trips_l""")
 def src_csv_trips(spark, sf):
     path = shared_dir(spark, "src_csv_trips")
-    # one file, read in several tasks
-    sinks.write_csv(dt.trips_raw(spark, sf).coalesce(1), path, date_format=schemas.DATE_FORMATS["taxi_trips"])
+    # a file per writing task, each read in as many tasks as it has blocks
+    sinks.write_csv(dt.trips_raw(spark, sf), path, date_format=schemas.DATE_FORMATS["taxi_trips"])
     t = ld.load(spark, path, "taxi_trips")
     return t.select(
         "trip_id", "taxi_id", "trip_start", "trip_end", "trip_seconds", "trip_miles",
@@ -255,7 +255,7 @@ SELECT id, permit_no, permit_status, permit_type, application_start_date, subtot
 FROM permits_l""")
 def src_csv_permits(spark, sf):
     path = shared_dir(spark, "src_csv_permits")
-    sinks.write_csv(dt.permits_raw(spark, sf).coalesce(1), path, date_format=schemas.DATE_FORMATS["building_permit"])
+    sinks.write_csv(dt.permits_raw(spark, sf), path, date_format=schemas.DATE_FORMATS["building_permit"])
     p = ld.load(spark, path, "building_permit")
     return p.select(
         "id", "permit_no", "permit_status", "permit_type", "application_start_date", "subtotal_unpaid",
