@@ -13,7 +13,9 @@ The join's result does not depend on the cover, only the sizes of its tasks do.
 Size: a node is split only if more than ``leaf_rows`` points lie in it, so each
 level has at most points / leaf_rows split nodes; ``MAX_SPLITS`` bounds their
 number by raising ``leaf_rows``.  That is what the driver collects and what the
-point side gets as a broadcast table.
+point side gets as a broadcast table.  A point finds its leaf by halving the
+levels: a split node's ancestors are all split, so a probe of the table at one
+level tells whether the leaf lies above or below it.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import spatial
@@ -30,6 +32,17 @@ DEPTH = 9
 MAX_SPLITS = 1 << 17
 # Leaves that a shuffle partition gets on average, if all points lie in crowded cells.
 LEAVES_PER_PARTITION = 32
+# Bytes up to which the layer's leaves are broadcast to the points, unless the session forbids broadcast joins.
+BROADCAST_BYTES = 64 << 20
+
+
+def _local(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A bounded table of whole numbers from the driver, all columns long."""
+    import numpy as np
+    import pyarrow as pa
+
+    columns = np.array(rows, np.int64).reshape(len(rows), -1).T
+    return spark.createDataFrame(pa.table({c: pa.array(v) for c, v in zip(schema.split(), columns)}))
 
 
 def node_code(level: int, column, row):
@@ -72,12 +85,15 @@ class DensityCover:
         self.leaf_rows = over[0]["limit"] if over else None
         # of each crowded grid cell: {code of a split node: 0, code of a salted node: its copies}
         self.trees: dict[tuple[int, int], dict[int, int]] = defaultdict(dict)
+        self.nodes: list[tuple[int, int, int, int]] = []  # the same as (level, column, row, copies)
         for r in over:
             up = r["level"]
             mask = (1 << up) - 1
             copies = -(-r["n"] // r["limit"]) if up == depth else 0
             self.trees[r["x"] >> up, r["y"] >> up][node_code(up, r["x"] & mask, r["y"] & mask)] = copies
+            self.nodes.append((up, r["x"], r["y"], copies))
         self.cells = self._cells()
+        self.bytes = self._bytes()
 
     def _leaves(self, tree: dict[int, int]) -> Iterator[tuple[int, int, int, int]]:
         """(level, column, row, copies) of the leaves below a crowded cell."""
@@ -101,33 +117,54 @@ class DensityCover:
             for level, x, y, copies in self._leaves(tree)
             for s in range(copies)
         ]
-        leaves = spark.createDataFrame(rows, "_bx long, _by long, _cl int, _lx long, _ly long, _cs int")
+        leaves = _local(spark, rows, "_bx _by _cl _lx _ly _cs").withColumns({c: F.col(c).cast("int") for c in ("_cl", "_cs")})
         cut = self.index.cells.join(leaves, (F.col("_cx") == F.col("_bx")) & (F.col("_cy") == F.col("_by")))
         cut = cut.withColumns({"_cx": F.col("_lx"), "_cy": F.col("_ly")}).drop("_bx", "_by", "_lx", "_ly")
         size = F.lit(self.index.cell) / F.call_function("shiftleft", F.lit(1), F.col("_cl"))
         cut = spatial.clipped(cut.withColumn("_whole", F.col("_inside")).drop("_inside"), size, "_whole")
-        crowded = spark.createDataFrame(list(self.trees), "_bx long, _by long")
+        crowded = _local(spark, list(self.trees), "_bx _by")
         rest = plain.join(crowded, (F.col("_cx") == F.col("_bx")) & (F.col("_cy") == F.col("_by")), "left_anti")
         return rest.unionByName(cut.select(*plain.columns))
 
+    def _bytes(self) -> int:
+        """Size of ``cells`` in memory, about: one small job."""
+        n, edges = self.cells.agg(F.count("*"), F.sum(F.coalesce(F.size("_edges"), F.lit(0)))).first()
+        return 128 * n + 64 * max(0, edges or 0)
+
+    def shared(self) -> DataFrame:
+        """``cells`` to join points with: a broadcast table while it is small."""
+        allowed = not self.cells.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").startswith("-")
+        return F.broadcast(self.cells) if allowed and self.bytes <= BROADCAST_BYTES else self.cells
+
     def place(self, points: DataFrame, px: Column, py: Column, name: str, spread: Column) -> DataFrame:
         """``points`` with the struct column ``name`` (l, x, y, s): the leaf of
         each point; ``spread`` chooses its copy."""
         plain = spatial.plain_place(px, py, self.index.cell)
         if not self.trees:
             return points.withColumn(name, plain)
-        spark, bx, by, tree = points.sparkSession, f"{name}_bx", f"{name}_by", f"{name}_tree"
-        table = spark.createDataFrame([(x, y, codes) for (x, y), codes in self.trees.items()], f"{bx} long, {by} long, {tree} map<long,int>")
-        g, d = F.lit(self.index.cell), self.depth
+        d = self.depth
+        n = lambda s: f"{name}_{s}"
         # at most MAX_SPLITS nodes, whatever the points
-        found = points.join(F.broadcast(table), (F.floor(px / g) == F.col(bx)) & (F.floor(py / g) == F.col(by)), "left")
+        nodes = F.broadcast(_local(points.sparkSession, self.nodes, " ".join(map(n, ("l", "x", "y", "k")))))
         size = F.lit(self.index.cell / (1 << d))
-        fx, fy = F.floor(px / size), F.floor(py / size)
-        codes = [node_code(i, F.shiftright(fx, d - i).bitwiseAND((1 << i) - 1), F.shiftright(fy, d - i).bitwiseAND((1 << i) - 1)) for i in range(d + 1)]
-        whole = F.transform(F.array(*codes[:d]), lambda c: F.col(tree)[c].isNull())
-        # the first level whose node is not split; the last one, if all are
-        level = F.when(F.col(tree).isNull(), F.lit(0)).otherwise(F.coalesce(F.nullif(F.array_position(whole, True).cast("int"), F.lit(0)) - 1, F.lit(d)))
-        copies = F.when(level == d, F.col(tree)[codes[d]])
-        up = lambda c: F.call_function("shiftright", c, F.lit(d) - level)
-        salt = F.pmod(spread, F.coalesce(copies, F.lit(1)).cast("long")).cast("int")
-        return found.withColumn(name, F.struct(level.alias("l"), up(fx).alias("x"), up(fy).alias("y"), salt.alias("s"))).drop(bx, by, tree)
+        shift = lambda c, by: F.call_function("shiftright", c, by)
+        fx, fy, low, high, copies, mid = (F.col(n(c)) for c in ("fx", "fy", "low", "high", "copies", "mid"))
+        # ``low`` to ``high`` levels from the top are split
+        found = points.withColumns(
+            {n("fx"): F.floor(px / size), n("fy"): F.floor(py / size), n("low"): F.lit(0), n("high"): F.lit(d + 1), n("copies"): F.lit(None).cast("long")}
+        )
+        for _ in range((d + 1).bit_length()):
+            found = found.withColumn(n("mid"), shift(low + high, F.lit(1)))
+            at = (F.col(n("l")) == mid) & (F.col(n("x")) == shift(fx, F.lit(d) - mid)) & (F.col(n("y")) == shift(fy, F.lit(d) - mid))
+            hit = F.col(n("l")).isNotNull()
+            found = found.join(nodes, at, "left").withColumns(
+                {
+                    n("low"): F.when(hit, mid + 1).otherwise(low),
+                    n("high"): F.when(hit, high).otherwise(mid),
+                    n("copies"): F.coalesce(copies, F.nullif(F.col(n("k")), F.lit(0))),
+                }
+            ).drop(n("l"), n("x"), n("y"), n("k"))
+        level = F.least(low, F.lit(d))
+        salt = F.pmod(spread, F.coalesce(copies, F.lit(1))).cast("int")
+        leaf = F.struct(level.alias("l"), shift(fx, F.lit(d) - level).alias("x"), shift(fy, F.lit(d) - level).alias("y"), salt.alias("s"))
+        return found.withColumn(name, leaf).drop(*[n(c) for c in ("fx", "fy", "low", "high", "copies", "mid")])

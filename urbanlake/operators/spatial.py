@@ -16,9 +16,10 @@ cell and each (polygon, cell) pair one row, so a match is emitted once per
 containing polygon.  The join is LEFT and not de-duplicated: a point in two
 overlapping polygons yields two rows, a point in none keeps NULLs (S12).
 
-Scale: no join carries a hint.  AQE broadcasts a polygon index that it has
-measured to be small and otherwise joins by cell, splitting a hot cell on the
-(preserved) point side.  Rows without a point match nothing; they get keys of
+Scale: a small index (``LOCAL_BYTES``) is a table of known size, which Spark
+broadcasts if the session lets it: the points stay where they are.  Otherwise
+AQE broadcasts an index that it has measured to be small or joins by cell,
+splitting a hot cell on the (preserved) point side.  Rows without a point match nothing; they get keys of
 their own, spread over all partitions, instead of meeting under NULL.
 """
 
@@ -36,6 +37,12 @@ from ..functions import geo
 # Sizing parameter: polygon × cell rows aimed at when the cell size is chosen
 # automatically; the cell grows until the index fits.  Results do not depend on it.
 DEFAULT_MAX_CELLS = 100_000
+# Bytes up to which an index is held as a local table.  Spark knows the size of
+# one before the join runs, and plans a broadcast join without dealing out the points.
+LOCAL_BYTES = 32 << 20
+# How often the automatic cell size may be halved for a local index: the finer
+# the grid, the more points lie in cells that no edge crosses.
+FINER = 4
 # Keys over which rows without a point are spread.
 NULL_KEYS = 1 << 16
 # Cell row of those keys; no polygon reaches it.
@@ -67,7 +74,10 @@ class PolygonIndex:
     One aggregate over the polygon layer yields the median extent and the
     extent sums, which give the cell size and an upper bound on the index
     size: a polygon whose box spans ``w × h`` touches at most
-    ``(w/g + 2)(h/g + 2)`` cells.
+    ``(w/g + 2)(h/g + 2)`` cells.  Its edges rise over ``v`` in all, so they
+    are kept in at most ``(v/g + 2e)(w/g + 2)`` copies.  An index of
+    ``LOCAL_BYTES`` at most by these bounds gets finer cells and is computed
+    here, once.
     """
 
     def __init__(
@@ -81,6 +91,8 @@ class PolygonIndex:
         prepared = prepare_polygons(polygons.select(*take, geom), geom)
         w = F.col("_xmax") - F.col("_xmin")
         h = F.col("_ymax") - F.col("_ymin")
+        rise = F.aggregate("_edges", F.lit(0.0), lambda acc, e: acc + F.abs(e["y2"] - e["y1"]))
+        count = F.size("_edges").cast("double")
         row = (
             prepared.where(F.col("_xmin").isNotNull())
             .agg(
@@ -89,15 +101,23 @@ class PolygonIndex:
                 F.sum(h).alias("sh"),
                 F.sum(w * h).alias("swh"),
                 F.count(F.lit(1)).alias("n"),
+                F.sum(rise).alias("sv"),
+                F.sum(rise * w).alias("svw"),
+                F.sum(count).alias("se"),
+                F.sum(count * w).alias("sew"),
             )
             .first()
         )
         n = row["n"] if row is not None else 0
-        stats = {k: float(row[k] or 0.0) for k in ("med", "sw", "sh", "swh")} if n else {}
+        stats = {k: float(row[k] or 0.0) for k in ("med", "sw", "sh", "swh", "sv", "svw", "se", "sew")} if n else {}
 
         def cells(size: float) -> float:
             return stats["swh"] / size**2 + 2 * (stats["sw"] + stats["sh"]) / size + 4 * n
 
+        def local(size: float) -> bool:
+            edges = stats["svw"] / size**2 + 2 * (stats["sv"] + stats["sew"]) / size + 4 * stats["se"]
+            return bool(n) and 128 * cells(size) + 64 * edges <= LOCAL_BYTES
+
         if cell_size:
             g = float(cell_size)
         elif not n:
@@ -113,11 +133,17 @@ class PolygonIndex:
                     if cells(g) <= target:
                         break
                     g *= 1.5
+            for _ in range(FINER):
+                if not stats["med"] or cells(g / 2) > max_cells or not local(g / 2):
+                    break
+                g /= 2
         self.cell = g
         self.n_polygons = n
         self.max_rows = int(cells(g)) if n else 0
         self.take = list(take)
         self.cells = polygon_cells(prepared, g)
+        if local(g):
+            self.cells = polygons.sparkSession.createDataFrame(self.cells.toArrow(), self.cells.schema)
         self._polygons, self._version = polygons.select(*take, geom), None
 
     def version(self) -> str:
@@ -134,7 +160,7 @@ class PolygonIndex:
         ``cover``: a ``DensityCover`` of this layer for these points."""
         tag = uuid.uuid4().hex[:8]
         n = lambda s: f"_{s}_{tag}"  # noqa: E731 - unique temp names per join
-        cells = cover.cells if cover else keyed_cells(self.cells)
+        cells = cover.shared() if cover else keyed_cells(self.cells)
         index = cells.select(
             *[F.col(src).alias(dst) for dst, src in take.items()],
             *[F.col(f"_{c}").alias(n(c)) for c in ("edges", "inside", "xmin", "xmax", "ymin", "ymax", "cl", "cx", "cy", "cs")],
