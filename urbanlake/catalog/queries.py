@@ -10,7 +10,7 @@ folder under the session's shared checkpoint directory and read it back.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -186,22 +186,26 @@ LEFT JOIN (
 
 def _polygon_stats_with_pickups(spark, sf, zips: DataFrame, areas: DataFrame) -> DataFrame:
     """Geometry statistics of each parsed polygon and the number of trip
-    pickups inside it (the parsed rings drive a within-join over all trips)."""
-    pickups = dt.trips_raw(spark, sf).select(geo.parse_point("pickup_location").alias("p")).where(F.col("p").isNotNull())
-    out = None
-    for layer, df, key in (("zip", zips, "zip"), ("area", areas, "area_numbe")):
-        stats = _polygon_stats(df, layer, key)
-        inside = (
-            within_left_join(pickups, "p", df, {"_id": key})
-            .where(F.col("_id").isNotNull())
-            .groupBy(F.col("_id").cast("int").alias("_id"))
-            .agg(F.count(F.lit(1)).alias("_n"))
-        )
-        part = stats.join(inside, stats["polygon_id"] == inside["_id"], "left").select(
-            *stats.columns, F.coalesce(F.col("_n"), F.lit(0)).cast("long").alias("n_pickups")
+    pickups inside it (the parsed rings of both layers, as one layer, drive a
+    single within-join over all trips)."""
+    # parsed once a row: a plain column would be parsed anew by each filter that the join infers from it
+    pickups = dt.trips_raw(spark, sf).select(F.explode(F.array(geo.parse_point("pickup_location"))).alias("p")).where(F.col("p").isNotNull())
+    layers = (("zip", zips, "zip"), ("area", areas, "area_numbe"))
+    stats, both = (
+        reduce(DataFrame.unionByName, parts)
+        for parts in (
+            [_polygon_stats(df, layer, key) for layer, df, key in layers],
+            [df.select(F.lit(layer).alias("_layer"), F.col(key).cast("int").alias("_id"), "geom") for layer, df, key in layers],
         )
-        out = part if out is None else out.unionByName(part)
-    return out
+    )
+    inside = (
+        within_left_join(pickups, "p", both, {"_layer": "_layer", "_id": "_id"})
+        .where(F.col("_id").isNotNull())
+        .groupBy("_layer", "_id")
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    same = (stats["layer"] == inside["_layer"]) & (stats["polygon_id"] == inside["_id"])
+    return stats.join(inside, same, "left").select(*stats.columns, F.coalesce(F.col("_n"), F.lit(0)).cast("long").alias("n_pickups"))
 
 
 @query("src_csv_polygons", _POLYGON_STATS_SQL)
