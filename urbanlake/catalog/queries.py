@@ -116,8 +116,20 @@ class Inputs:
 
     @cached_property
     def days(self) -> DataFrame:
-        """Per-day counts shared by the six trip reports (as run_pipeline builds them)."""
-        return rp.trip_day_facts(self.stg_trips, AIRPORTS)
+        """Per-day counts shared by the six trip reports, written once as run_pipeline does."""
+        return self._written("trip-day-facts", rp.trip_day_facts(self.stg_trips, AIRPORTS))
+
+    # staged tables that several reports read, written once as run_pipeline does
+    @cached_property
+    def kept_covid(self) -> DataFrame:
+        return self._written("stg-covid", self.stg_covid)
+
+    @cached_property
+    def kept_permits(self) -> DataFrame:
+        return self._written("stg-permits", self.stg_permits)
+
+    def _written(self, name: str, df: DataFrame) -> DataFrame:
+        return sinks.scan_table(self.spark, sinks.write_table(df, shared_dir(self.spark, name)))
 
     @cached_property
     def zip_keys(self) -> DataFrame:
@@ -291,14 +303,14 @@ _REPORT_CTES = {
 
 def _all_reports(i: Inputs) -> dict[str, DataFrame]:
     return {
-        "rpttbl01": rp.report1_severity(None, i.stg_covid, i.zips, i.days),
-        "rpttbl02": rp.report2_airport(None, i.stg_covid, i.zips, AIRPORTS, i.days),
+        "rpttbl01": rp.report1_severity(None, i.kept_covid, i.zips, i.days),
+        "rpttbl02": rp.report2_airport(None, i.kept_covid, i.zips, AIRPORTS, i.days),
         "rpttbl03": rp.report3_ccvi(None, i.stg_ccvi, i.days),
         "rpttbl04a": rp.report4a_weekly(None, i.zips, i.days),
         "rpttbl04b": rp.report4b_monthly(None, i.zips, i.days),
         "rpttbl04c": rp.report4c_daily(None, i.zips, i.days),
-        "rpttbl05": rp.report5_waiver(i.stg_health, i.stg_permits),
-        "rpttbl06": rp.report6_loans(i.stg_permits, i.stg_health),
+        "rpttbl05": rp.report5_waiver(i.stg_health, i.kept_permits),
+        "rpttbl06": rp.report6_loans(i.kept_permits, i.stg_health),
     }
 
 
