@@ -1,5 +1,6 @@
 import hashlib
 
+import numpy as np
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -85,3 +86,17 @@ def test_cached_words_equal_the_tokenizer(text):
 
 
 CACHE: dict = {}
+
+
+def test_folded_words_outlive_the_bound():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    cached, tokenizer, seen = CachedEncoder(tokenizer_json(path), spaced=False, limit=40), Tokenizer.from_file(path), []
+    letters = cached._letters
+    cached._letters = lambda parts: seen.extend(parts) or letters(parts)
+    for i in range(60):
+        rare = [f"{a}{b}Été" for a in "abc" for b in "xyzßÿ"]
+        texts = [f"\tThe Straße|{rare[i % 15]}{'q' * i}.\n", "", " \r\n ", f"the--9 {'z' * i}!!", "l'été", "é" + "的"]
+        want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+        assert [np.frombuffer(x, "<u4").tolist() for x in cached.encode(texts)] == want
+        assert len(cached.known) + len(cached.older) < 80
+    assert seen.count("the") == seen.count("straße") == 1
