@@ -1,6 +1,8 @@
 import hashlib
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from llm.edges import documents, edge_texts, prose
@@ -83,3 +85,33 @@ def test_levels_merge_geometrically(spark):
 def test_size_is_checked(spark):
     with pytest.raises(ValueError):
         suffix_dedup.cut_repeats(documents(spark, []), size=100)
+
+
+def test_a_batch_and_its_levels_are_written_once(spark, monkeypatch):
+    writes, sort = [], suffix_dedup.SuffixLevels._sorted
+    monkeypatch.setattr(suffix_dedup.SuffixLevels, "_sorted", lambda self, entries: writes.append(1) or sort(self, entries))
+    texts = documents(spark, [prose(s, 60) for s in (1, 2, 1, 3)])
+    assert suffix_dedup.cut_repeats(texts, batches=4).where("size(spans) > 0").count() == 2
+    assert len(writes) == 4  # a write for each batch, none for a merge
+
+
+def test_runs_hold_every_string_once_with_its_anchor():
+    rng = np.random.default_rng(1)
+    for _ in range(100):
+        texts = [rng.integers(97, 100, n, dtype=np.uint8).tobytes() for n in rng.choice([0, 5, 199, 200, 201, 700, 3000], rng.integers(1, 8))]
+        texts.append(b"ab" * 150)
+        lengths = np.array([len(t) for t in texts])
+        starts = np.cumsum(lengths) - lengths
+        data, strings = b"".join(texts), []
+        for text, s, a, w, p, *_ in zip(*suffix_dedup.runs(np.frombuffer(data, np.uint8), starts, lengths, SIZE)):
+            assert w <= a <= SIZE - suffix_dedup.KEY + w and int(p) == int.from_bytes(data[s + a : s + a + 8])
+            strings += [(text, k - starts[text]) for k in range(s, s + w + 1)]
+        assert sorted(strings) == [(i, k) for i, n in enumerate(lengths) for k in range(n - SIZE + 1)]
+
+
+def test_strings_are_compared_by_both_digests(monkeypatch):
+    # one digest alike in all three, the other in the first and the last
+    again = np.array([0, 1, 2]), np.zeros(3, np.int64), np.full(3, 5, np.uint64), np.array([7, 8, 7], np.uint64)
+    monkeypatch.setattr(suffix_dedup, "_strings", lambda runs, size: again)
+    rows = pa.table({"h": [1] * 3, "n": [1] * 3, "tid": [10, 11, 12], "tid2": pa.array([0] * 3, pa.int32()), "s": pa.array([0] * 3, pa.int32()), "run": [b""] * 3})
+    assert suffix_dedup._compare(rows, SIZE)["tid"].to_pylist() == [10, 12]

@@ -8,9 +8,10 @@ the same anchor, so a suffix array over the anchors alone (about one byte in
 
 Ingest: each batch gets its own suffix array, hash-sharded by the digest of
 the suffix's first ``KEY`` bytes and, within a shard, sorted by suffix prefix
-and digest.  It is merge-scanned against every existing level for keys that
-meet, then levels of equal rank are merged into the next rank, so a row is
-rewritten at most log2(batches) times.
+and digest.  Where that rank is taken, the array and the levels of rank 0, 1,
+... up to the first free one are merged and written once, at that rank, so a
+row is rewritten at most log2(batches) times.  The level is merge-scanned
+against every other level for keys that meet.
 
 Then, for entries whose key met another:
 * entries with equal run text: all strings of the run repeat;
@@ -31,8 +32,10 @@ from urbanlake.llm.common import drop_table, per_batch, release_shuffles, utf8,
 
 KEY = 32
 HALF = 128  # digests of 2**7 bytes; two of them, overlapping, cover a whole string
-#: Bytes looked at together; longer texts are read in pieces whose runs are cut at the seam.
-PIECE = 1 << 20
+#: Bytes looked at together, few enough for a core's cache; longer texts are read in pieces whose runs are cut at the seam.
+PIECE = 1 << 16
+#: Bits of a digest that give way to a position within a piece.
+LOW = (1 << 22) - 1
 ENTRY = "p long, h long, c long, tid long, tid2 int, s int, a short, w short"
 
 
@@ -48,35 +51,46 @@ def _mix(a, b):
     return x
 
 
-def _digests(data, *sizes: int) -> list:
-    """Digests of the strings of each size (powers of two) that start at each
-    byte; shorter at the end, where no such string starts."""
+def _words(data):
+    """The eight bytes that start at each byte, as a little-endian number."""
     import numpy as np
 
-    byte = np.arange(1, 257, dtype=np.uint64)
-    level = _mix(byte, byte[::-1].copy())[data]
-    out, n = [], 1
-    while True:
-        if n in sizes:
-            out.append(level)
-        if n >= max(sizes):
-            return out
+    return np.ndarray(max(0, len(data) - 7), "<u8", data, strides=(1,)).copy()
+
+
+def _digests(word, size: int):
+    """Digests of the strings of ``size`` bytes (a power of two over 8) that
+    start at each byte, from its ``_words``; shorter at the end, where no such
+    string starts."""
+    import numpy as np
+
+    level, n = word * np.uint64(0x9E3779B97F4A7C15), 8
+    level ^= level >> np.uint64(32)
+    while n < size:
         level = _mix(level[:-n], level[n:]) if len(level) > n else level[:0]
         n *= 2
+    return level
+
+
+def _halves(key, at):
+    """Digests of the ``HALF`` bytes at the places ``at``, from those of ``KEY`` bytes."""
+    parts = [key[at + o] for o in range(0, HALF, KEY)]
+    while len(parts) > 1:
+        parts = [_mix(x, y) for x, y in zip(parts[::2], parts[1::2])]
+    return parts[0]
 
 
 def _least(h, span: int):
-    """Position of the leftmost smallest digest in each window of ``span``."""
+    """The leftmost smallest digest in each window of ``span``, its last bits
+    replaced by its position."""
     import numpy as np
 
-    n = len(h) - span + 1
-    low = np.uint64((1 << 22) - 1)
-    keyed = (h & ~low) | np.arange(len(h), dtype=np.uint64)
-    pad = -len(h) % span
-    blocks = np.concatenate((keyed, np.full(pad, np.iinfo(np.uint64).max))).reshape(-1, span)
-    ahead = np.minimum.accumulate(blocks, axis=1).ravel()
-    behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-    return (np.minimum(behind[:n], ahead[span - 1 : span - 1 + n]) & low).astype(np.int64)
+    low = np.uint64(LOW)
+    out, n = (h & ~low) | np.arange(len(h), dtype=np.uint64), 1
+    while n < span:
+        more = min(n, span - n)
+        out, n = np.minimum(out[:-more], out[more:]), n + more
+    return out
 
 
 def runs(data, starts, lengths, size: int):
@@ -87,29 +101,26 @@ def runs(data, starts, lengths, size: int):
 
     if len(data) < size:
         return None
-    key, half = _digests(data, KEY, HALF)
-    anchor = _least(key, size - KEY + 1)
-    valid = np.zeros(len(anchor), bool)
-    edge = np.zeros(len(anchor) + 1, np.int64)
-    fits = lengths >= size
-    np.add.at(edge, starts[fits], 1)
-    np.add.at(edge, starts[fits] + lengths[fits] - size + 1, -1)
-    valid = np.cumsum(edge[:-1]) > 0
-    text = np.searchsorted(starts, np.arange(len(anchor)), side="right") - 1 if len(starts) > 1 else np.zeros(len(anchor), np.int64)
-    new = np.empty(len(anchor), bool)
+    word = _words(data)
+    key = _digests(word, KEY)
+    least = _least(key, size - KEY + 1)
+    n = len(least)
+    new = np.empty(n, bool)
     new[0] = True
-    new[1:] = (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1]) | (valid[1:] != valid[:-1])
+    np.not_equal(least[1:], least[:-1], out=new[1:])
+    for border in (starts, starts + lengths - size + 1):
+        new[border[(border >= 0) & (border < n)]] = True
     s = np.flatnonzero(new)
-    e = np.append(s[1:], len(anchor)) - 1
-    keep = valid[s]
-    s, e = s[keep], e[keep]
-    if not len(s):
+    e = np.append(s[1:], n) - 1
+    text = np.searchsorted(starts, s, side="right") - 1
+    keep = s + size <= (starts + lengths)[text]
+    if not keep.any():
         return None
-    x, over = anchor[s], size - HALF
+    s, e, text = s[keep], e[keep], text[keep]
+    x, over = (least[s] & np.uint64(LOW)).astype(np.int64), size - HALF
     w, a = e - s, x - s
-    prefix = data[x[:, None] + np.arange(8)].copy().view(">u8").ravel()
-    run = _mix(_mix(half[s], half[s + over]), _mix(_mix(half[e], half[e + over]), (a * 1000 + w).astype(np.uint64)))
-    return text[s], s, a, w, prefix, key[x], run
+    first, last = (_mix(_halves(key, at), _halves(key, at + over)) for at in (s, e))
+    return text, s, a, w, word[x].byteswap(), key[x], _mix(first, _mix(last, (a * 1000 + w).astype(np.uint64)))
 
 
 def _pieces(texts: list[bytes], size: int):
@@ -131,7 +142,8 @@ def _pieces(texts: list[bytes], size: int):
 
 def text_id(text: Column) -> list[Column]:
     """Content address of a text: 64 and 32 bits of two independent digests."""
-    return [F.xxhash64(text).alias("tid"), F.hash(F.reverse(text), text).alias("tid2")]
+    crc = F.crc32(text.cast("binary"))
+    return [F.xxhash64(text).alias("tid"), (crc - F.lit(1 << 31)).cast("int").alias("tid2")]
 
 
 def suffix_array(texts: DataFrame, size: int = 200) -> DataFrame:
@@ -169,9 +181,9 @@ def suffix_array(texts: DataFrame, size: int = 200) -> DataFrame:
 class SuffixLevels:
     """Logarithmic family of sparse suffix arrays.
 
-    ``add`` builds the suffix array of a batch, merge-scans it against the
-    existing levels and notes the keys that meet, and merges levels of equal
-    rank.  A rank-r level holds 2**r batches; ``levels`` has one table per
+    ``add`` builds the suffix array of a batch, merges it with the levels of
+    equal rank, merge-scans the result against the other levels and notes the
+    keys that meet.  A rank-r level holds 2**r batches; ``levels`` has one table per
     rank.  ``entries`` are all suffixes whose key met another.
     """
 
@@ -179,15 +191,14 @@ class SuffixLevels:
         self.size, self.levels, self.met = size, {}, []
 
     def add(self, texts: DataFrame) -> None:
-        level = self._sorted(suffix_array(texts, self.size))
+        level, rank, older = suffix_array(texts, self.size), 0, []
+        while rank in self.levels:  # levels of rank 0, 1, ... merge at once with the batch
+            older.append(self.levels.pop(rank))
+            level, rank = level.unionByName(older[-1]), rank + 1
+        level = self._sorted(level)
+        for table in older:
+            drop_table(table)
         self.met.append(self._merge_scan(level))
-        rank = 0
-        while rank in self.levels:
-            other = self.levels.pop(rank)
-            merged = self._sorted(level.unionByName(other))
-            drop_table(level)
-            drop_table(other)
-            level, rank = merged, rank + 1
         self.levels[rank] = level
         release_shuffles(texts.sparkSession)
 
@@ -197,7 +208,7 @@ class SuffixLevels:
         return written(entries.hint("rebalance", "h").sortWithinPartitions("p", "h", "c"), "suffix-level")
 
     def _merge_scan(self, new: DataFrame) -> DataFrame:
-        """Keys of the new array that repeat in it or occur in an older level."""
+        """Keys of the level that a batch went into that repeat in it or occur in another level."""
         keys = new.select("h", F.lit(1).alias("mine"))
         for old in self.levels.values():
             keys = keys.unionByName(old.select("h", F.lit(0).alias("mine")))
@@ -222,23 +233,28 @@ class SuffixLevels:
         self.levels, self.met = {}, []
 
 
+def _listed(column) -> tuple:
+    """How many structs each row's list has (null: none), and their fields side by side."""
+    import pyarrow.compute as pc
+
+    return pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False), column.flatten().flatten()
+
+
 def _contexts(texts: DataFrame, size: int) -> DataFrame:
     """The text of each listed run (tid, tid2, text, runs), with its key."""
 
     def body(batch):
+        import numpy as np
         import pyarrow as pa
 
-        rows, cuts = [], []
-        for i, (text, listed) in enumerate(zip(utf8(batch.column(2)), batch.column(3).to_pylist())):
-            for r in listed:
-                rows.append(i)
-                cuts.append((r["h"], r["n"], r["k"], r["s"], text[r["s"] : r["s"] + r["w"] + size]))
-        if not rows:
+        count, (h, n, k, s, w) = _listed(batch.column(3))
+        if not len(h):
             return None
-        h, n, k, s, run = zip(*cuts)
+        rows = np.repeat(np.arange(len(count)), count)
+        texts, ends = utf8(batch.column(2)), (s.to_numpy() + w.to_numpy() + size).tolist()
+        run = [texts[i][a:b] for i, a, b in zip(rows.tolist(), s.to_pylist(), ends)]
         where = pa.array(rows)
-        columns = [pa.array(h, pa.int64()), pa.array(n, pa.int64()), pa.array(k, pa.int64())]
-        columns += [batch.column(0).take(where), batch.column(1).take(where), pa.array(s, pa.int32()), pa.array(run, pa.binary())]
+        columns = [h, n, k, batch.column(0).take(where), batch.column(1).take(where), s, pa.array(run, pa.binary())]
         return pa.RecordBatch.from_arrays(columns, names=["h", "n", "k", "tid", "tid2", "s", "run"])
 
     return texts.mapInArrow(per_batch(body), "h long, n long, k long, tid long, tid2 int, s int, run binary")
@@ -250,7 +266,9 @@ def _strings(runs_: list[bytes], size: int):
 
     length = np.array([len(r) for r in runs_], np.int64)
     first = np.cumsum(length) - length
-    (half,) = _digests(np.frombuffer(b"".join(runs_), np.uint8), HALF)
+    data = np.frombuffer(b"".join(runs_), np.uint8)
+    blocks = range(0, max(1, len(data) - HALF + 1), PIECE)
+    half = np.concatenate([_digests(_words(data[i : i + PIECE + HALF - 1]), HALF) for i in blocks])
     count = length - size + 1
     run = np.repeat(np.arange(len(runs_)), count)
     at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
@@ -267,8 +285,13 @@ def _compare(rows, size: int):
     run, at, x, y = _strings(rows["run"].to_pylist(), size)
     h = rows["h"].to_numpy().view(np.uint64)[run]
     x = _mix(x, h)
-    order = np.lexsort((y, x))
-    same = (x[order][1:] == x[order][:-1]) & (y[order][1:] == y[order][:-1])
+    order = np.argsort(x)
+    x, y = x[order], y[order]
+    same = x[1:] == x[:-1]
+    if (y[1:] != y[:-1])[same].any():  # one digest of two alike: sort by both
+        again = np.lexsort((y, x))
+        order, x, y = order[again], x[again], y[again]
+        same = (x[1:] == x[:-1]) & (y[1:] == y[:-1])
     again = np.zeros(len(x), bool)
     again[order[1:][same]] = True
     again[order[:-1][same]] = True
@@ -390,10 +413,10 @@ def repeated_spans(texts: DataFrame, levels: SuffixLevels, group_runs: int = GRO
     return spans
 
 
-def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Overlapping and touching ranges joined, in order."""
     out: list[tuple[int, int]] = []
-    for a, b in sorted((s["at"], s["end"]) for s in spans or []):
+    for a, b in sorted(spans):
         if out and a <= out[-1][1]:
             out[-1] = (out[-1][0], max(b, out[-1][1]))
         else:
@@ -428,19 +451,25 @@ def cut_repeats(
     spans = repeated_spans(long, levels, group_runs)
 
     def body(batch):
+        import numpy as np
         import pyarrow as pa
 
-        kept, cuts, whole = [], [], []
-        for text, listed in zip(utf8(batch.column(1)), batch.column(2).to_pylist()):
-            cut = merged(listed)
-            ends = [0, *[b for _, b in cut]]
-            kept.append(b"".join(text[a:b] for a, b in zip(ends, [*[a for a, _ in cut], len(text)])))
-            cuts.append([{"at": a, "end": b} for a, b in cut])
+        count, (at, end) = _listed(batch.column(2))
+        ranges, last = list(zip(at.to_pylist(), end.to_pylist())), np.cumsum(count).tolist()
+        texts, kept, cuts, whole = utf8(batch.column(1)), [], [], []
+        for text, n, upto in zip(texts, count.tolist(), last):
+            cut = merged(ranges[upto - n : upto])
+            left = [text[a:b] for a, b in zip([0, *[b for _, b in cut]], [*[a for a, _ in cut], len(text)])]
+            kept.append(b"".join(left))
+            cuts.append(cut)
             # what a cut leaves of a character at its edge is dropped
-            whole.append("".join(text[a:b].decode("utf-8", "ignore") for a, b in zip(ends, [*[a for a, _ in cut], len(text)])))
-        kind = pa.list_(pa.struct([("at", pa.int32()), ("end", pa.int32())]))
+            whole.append("".join([x.decode("utf-8", "ignore") for x in left]))
+        flat = [x for cut in cuts for x in cut]
+        pair = [pa.array([x[i] for x in flat], pa.int32()) for i in (0, 1)]
+        first = pa.array(np.cumsum([0, *map(len, cuts)]), pa.int32())
+        spans = pa.ListArray.from_arrays(first, pa.StructArray.from_arrays(pair, names=["at", "end"]))
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([len(t) for t in utf8(batch.column(1))], pa.int64()), pa.array(kept, pa.binary()), pa.array(cuts, kind), pa.array(whole)],
+            [batch.column(0), pa.array([len(t) for t in texts], pa.int64()), pa.array(kept, pa.binary()), spans, pa.array(whole, pa.string())],
             names=["row", "n_bytes", "kept", "spans", "kept_text"],
         )
 
